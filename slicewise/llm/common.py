@@ -31,7 +31,8 @@ def in_tiles(df: DataFrame, key: str, tile: int, by: str) -> DataFrame:
 
     A key with up to ``tile`` rows stays one cell (0, 0). A larger one is cut by the hash of column
     ``by`` into T tiles; each row goes to the T cells that its tile shares with the others, so no task
-    holds more than about two tiles of a hot key, and still every pair of rows meets.
+    holds more than about two tiles of a hot key, and still every pair of rows meets: rows of different
+    tiles (column ``tile``) in one cell, those of one tile in its own cell (t, t) and in others.
     """
     hot = (
         df.groupBy(key).count().where(F.col("count") > tile)
@@ -40,12 +41,12 @@ def in_tiles(df: DataFrame, key: str, tile: int, by: str) -> DataFrame:
     dealt = (
         df.join(hot, F.col(key) == F.col("_hot"), "left")
         .withColumn("_tiles", F.coalesce("_tiles", F.lit(1)))
-        .withColumn("_t", F.pmod(F.xxhash64(by), F.col("_tiles")).cast("int"))
+        .withColumn("tile", F.pmod(F.xxhash64(by), F.col("_tiles")).cast("int"))
         .withColumn("_u", F.explode(F.expr("sequence(0, _tiles - 1)")))
-        .withColumn("tile_a", F.least("_t", "_u"))
-        .withColumn("tile_b", F.greatest("_t", "_u"))
+        .withColumn("tile_a", F.least("tile", "_u"))
+        .withColumn("tile_b", F.greatest("tile", "_u"))
     )
-    return dealt.drop("_hot", "_tiles", "_t", "_u")
+    return dealt.drop("_hot", "_tiles", "_u")
 
 
 def runs_of(batches, names: list[str]):
