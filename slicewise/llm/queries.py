@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicewise.llm import bpe, embedding_dedup, html_text, packing, simhash, substring_dedup, token_counts
+from slicewise.llm import bpe, embedding_dedup, html_text, packing, quality, simhash, substring_dedup, token_counts
 from slicewise.llm.common import table
 
 
@@ -42,6 +42,12 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), least_cosine=0.95)
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = quality.quality(table(spark, sf_dir, "documents"))
+    columns = ["doc_id", *quality.BASE, "base_failed", "kept", "perplexity", "lower", "upper"]
+    return rated.select(*columns)
+
+
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encoded(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
