@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicewise.llm import bpe, embedding_dedup, html_text, packing, quality, simhash, substring_dedup, token_counts
+from slicewise.llm import bpe, chat, embedding_dedup, html_text, packing, quality, simhash, substring_dedup, suffix_dedup, token_counts
 from slicewise.llm.common import table
 
 
@@ -22,6 +22,11 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.repeated_passages(docs, window=50, gram=12).withColumnRenamed("first_id", "first_doc_id")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     placed = packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
@@ -38,6 +43,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex(F.col("fingerprint")[0]), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(table(spark, sf_dir, "conversations"))
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), least_cosine=0.95)
 
@@ -60,4 +69,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_chat_formatting": chat.SQL}
