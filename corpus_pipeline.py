@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from slicewise.llm import packing, simhash
+from slicewise.llm import packing, quality, simhash, substring_dedup
 from slicewise.llm.common import checkpointed, table
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or their language's perplexity band reject go; the rest are unchanged."""
+    return quality.keep_good(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest doc_id.
 
@@ -18,12 +24,28 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_first(docs, shingle=5, lanes=8, max_bits=77, blocks=32, share=1)
 
 
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that a document with a smaller doc_id has too are cut out.
+
+    A document that loses words has the others joined by one space as its text, and its n_chars is
+    counted anew; one that loses all goes. Other documents are unchanged.
+    """
+    cut = substring_dedup.substring_dedup(docs, window=50, block=25)
+    changed = F.col("n_removed") > 0
+    return (
+        cut.where(~changed | (F.col("n_removed") < F.col("n_words")))
+        .withColumn("text", F.when(changed, F.col("kept_text")).otherwise(F.col("text")))
+        .withColumn("n_chars", F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("n_chars")))
+        .select(*docs.columns)
+    )
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents packed into sequences of at most 2048 tokens."""
+    """Whole documents packed into sequences of at most 2048 tokens; one row for each piece."""
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
 
 
-STAGES = [("near_dedup", near_dedup), ("packing", pack)]
+STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("substring_dedup", repeats), ("packing", pack)]
 
 #: No stage's arithmetic is SQL (language model, fingerprints, tokenizer); tests compare with brute force.
 ORACLE_SQL = None

@@ -35,7 +35,7 @@ def _mixed(h: np.ndarray, lane: int) -> np.ndarray:
     """Lane 0 is the hash itself; further lanes remix it, for fingerprints of over 64 bits."""
     if not lane:
         return h
-    h = h + np.uint64(0x9E3779B97F4A7C15) * np.uint64(lane)
+    h = h + np.uint64(0x9E3779B97F4A7C15 * lane & 0xFFFFFFFFFFFFFFFF)
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
