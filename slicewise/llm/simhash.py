@@ -15,6 +15,8 @@ from slicewise.llm.common import checkpointed, in_tiles, runs_of
 from slicewise.llm.components import connected_components
 
 SEED = 42
+#: Runs of up to so many rows that share a key are compared pair by pair, larger ones breadth first.
+SMALL = 32
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -134,14 +136,18 @@ def near_duplicates(
             key = np.stack([t[c].to_numpy().astype(np.int64) for c in parts])
             starts = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0)])
             bits = t["fingerprint"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, lanes)
-            rep, out_a, out_b = t["rep"].to_numpy(), [], []
+            rep, out_a, out_b = t["rep"].to_numpy(), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             ends = np.r_[starts[1:], t.num_rows]
             size = ends - starts
-            two = starts[size == 2]
-            two = two[np.bitwise_count(bits[two] ^ bits[two + 1]).sum(axis=1, dtype=np.int64) <= max_bits]
-            out_a.append(rep[two])
-            out_b.append(rep[two + 1])
-            for s, e in zip(starts[size > 2].tolist(), ends[size > 2].tolist()):
+            for k in np.unique(size[(size > 1) & (size <= SMALL)]).tolist():  # all runs of one size at once
+                left, right = np.triu_indices(k, 1)
+                own = starts[size == k]
+                for i in range(0, len(own), max(1, 500_000 // len(left))):
+                    a, b = (((own[i : i + max(1, 500_000 // len(left)), None]) + side).reshape(-1) for side in (left, right))
+                    near = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64) <= max_bits
+                    out_a.append(rep[a[near]])
+                    out_b.append(rep[b[near]])
+            for s, e in zip(starts[size > SMALL].tolist(), ends[size > SMALL].tolist()):
                 a, b = near_edges(bits[s:e], max_bits)
                 out_a.append(rep[s + a])
                 out_b.append(rep[s + b])

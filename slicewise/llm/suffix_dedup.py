@@ -162,7 +162,7 @@ def repeated_passages(
         if not t.num_rows:
             return sent_type.empty_table()
         c = contexts(t, back)[1]
-        return parcels(key[0].as_py(), c.cuts, [(c.gram, P.squeezed_sorted), (c.around.reshape(len(c.gram), -1), lambda v: P.squeezed(v.reshape(-1))), (c.least, P.squeezed)])
+        return parcels(key[0].as_py(), c.cuts, [(c.gram, P.squeezed_sorted), (c.around, lambda v: P.squeezed(v.reshape(-1))), (c.least, P.squeezed)])
 
     def compare(t):
         blobs = t["blob"].to_pylist()
