@@ -55,7 +55,11 @@ WALKS = (
 )
 L = f"with recursive {VS}, {OBJECTS}, {EDGES}, {WALKS} "
 PATH_TEXT = "list_aggregate(path, 'string_agg', ',')"
-SHOWN = F.array_join(F.col("path").cast("array<string>"), ",").alias("path")
+
+
+def shown(column):
+    """A list as text, so that results compare by value."""
+    return F.array_join(F.col(column).cast("array<string>"), ",").alias(column)
 
 
 def objects(s, d):
@@ -99,7 +103,7 @@ QUERIES = {
     "video_scale": (
         lambda s, d: volume.video_scaled(deep(s, d)), f"with {VD} select stack, z, y, x, (({BYTE.format('v / 255')}) * 8) % 256 as image, (lab % 256 * 16) % 256 as mask from voxels"),
     "gif_frames": (
-        lambda s, d: volume.frames(deep(s, d)).select("stack", "z", F.array_join(F.col("image").cast("array<string>"), ",").alias("image"), F.array_join(F.col("mask").cast("array<string>"), ",").alias("mask")),
+        lambda s, d: volume.frames(deep(s, d)).select("stack", "z", shown("image"), shown("mask")),
         f"with {VD}, f as (select stack, z, y, x, (({BYTE.format('v / 255')}) * 8) % 256 image, (lab % 256 * 16) % 256 mask from voxels) "
         "select stack, z, string_agg(image, ',' order by y, x) as image, string_agg(mask, ',' order by y, x) as mask from f group by all"),
     "cytoplasm": (
@@ -117,7 +121,7 @@ QUERIES = {
         "i as (select c.stack, c.z, label, next_label, c.n / (a.n + b.n - c.n) iou from c join a on a.stack = c.stack and a.z = c.z and a.lab = label join a b on b.stack = c.stack and b.z = c.z + 1 and b.lab = next_label) "
         "select stack, z, label, next_label, round(iou, 6) as iou from i where iou >= 0.4"),
     "mask_index": (
-        lambda s, d: masks.mask_index(fanned(s, d)).select(*masks.MASK, F.array_join(F.col("ys").cast("array<string>"), ",").alias("ys"), F.array_join(F.col("xs").cast("array<string>"), ",").alias("xs"), "area"),
+        lambda s, d: masks.mask_index(fanned(s, d)).select(*masks.MASK, shown("ys"), shown("xs"), "area"),
         f"with {VS}, {FAN}, {MASKS} select stack, z, label, pseudo_slice, list_aggregate(ys, 'string_agg', ',') as ys, list_aggregate(xs, 'string_agg', ',') as xs, area from masks"),
     "mask_overlap": (
         lambda s, d: masks.overlaps(masks.mask_index(fanned(s, d))),
@@ -133,10 +137,10 @@ QUERIES = {
     "node_pairs": (
         lambda s, d: _node_pairs(objects(s, d)),
         f"with {VS}, {OBJECTS} select a.stack, a.unique_id as node1, b.unique_id as node2 from objects a join objects b on a.stack = b.stack and a.slice <= b.slice and a.unique_id <> b.unique_id"),
-    "hop_distance": (lambda s, d: found_paths(s, d)[1].select("stack", "node1", "node2", (F.size("path") - 1).alias("hops"), SHOWN), L + f"select stack, node1, node2, cast(len(path) - 1 as int) as hops, {PATH_TEXT} as path from paths"),
+    "hop_distance": (lambda s, d: found_paths(s, d)[1].select("stack", "node1", "node2", (F.size("path") - 1).alias("hops"), shown("path")), L + f"select stack, node1, node2, cast(len(path) - 1 as int) as hops, {PATH_TEXT} as path from paths"),
     "weighted_distance": (lambda s, d: found_paths(s, d)[1].select("stack", "node1", "node2", F.round("distance", 6).alias("distance")), L + "select stack, node1, node2, round(distance, 6) as distance from paths"),
-    "longest_paths": (lambda s, d: linking.longest(found_paths(s, d)[1]).select("stack", SHOWN), L + f"select stack, {PATH_TEXT} as path from longest"),
-    "object_number": (lambda s, d: numbered(s, d)[1].select("stack", "object_number", SHOWN), L + f"select stack, object_number, {PATH_TEXT} as path from numbered"),
+    "longest_paths": (lambda s, d: linking.longest(found_paths(s, d)[1]).select("stack", shown("path")), L + f"select stack, {PATH_TEXT} as path from longest"),
+    "object_number": (lambda s, d: numbered(s, d)[1].select("stack", "object_number", shown("path")), L + f"select stack, object_number, {PATH_TEXT} as path from numbered"),
     "path_nodes": (
         lambda s, d: nodes(s, d).withColumns({c: F.round(c, 6) for c in ("centroid_0", "centroid_1")}),
         L + "select stack, object_number, cast(step as int) as step, unique_id, slice, label, round(centroid_0, 6) as centroid_0, round(centroid_1, 6) as centroid_1 from nodes join objects using (stack, unique_id)"),
