@@ -40,12 +40,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     ``edges`` has long columns a and b; loops, repeats and nulls are ignored. Each round is two
     aggregations with map-side minima and two joins on a unique side; it ends when no edge changes.
-    The edges never leave the executors.
+    The edges never leave the executors. They are shuffled once before the local stars, so a task never
+    holds a Python worker for them beside one of the operator that found them.
     """
     e = (
         edges.where("a is not null and b is not null and a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .mapInArrow(_local_stars, "a long, b long").distinct()
+        .distinct().mapInArrow(_local_stars, "a long, b long").distinct()
     )
     e, before = checkpointed(e), None
     for _ in range(max_rounds):

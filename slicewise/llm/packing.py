@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 import zlib
 from functools import lru_cache
@@ -12,14 +13,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from slicewise.llm.common import checkpointed
 from slicewise.llm.bpe import gathered
 from slicewise.llm.token_counts import byte_letters
 
-#: Distinct chunks of text that a worker remembers.
-REMEMBERED = 500_000
+#: Distinct runs of text that a worker remembers within a task, and texts that are encoded together.
+REMEMBERED, STEP = 500_000, 1_500
 #: Code points that str.split takes for white space and the tokenizer doesn't.
 SEPARATORS = regex.compile("[\x1c-\x1f]")
 
@@ -34,8 +34,6 @@ class WordIds:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        import json
-
         tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -97,15 +95,16 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0, id: str =
         encoder = word_ids(path)
         for b in batches:
             texts, keys = b["_text"].to_pylist(), b["_id"]
-            for lo in range(0, len(texts), 500):
+            for lo in range(0, len(texts), STEP):
                 cols = [[], [], [], [], [], []]
-                for i, ids in enumerate(encoder.encode(texts[lo : lo + 500]), lo):
+                for i, ids in enumerate(encoder.encode(texts[lo : lo + STEP]), lo):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                     for piece, start in enumerate(range(0, len(ids), capacity)):
                         part = ids[start : start + capacity].tobytes()
                         for c, v in zip(cols, (keys[i].as_py(), piece, start, len(part) // 4, zlib.crc32(part), part)):
                             c.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
+        encoder.forget()  # a task's words fill the store, and the worker lives on
 
     names = ["_id", "piece", "start", "length", "ids_crc32", "ids"]
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]

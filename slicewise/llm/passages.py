@@ -10,6 +10,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Stands for a null id: no document's id is smaller than another's by it.
 NO_ID = np.iinfo(np.int64).max
+#: Letters that are hashed at a time.
+CHUNK = 1 << 18
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -37,11 +39,10 @@ class Words:
 
     def __init__(self, texts: list[bytes]):
         global _place
-        data = np.frombuffer(b"\n".join([*texts, b""]) or b"\n", np.uint8)
+        data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
         space = SPACE[data]
         edge = np.diff(space.view(np.int8), prepend=np.int8(1))
-        starts, sizes = np.flatnonzero(edge == -1), None
-        ends = np.flatnonzero(edge == 1)
+        starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         sizes = ends - starts
         n = len(starts)
         lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
@@ -51,12 +52,18 @@ class Words:
         if not n:
             self.hash = np.zeros(0, np.uint64)
             return
-        letters = LETTER[data[~space]]
-        at = np.cumsum(sizes) - sizes
         if sizes.max() > len(_place):
             _place = odd_numbers(int(sizes.max()), 2)
-        letters *= _place[np.arange(len(letters)) - np.repeat(at, sizes)]
-        self.hash = mixed(np.add.reduceat(letters, at) + sizes.astype(np.uint64))
+        chars, ends = data[~space], np.cumsum(sizes)
+        cuts = np.append(np.unique(np.searchsorted(ends, np.arange(0, len(chars), CHUNK), side="right")), n)
+        self.hash = np.empty(n, np.uint64)
+        for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):  # some words at a time bound the memory
+            lo = int(ends[s] - sizes[s])
+            at = ends[s:e] - sizes[s:e] - lo
+            letters = LETTER[chars[lo : int(ends[e - 1])]]
+            letters *= _place[np.arange(len(letters)) - np.repeat(at, sizes[s:e])]
+            self.hash[s:e] = np.add.reduceat(letters, at)
+        self.hash = mixed(self.hash + sizes.astype(np.uint64))
 
     def rolling(self, n: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the n words from each position, and whether they lie in one text; n - 1 shorter."""
