@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slicewise.llm import packing, quality, simhash, substring_dedup
-from slicewise.llm.common import checkpointed, table
+from slicewise.llm.common import stored, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,5 +56,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``, each to what the one before it kept."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = checkpointed(stage(spark, docs, sf_dir))
+        docs = stored(stage(spark, docs, sf_dir))
     return docs

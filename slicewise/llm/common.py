@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,19 +14,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint in the cluster's shared folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    The folder is ``spark.checkpoint.dir`` of the session. Only where that is unset (tests, a laptop)
-    is a local one chosen.
+    Only where that is unset (tests, a laptop) is a local one chosen.
     """
-    spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again, for tables with texts."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def in_tiles(df: DataFrame, key: str, tile: int, by: str) -> DataFrame:
     """Deal the rows of each ``key`` to cells (key, tile_a, tile_b) so that any two meet in a cell.
 

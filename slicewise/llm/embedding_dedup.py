@@ -181,3 +181,14 @@ def near_vectors(
     return done.select(
         F.col("_id").alias(id), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
         F.coalesce(F.col("_id") == component, F.lit(True)).alias("kept"))
+
+
+#: The query in DuckDB: all pairs, and the closure of the links.
+SQL = r"""
+with recursive good as (select vec_id, cast(embedding as double[]) v from embeddings where vec_id is not null and embedding is not null
+  and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (select a.vec_id a, b.vec_id b from good a join good b on a.vec_id <> b.vec_id and list_cosine_similarity(a.v, b.v) >= 0.95),
+reach as (select vec_id a, vec_id b from embeddings union select reach.a, links.b from reach join links on links.a = reach.b),
+counts as (select a, count(*) n from links group by a), least as (select a, min(b) component_id from reach group by a)
+select vec_id, coalesce(n, 0) as n_links, component_id, component_id = vec_id as kept from embeddings left join counts on counts.a = vec_id left join least on least.a = vec_id
+"""

@@ -36,10 +36,13 @@ ASIDE = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 ASIDE_WORD = re.compile(
-    r"(?:^|[^a-z])(?:ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|notification\w*|alert|popup|modal|overlay|"
+    r"(?:^|[^a-z])(?<!has-)(?<!with-)(?<!no-)(?:ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|notification\w*|alert|popup|modal|overlay|"
     r"newsletter|subscribe\w*|subscription|signup|sidebar|widget\w*|menu|nav|navbar|navigation|breadcrumbs?|comments?|commentlist|disqus|repl(?:y|ies)|"
-    r"respond|share|sharing|social|related|recommend\w*|footer|header|masthead|login|search|pagination|pager|toolbar|tags|copyright)(?:$|[^a-z])"
+    r"respond|responses|discussion|share|sharing|social|related|recommend\w*|footer|masthead|login|search|pagination|pager|toolbar|tags|copyright)(?:$|[^a-z])"
 )
+#: Marks the page's header, but an article's own header has its title.
+HEADER_WORD = re.compile(r"(?:^|[^a-z])(?<!has-)(?<!with-)(?<!no-)header(?:$|[^a-z])")
+HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none""", re.I)
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 MARKS = re.compile(r"[.,;:!?¡¿…。、，！？；：]")
 
@@ -121,9 +124,12 @@ def blocks(page: str) -> list[tuple[str, bool, int, str]]:
             continue
         kept = {k.lower(): (a or b or c).lower() for k, a, b, c in ATTRIBUTE.findall(m[3])} if m[3] else {}
         name = " ".join(kept.get(k, "") for k in ("class", "id")).strip()
-        inside = any(t == "article" for t, *_ in stack)
-        aside = tag in ASIDE or tag == "header" and not inside or kept.get("role", "") in ROLES
-        aside = aside or tag not in ("html", "body", "article", "main") and bool(name and ASIDE_WORD.search(name))
+        inside = any(t in ("article", "main") for t, *_ in stack)
+        aside = tag in ASIDE or tag == "header" and not inside or kept.get("role", "") in ROLES or bool(m[3] and HIDDEN.search(m[3]))
+        if tag in ("article", "main"):  # what a class word says of all around the article can't hold
+            stack = [(t, label, a and t in ASIDE) for t, label, a in stack]
+        elif tag not in ("html", "body") and name:
+            aside = aside or bool(ASIDE_WORD.search(name)) or not inside and bool(HEADER_WORD.search(name))
         stack.append((tag, f"{tag}.{'.'.join(kept['class'].split())}" if kept.get("class") else tag, aside))
     return [(b.path, b.aside, b.linked, text) for b in out if (text := " ".join(entities.unescape("".join(b.parts)).split()))]
 
@@ -192,3 +198,13 @@ def extracted(pages: DataFrame, html: str = "html") -> DataFrame:
 
     schema = T.StructType([*(pages.schema[c] for c in kept), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     return pages.select(*kept, F.col(html).alias("_html")).mapInArrow(work, schema)
+
+
+#: The query in DuckDB for pages of the given tables, whose text is all in one article element.
+SQL = r"""
+with articles as (select page_id, url, regexp_extract(html, '<article>(.*)</article>', 1, 's') article from pages),
+blocks as (select page_id, url, list_transform(regexp_split_to_array(article, '</?(?:p|h1)>'), lambda b:
+  trim(regexp_replace(replace(replace(replace(replace(regexp_replace(b, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))) b from articles),
+texts as (select page_id, url, array_to_string(list_filter(b, lambda x: x <> ''), chr(10)) as text from blocks)
+select *, length(text) as n_chars from texts
+"""

@@ -74,6 +74,17 @@ class Words:
         return mixed(total), self.doc[:count] == self.doc[n - 1 :][:count]
 
 
+def dealing(total: int, batch_bytes: int | None) -> tuple[int, int]:
+    """How many batches, and hash buckets (a power of two), for ``total`` bytes of text.
+
+    Batches grow with the root of the total, from 2 to 8 MB, so that what a batch sends to a bucket stays
+    worth a row; a bucket gets about as much as four batches hold.
+    """
+    size = batch_bytes or int(min(8 << 20, max(2 << 20, 100 * total**0.5)))
+    batches = max(1, -(-total // size))
+    return batches, 1 << max(0, (batches // 4).bit_length())
+
+
 def group_ids(table: pa.Table) -> np.ndarray:
     return table["id"].combine_chunks().fill_null(NO_ID).to_numpy()
 

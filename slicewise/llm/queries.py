@@ -69,4 +69,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_chat_formatting": chat.SQL}
+    return {
+        "op1_substring_dedup": substring_dedup.SQL,
+        "op2_html_extraction": html_text.SQL,
+        "op3_suffix_array_dedup": suffix_dedup.SQL,
+        "op7_chat_formatting": chat.SQL,
+        "op8_embedding_near_dedup": embedding_dedup.SQL,
+    }

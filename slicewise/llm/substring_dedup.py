@@ -55,7 +55,7 @@ class Windows:
 
 
 def substring_dedup(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 13, block: int = 7, batch_bytes: int = 2 << 20,
+    docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 13, block: int = 7, batch_bytes: int | None = None,
 ) -> DataFrame:
     """``docs`` with n_words, n_removed, ``kept_text`` and ``removed`` (first word and length of each span).
 
@@ -63,7 +63,7 @@ def substring_dedup(
     with a smaller id; the windows are those of the input. Spans are the unions of such windows, so
     every removed span is a chain of maximal exact repeats.
 
-    Documents are dealt by hash to batches of about ``batch_bytes``; batches talk to hash buckets in
+    Documents are dealt by hash to batches of a few MB (``batch_bytes``); batches talk to hash buckets in
     three rounds, with packed binary columns instead of a row for each word:
 
     1. Each batch sends its distinct rolling blocks of ``block`` words, marking those that are aligned,
@@ -82,14 +82,13 @@ def substring_dedup(
     if window < 2 * block - 1:
         raise ValueError("a window must hold an aligned block: window >= 2 * block - 1")
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    batches = max(1, -(-total // batch_bytes))
-    buckets = 1 << max(0, (batches // 4).bit_length())
+    batches, buckets = P.dealing(total, batch_bytes)
     made = {"n_words": T.LongType(), "n_removed": T.LongType(), "kept_text": T.StringType(),
             "removed": T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())]))}
     rest = [c for c in docs.columns if c not in (id, text, *made)]
     dealt = docs.select(
         F.pmod(F.xxhash64(id, text), F.lit(batches)).cast("int").alias("batch"), F.col(id).cast("long").alias("id"),
-        F.col(text).alias("text"), F.struct(F.lit(0).alias("_"), *rest).alias("rest"),
+        F.col(text).alias("text"), F.struct(F.lit(0).alias("_none"), *rest).alias("rest"),
     )
     sent, answer = "bucket int, batch int, blob array<binary>", "batch int, bucket int, round int, bits binary"
     sent_type = pa.schema([("bucket", pa.int32()), ("batch", pa.int32()), ("blob", pa.list_(pa.binary()))])
@@ -163,3 +162,16 @@ def substring_dedup(
     schema = T.StructType([*(dealt.schema[c] for c in ("id", "text", "rest")), *(T.StructField(c, k) for c, k in made.items())])
     done = batchwise(one.unionByName(two), cut, schema)
     return done.select(F.col("id").alias(id), F.col("text").alias(text), *(F.col("rest")[c].alias(c) for c in rest), *made)
+
+
+#: The query in DuckDB: every window of 13 words by its text, not by anchors.
+SQL = r"""
+with docs as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') words from documents),
+grams as (select doc_id, pos, array_to_string(words[pos:pos + 12], ' ') gram from (select doc_id, words, unnest(range(1, len(words) - 11)) pos from docs)),
+firsts as (select gram, min(doc_id) least from grams group by gram),
+gone as (select distinct doc_id, pos + unnest(range(13)) as pos from grams join firsts using (gram) where least < doc_id),
+words as (select doc_id, unnest(words) word, unnest(range(1, len(words) + 1)) pos from docs),
+marked as (select w.*, g.pos is not null gone from words w left join gone g on g.doc_id = w.doc_id and g.pos = w.pos)
+select d.doc_id, len(d.words) as n_words, coalesce(n, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from docs d left join (select doc_id, count(*) filter (gone) n, string_agg(word, ' ' order by pos) filter (not gone) kept from marked group by doc_id) m using (doc_id)
+"""

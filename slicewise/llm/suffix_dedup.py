@@ -106,7 +106,7 @@ def shared_windows(gram: np.ndarray, around: np.ndarray, least: np.ndarray, left
 
 
 def repeated_passages(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 50, gram: int = 12, batch_bytes: int = 2 << 20,
+    docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 50, gram: int = 12, batch_bytes: int | None = None,
 ) -> DataFrame:
     """(id, start, n_words, first_id): each maximal run of words that lie in windows of ``window`` words which
     a document with a smaller id has too; ``first_id`` is the smallest such id met in the run.
@@ -123,8 +123,7 @@ def repeated_passages(
     suffix are compared by 32 bits of hash, the gram by 64.
     """
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    batches = max(1, -(-total // batch_bytes))
-    buckets = 1 << max(0, (batches // 4).bit_length())
+    batches, buckets = P.dealing(total, batch_bytes)
     left = window - gram
     dealt = docs.select(F.pmod(F.xxhash64(id, text), F.lit(batches)).cast("int").alias("batch"), F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     sent, answer = "bucket int, batch int, blob array<binary>", "batch int, bucket int, round int, bits binary, source binary"
@@ -200,3 +199,14 @@ def repeated_passages(
     two = batchwise(one, send_contexts, sent).groupBy("bucket").applyInArrow(compare, answer)
     found = batchwise(one.unionByName(two), join, "id long, start long, n_words long, first_id long")
     return found.select(F.col("id").alias(id), "start", "n_words", "first_id")
+
+
+#: The query in DuckDB: every window of 50 words by its text, runs joined where they touch.
+SQL = r"""
+with docs as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') words from documents),
+grams as (select doc_id, pos, array_to_string(words[pos:pos + 49], ' ') gram from (select doc_id, words, unnest(range(1, len(words) - 48)) pos from docs)),
+firsts as (select gram, min(doc_id) least from grams group by gram),
+hits as (select doc_id, pos, least, pos > coalesce(lag(pos) over (partition by doc_id order by pos), -100) + 50 fresh from grams join firsts using (gram) where least < doc_id),
+runs as (select *, sum(fresh::int) over (partition by doc_id order by pos) run from hits)
+select doc_id, min(pos) - 1 as start, max(pos) + 50 - min(pos) as n_words, min(least) as first_doc_id from runs group by doc_id, run
+"""

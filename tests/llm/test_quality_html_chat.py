@@ -10,7 +10,7 @@ import pytest
 
 from slicewise.llm import chat, html_text, quality
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_words int"
+SCHEMA = "doc_id long, text string, lang string, digest string, n_words int"
 
 
 def base(text):
@@ -108,6 +108,14 @@ def test_main_text_of_pages(spark):
     assert html_text.main_text(PAGE) == expected
     plain = "<body><div id=nav><a href=x>Home</a></div><div><p>Some words, here. And more, of them.</p><p>Short</p></div></body>"
     assert html_text.main_text(plain) == "Some words, here. And more, of them.\nShort"
+    post = (
+        "<body class='no-sidebar'><div class='header'><h1>Site</h1></div><div class='page has-sidebar'><div class='post'><div class='title'><h1>The title</h1></div>"
+        "<div class='body'><p>A first paragraph, with some words in it. It goes on, and on.</p><h2>Part</h2><p>A second one; it is long enough, too.</p></div>"
+        "<div hidden><p>Not shown, not at all, to anyone.</p></div><ol class='commentlist'><li>I disagree, strongly, with all of it!</li></ol></div></div></body>"
+    )
+    assert html_text.main_text(post) == "The title\nA first paragraph, with some words in it. It goes on, and on.\nPart\nA second one; it is long enough, too."
+    wrapped = "<div class='layout sidebar'><main><header><h1>T</h1></header><p>Text, here.</p></main><aside>No.</aside></div>"
+    assert html_text.main_text(wrapped) == "T\nText, here."
     deep = "<div>" * 3000 + "x" + "</p>" * 10
     rows = [(1, "u", PAGE, 5), (2, "u", None, 5), (3, "u", "", 5), (4, "u", "<p>", 5), (5, None, deep, 5), (None, "u", PAGE, 5), (6, "u", "just text", 5), (7, "u", "<a title='x" * 500, 5)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int")
