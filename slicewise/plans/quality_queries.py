@@ -85,6 +85,9 @@ QUERIES = {
     "sample_per_group": (
         lambda s, d: qc.one_of_each(qc.outliers(t.zslice_qc(s, d), "slope_dna", -2.0).select("event_id", *schema.ZSLICE), schema.ORGANOID, ["event_id"], seed=1),
         f"with {sql.BASE} select event_id, {KEYS} from rated where {sql.TEST['blurry_dna']} qualify row_number() over (partition by plate, well, site order by (event_id * 7919 + 1) % 10007, event_id) = 1"),
+    "sample_three": (
+        lambda s, d: qc.outliers(t.zslice_qc(s, d), "slope_er", -2.0).select("event_id", *schema.ZSLICE).orderBy(F.expr("(event_id * 7919 + 1) % 10007"), "event_id").limit(3),
+        f"with {sql.BASE} select event_id, {KEYS} from rated where {sql.TEST['blurry_er']} order by (event_id * 7919 + 1) % 10007, event_id limit 3"),
     "mito_sorted": (
         lambda s, d: qc.outliers(t.zslice_qc(s, d), "slope_mito", -3.0).select("event_id", *schema.ZSLICE, "slope_mito").orderBy("slope_mito", "event_id"),
         f"with {sql.BASE} select event_id, {KEYS}, slope_mito from rated where {sql.TEST['blurry_mito']} order by slope_mito, event_id"),
