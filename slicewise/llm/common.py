@@ -46,19 +46,30 @@ def in_tiles(df: DataFrame, key: str, tile: int, by: str) -> DataFrame:
     holds more than about two tiles of a hot key, and still every pair of rows meets: rows of different
     tiles (column ``tile``) in one cell, those of one tile in its own cell (t, t) and in others.
     """
+    return dealt(numbered(df, key, tile, by))
+
+
+def numbered(df: DataFrame, key: str, tile: int, by: str) -> DataFrame:
+    """``df`` with ``tiles``, the number of tiles of its ``key``, and ``tile``, the row's own (see ``in_tiles``)."""
     hot = (
         df.groupBy(key).count().where(F.col("count") > tile)
-        .select(F.col(key).alias("_hot"), F.ceil(F.col("count") / tile).cast("int").alias("_tiles"))
+        .select(F.col(key).alias("_hot"), F.ceil(F.col("count") / tile).cast("int").alias("tiles"))
+    )
+    return (
+        df.join(hot, F.col(key) == F.col("_hot"), "left").drop("_hot")
+        .withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+        .withColumn("tile", F.pmod(F.xxhash64(by), F.col("tiles")).cast("int"))
     )
-    dealt = (
-        df.join(hot, F.col(key) == F.col("_hot"), "left")
-        .withColumn("_tiles", F.coalesce("_tiles", F.lit(1)))
-        .withColumn("tile", F.pmod(F.xxhash64(by), F.col("_tiles")).cast("int"))
-        .withColumn("_u", F.explode(F.expr("sequence(0, _tiles - 1)")))
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """Numbered rows, each once for every cell (tile_a, tile_b) of its key that its tile is part of."""
+    return (
+        df.withColumn("_u", F.explode(F.expr("sequence(0, tiles - 1)")))
         .withColumn("tile_a", F.least("tile", "_u"))
         .withColumn("tile_b", F.greatest("tile", "_u"))
+        .drop("tiles", "_u")
     )
-    return dealt.drop("_hot", "_tiles", "_u")
 
 
 def runs_of(batches, names: list[str]):

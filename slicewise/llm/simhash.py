@@ -6,12 +6,13 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slicewise.llm.common import checkpointed, in_tiles, runs_of
+from slicewise.llm.common import checkpointed, dealt, in_tiles, numbered, runs_of
 from slicewise.llm.components import connected_components
 
 SEED = 42
@@ -113,19 +114,99 @@ def near_edges(fp: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(a), np.concatenate(b)) if a else (empty, empty)
 
 
+def alike_edges(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs that span the components of sets with a Jaccard similarity of ``least`` or more.
+
+    Breadth first like ``near_edges``: a set is compared only with those not yet reached, all at once.
+    """
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    flat, first = np.concatenate(sets), np.cumsum(size) - size
+    a, b, left = [], [], np.arange(len(sets))
+    while len(left) > 1:
+        queue, left = [left[0]], left[1:]
+        while queue and len(left):
+            at = queue.pop()
+            own = sets[at]
+            fits = left[(size[left] >= least * size[at]) & (size[at] >= least * size[left])]
+            if not len(fits):
+                continue
+            n = size[fits]
+            begin = np.cumsum(n) - n
+            others = flat[np.repeat(first[fits] - begin, n) + np.arange(n.sum())]
+            shared = own[np.minimum(np.searchsorted(own, others), len(own) - 1)] == others
+            common = np.add.reduceat(shared, begin, dtype=np.int64)
+            found = fits[common / (n + size[at] - common) >= least]
+            if len(found):
+                a.append(found)
+                b.append(np.full(len(found), at))
+                queue.extend(found.tolist())
+                left = np.setdiff1d(left, found, assume_unique=True)
+    empty = np.zeros(0, np.int64)
+    return (np.concatenate(a), np.concatenate(b)) if a else (empty, empty)
+
+
+def confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame, least: float, shingle: int, lanes: int, tile: int) -> DataFrame:
+    """Edges (a, b) that span the documents with alike shingle sets, within the candidate ``groups``.
+
+    ``docs`` has _id and text, ``classes`` a rep and its fingerprint, ``groups`` the nodes (reps) that met
+    another and their component. Only the texts of those are read again; each is reduced to the sorted
+    32-bit hashes of its distinct shingles. Groups are small, or cut into tiles.
+    """
+    members = groups.join(classes, F.col("node") == F.col("rep")).select(F.col("component").alias("key"), "rep", "fingerprint")
+    members = numbered(members, "key", tile, "rep")
+    names = ["key", "rep", "tiles", "tile"]
+
+    def reduce(batches):
+        for b in batches:
+            rows, sets = [], []
+            for i, (text, want) in enumerate(zip(b["text"], b["fingerprint"].to_pylist())):
+                h = shingle_hashes(text.as_py(), shingle)
+                if fingerprint(h, lanes) == want:  # a row that has the id but another text is of another class
+                    rows.append(i)
+                    sets.append(np.unique((h >> np.uint64(32)).astype(np.uint32)).view(np.int32))
+            kept = b.select(names).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(sets, pa.list_(pa.int32()))], names=[*names, "shingles"])
+
+    texts = docs.join(members, F.col("_id") == F.col("rep")).select(*names, "fingerprint", "text")
+    cells = dealt(texts.mapInArrow(reduce, "key long, rep long, tiles int, tile int, shingles array<int>"))
+    parts = ["key", "tile_a", "tile_b"]
+
+    def verify(batches):
+        for t in runs_of(batches, parts):
+            key = np.stack([t[c].to_numpy().astype(np.int64) for c in parts])
+            cuts = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0), True]).tolist()
+            rep, out = t["rep"].to_numpy(), [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
+            shingles = t["shingles"].combine_chunks()
+            flat, ends = shingles.flatten().to_numpy().view(np.uint32), np.cumsum(np.asarray(pc.list_value_length(shingles)))
+            sets = np.split(flat, ends[:-1])
+            for s, e in zip(cuts, cuts[1:]):
+                for column, at in zip(out, alike_edges(sets[s:e], least)):
+                    column.append(rep[s + at])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], ["a", "b"])
+
+    met = cells.select(*parts, "rep", "shingles").repartition(*parts).sortWithinPartitions(*parts)
+    return met.mapInArrow(verify, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, lanes: int = 1,
     max_bits: int = 4, blocks: int = 6, share: int = 2, tile: int = 4096,
+    similarity: float | None = None,
 ) -> DataFrame:
     """(id, fingerprint array, component_id) for each row; documents within ``max_bits`` bits are linked.
 
+    With ``similarity`` these links only propose: documents are one class where their sets of shingles
+    have this Jaccard similarity or more, looked for within each group of proposed links; documents with
+    equal fingerprints stay one class.
+
     Equal fingerprints collapse first, so copies cost one row each. Distinct ones meet on their block
     keys, are verified by Hamming distance, and give the edges that span each cell; components follow.
     Hot keys are cut into tiles (``in_tiles``). Null and empty texts have the zero fingerprint and are
     linked like any other. A null id keeps its row, and its class is named by the smallest id there is
     (null if there is none); rows with one id are each returned. Other columns are ignored.
     """
-    fp = checkpointed(fingerprints(docs.select(F.col(id).cast("long").alias("_id"), F.col(text).alias("text")), "text", shingle, lanes))
+    source = docs.select(F.col(id).cast("long").alias("_id"), F.col(text).alias("text"))
+    fp = checkpointed(fingerprints(source, "text", shingle, lanes))
     classes = fp.groupBy("fingerprint").agg(F.min("_id").alias("rep")).where("rep is not null")
     keyed = classes.select("rep", "fingerprint", F.explode(block_keys(lanes, blocks, share)).alias("key"))
     cells = in_tiles(keyed, "key", tile, "rep")
@@ -155,6 +236,8 @@ def near_duplicates(
 
     edges = cells.repartition(*parts).sortWithinPartitions(*parts).select(*parts, "rep", "fingerprint").mapInArrow(verify, "a long, b long")
     found = connected_components(edges)
+    if similarity is not None:
+        found = connected_components(confirmed(source, classes, found, similarity, shingle, lanes, max(1, tile // 4)))
     named = classes.join(found, F.col("rep") == F.col("node"), "left").select(
         F.col("fingerprint").alias("_fp"), F.coalesce("component", "rep").alias("component_id"))
     return fp.join(named, F.col("fingerprint") == F.col("_fp"), "left").select(

@@ -82,6 +82,40 @@ def test_wide_fingerprints_catch_near_copies_and_leave_others(spark):
     assert {r.doc_id for r in kept.collect()} == set(range(60))
 
 
+@pytest.mark.parametrize("tile", [4096, 8])
+def test_proposed_links_are_verified_by_their_shingles(spark, tile):
+    rng = random.Random(8)
+    rows, seen = [], {}
+    for i in range(24):
+        words = [f"w{rng.randrange(5000)}" for _ in range(150)]
+        for k in range(6):  # from nearly all to half of the shingles in common with the first
+            changed = list(words)
+            for at in range(0, 150, [150, 75, 50, 38, 30, 21][k])[1:] if k else []:
+                changed[at] = "Other"
+            rows.append((len(rows), " ".join(changed)))
+    rows += [(900, rows[0][1]), (901, rows[0][1].upper()), (902, None), (903, ""), (904, "word " * 20000), (None, rows[6][1]), (0, rows[0][1])]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, tile int, key string")
+
+    def shingles(text):
+        words = (text or "").lower().split()
+        return frozenset(tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4)))
+
+    for i, t in rows:
+        if i is not None:
+            seen.setdefault(i, shingles(t))
+    links = [(a, b) for a, b in combinations(seen, 2) if len(seen[a] & seen[b]) / len(seen[a] | seen[b]) >= 0.8]
+    expected = labels(list(seen), links)
+    how = {"shingle": 5, "lanes": 8, "max_bits": 110, "blocks": 52, "share": 1, "similarity": 0.8, "tile": tile}
+    got = simhash.near_duplicates(docs, **how).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == expected
+    assert 1 < sum(a != b for a, b in expected.items()) < len(expected) - 24
+    kept = simhash.keep_first(docs, **how)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect() if r.doc_id is not None} == set(expected.values())
+    assert simhash.near_duplicates(spark.createDataFrame([], docs.schema), **how).count() == 0
+
+
 @pytest.mark.parametrize("tile", [1024, 12])
 def test_vectors_link_as_in_brute_force(spark, tile):
     rng = np.random.default_rng(2)
