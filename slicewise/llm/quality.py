@@ -11,18 +11,16 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from slicewise.llm import passages as P
-from slicewise.llm.common import checkpointed
+from slicewise.llm.common import checkpointed, stored
 
-#: Most frequent words that the model knows; others fall in three classes by their characters. An id fits 16 bits.
+#: The most frequent words have 16-bit ids, with their totals on the driver. Every other word is rare: a word
+#: of the model like them, known by its hash, with its totals in hash buckets.
 VOCABULARY = 65_500
-BEGIN = 65_535
-#: Bits of a word's hash that tell words apart in the vocabulary.
+RARE, END, BEGIN = 65_533, 65_534, 65_535
+#: Bits of a word's hash that tell words apart.
 WORD_BITS = 48
 #: A bigram with this share of all tokens is scored where it is read; so at most 2 ** 17 are.
 HOT = 1 << 17
-DIGIT = np.isin(np.arange(256), np.frombuffer(b"0123456789", np.uint8))
-MARK = np.isin(np.arange(256), np.frombuffer(rb"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~""", np.uint8))
-KIND = np.where(DIGIT, 2, np.where(MARK, 1, 0)).astype(np.int8)
 SYMBOL = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 INNER = (np.arange(256) & 0xC0) == 0x80  # bytes that continue a character
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -53,16 +51,6 @@ def base_statistics(texts: list[bytes], words: P.Words) -> np.ndarray:
         sums(repeated, words.first)], axis=1)
 
 
-def word_classes(texts: list[bytes], words: P.Words) -> np.ndarray:
-    """0 for words without digits and ASCII marks, 1 with marks but no digits, 2 with digits."""
-    data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
-    space = P.SPACE[data]
-    starts = np.flatnonzero(np.diff(space.view(np.int8), prepend=np.int8(1)) == -1)
-    if not len(starts):
-        return np.zeros(0, np.int64)
-    return np.maximum.reduceat(KIND[data], starts).astype(np.int64)
-
-
 def discounts(n: np.ndarray) -> np.ndarray:
     """Modified Kneser-Ney discounts for counts 0, 1, 2 and over, from how many have counts 1 to 4."""
     n1, n2, n3, n4 = (float(x) for x in n)
@@ -72,42 +60,60 @@ def discounts(n: np.ndarray) -> np.ndarray:
     return np.array([0, *np.clip([1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], 0.05, [0.95, 1.95, 2.95])])
 
 
+@dataclass
+class Occurrences:
+    """Each rare word of a batch: its hash, the codes and (where they are rare too) hashes of its neighbours."""
+
+    word: np.ndarray
+    before: np.ndarray  # an id, RARE or BEGIN
+    after: np.ndarray  # an id, RARE or END
+    before_word: np.ndarray  # zero unless before is RARE
+    after_word: np.ndarray
+    doc: np.ndarray
+
+
 @dataclass
 class Model:
-    """Bigram model: vocabulary and hot bigrams as sorted arrays, context and continuation mass by word id."""
+    """Bigram model: frequent words and hot bigrams as sorted arrays, context and continuation mass by word id."""
 
     vocabulary: np.ndarray  # sorted hashes
     ids: np.ndarray
-    unknown: float  # log of the number of words that aren't in the vocabulary
     context: np.ndarray = None  # count of each id as a context
     backoff: np.ndarray = None
     lower: np.ndarray = None
     discount: np.ndarray = None
     hot: np.ndarray = None  # sorted bigram keys
     hot_count: np.ndarray = None
+    follow_discount: np.ndarray = None
+    total: float = 1.0  # distinct bigrams
+    spread: float = 0.0  # what the discounts of continuations leave for each word
 
-    def number(self, texts: list[bytes], words: P.Words) -> tuple[np.ndarray, np.ndarray]:
-        """Word ids, and which are unknown."""
+    def number(self, h: np.ndarray) -> np.ndarray:
+        """Ids of words by their hashes, RARE for rare ones."""
         if not len(self.vocabulary):
-            known, at = np.zeros(len(words.hash), bool), np.zeros(len(words.hash), np.int64)
-        else:
-            h = words.hash >> np.uint64(64 - WORD_BITS)
-            at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
-            known = self.vocabulary[at] == h
-        ids = np.append(self.ids, 0)[at]
-        ids[~known] = VOCABULARY + word_classes(texts, words)[~known]
-        return ids, ~known
-
-    def bigrams(self, texts: list[bytes], words: P.Words) -> tuple[np.ndarray, np.ndarray]:
-        """A 32-bit key for each word and the one before it in its text, and which words are unknown."""
-        ids, unknown = self.number(texts, words)
-        before = np.empty_like(ids)
-        before[1:] = ids[:-1]
+            return np.full(len(h), RARE)
+        at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
+        return np.where(self.vocabulary[at] == h, self.ids[at], RARE)
+
+    def bigrams(self, words: P.Words) -> tuple[np.ndarray, np.ndarray, Occurrences]:
+        """A 32-bit key for each frequent word after a frequent one or a beginning, their texts, and the rare words."""
+        h = words.hash >> np.uint64(64 - WORD_BITS)
+        ids = self.number(h)
+        before, after = np.roll(ids, 1), np.roll(ids, -1)
         before[words.place == 0] = BEGIN
-        return (before.astype(np.uint32) << np.uint32(16)) | ids.astype(np.uint32), unknown
+        after[words.first[1:][np.diff(words.first) > 0] - 1] = END
+        rare = ids == RARE
+        known = ~rare & (before != RARE)
+        key = (before[known].astype(np.uint32) << np.uint32(16)) | ids[known].astype(np.uint32)
+        none = np.uint64(0)
+        found = Occurrences(
+            h[rare], before[rare].astype(np.uint16), after[rare].astype(np.uint16), np.where(before == RARE, np.roll(h, 1), none)[rare],
+            np.where(after == RARE, np.roll(h, -1), none)[rare], words.doc[rare])
+        return key, words.doc[known], found
 
     def settle(self, rows: list) -> Model:
-        """Take in the totals: (kind, id, a, b, c, d) rows, kind 0 contexts, 1 continuations, 2 counts of counts, 3 hot bigrams."""
+        """Take in the totals: (kind, id, a, b, c, d) rows, kind 0 contexts, 1 continuations, 2 counts of counts, 3 hot
+        bigrams, 4 counts of counts of rare words' continuations, 5 their sum and number."""
         table = np.array([tuple(r) for r in rows], np.int64).reshape(-1, 6)
         of = lambda kind: table[table[:, 0] == kind]
         count = np.zeros((1 << 16, 4))
@@ -115,25 +121,90 @@ class Model:
         d = self.discount = discounts(of(2)[:, 2:].sum(axis=0))
         self.context = count[:, 0]
         self.backoff = (count[:, 1:] * d[1:]).sum(axis=1) / np.maximum(1, self.context)
-        follows = np.zeros(1 << 16)
+        follows = np.zeros(1 << 16, np.int64)
         follows[of(1)[:, 1]] = of(1)[:, 2]
-        seen = follows.astype(np.int64)
-        e = discounts(np.bincount(np.minimum(seen[seen > 0], 5), minlength=6)[1:5])
-        total, size = max(1.0, follows.sum()), max(1, int((seen > 0).sum()))
-        taken = e[np.minimum(seen, 3)]
-        self.lower = np.maximum(follows - taken, 0) / total + taken.sum() / total / size
+        counts = np.bincount(np.minimum(follows[follows > 0], 5), minlength=6)[1:5] + of(4)[:, 2:].sum(axis=0)
+        e = self.follow_discount = discounts(counts)
+        rare, types = of(5)[:, 2].sum(), of(5)[:, 3].sum()
+        self.total, size = max(1.0, float(follows.sum() + rare)), max(1, int((follows > 0).sum() + types))
+        one, two = int(counts[0]), int(counts[1])
+        self.spread = (one * e[1] + two * e[2] + (size - one - two) * e[3]) / self.total / size if self.total > 1 or types else 0.0
+        self.lower = self.continuation(follows)
         hot = of(3)
         hot = hot[np.argsort(hot[:, 1])]
         self.hot, self.hot_count = hot[:, 1].astype(np.uint32), hot[:, 2]
         return self
 
+    def continuation(self, follows: np.ndarray) -> np.ndarray:
+        """Lower-order probability of words with so many distinct words before them."""
+        return np.maximum(follows - self.follow_discount[np.minimum(follows, 3)], 0) / self.total + self.spread
+
     def log_probability(self, key: np.ndarray, count: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """Of each bigram for a document that has it ``own`` times of ``count``: its own counts are left out."""
+        """Of each bigram of frequent words for a document that has it ``own`` times of ``count``."""
         first, second = (key >> np.uint32(16)).astype(np.int64), (key & np.uint32(0xFFFF)).astype(np.int64)
+        return self.log_of(count, own, self.context[first], self.backoff[first], self.lower[second])
+
+    def log_of(self, count: np.ndarray, own: np.ndarray, context: np.ndarray, backoff: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Log probability where a document's own counts are left out."""
         rest = np.maximum(count - own, 0)
-        context = self.context[first] - own
+        context = context - own
         known = np.maximum(rest - self.discount[np.minimum(rest, 3)], 0) / np.maximum(context, 1)
-        return np.log(np.where(context > 0, known + self.backoff[first] * self.lower[second], self.lower[second]) + 1e-12)
+        return np.log(np.where(context > 0, known + backoff * lower, lower) + 1e-12)
+
+    def rare_logs(self, o: Occurrences, side: list, docs: int) -> np.ndarray:
+        """Sums for each document of the log probabilities of frequent words' bigrams with the rare words of this
+        bucket, and of all bigrams that these begin. ``side`` has what ``fitted`` found of pairs of rare words."""
+        total = np.zeros(docs)
+        one = [x[:2] for kind, x in side if kind == 8]
+        two = [x for kind, x in side if kind == 9]
+
+        # a frequent word or a beginning, then a rare word
+        at = np.flatnonzero(o.before != RARE)
+        word, before, doc = o.word[at], o.before[at].astype(np.int64), o.doc[at]
+        order, starts, _ = P.runs(word, before, doc)
+        own, pick = np.diff(np.append(starts, len(order))), order[starts]
+        word, before, doc = word[pick], before[pick], doc[pick]
+        _, first, run = P.runs(word, before)  # sorted already
+        if len(first):
+            count = np.add.reduceat(own, first)[run]
+            _, begin, of = P.runs(word[first])
+            follows = np.diff(np.append(begin, len(first)))
+            if one:
+                h, n = np.concatenate([x[0] for x in one]), np.concatenate([x[1] for x in one]).astype(np.int64)
+                order = np.argsort(h)
+                h, n = h[order], n[order]
+                seen = np.minimum(np.searchsorted(h, word[first][begin]), len(h) - 1)
+                follows = follows + np.where(h[seen] == word[first][begin], n[seen], 0)
+            lower = self.continuation(follows)[of][run]
+            total += np.bincount(doc, own * self.log_of(count, own, self.context[before], self.backoff[before], lower), docs)
+
+        # a rare word, then any
+        at = np.flatnonzero(o.after != END)
+        word, after, hash_, doc = o.word[at], o.after[at].astype(np.int64), o.after_word[at], o.doc[at]
+        order, starts, _ = P.runs(word, after, hash_, doc)
+        own, pick = np.diff(np.append(starts, len(order))), order[starts]
+        word, after, hash_, doc = word[pick], after[pick], hash_[pick], doc[pick]
+        _, first, run = P.runs(word, after, hash_)
+        if len(first):
+            count = np.add.reduceat(own, first)
+            _, begin, of = P.runs(word[first])
+            context = np.add.reduceat(count, begin)
+            backoff = np.add.reduceat(self.discount[np.minimum(count, 3)], begin) / context
+            lower = self.lower[after[first]]
+            pair = after[first] == RARE
+            if pair.any():
+                key = joined(np.concatenate([x[0] for x in two]), np.concatenate([x[1] for x in two]))
+                follows = np.concatenate([x[2] for x in two]).astype(np.int64)
+                order = np.argsort(key)
+                seen = order[np.searchsorted(key[order], joined(word[first][pair], hash_[first][pair]))]
+                lower[pair] = self.continuation(follows[seen])
+            total += np.bincount(doc, own * self.log_of(count[run], own, context[of][run], backoff[of][run], lower[run]), docs)
+        return total
+
+
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One 64-bit hash for two."""
+    return P.mixed(P.mixed(a + np.uint64(1)) + b)
 
 
 def _slices(batches, size: int = 3 << 20):
@@ -150,25 +221,48 @@ def _slices(batches, size: int = 3 << 20):
             held += n or 0
 
 
-def _parcels(key: np.ndarray, columns: list, buckets: int) -> list[tuple[int, list[bytes]]]:
-    """Sorted keys and their columns, dealt to buckets by a hash of the key; keys stay sorted in each."""
+def _cut(key: np.ndarray, buckets: int) -> dict[int, np.ndarray]:
+    """Positions of the keys for each bucket, dealt by a hash of the key; their order stays."""
     bucket = (P.mixed(key.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    out = []
-    for b in np.flatnonzero(np.diff(cuts)).tolist():
-        part = order[cuts[b] : cuts[b + 1]]
-        out.append((b, [P.squeezed(np.diff(key[part], prepend=np.uint32(0))), *(P.squeezed(c[part]) for c in columns)]))
+    return {b: order[cuts[b] : cuts[b + 1]] for b in np.flatnonzero(np.diff(cuts)).tolist()}
+
+
+def _parcels(key: np.ndarray, columns: list, o: Occurrences, far: str, buckets: int, with_doc: bool) -> list[tuple[int, list[bytes]]]:
+    """For each bucket its sorted keys, their columns, and its rare words with the hashes of ``far`` neighbours."""
+    order = np.lexsort((o.doc, o.before, o.word) if not with_doc else (o.doc, o.word))
+    known, rare = _cut(key, buckets), {b: order[i] for b, i in _cut(o.word[order], buckets).items()}
+    none, out = np.zeros(0, np.int64), []
+    for b in sorted(known.keys() | rare.keys()):
+        i, j = known.get(b, none), rare.get(b, none)
+        beside = getattr(o, far)[j]
+        blobs = [P.squeezed(np.diff(key[i], prepend=np.uint32(0))), *(P.squeezed(c[i]) for c in columns)]
+        blobs += [P.squeezed_sorted(o.word[j]), P.squeezed(o.before[j]), P.squeezed(o.after[j]), P.squeezed(beside[beside > 0])]
+        out.append((b, [*blobs, P.squeezed(o.doc[j].astype(np.uint32))] if with_doc else blobs))
     return out
 
 
+def _occurrences(blobs: list[list[bytes]], far: str) -> Occurrences:
+    """The rare words of some parcels, by their last columns from ``_parcels``."""
+    word = [P.expanded_sorted(b[0]) for b in blobs]
+    before, after = (np.concatenate([P.expanded(b[k], np.uint16) for b in blobs]) for k in (1, 2))
+    beside = np.zeros(len(before), np.uint64)
+    beside[(before if far == "before_word" else after) == RARE] = np.concatenate([P.expanded(b[3], np.uint64) for b in blobs])
+    doc = np.concatenate([P.expanded(b[4], np.uint32) for b in blobs]) if len(blobs[0]) > 4 else None
+    return Occurrences(np.concatenate(word), before, after, beside, beside, doc)
+
+
 def _keys(blob: bytes) -> np.ndarray:
     return np.cumsum(P.expanded(blob, np.uint32), dtype=np.uint32)
 
 
-def fitted(docs: DataFrame, buckets: int) -> Model:
-    """The model of all texts in ``docs``. Only tables with a proven bound reach the driver: the vocabulary,
-    16-bit ids with their totals, and bigrams with a 2 ** -17 share of the tokens or more."""
+def fitted(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple[Model, DataFrame]:
+    """The model of all texts in ``docs``, and what the buckets must know of pairs of rare words.
+
+    Only tables with a proven bound reach the driver: the ``vocabulary`` most frequent words with their totals,
+    and bigrams of them with a 2 ** -17 share of the tokens or more. Rare words are counted in hash buckets.
+    """
 
     def words(batches):
         for _, texts in _slices(batches, 5 << 20):
@@ -180,7 +274,7 @@ def fitted(docs: DataFrame, buckets: int) -> Model:
             blobs = [[P.squeezed_sorted(h[cuts[b] : cuts[b + 1]]), P.squeezed(n[cuts[b] : cuts[b + 1]])] for b in filled]
             yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), pa.array(blobs, pa.list_(pa.binary()))], names=["bucket", "blob"])
 
-    share = VOCABULARY / buckets  # words fall in buckets by hash: none has many more of the top than its share
+    share = vocabulary / buckets  # words fall in buckets by hash: none has many more of the top than its share
     most = int(share + 8 * share**0.5 + 8)
 
     def tally(t):
@@ -189,54 +283,84 @@ def fitted(docs: DataFrame, buckets: int) -> Model:
         order, starts, _ = P.runs(h)
         n = np.add.reduceat(np.concatenate([P.expanded(b[1], np.uint32) for b in blobs])[order].astype(np.int64), starts)
         top = np.argsort(-n, kind="stable")[:most]
-        whole = np.zeros((2, len(top)), np.int64)
-        whole[:, :1] = [[n.sum()], [len(n)]]
-        return pa.table({"h": pa.array(h[order[starts]].view(np.int64)[top]), "n": pa.array(n[top]), "tokens": pa.array(whole[0]), "types": pa.array(whole[1])})
+        whole = np.zeros(max(1, len(top)), np.int64)
+        whole[0] = n.sum()
+        return pa.table({"h": pa.array(h[order[starts]].view(np.int64)[top]), "n": pa.array(n[top]), "tokens": pa.array(whole)})
 
     seen = Observation()
-    counted = docs.mapInArrow(words, "bucket int, blob array<binary>").groupBy("bucket").applyInArrow(tally, "h long, n long, tokens long, types long")
-    counted = counted.observe(seen, F.sum("tokens").alias("tokens"), F.sum("types").alias("types"))
-    top = counted.select("h", "n").orderBy(F.col("n").desc(), "h").limit(VOCABULARY).collect()
-    tokens, types = seen.get["tokens"] or 0, seen.get["types"] or 0
+    counted = docs.mapInArrow(words, "bucket int, blob array<binary>").groupBy("bucket").applyInArrow(tally, "h long, n long, tokens long")
+    counted = counted.observe(seen, F.sum("tokens").alias("tokens"))
+    top = counted.select("h", "n").orderBy(F.col("n").desc(), "h").limit(vocabulary).collect()
+    tokens = seen.get["tokens"] or 0
     hashes = np.array([r["h"] for r in top], np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    model = Model(hashes[order], order, float(np.log(max(1, types - len(top)))))
+    model = Model(hashes[order], order)
 
     def pairs(batches):
         for _, texts in _slices(batches):
-            key = model.bigrams(texts, P.Words(texts))[0]
+            key, _, rare = model.bigrams(P.Words(texts))
             order, starts, _ = P.runs(key)
-            found = _parcels(key[order[starts]], [np.diff(np.append(starts, len(key))).astype(np.uint32)], buckets)
+            found = _parcels(key[order[starts]], [np.diff(np.append(starts, len(key))).astype(np.uint32)], rare, "before_word", buckets, False)
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int32()), pa.array([x for _, x in found], pa.list_(pa.binary()))], names=["bucket", "blob"])
 
     least = max(2, -(-tokens // HOT))
 
-    def totals(t):
+    def contexts(first, n):
+        ids, at = np.unique(first, return_inverse=True)
+        columns = [np.bincount(at, n, len(ids)), *(np.bincount(at[np.minimum(n, 3) == k], minlength=len(ids)) for k in (1, 2, 3))]
+        return np.stack([0 * ids, ids, *columns], axis=1)
+
+    def continuations(second):
+        ids, n = np.unique(second, return_counts=True)
+        return np.stack([0 * ids + 1, ids, n, *([0 * ids] * 3)], axis=1)
+
+    def counts(kind, n):
+        return np.array([[kind, 0, *((n == k).sum() for k in (1, 2, 3, 4))]])
+
+    def totals(key, t):
         blobs = t["blob"].to_pylist()
-        key = np.concatenate([_keys(b[0]) for b in blobs])
-        order, starts, _ = P.runs(key)
-        key, n = key[order[starts]], np.add.reduceat(np.concatenate([P.expanded(b[1], np.uint32) for b in blobs])[order].astype(np.int64), starts)
-        out = []
-        first, second = key >> np.uint32(16), key & np.uint32(0xFFFF)
-        at = np.flatnonzero(np.r_[True, first[1:] != first[:-1]])
-        bins = np.minimum(n, 3)
-        rows = np.stack([np.zeros(len(at)), first[at], np.add.reduceat(n, at), *(np.add.reduceat(bins == k, at, dtype=np.int64) for k in (1, 2, 3))], axis=1)
-        out.append(rows)
-        follows = np.bincount(second)
-        ids = np.flatnonzero(follows)
-        out.append(np.stack([np.ones(len(ids)), ids, follows[ids], *([0 * ids] * 3)], axis=1))
-        out.append(np.array([[2, 0, *((n == k).sum() for k in (1, 2, 3, 4))]]))
+        pair = np.concatenate([_keys(b[0]) for b in blobs])
+        order, starts, _ = P.runs(pair)
+        pair = pair[order[starts]].astype(np.int64)
+        n = np.concatenate([P.expanded(b[1], np.uint32) for b in blobs])[order].astype(np.int64)
+        n = np.add.reduceat(n, starts) if len(starts) else n
         hot = np.flatnonzero(n >= least)
-        out.append(np.stack([np.full(len(hot), 3), key[hot], n[hot], *([0 * hot] * 3)], axis=1))
+        out = [contexts(pair >> 16, n), continuations(pair & 0xFFFF), counts(2, n), np.stack([0 * hot + 3, pair[hot], n[hot], *([0 * hot] * 3)], axis=1)]
+        o, side = _occurrences([b[2:] for b in blobs], "before_word"), []
+        if len(o.word):
+            # each distinct bigram that ends with a rare word of this bucket
+            order, starts, _ = P.runs(o.word, o.before, o.before_word)
+            n, pick = np.diff(np.append(starts, len(order))), order[starts]
+            word, before, hash_ = o.word[pick], o.before[pick].astype(np.int64), o.before_word[pick]
+            known = before != RARE
+            _, begin, run = P.runs(word)
+            follows = np.diff(np.append(begin, len(word)))
+            out += [contexts(before[known], n[known]), counts(2, n), counts(4, follows), np.array([[5, 0, len(word), len(begin), 0, 0]])]
+            rare = np.bincount(run[~known], minlength=len(begin))
+            some = np.flatnonzero(rare)
+            if len(some):
+                side.append((8, key[0].as_py(), [P.squeezed_sorted(word[begin][some]), P.squeezed(rare[some].astype(np.uint32))]))
+                first, second, then = hash_[~known], word[~known], follows[run][~known].astype(np.uint32)
+                order = np.lexsort((second, first))
+                for b, i in _cut(first[order], buckets).items():
+                    i = order[i]
+                    side.append((9, b, [P.squeezed_sorted(first[i]), P.squeezed(second[i]), P.squeezed(then[i])]))
+            # and each that begins with one and ends with a frequent word
+            at = np.flatnonzero(o.after < RARE)
+            order, starts, _ = P.runs(o.word[at], o.after[at])
+            out += [counts(2, np.diff(np.append(starts, len(order)))), continuations(o.after[at][order[starts]].astype(np.int64))]
         rows = np.concatenate(out).astype(np.int64)
-        return pa.table({c: pa.array(rows[:, i]) for i, c in enumerate(("kind", "id", "a", "b", "c", "d"))})
+        rows = np.concatenate([rows, np.array([[kind, b, 0, 0, 0, 0] for kind, b, _ in side], np.int64).reshape(-1, 6)])
+        extra = pa.array([None] * (len(rows) - len(side)) + [x for *_, x in side], pa.list_(pa.binary()))
+        return pa.table({**{c: pa.array(rows[:, i]) for i, c in enumerate(("kind", "id", "a", "b", "c", "d"))}, "blob": extra})
 
     sent = docs.mapInArrow(pairs, "bucket int, blob array<binary>")
-    found = sent.groupBy("bucket").applyInArrow(totals, "kind long, id long, a long, b long, c long, d long")
-    return model.settle(found.groupBy("kind", "id").agg(*(F.sum(c).alias(c) for c in "abcd")).collect())
+    found = stored(sent.groupBy("bucket").applyInArrow(totals, "kind long, id long, a long, b long, c long, d long, blob array<binary>"))
+    model.settle(found.where("kind < 8").groupBy("kind", "id").agg(*(F.sum(c).alias(c) for c in "abcd")).collect())
+    return model, found.where("kind >= 8").select(F.col("id").cast("int").alias("bucket"), "kind", "blob")
 
 
-def scored(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
+def scored(docs: DataFrame, model: Model, side: DataFrame, buckets: int) -> DataFrame:
     """(id, lang, digest, base statistics, log_p) for each row of (id, lang, digest, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -244,18 +368,17 @@ def scored(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
         m = shared.value
         for b, texts in _slices(batches):
             words = P.Words(texts)
-            key, unknown = m.bigrams(texts, words)
-            order, starts, _ = P.runs((words.doc.astype(np.uint64) << np.uint64(32)) | key)
+            key, of, rare = m.bigrams(words)
+            order, starts, _ = P.runs((of.astype(np.uint64) << np.uint64(32)) | key)
             own = np.diff(np.append(starts, len(order))).astype(np.uint32)
-            key, doc = key[order[starts]], words.doc[order[starts]]
+            key, doc = key[order[starts]], of[order[starts]]
             at = np.minimum(np.searchsorted(m.hot, key), max(0, len(m.hot) - 1))
             hot = m.hot[at] == key if len(m.hot) else np.zeros(len(key), bool)
-            local = -sums(unknown, words.first) * m.unknown
-            local = local + np.bincount(doc[hot], own[hot] * m.log_probability(key[hot], m.hot_count[at[hot]] if len(m.hot) else own[hot], own[hot]), len(texts))
+            local = np.bincount(doc[hot], own[hot] * m.log_probability(key[hot], m.hot_count[at[hot]] if len(m.hot) else own[hot], own[hot]), len(texts))
             key, doc, own = key[~hot], doc[~hot], own[~hot]
             order = np.lexsort((doc, key))
             key, doc, own = key[order], doc[order], own[order]
-            found = _parcels(key, [doc.astype(np.uint16) if len(texts) < 1 << 16 else doc.astype(np.uint32), own], buckets) or [(0, [])]
+            found = _parcels(key, [doc.astype(np.uint16) if len(texts) < 1 << 16 else doc.astype(np.uint32), own], rare, "after_word", buckets, True) or [(0, [])]
             n = len(found)
             batch = int(np.bitwise_xor.reduce(P.mixed(b["digest"].to_numpy().view(np.uint64) + np.arange(len(texts), dtype=np.uint64))).view(np.int64))
             about = [b["id"].to_pylist(), b["lang"].to_pylist(), b["digest"].to_pylist(), base_statistics(texts, words).reshape(-1).tolist(), local.tolist()]
@@ -266,21 +389,26 @@ def scored(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
     names = ["bucket", "batch", "size", "blob", "id", "lang", "digest", "base", "local"]
     about = "id array<long>, lang array<string>, digest array<long>, base array<long>, local array<double>"
 
-    def answer(t):
+    def answer(t, side):
         blobs, sizes = t["blob"].to_pylist(), t["size"].to_pylist()
         full = [i for i, b in enumerate(blobs) if b]
         logs = [b""] * len(blobs)
         if full:
             keys = [_keys(blobs[i][0]) for i in full]
-            own = [P.expanded(blobs[i][2], np.uint32) for i in full]
+            mine = np.concatenate([P.expanded(blobs[i][2], np.uint32) for i in full]).astype(np.int64)
             key = np.concatenate(keys)
             order, starts, run = P.runs(key)
-            count = np.add.reduceat(np.concatenate(own)[order].astype(np.int64), starts)[run]
-            mine = np.concatenate(own).astype(np.int64)
+            count = np.add.reduceat(mine[order], starts)[run] if len(starts) else mine
             value = np.split(mine * shared.value.log_probability(key, count, mine), np.cumsum([len(k) for k in keys])[:-1])
-            for i, v in zip(full, value):
+            edge = np.cumsum([sizes[i] for i in full])
+            rare = _occurrences([blobs[i][3:] for i in full], "after_word")
+            lengths = [int.from_bytes(blobs[i][3][:8], "little") for i in full]
+            rare.doc = rare.doc.astype(np.int64) + np.repeat(edge - [sizes[i] for i in full], lengths)
+            known = [(k, [P.expanded_sorted(x[0]), *(P.expanded(y, np.uint32 if j or k == 8 else np.uint64) for j, y in enumerate(x[1:]))]) for k, x in zip(side["kind"].to_pylist(), side["blob"].to_pylist())]
+            far = np.split(shared.value.rare_logs(rare, known, int(edge[-1])), edge[:-1])
+            for i, v, w in zip(full, value, far):
                 doc = P.expanded(blobs[i][1], np.uint16 if sizes[i] < 1 << 16 else np.uint32)
-                logs[i] = P.squeezed(np.bincount(doc, v, sizes[i]).astype(np.float32))
+                logs[i] = P.squeezed((np.bincount(doc, v, sizes[i]) + w).astype(np.float32))
         return t.drop_columns(["bucket", "blob"]).append_column("logs", pa.array(logs, pa.binary()))
 
     def gather(t):
@@ -299,20 +427,20 @@ def scored(docs: DataFrame, model: Model, buckets: int) -> DataFrame:
         return pa.concat_tables(parts)
 
     sent = docs.mapInArrow(send, f"bucket int, batch long, size int, blob array<binary>, {about}")
-    sums_ = sent.groupBy("bucket").applyInArrow(answer, f"batch long, size int, {about}, logs binary")
+    sums_ = sent.groupBy("bucket").cogroup(side.groupBy("bucket")).applyInArrow(answer, f"batch long, size int, {about}, logs binary")
     return sums_.groupBy("batch").applyInArrow(gather, "id long, lang string, digest long, " + ", ".join(f"{c} long" for c in BASE) + ", log_p double")
 
 
 def quality(
     docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", above: float = 5.5, below: float = 18.0, least_spread: float = 0.05,
-    bucket_bytes: int = 16 << 20,
+    bucket_bytes: int = 16 << 20, vocabulary: int = VOCABULARY,
 ) -> DataFrame:
     """(id, digest, lang, base statistics, base_failed, perplexity, lower, upper, kept) for each row.
 
     The model is an interpolated modified Kneser-Ney bigram model of all texts: Spark counts words, then
     bigrams, in hash buckets that each hold their bigrams as a sorted array. A document's own counts are
-    left out when it is scored, and a word outside the vocabulary also costs the log of the number of
-    such words. Frequent bigrams are scored where they are read; the others travel as sorted postings to
+    left out when it is scored. Every word is a word of the model: the ``vocabulary`` most frequent ones
+    have short ids, all others are counted and scored by their hashes. Frequent bigrams are scored where they are read; the others travel as sorted postings to
     their buckets, which answer with sums for each document, so texts are never shuffled.
 
     The band of a language is around the median of log perplexity of its distinct texts that pass the base
@@ -326,7 +454,7 @@ def quality(
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     source = docs.select(F.col(id).cast("long").alias("id"), F.col(lang).cast("string").alias("lang"), F.xxhash64(text).alias("digest"), F.col(text).alias("text"))
-    found = scored(source, fitted(source.select("text"), buckets), buckets)
+    found = scored(source, *fitted(source.select("text"), buckets, vocabulary), buckets)
     rated = found.withColumn("log_ppl", F.when(F.col("n_words") > 0, -F.col("log_p") / F.col("n_words")))
     rated = rated.withColumn("base_failed", F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words"))
     rated = checkpointed(rated)

@@ -95,6 +95,16 @@ def test_scores_follow_the_model_in_one_or_many_buckets(spark, documents):
     assert found == pytest.approx(np.exp(-log_p / len(words)), rel=1e-3)
 
 
+@pytest.mark.parametrize("bucket_bytes", [16 << 20, 5_000])
+def test_words_beyond_the_frequent_ones_are_words_of_the_model(spark, documents, bucket_bytes):
+    """With eight short ids only, nearly every word is rare; scores stay those of the whole vocabulary."""
+    docs = spark.createDataFrame(documents, SCHEMA)
+    whole = {(r.doc_id, r.digest): r.perplexity for r in quality.quality(docs).collect()}
+    few = {(r.doc_id, r.digest): r.perplexity for r in quality.quality(docs, bucket_bytes=bucket_bytes, vocabulary=8).collect()}
+    assert whole.keys() == few.keys()
+    assert all(a == few[k] or abs(a / few[k] - 1) < 1e-3 for k, a in whole.items())
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a="</p><p>x.";</script></head><body>
 <header class="top"><h1>Site name</h1></header><nav><ul><li><a href="/a">One</a></li><li><a href="/b">Two</a></li></ul></nav>
 <div class="cookie-notice">We use cookies, and more cookies, for you. Accept, please.</div><!-- <p>no</p> --><div class="ad">Buy now, it is cheap, so cheap!</div>
