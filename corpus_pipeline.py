@@ -18,12 +18,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest doc_id.
 
-    Near-duplicates have five-word shingle sets of a Jaccard similarity of 0.8 or more. Fingerprints of
-    512 bits over these shingles propose them: 77 bits differ on average at 0.8, and pairs within 102 (three
-    deviations more) are verified by their shingles. Documents meet on any of 36 blocks of the bits; a pair
-    at 0.8 misses all of them with a chance of about 0.02, one at 0.9 of 0.0002.
+    Near-duplicates have five-word shingle sets of a Jaccard similarity of 0.8 or more. Documents meet on
+    their rarest shingles, as many that no such pair can miss. Fingerprints of 512 bits over the distinct
+    shingles propose links there: about 78 bits differ at 0.8 and about 256 between unlike texts, and pairs
+    within 160 (some ten deviations more than 78) are verified by their shingles.
     """
-    return simhash.keep_first(docs, shingle=5, lanes=8, max_bits=102, blocks=36, share=1, similarity=0.8)
+    return simhash.keep_first(docs, shingle=5, lanes=8, max_bits=160, similarity=0.8)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,10 +14,13 @@ from pyspark.sql import types as T
 
 from slicewise.llm.common import checkpointed, dealt, in_tiles, numbered, runs_of
 from slicewise.llm.components import connected_components
+from slicewise.llm.passages import expanded, squeezed
 
 SEED = 42
 #: Runs of up to so many rows that share a key are compared pair by pair, larger ones breadth first.
 SMALL = 32
+#: Cells of the sketch of how frequent shingles are, of 2 ** CELL_BITS, and the ranges that they are added up in.
+CELL_BITS, RANGES = 18, 64
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -71,6 +74,54 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 4, lanes: i
     return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(work, schema)
 
 
+def rarity(docs: DataFrame, text: str, shingle: int) -> np.ndarray:
+    """How many texts have a shingle, added up over the shingles of each cell of a fixed number of cells.
+
+    It only orders shingles, rare ones first, so that the ones many texts share are seldom keys.
+    """
+
+    def count(batches):
+        total = np.zeros(1 << CELL_BITS, np.int64)
+        for b in batches:
+            for x in b[text]:
+                total += np.bincount((np.unique(shingle_hashes(x.as_py(), shingle)) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(total))
+        blobs = [squeezed(x) for x in total.reshape(RANGES, -1)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(RANGES), pa.int32()), pa.array(blobs, pa.binary())], names=["part", "blob"])
+
+    def add(t):
+        total = sum(expanded(x, np.int64) for x in t["blob"].to_pylist())
+        return pa.table({"part": t["part"][:1], "blob": pa.array([squeezed(total)], pa.binary())})
+
+    schema = "part int, blob binary"
+    rows = docs.select(text).mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema).collect()
+    found = {r["part"]: expanded(bytes(r["blob"]), np.int64) for r in rows}
+    return np.concatenate([found.get(i, np.zeros((1 << CELL_BITS) // RANGES, np.int64)) for i in range(RANGES)])
+
+
+def prefix(h: np.ndarray, frequency: np.ndarray, least: float) -> np.ndarray:
+    """The rarest of the distinct shingles ``h``, as many that sets alike by ``least`` or more share one of them.
+
+    Such sets have least * n of n shingles in common, so one is left among any n - ceil(least * n) + 1; with
+    one order for all sets, the first common shingle is among the first so many of both.
+    """
+    order = np.lexsort((h, frequency[(h >> np.uint64(64 - CELL_BITS)).astype(np.int64)]))
+    return h[order[: len(h) - int(np.ceil(least * len(h) - 1e-9)) + 1]]
+
+
+def prefixed(docs: DataFrame, shingle: int, lanes: int, least: float) -> DataFrame:
+    """(_id, fingerprint of the distinct shingles, prefix) for each row of (_id, text)."""
+    shared = docs.sparkSession.sparkContext.broadcast(rarity(docs, "text", shingle))
+
+    def work(batches):
+        for b in batches:
+            sets = [np.unique(shingle_hashes(x.as_py(), shingle)) for x in b["text"]]
+            keys = [prefix(h, shared.value, least).view(np.int64) for h in sets]
+            yield pa.RecordBatch.from_arrays(
+                [b["_id"], pa.array([fingerprint(h, lanes) for h in sets], pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))], names=["_id", "fingerprint", "prefix"])
+
+    return docs.select("_id", "text").mapInArrow(work, "_id long, fingerprint array<long>, prefix array<long>")
+
+
 def block_keys(lanes: int, blocks: int, share: int) -> Column:
     """The keys of a fingerprint: its bits cut into ``blocks`` runs, each choice of ``share`` runs one key.
 
@@ -160,7 +211,7 @@ def confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame, least: flo
         for b in batches:
             rows, sets = [], []
             for i, (text, want) in enumerate(zip(b["text"], b["fingerprint"].to_pylist())):
-                h = shingle_hashes(text.as_py(), shingle)
+                h = np.unique(shingle_hashes(text.as_py(), shingle))
                 if fingerprint(h, lanes) == want:  # a row that has the id but another text is of another class
                     rows.append(i)
                     sets.append(np.unique((h >> np.uint64(32)).astype(np.uint32)).view(np.int32))
@@ -197,7 +248,9 @@ def near_duplicates(
 
     With ``similarity`` these links only propose: documents are one class where their sets of shingles
     have this Jaccard similarity or more, looked for within each group of proposed links; documents with
-    equal fingerprints stay one class.
+    equal fingerprints stay one class. Fingerprints are then of the distinct shingles, and documents meet on
+    the rarest of them (``prefix``) instead of blocks, which no pair of this similarity can miss;
+    ``max_bits`` should be wide, as it alone can lose a pair.
 
     Equal fingerprints collapse first, so copies cost one row each. Distinct ones meet on their block
     keys, are verified by Hamming distance, and give the edges that span each cell; components follow.
@@ -206,9 +259,16 @@ def near_duplicates(
     (null if there is none); rows with one id are each returned. Other columns are ignored.
     """
     source = docs.select(F.col(id).cast("long").alias("_id"), F.col(text).alias("text"))
-    fp = checkpointed(fingerprints(source, "text", shingle, lanes))
+    fp = checkpointed(fingerprints(source, "text", shingle, lanes) if similarity is None else prefixed(source, shingle, lanes, similarity))
     classes = fp.groupBy("fingerprint").agg(F.min("_id").alias("rep")).where("rep is not null")
-    keyed = classes.select("rep", "fingerprint", F.explode(block_keys(lanes, blocks, share)).alias("key"))
+    if similarity is None:
+        keyed = classes.select("rep", "fingerprint", F.explode(block_keys(lanes, blocks, share)).alias("key"))
+    else:
+        own = classes.withColumnRenamed("fingerprint", "_fp")
+        firsts = fp.join(own, (F.col("_id") == F.col("rep")) & (F.col("fingerprint") == F.col("_fp"))).dropDuplicates(["rep"])
+        keyed = firsts.select("rep", F.explode("prefix").alias("key")).repartition("key")
+        several = keyed.groupBy("key").count().where("count > 1").select("key")
+        keyed = checkpointed(keyed.join(several, "key", "left_semi")).join(classes, "rep")
     cells = in_tiles(keyed, "key", tile, "rep")
     parts = ["key", "tile_a", "tile_b"]
 

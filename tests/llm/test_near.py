@@ -116,6 +116,28 @@ def test_proposed_links_are_verified_by_their_shingles(spark, tile):
     assert simhash.near_duplicates(spark.createDataFrame([], docs.schema), **how).count() == 0
 
 
+def test_pipeline_links_copies_that_repeat_a_line_and_all_pairs_at_the_threshold(spark):
+    """At the pipeline's parameters: repeats of a line don't part copies, and no pair at 0.8 is left out."""
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    rows, kept = [], set()
+    for i in range(20):
+        words = " ".join(f"u{rng.randrange(10**9)}" for _ in range(500))
+        line = " ".join(f"l{rng.randrange(10**9)}" for _ in range(20))
+        kept.add(len(rows))
+        rows += [(len(rows) + k, f"{words} {' '.join([line] * n)}") for k, n in enumerate((1, 6, 24))]
+    for i in range(300):  # ten words changed, far from each other: 400 of 500 shingles in common
+        words = [f"v{rng.randrange(10**9)}" for _ in range(454)]
+        other = list(words)
+        for at in range(20, 440, 42):
+            other[at] = f"x{rng.randrange(10**9)}"
+        kept.add(len(rows))
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == kept
+
+
 @pytest.mark.parametrize("tile", [1024, 12])
 def test_vectors_link_as_in_brute_force(spark, tile):
     rng = np.random.default_rng(2)
