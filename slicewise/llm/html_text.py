@@ -43,7 +43,14 @@ ASIDE_WORD = re.compile(
 #: Marks the page's header, but an article's own header has its title.
 HEADER_WORD = re.compile(r"(?:^|[^a-z])(?<!has-)(?<!with-)(?<!no-)header(?:$|[^a-z])")
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none""", re.I)
+#: Class words of wrappers around a page's columns, where a word such as ``sidebar`` says what the page has.
+LAYOUT = re.compile(r"(?:^|[^a-z])(?:page|site|layout|wrap(?:per)?|container|content|main|row|grid|columns?|root|app)(?:$|[^a-z])")
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+INNER = re.compile(r"(?:^|/)(?:article|main)(?:[./]|$)")
+#: Class words of an article element that is the page's own, whatever its tags are called.
+POST = frozenset("post hentry entry page".split())
+#: What a path inside article or main counts more than another when the strongest is chosen.
+INNER_WEIGHT = 2
 MARKS = re.compile(r"[.,;:!?¡¿…。、，！？；：]")
 
 
@@ -62,7 +69,7 @@ def blocks(page: str) -> list[tuple[str, bool, int, str]]:
     The path holds the open block elements with their class words; inline elements are left out of
     it. Unclosed p, li, dt, dd and table cells end where HTML ends them; stray end tags do nothing.
     """
-    stack: list[tuple[str, str, bool]] = []
+    stack: list[tuple[str, str, bool, bool]] = []  # tag, label, aside, whether only by the word of a layout wrapper
     out: list[Block] = []
     now, at, links = None, 0, 0
 
@@ -73,7 +80,7 @@ def blocks(page: str) -> list[tuple[str, bool, int, str]]:
         if now is None:
             if raw.isspace():
                 return
-            now = Block("/".join(label for _, label, _ in stack), any(a for *_, a in stack))
+            now = Block("/".join(label for _, label, *_ in stack), any(a for *_, a, _ in stack))
             out.append(now)
         now.parts.append(raw)
         if links:
@@ -125,12 +132,18 @@ def blocks(page: str) -> list[tuple[str, bool, int, str]]:
         kept = {k.lower(): (a or b or c).lower() for k, a, b, c in ATTRIBUTE.findall(m[3])} if m[3] else {}
         name = " ".join(kept.get(k, "") for k in ("class", "id")).strip()
         inside = any(t in ("article", "main") for t, *_ in stack)
-        aside = tag in ASIDE or tag == "header" and not inside or kept.get("role", "") in ROLES or bool(m[3] and HIDDEN.search(m[3]))
-        if tag in ("article", "main"):  # what a class word says of all around the article can't hold
-            stack = [(t, label, a and t in ASIDE) for t, label, a in stack]
+        aside = tag in ASIDE or tag == "header" and not inside or kept.get("role", "") in ROLES
+        aside = aside or bool(m[3] and HIDDEN.search(m[3]))
+        worded = False
+        if tag in ("article", "main"):  # what a class word says of the layout around the article can't hold
+            stack = [(t, label, a and not w, False) for t, label, a, w in stack]
+            own = kept.get("class", "").split()
+            aside = aside or tag == "article" and not POST.intersection(own) and any(ASIDE_WORD.match(x) for x in own)
         elif tag not in ("html", "body") and name:
-            aside = aside or bool(ASIDE_WORD.search(name)) or not inside and bool(HEADER_WORD.search(name))
-        stack.append((tag, f"{tag}.{'.'.join(kept['class'].split())}" if kept.get("class") else tag, aside))
+            marked = bool(ASIDE_WORD.search(name)) or not inside and bool(HEADER_WORD.search(name))
+            worded = marked and not aside and bool(LAYOUT.search(name))
+            aside = aside or marked
+        stack.append((tag, f"{tag}.{'.'.join(kept['class'].split())}" if kept.get("class") else tag, aside, worded))
     return [(b.path, b.aside, b.linked, text) for b in out if (text := " ".join(entities.unescape("".join(b.parts)).split()))]
 
 
@@ -139,7 +152,9 @@ def content_paths(found: list[tuple[str, bool, int, str]]) -> set[str]:
 
     For every path the text length, punctuation and unlinked share are added up over its blocks and
     divided by their number. Both ratios are smoothed over neighbouring paths in page order (weights
-    1 : 4 : 1), fused by their product, and cut at a tenth of a standard deviation. The root is the
+    1 : 4 : 1), fused by their product, and cut at a tenth of a standard deviation. All paths compete,
+    those inside article or main with a weight; the strongest tells whether the text is inside such an
+    element or not, and the paths of the other kind go. The root is the
     parent of the strongest path; where it is an element inside body, all of its other paths that
     aren't aside are kept with it, such as headings and short list items.
     """
@@ -149,22 +164,26 @@ def content_paths(found: list[tuple[str, bool, int, str]]) -> set[str]:
             n = order.setdefault(path, [0, 0, 0, 0])
             for i, v in enumerate((len(text), len(MARKS.findall(text)), 1, min(linked, len(text)))):
                 n[i] += v
-    inner = {p: n for p, n in order.items() if re.search(r"(^|/)(article|main)\b", p)}
-    order = inner or order
     if not order:
         return set()
-    names, sums = list(order), list(order.values())
-    lengths = [(n[0] - n[3]) / n[2] for n in sums]
-    marks = [n[1] / n[2] for n in sums]
 
     def smooth(v: list[float]) -> list[float]:
         return [(v[max(i - 1, 0)] + 4 * x + v[min(i + 1, len(v) - 1)]) / 6 for i, x in enumerate(v)]
 
-    fused = [a * (1 + b) for a, b in zip(smooth(lengths), smooth(marks))]
+    def rated(order: dict[str, list[float]]) -> tuple[str, list[float]]:
+        sums = list(order.values())
+        lengths = smooth([(n[0] - n[3]) / n[2] for n in sums])
+        marks = smooth([n[1] / n[2] for n in sums])
+        fused = [a * (1 + b) for a, b in zip(lengths, marks)]
+        weight = {p: f * n[2] * (INNER_WEIGHT if INNER.search(p) else 1) for (p, n), f in zip(order.items(), fused)}
+        return max(weight, key=weight.__getitem__), fused
+
+    within = INNER.search(rated(order)[0]) is not None
+    order = {p: n for p, n in order.items() if (INNER.search(p) is not None) == within}
+    best, fused = rated(order)
+    names, sums = list(order), list(order.values())
     mean = sum(fused) / len(fused)
     cut = 0.1 * math.sqrt(sum((x - mean) ** 2 for x in fused) / len(fused))
-    weight = [f * n[2] for f, n in zip(fused, sums)]
-    best = names[max(range(len(names)), key=weight.__getitem__)]
     kept = {p for p, f, n in zip(names, fused, sums) if f >= cut and n[3] <= 0.5 * n[0]}
     tail = best.rsplit("/", 1)[-1].split(".")[0]
     root = best if tail in ("article", "main", "div", "section", "td") else best.rpartition("/")[0]

@@ -137,6 +137,20 @@ def test_main_text_of_pages(spark):
     assert html_text.extracted(spark.createDataFrame([], pages.schema)).count() == 0
 
 
+LONG = "".join(f"<p>Paragraph {i} of the text, with some words in it; it goes on, and on, for a while.</p>" for i in range(8))
+PLAIN = "\n".join(f"Paragraph {i} of the text, with some words in it; it goes on, and on, for a while." for i in range(8))
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div class=post>{LONG}</div><article><p>A teaser, short.</p></article></body>",
+    f"<body><div class=post>{LONG}</div><div class=related><article><p>A teaser, short.</p></article></div></body>",
+    f"<body><article>{LONG}</article><section class=comments><article class=comment-body><p>I disagree, strongly, with it!</p></article></section></body>",
+    f"<body><main>{LONG}<article class=comment-body><p>I disagree, strongly, with it!</p></article></main></body>",
+])
+def test_teasers_and_comments_in_article_elements_are_not_the_text(page):
+    assert html_text.main_text(page) == PLAIN
+
+
 def test_articles_of_the_small_table(spark):
     from slicewise.llm import queries
 
