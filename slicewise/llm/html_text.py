@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 # Fixed values of HTML: elements without an end tag, whose content isn't markup, and that don't end a block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,10 +42,11 @@ ASIDE_WORD = re.compile(
 )
 #: Marks the page's header, but an article's own header has its title.
 HEADER_WORD = re.compile(r"(?:^|[^a-z])(?<!has-)(?<!with-)(?<!no-)header(?:$|[^a-z])")
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none""", re.I)
+HIDDEN = re.compile(r"display\s*:\s*none")
 #: Class words of wrappers around a page's columns, where a word such as ``sidebar`` says what the page has.
 LAYOUT = re.compile(r"(?:^|[^a-z])(?:page|site|layout|wrap(?:per)?|container|content|main|row|grid|columns?|root|app)(?:$|[^a-z])")
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+ANCHORED = frozenset("section div article li dt dd table figure blockquote".split())
 INNER = re.compile(r"(?:^|/)(?:article|main)(?:[./]|$)")
 #: Class words of an article element that is the page's own, whatever its tags are called.
 POST = frozenset("post hentry entry page".split())
@@ -129,20 +130,23 @@ def blocks(page: str) -> list[tuple[str, bool, int, str]]:
                 break
         if tag in VOID:
             continue
-        kept = {k.lower(): (a or b or c).lower() for k, a, b, c in ATTRIBUTE.findall(m[3])} if m[3] else {}
+        kept = {k.lower(): (a or b or c).lower() for k, a, b, c in reversed(ATTRIBUTE.findall(m[3]))} if m[3] else {}  # the first of a name holds
         name = " ".join(kept.get(k, "") for k in ("class", "id")).strip()
         inside = any(t in ("article", "main") for t, *_ in stack)
         aside = tag in ASIDE or tag == "header" and not inside or kept.get("role", "") in ROLES
-        aside = aside or bool(m[3] and HIDDEN.search(m[3]))
+        aside = aside or "hidden" in kept or bool(HIDDEN.search(kept.get("style", "")))
         worded = False
         if tag in ("article", "main"):  # what a class word says of the layout around the article can't hold
             stack = [(t, label, a and not w, False) for t, label, a, w in stack]
             own = kept.get("class", "").split()
             aside = aside or tag == "article" and not POST.intersection(own) and any(ASIDE_WORD.match(x) for x in own)
         elif tag not in ("html", "body") and name:
-            marked = bool(ASIDE_WORD.search(name)) or not inside and bool(HEADER_WORD.search(name))
-            worded = marked and not aside and bool(LAYOUT.search(name))
-            aside = aside or marked
+            # ids of sections and headings in an article are anchors made of their titles
+            said = kept.get("class", "") if inside and tag in ANCHORED else name
+            if not (inside and (tag in HEADING or tag == "p")):
+                marked = bool(ASIDE_WORD.search(said)) or not inside and bool(HEADER_WORD.search(said))
+                worded = marked and not aside and bool(LAYOUT.search(name))
+                aside = aside or marked
         stack.append((tag, f"{tag}.{'.'.join(kept['class'].split())}" if kept.get("class") else tag, aside, worded))
     return [(b.path, b.aside, b.linked, text) for b in out if (text := " ".join(entities.unescape("".join(b.parts)).split()))]
 

@@ -151,6 +151,13 @@ def test_teasers_and_comments_in_article_elements_are_not_the_text(page):
     assert html_text.main_text(page) == PLAIN
 
 
+@pytest.mark.parametrize("tag", ["section id=discussion", "section id=web-search", "div id=immune-responses"])
+def test_anchors_and_attribute_values_drop_nothing(tag):
+    page = f"<body><article data-title='The hidden cost, display:none'><h2 id=related-work>Related work</h2><{tag}>{LONG}</{tag.split()[0]}></article></body>"
+    assert html_text.main_text(page) == "Related work\n" + PLAIN
+    assert html_text.main_text(page.replace("<article", "<article hidden")) == ""
+
+
 def test_articles_of_the_small_table(spark):
     from slicewise.llm import queries
 
