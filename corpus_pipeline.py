@@ -43,8 +43,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents packed into sequences of at most 2048 tokens; one row for each piece."""
-    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+    """Whole documents packed into sequences of at most 2048 tokens; one row for each piece, with its ids."""
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, with_ids=True)
 
 
 STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("substring_dedup", repeats), ("packing", pack)]

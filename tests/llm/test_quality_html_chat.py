@@ -218,3 +218,13 @@ def test_pipeline_keeps_its_promises(spark, tmp_path):
     assert cut[200].text == f"{a} {shared}" and cut[201].text == b and cut[201].n_chars == len(b) and cut[5].text == text[5]
     assert kept["packing"] == kept["substring_dedup"]
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
+
+
+def test_the_pipelines_last_table_has_the_token_ids(spark):
+    import zlib
+
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i, "some words to pack " * (i + 1), "en", "s", 9) for i in range(5)], "doc_id long, text string, lang string, source string, n_chars long")
+    for r in corpus_pipeline.pack(spark, docs, "").collect():
+        assert len(r.ids) == 4 * r.length > 0 and zlib.crc32(bytes(r.ids)) == r.ids_crc32
