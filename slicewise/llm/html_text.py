@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import html as entities
-import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: A tag, comment or declaration. A quote opens a value only after "="; one that never ends runs to the page's end.
 TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|"""
+    r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?)*+)(>|\Z)""", re.S
 )
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
@@ -42,52 +44,112 @@ ASIDE_WORD = re.compile(
 )
 #: Marks the page's header, but an article's own header has its title.
 HEADER_WORD = re.compile(r"(?:^|[^a-z])(?<!has-)(?<!with-)(?<!no-)header(?:$|[^a-z])")
-HIDDEN = re.compile(r"display\s*:\s*none")
+HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 #: Class words of wrappers around a page's columns, where a word such as ``sidebar`` says what the page has.
 LAYOUT = re.compile(r"(?:^|[^a-z])(?:page|site|layout|wrap(?:per)?|container|content|main|row|grid|columns?|root|app)(?:$|[^a-z])")
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 ANCHORED = frozenset("section div article li dt dd table figure blockquote".split())
-INNER = re.compile(r"(?:^|/)(?:article|main)(?:[./]|$)")
+#: Elements that are parts of a text: a path through them belongs to the container around them.
+PART = HEADING | frozenset("p ul ol dl li dt dd table caption thead tbody tfoot tr td th blockquote pre figure figcaption section header hgroup address center".split())
 #: Class words of an article element that is the page's own, whatever its tags are called.
 POST = frozenset("post hentry entry page".split())
-#: What a path inside article or main counts more than another when the strongest is chosen.
-INNER_WEIGHT = 2
 MARKS = re.compile(r"[.,;:!?¡¿…。、，！？；：]")
 
+#: States of a path: plain, marked by a word of class or id, and not part of any article.
+PLAIN, MARKED, OUT = 0, 1, 2
+#: What a marked path's ratio counts, and the share of the mean ratio that a content path has at least.
+MARKED_WEIGHT, LEAST_SHARE = 0.02, 0.1
+#: Elements that may be open at a time; deeper ones don't nest, as in browsers.
+DEPTH = 512
 
-class Block:
-    """Text between two block boundaries: its tag path, and whether an element of ASIDE kind is around it."""
 
-    __slots__ = ("path", "aside", "linked", "parts")
+class Paths:
+    """The tag paths of a page as a trie: a path is its parent's number, its label and its state."""
 
-    def __init__(self, path: str, aside: bool):
-        self.path, self.aside, self.linked, self.parts = path, aside, 0, []
+    def __init__(self):
+        self.number: dict[tuple[int, str, int], int] = {}
+        self.tag, self.state, self.container, self.inner = [""], [PLAIN], [0], [False]
 
+    def under(self, parent: int, tag: str, label: str, state: int) -> int:
+        key = parent, label, state
+        if key not in self.number:
+            n = self.number[key] = len(self.tag)
+            self.tag.append(tag)
+            self.state.append(state)
+            self.container.append(self.container[parent] if tag in PART else n)
+            self.inner.append(self.inner[parent] or tag == "article" or tag == "main")
+        return self.number[key]
 
-def blocks(page: str) -> list[tuple[str, bool, int, str]]:
-    """(tag path, aside, characters inside links, text) of each block with text, in page order.
 
-    The path holds the open block elements with their class words; inline elements are left out of
-    it. Unclosed p, li, dt, dd and table cells end where HTML ends them; stray end tags do nothing.
+class Open:
+    """An open block element: its path, its own state, and whether that is only by a layout wrapper's word."""
+
+    __slots__ = ("tag", "path", "own", "worded")
+
+    def __init__(self, tag: str, path: int, own: int, worded: bool):
+        self.tag, self.path, self.own, self.worded = tag, path, own, worded
+
+
+def attributes(text: str) -> dict[str, str]:
+    """Lower-cased values by name; the first of a name holds."""
+    return {k.lower(): (a or b or c).lower() for k, a, b, c in reversed(ATTRIBUTE.findall(text))} if text else {}
+
+
+def out_of_sight(kept: dict[str, str]) -> bool:
+    return "hidden" in kept or kept.get("role", "") in ROLES or HIDDEN.search(kept.get("style", "")) is not None
+
+
+def own_state(tag: str, kept: dict[str, str], inside: bool) -> tuple[int, bool]:
+    """The state that an element gives its path, and whether only the word of a layout wrapper says so."""
+    if tag in ASIDE or tag == "header" and not inside or out_of_sight(kept):
+        return OUT, False
+    own = kept.get("class", "")
+    if tag == "article":
+        words = own.split()
+        return (MARKED if not POST.intersection(words) and any(ASIDE_WORD.match(x) for x in words) else PLAIN), False
+    name = f"{own} {kept.get('id', '')}".strip()
+    if not name or tag in ("main", "html", "body") or inside and (tag in HEADING or tag == "p"):
+        return PLAIN, False
+    # ids of sections in an article are anchors made of their titles
+    said = own if inside and tag in ANCHORED else name
+    if ASIDE_WORD.search(said) or not inside and HEADER_WORD.search(said):
+        return MARKED, LAYOUT.search(name) is not None
+    return PLAIN, False
+
+
+def blocks(page: str) -> tuple[Paths, list[tuple[int, int, str]]]:
+    """The page's tag paths, and (path, characters inside links, text) of each block with text, in page order.
+
+    A path holds the open block elements with their class words; inline elements are left out of it, and
+    the text of hidden or marked ones (an advert in a span) is dropped. Unclosed p, li, dt, dd and table
+    cells end where HTML ends them; stray end tags do nothing. Time and memory are linear in the page.
     """
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, label, aside, whether only by the word of a layout wrapper
-    out: list[Block] = []
-    now, at, links = None, 0, 0
+    paths, stack = Paths(), []
+    open_tags: Counter[str] = Counter()
+    out: list[tuple[int, list[int], list[str]]] = []
+    parts, linked = None, [0]  # of the block that is being read
+    at = links = 0
+    skip, skip_tag, skip_base = 0, "", 0  # depth inside an inline element whose text is dropped
 
     def add(raw: str) -> None:
-        nonlocal now
-        if not raw:
+        nonlocal parts, linked
+        if not raw or skip or parts is None and raw.isspace():
             return
-        if now is None:
-            if raw.isspace():
-                return
-            now = Block("/".join(label for _, label, *_ in stack), any(a for *_, a, _ in stack))
-            out.append(now)
-        now.parts.append(raw)
+        if parts is None:
+            parts, linked = [], [0]
+            out.append((stack[-1].path if stack else 0, linked, parts))
+        parts.append(raw)
         if links:
-            now.linked += len(raw)
+            linked[0] += len(raw)
+
+    def close(i: int) -> None:
+        nonlocal skip
+        for e in stack[i:]:
+            open_tags[e.tag] -= 1
+        del stack[i:]
+        if skip and len(stack) < skip_base:
+            skip = 0
 
-    lower = None
     while True:
         m = TAG.search(page, at)
         add(page[at : m.start()] if m else page[at:])
@@ -96,120 +158,133 @@ def blocks(page: str) -> list[tuple[str, bool, int, str]]:
         at = m.end()
         if m[2] is None:
             if m[0].startswith("<![CDATA["):
-                add(m[0][9:-3].replace("&", "&amp;"))
-            continue
-        tag = m[2].lower()
-        if tag in RAW and not m[1]:
-            lower = page.lower() if lower is None else lower
-            end = lower.find(f"</{tag}", at)
-            at = len(page) if end < 0 else end
-            now = now if tag == "script" or tag == "style" else None
+                add(m[0][9:].removesuffix("]]>").replace("&", "&amp;"))
             continue
+        if not m[4]:  # the page ends within a tag
+            break
+        tag, ends = m[2].lower(), bool(m[1])
         if tag in RAW:
+            if not ends:
+                end = re.compile(f"</{tag}", re.I).search(page, at)
+                at = end.start() if end else len(page)
+                parts = parts if tag == "script" or tag == "style" else None
             continue
         if tag in INLINE:
             if tag == "a":
-                links = max(0, links + (-1 if m[1] else 1))
-            elif tag == "br" and now is not None:
-                now.parts.append(" ")
+                links = max(0, links + (-1 if ends else 1))
+            elif tag == "br" and parts is not None:
+                parts.append(" ")
+            if tag in VOID:
+                continue
+            if skip:
+                skip += (-1 if ends else 1) if tag == skip_tag else 0
+            elif not ends and m[3] and not m[3].isspace():
+                kept = attributes(m[3])
+                if out_of_sight(kept) or ASIDE_WORD.search(kept.get("class", "")):
+                    skip, skip_tag, skip_base = 1, tag, len(stack)
             continue
-        now = None
-        if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
+        parts = None
+        if ends:
+            if open_tags[tag]:
+                close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag))
             continue
         links = 0
-        if stack and stack[-1][0] == "p":
-            stack.pop()
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in ENDS.get(tag, ()):
-                del stack[i:]
-            elif stack[i][0] in STOP:
-                break
-        if tag in VOID:
+        if stack and stack[-1].tag == "p":
+            close(len(stack) - 1)
+        if any(open_tags[t] for t in ENDS.get(tag, ())):
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i].tag in ENDS[tag]:
+                    close(i)
+                elif stack[i].tag in STOP:
+                    break
+        if tag in VOID or len(stack) >= DEPTH:
             continue
-        kept = {k.lower(): (a or b or c).lower() for k, a, b, c in reversed(ATTRIBUTE.findall(m[3]))} if m[3] else {}  # the first of a name holds
-        name = " ".join(kept.get(k, "") for k in ("class", "id")).strip()
-        inside = any(t in ("article", "main") for t, *_ in stack)
-        aside = tag in ASIDE or tag == "header" and not inside or kept.get("role", "") in ROLES
-        aside = aside or "hidden" in kept or bool(HIDDEN.search(kept.get("style", "")))
-        worded = False
+        kept = attributes(m[3])
+        inside = open_tags["article"] > 0 or open_tags["main"] > 0
+        own, worded = own_state(tag, kept, inside)
         if tag in ("article", "main"):  # what a class word says of the layout around the article can't hold
-            stack = [(t, label, a and not w, False) for t, label, a, w in stack]
-            own = kept.get("class", "").split()
-            aside = aside or tag == "article" and not POST.intersection(own) and any(ASIDE_WORD.match(x) for x in own)
-        elif tag not in ("html", "body") and name:
-            # ids of sections and headings in an article are anchors made of their titles
-            said = kept.get("class", "") if inside and tag in ANCHORED else name
-            if not (inside and (tag in HEADING or tag == "p")):
-                marked = bool(ASIDE_WORD.search(said)) or not inside and bool(HEADER_WORD.search(said))
-                worded = marked and not aside and bool(LAYOUT.search(name))
-                aside = aside or marked
-        stack.append((tag, f"{tag}.{'.'.join(kept['class'].split())}" if kept.get("class") else tag, aside, worded))
-    return [(b.path, b.aside, b.linked, text) for b in out if (text := " ".join(entities.unescape("".join(b.parts)).split()))]
-
-
-def content_paths(found: list[tuple[str, bool, int, str]]) -> set[str]:
-    """The tag paths that hold the article.
-
-    For every path the text length, punctuation and unlinked share are added up over its blocks and
-    divided by their number. Both ratios are smoothed over neighbouring paths in page order (weights
-    1 : 4 : 1), fused by their product, and cut at a tenth of a standard deviation. All paths compete,
-    those inside article or main with a weight; the strongest tells whether the text is inside such an
-    element or not, and the paths of the other kind go. The root is the
-    parent of the strongest path; where it is an element inside body, all of its other paths that
-    aren't aside are kept with it, such as headings and short list items.
+            state = max([own, *(e.own for e in stack if not e.worded)])
+            for e in stack:
+                e.own, e.worded = (PLAIN if e.worded else e.own), False
+        else:
+            state = max(own, paths.state[stack[-1].path] if stack else PLAIN)
+        label = f"{tag}.{'.'.join(kept['class'].split())}" if kept.get("class") else tag
+        stack.append(Open(tag, paths.under(stack[-1].path if stack else 0, tag, label, OUT if skip else state), own, worded))
+        open_tags[tag] += 1
+    texts = ((path, linked[0], " ".join(entities.unescape("".join(parts)).split())) for path, linked, parts in out)
+    return paths, [x for x in texts if x[2]]
+
+
+def path_scores(paths: Paths, found: list[tuple[int, int, str]]) -> dict[int, tuple[float, int]]:
+    """(fused ratio, unlinked characters) of each tag path that isn't out.
+
+    Unlinked text length and punctuation are added up over a path's blocks and divided by their number.
+    Both ratios are smoothed along the page: each block takes its own path's ratio four times and that of
+    the blocks beside it in the same container once, and a path takes the mean of its blocks. Fused they
+    are length * (1 + punctuation), and MARKED_WEIGHT of that where class words mark the path.
+    """
+    sums: dict[int, list[float]] = {}
+    for path, linked, text in found:
+        s = sums.setdefault(path, [0, 0, 0])
+        for i, v in enumerate((max(0, len(text) - linked), len(MARKS.findall(text)), 1)):
+            s[i] += v
+    ratio = {p: (chars / n, marks / n) for p, (chars, marks, n) in sums.items()}
+    smooth = {p: [0.0, 0.0] for p in sums}
+    for i, (path, *_) in enumerate(found):
+        near = [found[j][0] for j in (i - 1, i + 1) if 0 <= j < len(found) and paths.container[found[j][0]] == paths.container[path]]
+        for k in (0, 1):
+            smooth[path][k] += (4 * ratio[path][k] + sum(ratio[p][k] for p in near)) / (4 + len(near))
+    scores = {}
+    for p, (chars, _, n) in sums.items():
+        length, marks = (x / n for x in smooth[p])
+        scores[p] = length * (1 + marks) * (MARKED_WEIGHT if paths.state[p] == MARKED else 1), chars
+    return scores
+
+
+def content(paths: Paths, found: list[tuple[int, int, str]]) -> list[bool]:
+    """Which of the blocks, none of them out, are the article.
+
+    Paths whose fused ratio (``path_scores``) is LEAST_SHARE of the mean or more hold content, the mean
+    being over characters (those of marked paths count by MARKED_WEIGHT). If the strongest of them, by ratio times characters, lies inside article or
+    main, paths outside go, and the other way round. Headings, list items and other parts of a text with low ratios come
+    back if their container holds a content path; so do a heading right before content, and parts
+    between two blocks of content. Marked paths and those that are mostly links don't come back.
     """
-    order: dict[str, list[float]] = {}
-    for path, aside, linked, text in found:
-        if not aside:
-            n = order.setdefault(path, [0, 0, 0, 0])
-            for i, v in enumerate((len(text), len(MARKS.findall(text)), 1, min(linked, len(text)))):
-                n[i] += v
-    if not order:
-        return set()
-
-    def smooth(v: list[float]) -> list[float]:
-        return [(v[max(i - 1, 0)] + 4 * x + v[min(i + 1, len(v) - 1)]) / 6 for i, x in enumerate(v)]
-
-    def rated(order: dict[str, list[float]]) -> tuple[str, list[float]]:
-        sums = list(order.values())
-        lengths = smooth([(n[0] - n[3]) / n[2] for n in sums])
-        marks = smooth([n[1] / n[2] for n in sums])
-        fused = [a * (1 + b) for a, b in zip(lengths, marks)]
-        weight = {p: f * n[2] * (INNER_WEIGHT if INNER.search(p) else 1) for (p, n), f in zip(order.items(), fused)}
-        return max(weight, key=weight.__getitem__), fused
-
-    within = INNER.search(rated(order)[0]) is not None
-    order = {p: n for p, n in order.items() if (INNER.search(p) is not None) == within}
-    best, fused = rated(order)
-    names, sums = list(order), list(order.values())
-    mean = sum(fused) / len(fused)
-    cut = 0.1 * math.sqrt(sum((x - mean) ** 2 for x in fused) / len(fused))
-    kept = {p for p, f, n in zip(names, fused, sums) if f >= cut and n[3] <= 0.5 * n[0]}
-    tail = best.rsplit("/", 1)[-1].split(".")[0]
-    root = best if tail in ("article", "main", "div", "section", "td") else best.rpartition("/")[0]
-    while root.rsplit("/", 1)[-1].split(".")[0] in ("ul", "ol", "dl", "table", "tbody", "tr", "blockquote", "li"):
-        root = root.rpartition("/")[0]
-    if root.rsplit("/", 1)[-1].split(".")[0] not in ("", "body", "html"):
-        kept |= {p for p in names if p == root or p.startswith(root + "/")}
-    return kept | {best}
+    if not found:
+        return []
+    scores = path_scores(paths, found)
+    best = max(scores, key=lambda p: scores[p][0] * (1 + scores[p][1]))
+    weight = {p: c * (MARKED_WEIGHT if paths.state[p] == MARKED else 1) for p, (_, c) in scores.items()}
+    least = LEAST_SHARE * sum(s * weight[p] for p, (s, _) in scores.items()) / (sum(weight.values()) or 1)
+    chosen = {p for p, (s, _) in scores.items() if s >= least and paths.inner[p] == paths.inner[best]} | {best}
+    total, linked = Counter(), Counter()
+    for p, n, text in found:
+        total[p] += len(text)
+        linked[p] += n
+    part = {p for p in scores if (paths.tag[p] in PART or p == paths.container[p]) and 2 * linked[p] <= total[p] and paths.inner[p] == paths.inner[best]}
+    part = {p for p in part if paths.state[p] == paths.state[best] or paths.state[p] == PLAIN}
+    homes = {paths.container[p] for p in chosen}
+    kept = [p in chosen or p in part and paths.container[p] in homes for p, *_ in found]
+    for i in range(len(found) - 2, -1, -1):
+        p = found[i][0]
+        if not kept[i] and p in part and paths.tag[p] in PART and kept[i + 1]:
+            kept[i] = paths.tag[p] in HEADING or i > 0 and kept[i - 1]
+    return kept
 
 
 def main_text(page: str | None) -> str:
     """The article's blocks joined by newlines; empty for a null or empty page or one without text."""
-    found = blocks(page) if page else []
-    paths = content_paths(found)
-    return "\n".join(text for path, aside, _, text in found if not aside and path in paths)
+    paths, found = blocks(page) if page else (None, [])
+    found = [x for x in found if paths.state[x[0]] != OUT]
+    return "\n".join(text for (*_, text), keep in zip(found, content(paths, found)) if keep)
 
 
 def extracted(pages: DataFrame, html: str = "html") -> DataFrame:
     """``pages`` without ``html``, with ``text`` and ``n_chars``, its code points. One pass, no shuffle.
 
-    Pages are whole; a null, empty or textless page gives empty text. Rows and other columns stay, but
-    for columns of the two names, which are replaced.
+    Pages are whole; a null, empty or textless page gives empty text. Time and memory are linear in a page,
+    however deep, long or broken its markup; a page that ends within a tag ends there. Rows, repeats and
+    other columns stay, but for columns of the two names, which are replaced.
     """
     kept = [c for c in pages.columns if c not in (html, "text", "n_chars")]
 

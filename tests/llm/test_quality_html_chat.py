@@ -158,6 +158,90 @@ def test_anchors_and_attribute_values_drop_nothing(tag):
     assert html_text.main_text(page.replace("<article", "<article hidden")) == ""
 
 
+def brute_article(page):
+    """The tag-path method on a well-formed page, by the standard library's parser and path strings."""
+    from html.parser import HTMLParser
+
+    parts = "h1 h2 h3 h4 h5 h6 p ul ol li section blockquote".split()
+    found = []  # (path, container, link letters, text)
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.open, self.link = [], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.link += tag == "a"
+            if tag != "a":
+                self.open.append(tag + "." + dict(attrs).get("class", ""))
+
+        def handle_endtag(self, tag):
+            self.link -= tag == "a"
+            if tag != "a":
+                self.open.pop()
+
+        def handle_data(self, data):
+            if data.strip() and "nav." not in self.open:
+                home = max(i for i, t in enumerate(self.open) if t.split(".")[0] not in parts)
+                found.append((tuple(self.open), tuple(self.open[: home + 1]), len(data) * (self.link > 0), data.strip()))
+
+    Reader().feed(page)
+    of = {p: [x for x in found if x[0] == p] for p, *_ in found}
+    length = {p: sum(len(t) - min(k, len(t)) for *_, k, t in x) / len(x) for p, x in of.items()}
+    marks = {p: sum(len(re.findall("[.,;:!?]", t)) for *_, t in x) / len(x) for p, x in of.items()}
+
+    def smooth(ratio, path):
+        values = []
+        for i, x in enumerate(found):
+            if x[0] == path:
+                near = [found[j][0] for j in (i - 1, i + 1) if 0 <= j < len(found) and found[j][1] == x[1]]
+                values.append((4 * ratio[path] + sum(ratio[n] for n in near)) / (4 + len(near)))
+        return sum(values) / len(values)
+
+    fused = {p: smooth(length, p) * (1 + smooth(marks, p)) for p in of}
+    chars = {p: length[p] * len(x) for p, x in of.items()}
+    least = 0.1 * sum(fused[p] * chars[p] for p in of) / sum(chars.values())
+    homes = {of[p][0][1] for p in of if fused[p] >= least}
+    keep = [fused[p] >= least or home in homes and sum(x[2] for x in of[p]) * 2 <= sum(len(x[3]) for x in of[p]) for p, home, *_ in found]
+    for i in range(len(found) - 2, -1, -1):
+        tag = found[i][0][-1].split(".")[0]
+        if not keep[i] and keep[i + 1] and tag in parts and not found[i][2]:
+            keep[i] = tag[0] == "h" or i > 0 and keep[i - 1]
+    return "\n".join(x[3] for x, k in zip(found, keep) if k)
+
+
+def test_the_ratios_choose_the_paths():
+    """On pages without article or main, against a brute-force version of the method; the ratios decide."""
+    rng, words = random.Random(11), "some words of a text that goes on for long".split()
+    say = lambda n, end: " ".join(rng.choice(words) for _ in range(n)) + end
+    for _ in range(60):
+        menu = "".join(f"<li><a>{say(2, '')}</a></li>" for _ in range(rng.randint(2, 6)))
+        junk = "".join(f"<div class='k{rng.randrange(3)}'>{say(rng.randint(1, 3), '')}</div>" for _ in range(rng.randint(1, 4)))
+        body = "".join(rng.choice([f"<p>{say(rng.randint(15, 60), ', ') + say(9, '.')}</p>", f"<h2>{say(3, '')}</h2>", f"<ul><li>{say(2, '')}</li><li>{say(3, '')}</li></ul>"]) for _ in range(12))
+        first, last = (f"<p>{say(40, ', ')}{say(9, '.')}</p>" for _ in range(2))
+        page = f"<html><body><nav>{say(40, '.')}</nav><ul>{menu}</ul><div class='t'><h1>{say(4, '')}</h1></div><div class='b'>{first}{body}<div class='x'><div class='y'>junk</div></div>{last}</div>{junk}</body></html>"
+        got = html_text.main_text(page)
+        assert got == brute_article(page)
+        assert "junk" not in got and got.count("\n") >= 2
+        without = "\n".join(x[2] for p, found in [html_text.blocks(page)] for x in found if p.state[x[0]] != html_text.OUT)
+        assert got != without
+
+
+def test_adverts_in_inline_elements_and_junk_in_articles_go():
+    page = f"<body><span class='share'>Share it</span><article>{LONG}<div class=zz><div class=qq>junk</div></div><p>It ends <span class='advert'>BUY NOW</span> <span style='display: none'>HID</span>here.</p></article></body>"
+    assert html_text.main_text(page) == PLAIN + "\nIt ends here."
+    assert html_text.main_text("<p>Kept, <span class=ad>a <span>b</span> c</span>too.<p>And <i hidden>not</i> <b>this</b>.") == "Kept, too.\nAnd this."
+
+
+@pytest.mark.parametrize("page", ["<div>x" * 100_000, "<p>hello " + "<a " * 200_000, "<center><li>x" * 50_000, "<!" * 200_000, "<a b='" * 50_000 + '<a c="' * 50_000, "<center>" * 2000 + "</x>" * 50_000])
+def test_hostile_pages_take_linear_time(page):
+    import time
+
+    start = time.time()
+    html_text.main_text(page)
+    assert time.time() - start < 10
+
+
 def test_articles_of_the_small_table(spark):
     from slicewise.llm import queries
 
