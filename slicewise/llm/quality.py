@@ -470,7 +470,11 @@ def quality(
         F.exp(low).alias("lower"), F.exp(high).alias("upper"), kept.alias("kept"))
 
 
-def keep_good(docs: DataFrame, id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` that ``quality`` keeps; rows with one id and text share their verdict."""
-    good = quality(docs, id=id, text=text, **how).where("kept").select(F.col(id).alias("_good_id"), F.col("digest").alias("_good_digest")).distinct()
-    return docs.join(good, F.col(id).cast("long").eqNullSafe(F.col("_good_id")) & (F.xxhash64(text) == F.col("_good_digest")), "left_semi")
+def keep_good(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", **how) -> DataFrame:
+    """The rows of ``docs`` that ``quality`` keeps, with all their columns; rows with one text and language
+    share their verdict."""
+    good = quality(docs, id, text, lang, **how).where("kept").select(F.col(lang).alias("good_lang"), F.col("digest").alias("good_digest")).distinct()
+    columns = [f"c{i}" for i in range(len(docs.columns))]
+    own_text, own_lang = (F.col(columns[docs.columns.index(c)]) for c in (text, lang))
+    kept = docs.toDF(*columns).join(good, (F.xxhash64(own_text) == F.col("good_digest")) & own_lang.cast("string").eqNullSafe(F.col("good_lang")), "left_semi")
+    return kept.toDF(*docs.columns)

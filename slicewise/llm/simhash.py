@@ -109,7 +109,7 @@ def prefix(h: np.ndarray, frequency: np.ndarray, least: float) -> np.ndarray:
 
 
 def prefixed(docs: DataFrame, shingle: int, lanes: int, least: float) -> DataFrame:
-    """(_id, fingerprint of the distinct shingles, prefix) for each row of (_id, text)."""
+    """(_id, digest, fingerprint of the distinct shingles, prefix) for each row of (_id, digest, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(rarity(docs, "text", shingle))
 
     def work(batches):
@@ -117,9 +117,9 @@ def prefixed(docs: DataFrame, shingle: int, lanes: int, least: float) -> DataFra
             sets = [np.unique(shingle_hashes(x.as_py(), shingle)) for x in b["text"]]
             keys = [prefix(h, shared.value, least).view(np.int64) for h in sets]
             yield pa.RecordBatch.from_arrays(
-                [b["_id"], pa.array([fingerprint(h, lanes) for h in sets], pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))], names=["_id", "fingerprint", "prefix"])
+                [b["_id"], b["digest"], pa.array([fingerprint(h, lanes) for h in sets], pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))], names=["_id", "digest", "fingerprint", "prefix"])
 
-    return docs.select("_id", "text").mapInArrow(work, "_id long, fingerprint array<long>, prefix array<long>")
+    return docs.select("_id", "digest", "text").mapInArrow(work, "_id long, digest long, fingerprint array<long>, prefix array<long>")
 
 
 def block_keys(lanes: int, blocks: int, share: int) -> Column:
@@ -197,79 +197,65 @@ def alike_edges(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.nd
 
 
 def confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame, least: float, shingle: int, lanes: int, tile: int) -> DataFrame:
-    """Edges (a, b) that span the documents with alike shingle sets, within the candidate ``groups``.
+    """Edges (a, b) that span the classes with alike shingle sets, within the candidate ``groups``.
 
-    ``docs`` has _id and text, ``classes`` a rep and its fingerprint, ``groups`` the nodes (reps) that met
-    another and their component. Only the texts of those are read again; each is reduced to the sorted
-    32-bit hashes of its distinct shingles. Groups are small, or cut into tiles.
+    ``docs`` has _id, digest and text, ``classes`` a node, its fingerprint and its first document (_id,
+    digest), ``groups`` the nodes that met another and their component. Only the texts of those documents
+    are read again; each is reduced to the sorted 32-bit hashes of its distinct shingles. Groups are small,
+    or cut into tiles.
     """
-    members = groups.join(classes, F.col("node") == F.col("rep")).select(F.col("component").alias("key"), "rep", "fingerprint")
-    members = numbered(members, "key", tile, "rep")
-    names = ["key", "rep", "tiles", "tile"]
+    members = groups.join(classes.select("node", "first"), "node").select(F.col("component").alias("key"), "node", "first")
+    members = numbered(members, "key", tile, "node").select("*", F.col("first._id").alias("_first_id"), F.col("first.digest").alias("_first_digest")).drop("first")
+    names = ["key", "node", "tiles", "tile"]
 
     def reduce(batches):
         for b in batches:
-            rows, sets = [], []
-            for i, (text, want) in enumerate(zip(b["text"], b["fingerprint"].to_pylist())):
-                h = np.unique(shingle_hashes(text.as_py(), shingle))
-                if fingerprint(h, lanes) == want:  # a row that has the id but another text is of another class
-                    rows.append(i)
-                    sets.append(np.unique((h >> np.uint64(32)).astype(np.uint32)).view(np.int32))
-            kept = b.select(names).take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(sets, pa.list_(pa.int32()))], names=[*names, "shingles"])
-
-    texts = docs.join(members, F.col("_id") == F.col("rep")).select(*names, "fingerprint", "text")
-    cells = dealt(texts.mapInArrow(reduce, "key long, rep long, tiles int, tile int, shingles array<int>"))
+            sets = [np.unique(shingle_hashes(x.as_py(), shingle) >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in b["text"]]
+            yield pa.RecordBatch.from_arrays([*b.select(names).columns, pa.array(sets, pa.list_(pa.int32()))], names=[*names, "shingles"])
+
+    texts = docs.join(members, F.col("_id").eqNullSafe(F.col("_first_id")) & (F.col("digest") == F.col("_first_digest"))).select(*names, "text")
+    cells = dealt(texts.mapInArrow(reduce, "key long, node long, tiles int, tile int, shingles array<int>"))
     parts = ["key", "tile_a", "tile_b"]
 
     def verify(batches):
         for t in runs_of(batches, parts):
             key = np.stack([t[c].to_numpy().astype(np.int64) for c in parts])
             cuts = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0), True]).tolist()
-            rep, out = t["rep"].to_numpy(), [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
+            node, out = t["node"].to_numpy(), [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
             shingles = t["shingles"].combine_chunks()
             flat, ends = shingles.flatten().to_numpy().view(np.uint32), np.cumsum(np.asarray(pc.list_value_length(shingles)))
             sets = np.split(flat, ends[:-1])
             for s, e in zip(cuts, cuts[1:]):
                 for column, at in zip(out, alike_edges(sets[s:e], least)):
-                    column.append(rep[s + at])
+                    column.append(node[s + at])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], ["a", "b"])
 
-    met = cells.select(*parts, "rep", "shingles").repartition(*parts).sortWithinPartitions(*parts)
+    met = cells.select(*parts, "node", "shingles").repartition(*parts).sortWithinPartitions(*parts)
     return met.mapInArrow(verify, "a long, b long")
 
 
-def near_duplicates(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, lanes: int = 1,
-    max_bits: int = 4, blocks: int = 6, share: int = 2, tile: int = 4096,
-    similarity: float | None = None,
+def grouped(
+    docs: DataFrame, id: str, text: str, shingle: int, lanes: int, max_bits: int, blocks: int, share: int, tile: int, similarity: float | None,
 ) -> DataFrame:
-    """(id, fingerprint array, component_id) for each row; documents within ``max_bits`` bits are linked.
+    """(_id, digest, fingerprint, first) for each row; ``first`` is the first document (_id, digest) of its group.
 
-    With ``similarity`` these links only propose: documents are one class where their sets of shingles
-    have this Jaccard similarity or more, looked for within each group of proposed links; documents with
-    equal fingerprints stay one class. Fingerprints are then of the distinct shingles, and documents meet on
-    the rarest of them (``prefix``) instead of blocks, which no pair of this similarity can miss;
-    ``max_bits`` should be wide, as it alone can lose a pair.
-
-    Equal fingerprints collapse first, so copies cost one row each. Distinct ones meet on their block
-    keys, are verified by Hamming distance, and give the edges that span each cell; components follow.
-    Hot keys are cut into tiles (``in_tiles``). Null and empty texts have the zero fingerprint and are
-    linked like any other. A null id keeps its row, and its class is named by the smallest id there is
-    (null if there is none); rows with one id are each returned. Other columns are ignored.
+    The smallest id is first, then the smallest digest; null ids are last. Groups as in ``near_duplicates``.
     """
-    source = docs.select(F.col(id).cast("long").alias("_id"), F.col(text).alias("text"))
+    source = docs.select(F.col(id).cast("long").alias("_id"), F.xxhash64(text).alias("digest"), F.col(text).alias("text"))
     fp = checkpointed(fingerprints(source, "text", shingle, lanes) if similarity is None else prefixed(source, shingle, lanes, similarity))
-    classes = fp.groupBy("fingerprint").agg(F.min("_id").alias("rep")).where("rep is not null")
+    own = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "digest")).alias("first")
     if similarity is None:
-        keyed = classes.select("rep", "fingerprint", F.explode(block_keys(lanes, blocks, share)).alias("key"))
+        found = fp.groupBy("fingerprint").agg(own)
     else:
-        own = classes.withColumnRenamed("fingerprint", "_fp")
-        firsts = fp.join(own, (F.col("_id") == F.col("rep")) & (F.col("fingerprint") == F.col("_fp"))).dropDuplicates(["rep"])
-        keyed = firsts.select("rep", F.explode("prefix").alias("key")).repartition("key")
+        found = fp.groupBy("fingerprint").agg(own, F.min_by("prefix", "digest").alias("prefix"))
+    classes = checkpointed(found.withColumn("node", F.monotonically_increasing_id()))
+    if similarity is None:
+        keyed = classes.select("node", "fingerprint", F.explode(block_keys(lanes, blocks, share)).alias("key"))
+    else:
+        keyed = classes.select("node", F.explode("prefix").alias("key")).repartition("key")
         several = keyed.groupBy("key").count().where("count > 1").select("key")
-        keyed = checkpointed(keyed.join(several, "key", "left_semi")).join(classes, "rep")
-    cells = in_tiles(keyed, "key", tile, "rep")
+        keyed = checkpointed(keyed.join(several, "key", "left_semi")).join(classes.select("node", "fingerprint"), "node")
+    cells = in_tiles(keyed, "key", tile, "node")
     parts = ["key", "tile_a", "tile_b"]
 
     def verify(batches):
@@ -277,7 +263,7 @@ def near_duplicates(
             key = np.stack([t[c].to_numpy().astype(np.int64) for c in parts])
             starts = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0)])
             bits = t["fingerprint"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, lanes)
-            rep, out_a, out_b = t["rep"].to_numpy(), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            node, out_a, out_b = t["node"].to_numpy(), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             ends = np.r_[starts[1:], t.num_rows]
             size = ends - starts
             for k in np.unique(size[(size > 1) & (size <= SMALL)]).tolist():  # all runs of one size at once
@@ -286,26 +272,62 @@ def near_duplicates(
                 for i in range(0, len(own), max(1, 500_000 // len(left))):
                     a, b = (((own[i : i + max(1, 500_000 // len(left)), None]) + side).reshape(-1) for side in (left, right))
                     near = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64) <= max_bits
-                    out_a.append(rep[a[near]])
-                    out_b.append(rep[b[near]])
+                    out_a.append(node[a[near]])
+                    out_b.append(node[b[near]])
             for s, e in zip(starts[size > SMALL].tolist(), ends[size > SMALL].tolist()):
                 a, b = near_edges(bits[s:e], max_bits)
-                out_a.append(rep[s + a])
-                out_b.append(rep[s + b])
+                out_a.append(node[s + a])
+                out_b.append(node[s + b])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (out_a, out_b)], ["a", "b"])
 
-    edges = cells.repartition(*parts).sortWithinPartitions(*parts).select(*parts, "rep", "fingerprint").mapInArrow(verify, "a long, b long")
+    edges = cells.repartition(*parts).sortWithinPartitions(*parts).select(*parts, "node", "fingerprint").mapInArrow(verify, "a long, b long")
     found = connected_components(edges)
     if similarity is not None:
         found = connected_components(confirmed(source, classes, found, similarity, shingle, lanes, max(1, tile // 4)))
-    named = classes.join(found, F.col("rep") == F.col("node"), "left").select(
-        F.col("fingerprint").alias("_fp"), F.coalesce("component", "rep").alias("component_id"))
-    return fp.join(named, F.col("fingerprint") == F.col("_fp"), "left").select(
-        F.col("_id").alias(id), "fingerprint", "component_id")
+    named = classes.select("node", "fingerprint", "first").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    firsts = named.groupBy("component").agg(F.min("first").alias("first"))
+    named = named.drop("first").join(firsts, "component").select(F.col("fingerprint").alias("_fp"), "first")
+    return fp.join(named, F.col("fingerprint") == F.col("_fp")).select("_id", "digest", "fingerprint", "first")
 
 
-def keep_first(docs: DataFrame, id: str = "doc_id", **how) -> DataFrame:
-    """``docs`` without those whose group of near-duplicates has a smaller id; rows without an id stay."""
-    found = near_duplicates(docs, id=id, **how)
-    later = found.where(F.col("component_id") < F.col(id)).select(id).distinct()
-    return docs.join(later, id, "left_anti").select(*docs.columns)
+def near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, lanes: int = 1,
+    max_bits: int = 4, blocks: int = 6, share: int = 2, tile: int = 4096,
+    similarity: float | None = None,
+) -> DataFrame:
+    """(id, fingerprint array, component_id) for each row; documents within ``max_bits`` bits are linked.
+
+    With ``similarity`` these links only propose: documents are one class where their sets of shingles
+    have this Jaccard similarity or more, looked for within each group of proposed links; documents with
+    equal fingerprints stay one class. Fingerprints are then of the distinct shingles, and documents meet on
+    the rarest of them (``prefix``) instead of blocks, which no pair of this similarity can miss;
+    ``max_bits`` should be wide, as it alone can lose a pair.
+
+    Equal fingerprints collapse first, so copies cost one row each. Distinct ones meet on their block
+    keys, are verified by Hamming distance, and give the edges that span each cell; components follow.
+    Hot keys are cut into tiles (``in_tiles``). Null and empty texts have the zero fingerprint and are
+    linked like any other. A null id keeps its row, and its class is named by the smallest id there is
+    (null if there is none); rows with one id, of one text or several, are each returned with their own
+    class. Other columns are ignored.
+    """
+    found = grouped(docs, id, text, shingle, lanes, max_bits, blocks, share, tile, similarity)
+    return found.select(F.col("_id").alias(id), "fingerprint", F.col("first._id").alias("component_id"))
+
+
+def keep_first(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, lanes: int = 1, max_bits: int = 4, blocks: int = 6, share: int = 2,
+    tile: int = 4096, similarity: float | None = None,
+) -> DataFrame:
+    """``docs`` with one document of each group of ``near_duplicates``: that with the smallest id.
+
+    Ids may be null or shared by unlike texts: verdicts are by id and text. Null ids come last, so such a
+    document stays only if its group has no other; of equal ids the text with the smallest hash stays. Rows
+    that repeat both id and text are one document and share its verdict. All columns are kept as they are.
+    """
+    found = grouped(docs, id, text, shingle, lanes, max_bits, blocks, share, tile, similarity)
+    later = found.where(~(F.col("_id").eqNullSafe(F.col("first._id")) & (F.col("digest") == F.col("first.digest")))).select("_id", "digest").distinct()
+    columns = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*columns)
+    own_id, own_text = (F.col(columns[docs.columns.index(c)]) for c in (id, text))
+    kept = rows.join(later, own_id.cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(own_text) == F.col("digest")), "left_anti")
+    return kept.toDF(*docs.columns)

@@ -312,3 +312,35 @@ def test_the_pipelines_last_table_has_the_token_ids(spark):
     docs = spark.createDataFrame([(i, "some words to pack " * (i + 1), "en", "s", 9) for i in range(5)], "doc_id long, text string, lang string, source string, n_chars long")
     for r in corpus_pipeline.pack(spark, docs, "").collect():
         assert len(r.ids) == 4 * r.length > 0 and zlib.crc32(bytes(r.ids)) == r.ids_crc32
+
+
+def test_stages_lose_no_rows_for_their_ids_and_keep_clashing_columns(spark):
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    text = [prose(rng, 120, "abcdefgh") for _ in range(60)]
+    near = " ".join(text[0].split()[:-1] + ["changed"])
+    rows = [(i, t) for i, t in enumerate(text)] + [(7, text[0]), (7, near), (7, prose(rng, 120, "abcdefgh")), (None, prose(rng, 120, "abcdefgh")), (None, text[3]), (70, near), (70, near)]
+    own = ["n_words", "n_removed", "kept_text", "removed", "digest", "first", "node", "batch", "good_digest", "c0", "column3"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} int" for c in own)
+    docs = spark.createDataFrame([(i, t, "xx", "s", len(t), *range(700, 700 + len(own))) for i, t in rows], schema)
+    stages = dict(corpus_pipeline.STAGES)
+    good = stages["quality_rules"](spark, docs, "")
+    assert good.columns == docs.columns and sorted(map(str, good.collect())) == sorted(map(str, docs.collect()))
+    once = stages["near_dedup"](spark, docs, "")
+    assert once.columns == docs.columns
+    lost = [(7, text[0]), (7, near), (None, text[3]), (70, near), (70, near)]
+    assert sorted((str(r.doc_id), r.text) for r in once.collect()) == sorted((str(i), t) for i, t in rows if (i, t) not in lost)
+    cut = stages["substring_dedup"](spark, docs, "")
+    assert cut.columns == docs.columns
+    assert all(tuple(r)[5:] == tuple(range(700, 700 + len(own))) for df in (once, cut) for r in df.collect())
+    whole = {(str(r.doc_id), r.text) for r in cut.collect()}
+    assert {(str(i), t) for i, t in rows[:60]} <= whole and ("None", text[3]) not in whole
+    for name, stage in stages.items():
+        if name != "packing":
+            assert stage(spark, docs.limit(0), "").count() == 0
+    empty = spark.createDataFrame([(1, None), (2, ""), (None, None), (3, " ")], "doc_id long, text string").selectExpr("*", "'xx' lang", "'s' source", "0L n_chars")
+    assert stages["quality_rules"](spark, empty, "").count() == 0
+    assert [r.doc_id for r in stages["near_dedup"](spark, empty, "").collect()] == [1]
+    assert stages["substring_dedup"](spark, empty, "").count() == 4
+    assert stages["packing"](spark, empty, "").count() == 4 and stages["packing"](spark, empty.limit(0), "").count() == 0
