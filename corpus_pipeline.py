@@ -11,7 +11,12 @@ from slicewise.llm.common import stored, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or their language's perplexity band reject go; the rest are unchanged."""
+    """Documents that the base rules or their language's perplexity band reject go; the rest are unchanged.
+
+    Null and empty texts have no words and go. A null language is a language of its own. Verdicts are by
+    text and language, so rows with a null or repeated id are judged like others. An empty table stays empty;
+    further columns, whatever their names, are kept as they are.
+    """
     return quality.keep_good(docs)
 
 
@@ -22,6 +27,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     their rarest shingles, as many that no such pair can miss. Fingerprints of 512 bits over the distinct
     shingles propose links there: about 78 bits differ at 0.8 and about 256 between unlike texts, and pairs
     within 160 (some ten deviations more than 78) are verified by their shingles.
+
+    Verdicts are by doc_id and text: unlike texts with one id are documents of their own; rows that repeat
+    both share a verdict. A null id is larger than every other. Null and empty texts are one group. An empty
+    table stays empty; further columns, whatever their names, are kept as they are.
     """
     return simhash.keep_first(docs, shingle=5, lanes=8, max_bits=160, similarity=0.8)
 
@@ -30,20 +39,28 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more that a document with a smaller doc_id has too are cut out.
 
     A document that loses words has the others joined by one space as its text, and its n_chars is
-    counted anew; one that loses all goes. Other documents are unchanged.
+    counted anew; one that loses all goes. Other documents are unchanged, null and empty texts too. A null
+    doc_id is larger than every other; rows with equal ids don't cut each other. An empty table stays empty;
+    further columns, whatever their names, are kept as they are.
     """
-    cut = substring_dedup.substring_dedup(docs, window=50, block=25)
+    own = ("doc_id", "text", "n_chars")
+    names = [c if c in own else f"column{i}" for i, c in enumerate(docs.columns)]  # the operator adds columns
+    cut = substring_dedup.substring_dedup(docs.toDF(*names), window=50, block=25)
     changed = F.col("n_removed") > 0
     return (
         cut.where(~changed | (F.col("n_removed") < F.col("n_words")))
         .withColumn("text", F.when(changed, F.col("kept_text")).otherwise(F.col("text")))
         .withColumn("n_chars", F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("n_chars")))
-        .select(*docs.columns)
+        .select(*names).toDF(*docs.columns)
     )
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents packed into sequences of at most 2048 tokens; one row for each piece, with its ids."""
+    """Whole documents packed into sequences of at most 2048 tokens; one row for each piece, with its ids.
+
+    A null or empty text is one piece with the end id alone. Rows with a null or repeated doc_id are packed
+    as rows. An empty table gives none. Columns but doc_id and text are not part of the result.
+    """
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, with_ids=True)
 
 
