@@ -16,26 +16,56 @@ from slicewise.llm.components import connected_components, spanning
 SEED = 7
 
 
+#: Pairs of random unit vectors that a code is calibrated on, and how many are scored at a time.
+PAIRS, STEP = 600, 50
+
+
 class CapFilters:
     """code * code filter directions in ``dim`` dimensions: every pair of a word of one random code for
     the first half of the rotated axes and one of another for the second half.
 
-    ``threshold`` is what a random unit vector's score exceeds for about ``each`` filters (the mean of
-    the each-th best score of random vectors); it depends on the parameters, not on data.
+    ``each`` is about how many filters a vector exceeds. It is the least power of two (or the half between
+    two) by which a share ``recall`` of random pairs at cosine ``cosine`` meets in a filter, so it rises
+    slowly with the code. ``threshold`` is what a random unit vector's score exceeds for about ``each``
+    filters (the mean of the each-th best score of random vectors). Both depend on the parameters, not on
+    data, and are drawn from a fixed seed.
     """
 
-    def __init__(self, dim: int, code: int, each: int):
+    def __init__(self, dim: int, code: int, cosine: float, recall: float, least: int):
         rng = np.random.default_rng(SEED + dim)
-        self.dim, self.wide, self.code, self.each = dim, max(2, dim + dim % 2), code, each
+        self.dim, self.wide, self.code = dim, max(2, dim + dim % 2), code
         self.turn = np.linalg.qr(rng.standard_normal((self.wide, self.wide)))[0]
         half = self.wide // 2
         self.words = [v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.standard_normal((2, code, half))]
-        probe = rng.standard_normal((400, dim))
-        probe /= np.linalg.norm(probe, axis=1, keepdims=True)
-        best = [np.sort(s, axis=1)[:, ::-1][:, :each] for s in self.scores(probe)]
-        sums = (best[0][:, :, None] + best[1][:, None, :]).reshape(len(probe), -1)
-        k = min(each, sums.shape[1])
-        self.threshold = float(np.partition(sums, -k, axis=1)[:, -k].mean())
+        probes = [self.pairs(rng, STEP, cosine) for _ in range(PAIRS // STEP)]
+        most = min(512, code * code)
+        best = np.concatenate([self.best_sums(a, most) for a, _ in probes])
+        for self.each in (e for k in range(3, 9) for e in (1 << k, 3 << k - 1)):
+            self.threshold = float(best[:, min(self.each, most) - 1].mean())
+            self.met = self.meeting(probes, least)
+            if self.met >= recall or self.each >= most:
+                break
+
+    def pairs(self, rng: np.random.Generator, n: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+        """n pairs of random unit vectors at the given cosine (as near as one dimension allows)."""
+        a, b = rng.standard_normal((2, n, self.dim))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        b -= (a * b).sum(axis=1, keepdims=True) * a
+        b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-300)
+        b = cosine * a + np.sqrt(1 - cosine**2) * b
+        return a, b / np.linalg.norm(b, axis=1, keepdims=True)
+
+    def best_sums(self, unit: np.ndarray, most: int) -> np.ndarray:
+        """The ``most`` best scores of each vector, falling."""
+        first, second = (-np.sort(-s, axis=1)[:, :most] for s in self.scores(unit))
+        # the k-th best sum pairs ranks i, j with i * j <= k
+        i, j = np.nonzero(np.outer(np.arange(1, first.shape[1] + 1), np.arange(1, second.shape[1] + 1)) <= most)
+        return -np.sort(-(first[:, i] + second[:, j]), axis=1)[:, :most]
+
+    def meeting(self, probes: list[tuple[np.ndarray, np.ndarray]], least: int) -> float:
+        """The share of pairs that have a filter in common."""
+        hits = [len(np.intersect1d(x, y)) > 0 for a, b in probes for x, y in zip(self.decoded(a, least), self.decoded(b, least))]
+        return float(np.mean(hits))
 
     def scores(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         x = np.zeros((len(unit), self.wide))
@@ -69,8 +99,8 @@ class CapFilters:
 
 
 @lru_cache(maxsize=8)
-def cap_filters(dim: int, code: int, each: int) -> CapFilters:
-    return CapFilters(dim, code, each)
+def cap_filters(dim: int, code: int, cosine: float, recall: float, least: int) -> CapFilters:
+    return CapFilters(dim, code, cosine, recall, least)
 
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
@@ -96,18 +126,19 @@ def first_met(i: np.ndarray, j: np.ndarray, filters: list[np.ndarray], at: int)
 
 def near_vectors(
     vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", least_cosine: float = 0.95,
-    each: int = 16, least: int = 6, tile: int = 1024,
+    recall: float = 0.97, least: int = 6, tile: int = 1024,
 ) -> DataFrame:
     """(id, n_links, component_id, kept) for each row; vectors with cosine >= ``least_cosine`` are linked.
 
     Equal vectors collapse to one class first; a class is linked within itself. Each class is decoded to
-    all of about ``each`` spherical-cap filters that it exceeds (its ``least`` best at least), classes
+    all spherical-cap filters that it exceeds (its ``least`` best at least), as many that random pairs at
+    ``least_cosine`` meet with a chance of ``recall`` or more at any number of classes; closer pairs meet more often. Classes
     meet on filters, and pairs are verified in double precision. A pair counts in the first filter that
     it shares, so that n_links, weighted by class sizes, counts each link once. Hot filters are cut
     into tiles; a cell returns link counts and the edges that span it, never its pairs.
 
     The number of filters follows the number of classes, about four classes to a filter direction, so
-    buckets stay at about 4 * ``each`` vectors at every size. A pair is missed if it shares no filter;
+    buckets stay at about four times a vector's filters at every size. A pair is missed if it shares no filter;
     the README has the measured recall. Vectors that are null, empty, zero, or hold null or non-finite
     components link with nothing, nor do rows with a null id (component_id null) or vectors of unlike
     length; they are all kept. Rows with equal ids each count and share n_links if their vectors are
@@ -128,7 +159,7 @@ def near_vectors(
             for dim in np.unique(sizes).tolist():
                 at = np.flatnonzero(sizes == dim)
                 unit = unit_rows(flat[starts[at][:, None] + np.arange(dim)])
-                for i, f in zip(at.tolist(), cap_filters(dim, code, each).decoded(unit, least)):
+                for i, f in zip(at.tolist(), cap_filters(dim, code, least_cosine, recall, least).decoded(unit, least)):
                     found[i] = f + dim * code * code  # vectors of unlike length never share a filter
             yield pa.RecordBatch.from_arrays([b["node"], b["copies"], b["v"], pa.array(found, pa.list_(pa.int64()))], names=["node", "copies", "v", "filters"])
 
