@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -85,6 +87,16 @@ def dealing(total: int, batch_bytes: int | None) -> tuple[int, int]:
     return batches, 1 << max(0, (batches // 4).bit_length())
 
 
+def batch_number(id: str, text: str, batches: int) -> Column:
+    """Column ``batch`` of a row, by its content; rows that repeat another are spread over 64 batches.
+
+    The row number that spreads them is that of the scan, the same when a lost executor's work is done again;
+    a table that isn't read from files should be written first (the pipeline's stages are).
+    """
+    salt = F.monotonically_increasing_id().bitwiseAND(F.lit(63))
+    return F.pmod(F.xxhash64(id, text, salt), F.lit(batches)).cast("int").alias("batch")
+
+
 def group_ids(table: pa.Table) -> np.ndarray:
     return table["id"].combine_chunks().fill_null(NO_ID).to_numpy()
 

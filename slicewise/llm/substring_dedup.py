@@ -87,7 +87,7 @@ def substring_dedup(
             "removed": T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())]))}
     rest = [c for c in docs.columns if c not in (id, text, *made)]
     dealt = docs.select(
-        F.pmod(F.xxhash64(id, text), F.lit(batches)).cast("int").alias("batch"), F.col(id).cast("long").alias("id"),
+        P.batch_number(id, text, batches), F.col(id).cast("long").alias("id"),
         F.col(text).alias("text"), F.struct(F.lit(0).alias("_none"), *rest).alias("rest"),
     )
     sent, answer = "bucket int, batch int, blob array<binary>", "batch int, bucket int, round int, bits binary"

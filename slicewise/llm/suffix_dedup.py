@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from slicewise.llm import passages as P
 
 ANCHOR_BITS = 48
+#: Suffixes with one gram that are compared in one task. Those of a more frequent gram are told apart by their windows.
+HOT = 4096
+DEAD, LIVE, SPLIT = 0, 1, 2
 
 
 def sliding(values: np.ndarray, n: int, pick) -> np.ndarray:
@@ -26,7 +29,8 @@ class Suffixes:
     """The retained suffixes of a batch: positions whose gram is the least in some window of ``window`` words.
 
     ``at`` are their word positions, ``key`` the distinct 48-bit gram hashes in order, ``entry`` the
-    place of each suffix among them, ``several`` whether documents with different ids have the gram.
+    place of each suffix among them, ``several`` whether documents with different ids have the gram,
+    ``count`` how many suffixes have it.
     """
 
     def __init__(self, words: P.Words, ids: np.ndarray, window: int, gram: int, buckets: int):
@@ -48,14 +52,35 @@ class Suffixes:
         self.cuts = P.cut_at_buckets(self.key, buckets, ANCHOR_BITS)
         owner = ids[words.doc[self.at]][order]
         self.several = np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts) if len(starts) else np.zeros(0, bool)
+        self.count = np.minimum(np.diff(np.append(starts, len(order))), HOT + 1).astype(np.uint16)
+
+
+class Windows:
+    """The distinct windows of a batch around its suffixes of split grams, sorted: ``high`` and ``low`` (64 and
+    32 bits of hash) and ``least``, the smallest id that has one; ``at`` and ``entry`` place each occurrence."""
+
+    def __init__(self, s: Suffixes, verdict: np.ndarray, window: int, gram: int, buckets: int):
+        words = s.words
+        h, inside = words.rolling(window, 9)
+        ends = np.zeros(len(words.hash) + 1, np.int64)
+        suffix = s.at[verdict[s.entry] == SPLIT]
+        np.add.at(ends, np.maximum(suffix - (window - gram), 0), 1)  # a window holds the whole gram
+        np.add.at(ends, suffix + 1, -1)
+        at = np.flatnonzero((np.cumsum(ends)[: len(h)] > 0) & inside)
+        high, low = h[at], (words.rolling(window, 10)[0][at] >> np.uint64(32)).astype(np.uint32)
+        order, starts, self.entry = P.runs(high, low)
+        self.at, self.high, self.low = at, high[order[starts]], low[order[starts]]
+        self.owner = s.ids[words.doc[at]]
+        self.least = np.minimum.reduceat(self.owner[order], starts) if len(starts) else np.zeros(0, np.int64)
+        self.cuts = P.cut_at_buckets(self.high, buckets, 64)
 
 
 class Contexts:
     """The distinct live suffixes of a batch with ``left`` words before them and ``window`` from them on,
     as 32-bit hashes (0 beyond the document), and ``least``, the smallest id that has each."""
 
-    def __init__(self, s: Suffixes, live: np.ndarray, window: int, gram: int, buckets: int):
-        words, self.left = s.words, window - gram
+    def __init__(self, s: Suffixes, verdict: np.ndarray, window: int, gram: int, buckets: int):
+        words, self.left, live = s.words, window - gram, verdict == LIVE
         self.at = s.at[live[s.entry]]
         place = self.at[:, None] + np.arange(-self.left, window)
         first, end = words.first[words.doc[self.at]], words.first[words.doc[self.at] + 1]
@@ -84,11 +109,13 @@ def shared_windows(gram: np.ndarray, around: np.ndarray, least: np.ndarray, left
     for each o.
     """
     window = around.shape[1] - left
+    if not len(gram):
+        return np.zeros((0, left + 1), bool), np.zeros(0, np.int64)
     right = np.ascontiguousarray(around[:, left:].astype(">u4"))
     order = np.lexsort((np.arange(len(gram)), right.view(f"V{4 * window}").reshape(-1).argsort(kind="stable").argsort(), gram))
     g, r = gram[order], right[order]
     same = (r[1:] == r[:-1]) & (g[1:] == g[:-1])[:, None]
-    common = np.append(0, np.where(same.all(axis=1), window, same.argmin(axis=1)) if len(g) > 1 else [])
+    common = np.append(0, np.where(same.all(axis=1), window, same.argmin(axis=1)))
     own = least[order]
     before = np.zeros(len(g), np.uint64)
     found, source = np.zeros((len(g), left + 1), bool), np.full(len(g), P.NO_ID)
@@ -106,7 +133,7 @@ def shared_windows(gram: np.ndarray, around: np.ndarray, least: np.ndarray, left
 
 
 def repeated_passages(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 50, gram: int = 12, batch_bytes: int | None = None,
+    docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = 50, gram: int = 12, batch_bytes: int | None = None, hot_suffixes: int = HOT,
 ) -> DataFrame:
     """(id, start, n_words, first_id): each maximal run of words that lie in windows of ``window`` words which
     a document with a smaller id has too; ``first_id`` is the smallest such id met in the run.
@@ -116,7 +143,9 @@ def repeated_passages(
     about 2 of window - gram + 2 suffixes stay. In rounds between document batches and hash buckets (see
     ``substring_dedup``): grams that several documents have are found; only their suffixes travel, with
     the words around them as hashes, once for each distinct context of a batch; buckets sort them, compare
-    neighbours and extend matches left and right; batches join the windows to maximal runs.
+    neighbours and extend matches left and right; batches join the windows to maximal runs. The suffixes of
+    one gram meet in one bucket, so a gram of more than HOT suffixes is split: for its suffixes the windows
+    around them travel as hashes of their own, each to its own bucket, and the smallest id answers.
 
     Null, empty and short texts have no passages. Repeats within one document, or between rows with equal
     ids, don't count. A null id is larger than every other. Other columns are ignored. Words beside a
@@ -125,72 +154,88 @@ def repeated_passages(
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     batches, buckets = P.dealing(total, batch_bytes)
     left = window - gram
-    dealt = docs.select(F.pmod(F.xxhash64(id, text), F.lit(batches)).cast("int").alias("batch"), F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    sent, answer = "bucket int, batch int, blob array<binary>", "batch int, bucket int, round int, bits binary, source binary"
+    dealt = docs.select(P.batch_number(id, text, batches), F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    sent, answer = "bucket int, batch int, blob array<binary>", "batch int, bucket int, round int, blob array<binary>"
     sent_type = pa.schema([("bucket", pa.int32()), ("batch", pa.int32()), ("blob", pa.list_(pa.binary()))])
-    answer_type = pa.schema([("batch", pa.int32()), ("bucket", pa.int32()), ("round", pa.int32()), ("bits", pa.binary()), ("source", pa.binary())])
+    answer_type = pa.schema([("batch", pa.int32()), ("bucket", pa.int32()), ("round", pa.int32()), ("blob", pa.list_(pa.binary()))])
 
-    def parcels(batch, cuts, columns):
-        filled = [b for b in range(buckets) if cuts[b + 1] > cuts[b]]
-        blobs = [[pack(v[cuts[b] : cuts[b + 1]]) for v, pack in columns] for b in filled]
+    def parcels(batch, *kinds):
+        """For each bucket the columns of its range; ``kinds`` are (cuts, columns), empty columns where a kind has none."""
+        filled = [b for b in range(buckets) if any(cuts[b + 1] > cuts[b] for cuts, _ in kinds)]
+        blobs = [[pack(v[cuts[b] : cuts[b + 1]]) for cuts, columns in kinds for v, pack in columns] for b in filled]
         return pa.table([pa.array(filled, pa.int32()), pa.array([batch] * len(filled), pa.int32()), pa.array(blobs, pa.list_(pa.binary()))], schema=sent_type)
 
-    def answers(t, n_round, bits, sources):
-        return pa.table([t["batch"], t["bucket"], pa.array([n_round] * len(bits), pa.int32()), pa.array([np.packbits(b).tobytes() for b in bits], pa.binary()), pa.array(sources, pa.binary())], schema=answer_type)
+    def answers(t, n_round, blobs):
+        return pa.table([t["batch"], t["bucket"], pa.array([n_round] * len(blobs), pa.int32()), pa.array(blobs, pa.list_(pa.binary()))], schema=answer_type)
 
     def suffixes(t):
         return Suffixes(P.group_words(t)[1], P.group_ids(t), window, gram, buckets)
 
     def send_grams(key, t):
         s = suffixes(t)
-        return parcels(key[0].as_py(), s.cuts, [(s.key, P.squeezed_sorted), (s.several.astype(np.uint8), P.squeezed)])
+        return parcels(key[0].as_py(), (s.cuts, [(s.key, P.squeezed_sorted), (s.several.astype(np.uint8), P.squeezed), (s.count, P.squeezed)]))
 
     def match_grams(t):
         blobs = t["blob"].to_pylist()
         keys = [P.expanded_sorted(b[0]) for b in blobs]
         order, starts, run = P.runs(np.concatenate(keys))
-        several = np.concatenate([P.expanded(b[1], np.uint8) for b in blobs])
-        live = (np.maximum.reduceat(several[order], starts) > 0) | (np.diff(np.append(starts, len(order))) > 1)
-        return answers(t, 1, np.split(live[run], np.cumsum([len(k) for k in keys])[:-1]), [None] * len(keys))
+        several, count = (np.concatenate([P.expanded(b[k], kind) for b in blobs])[order] for k, kind in ((1, np.uint8), (2, np.uint16)))
+        live = (np.maximum.reduceat(several, starts) > 0) | (np.diff(np.append(starts, len(order))) > 1)
+        hot = np.add.reduceat(count.astype(np.int64), starts) > hot_suffixes
+        verdict = np.where(live, np.where(hot, SPLIT, LIVE), DEAD).astype(np.uint8)[run]
+        return answers(t, 1, [[P.squeezed(v)] for v in np.split(verdict, np.cumsum([len(k) for k in keys])[:-1])])
 
-    def contexts(t, back):
+    def found_so_far(t, back):
         s = suffixes(t)
-        return s, Contexts(s, P.joined_bits(back.filter(pc.equal(back["round"], 1)), s.cuts), window, gram, buckets)
+        verdict, back = np.zeros(len(s.key), np.uint8), back.filter(pc.equal(back["round"], 1))
+        for bucket, blob in zip(back["bucket"].to_pylist(), back["blob"].to_pylist()):
+            verdict[s.cuts[bucket] : s.cuts[bucket + 1]] = P.expanded(blob[0], np.uint8)
+        return s, Contexts(s, verdict, window, gram, buckets), Windows(s, verdict, window, gram, buckets)
 
     def send_contexts(key, t, back):
         if not t.num_rows:
             return sent_type.empty_table()
-        c = contexts(t, back)[1]
-        return parcels(key[0].as_py(), c.cuts, [(c.gram, P.squeezed_sorted), (c.around, lambda v: P.squeezed(v.reshape(-1))), (c.least, P.squeezed)])
+        _, c, w = found_so_far(t, back)
+        return parcels(
+            key[0].as_py(), (c.cuts, [(c.gram, P.squeezed_sorted), (c.around, lambda v: P.squeezed(v.reshape(-1))), (c.least, P.squeezed)]),
+            (w.cuts, [(w.high, P.squeezed_sorted), (w.low, P.squeezed), (w.least, P.squeezed)]))
 
     def compare(t):
         blobs = t["blob"].to_pylist()
-        gram_hash = [P.expanded_sorted(b[0]) for b in blobs]
+        gram_hash, high = ([P.expanded_sorted(b[k]) for b in blobs] for k in (0, 3))
         around = np.concatenate([P.expanded(b[1], np.uint32) for b in blobs]).reshape(-1, window + left)
         found, source = shared_windows(np.concatenate(gram_hash), around, np.concatenate([P.expanded(b[2], np.int64) for b in blobs]), left)
-        cuts = np.cumsum([len(g) for g in gram_hash])[:-1]
-        return answers(t, 2, np.split(found, cuts), [P.squeezed(x) for x in np.split(source, cuts)])
+        least = np.concatenate([P.expanded(b[5], np.int64) for b in blobs])
+        order, starts, run = P.runs(np.concatenate(high), np.concatenate([P.expanded(b[4], np.uint32) for b in blobs]))
+        lowest = np.minimum.reduceat(least[order], starts)[run] if len(starts) else least
+        cuts, window_cuts = (np.cumsum([len(x) for x in k])[:-1] for k in (gram_hash, high))
+        parts = zip(np.split(found, cuts), np.split(source, cuts), np.split(lowest, window_cuts))
+        return answers(t, 2, [[np.packbits(f).tobytes(), P.squeezed(x), P.squeezed(w)] for f, x, w in parts])
 
     def join(key, t, back):
-        s, c = contexts(t, back)
+        s, c, w = found_so_far(t, back)
         words, back = s.words, back.filter(pc.equal(back["round"], 2))
         found, source = np.zeros((len(c.gram), left + 1), bool), np.full(len(c.gram), P.NO_ID)
-        for bucket, bits, packed in zip(*(back[n].to_pylist() for n in ("bucket", "bits", "source"))):
+        lowest = w.least.copy()
+        for bucket, (bits, sources, windows) in zip(back["bucket"].to_pylist(), back["blob"].to_pylist()):
             lo, hi = int(c.cuts[bucket]), int(c.cuts[bucket + 1])
-            found[lo:hi] = np.unpackbits(np.frombuffer(bits, np.uint8), count=(hi - lo) * (left + 1)).reshape(hi - lo, -1)
-            source[lo:hi] = P.expanded(packed, np.int64)
+            found[lo:hi] = np.unpackbits(np.frombuffer(bits, np.uint8), count=(hi - lo) * (left + 1)).reshape(hi - lo, left + 1)
+            source[lo:hi] = P.expanded(sources, np.int64)
+            lowest[w.cuts[bucket] : w.cuts[bucket + 1]] = P.expanded(windows, np.int64)
         inner = c.least[c.entry] < c.owner  # a document of this very batch has the same context
         marked = (found[c.entry] | inner[:, None]) & c.fits
         row, back_by = np.nonzero(marked)
+        origin = np.minimum(source[c.entry], np.where(inner, c.least[c.entry], P.NO_ID))[row]
+        earlier = lowest[w.entry] < w.owner
+        at, origin = np.append(c.at[row] - back_by, w.at[earlier]), np.append(origin, lowest[w.entry][earlier])
         marks = np.zeros(len(words.hash) + 1, bool)
-        marks[c.at[row] - back_by] = True
+        marks[at] = True
         start, length = P.spans(P.covered(marks, window, len(words.hash)), words)
-        origin = np.minimum(source[c.entry], np.where(inner, c.least[c.entry], P.NO_ID))[row]
-        lowest = np.full(len(start), P.NO_ID)
-        if len(row):
-            np.minimum.at(lowest, np.searchsorted(start, c.at[row] - back_by, side="right") - 1, origin)
+        first = np.full(len(start), P.NO_ID)
+        if len(at):
+            np.minimum.at(first, np.searchsorted(start, at, side="right") - 1, origin)
         owner = t["id"].combine_chunks().take(pa.array(words.doc[start]))
-        return pa.table({"id": owner, "start": pa.array(words.place[start], pa.int64()), "n_words": pa.array(length, pa.int64()), "first_id": pa.array(lowest, pa.int64())})
+        return pa.table({"id": owner, "start": pa.array(words.place[start], pa.int64()), "n_words": pa.array(length, pa.int64()), "first_id": pa.array(first, pa.int64())})
 
     def batchwise(answered, work, schema):
         return dealt.groupBy("batch").cogroup(answered.groupBy("batch")).applyInArrow(work, schema)

@@ -82,8 +82,9 @@ def test_removal_looks_at_the_input_not_at_what_is_left(spark):
     assert {r.doc_id: r.kept_text for r in substring_dedup(docs).collect()} == {1: a, 2: "", 3: "end"}
 
 
-@pytest.mark.parametrize("window,gram", [(50, 12), (10, 4), (6, 6)])
-def test_suffix_dedup_finds_every_repeated_passage(spark, window, gram):
+@pytest.mark.parametrize("window,gram,hot", [(50, 12, 4096), (10, 4, 4096), (6, 6, 4096), (50, 12, 0), (10, 4, 3)])
+def test_suffix_dedup_finds_every_repeated_passage(spark, window, gram, hot):
+    """However few suffixes of a gram one task may compare: the others are split by their windows."""
     rows = corpus(window + 1, n=max(4, window // 3))
     expected = []
     for id, own, gone in marks(rows, window):
@@ -96,7 +97,7 @@ def test_suffix_dedup_finds_every_repeated_passage(spark, window, gram):
                 expected.append((str(id), s, e - s))
             s = max(e, s + 1)
     docs = spark.createDataFrame([(i, t, "mine", "b") for i, t in rows], SCHEMA)
-    got = suffix_dedup.repeated_passages(docs, window=window, gram=gram, batch_bytes=4000).collect()
+    got = suffix_dedup.repeated_passages(docs, window=window, gram=gram, batch_bytes=4000, hot_suffixes=hot).collect()
     assert sorted((str(r.doc_id), r.start, r.n_words) for r in got) == sorted(expected)
     assert all(r.doc_id is None or r.first_id < r.doc_id for r in got)
     assert suffix_dedup.repeated_passages(spark.createDataFrame([], SCHEMA)).count() == 0
