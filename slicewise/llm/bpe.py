@@ -5,17 +5,21 @@ from __future__ import annotations
 import base64
 import heapq
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Characters of text whose distinct words are merged together, and distinct words a worker remembers.
-CHUNK, REMEMBERED = 8_000_000, 400_000
+from slicewise.llm.passages import expanded, squeezed
+
+#: Characters and rows of a batch of texts, and bytes of text whose words meet in one hash bucket.
+CHUNK, ROWS, BUCKET = 4_000_000, 20_000, 32 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -52,15 +56,24 @@ class Merges:
         return np.where((self.keys[at] == key) & (a >= 0) & (b >= 0), self.into[at], -1)
 
     def exactly(self, word: bytes) -> list[int]:
-        """One word, merging its pair of lowest rank, leftmost first, until none is left."""
-        parts = [word[i : i + 1] for i in range(len(word))]
-        while len(parts) > 1:
-            ranked = [self.ranks.get(x + y, self.base) for x, y in zip(parts, parts[1:])]
-            i = min(range(len(ranked)), key=ranked.__getitem__)
-            if ranked[i] == self.base:
-                break
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return [self.ranks[p] for p in parts]
+        """One word, merging its pair of lowest rank, leftmost first, until none is left; by a heap of pairs."""
+        token, n = [self.ranks[word[i : i + 1]] for i in range(len(word))], len(word)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        rank = lambda i: self.ranks.get(self.bytes[token[i]] + self.bytes[token[after[i]]], -1) if after[i] < n else -1
+        heap = [(r, i) for i in range(n) if (r := rank(i)) >= 0]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            if token[i] < 0 or rank(i) != r:  # merged away, or another pair by now
+                continue
+            right = after[i]
+            token[i], token[right], after[i] = r, -1, after[right]
+            if after[i] < n:
+                before[after[i]] = i
+            for k in (before[i], i):
+                if k >= 0 and (new := rank(k)) >= 0:
+                    heapq.heappush(heap, (new, k))
+        return [t for t in token if t >= 0]
 
     def replay(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of the distinct words, one word after another, and how many each word has.
@@ -150,37 +163,6 @@ def merges(path: str) -> Merges:
     return Merges(path)
 
 
-class Known:
-    """The words that a worker has encoded so far: a number for each, and their ids one after another."""
-
-    def __init__(self):
-        self.number: dict[str, int] = {}
-        self.flat, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-
-
-_known: dict[str, Known] = {}
-
-
-def encode(texts: list[str], path: str, pattern: str) -> list[np.ndarray]:
-    """Token ids of each text; each distinct word of all the texts is merged once."""
-    known = _known.get(path)
-    if known is None or len(known.number) > REMEMBERED:
-        known = _known[path] = Known()
-    find, number, old = regex.compile(pattern).findall, known.number, len(known.number)
-    rows = []
-    for text in texts:
-        words = find(text)
-        for w in words:
-            if w not in number:
-                number[w] = len(number)
-        rows.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
-    if len(number) > old:
-        flat, sizes = merges(path).replay([w.encode() for w in islice(number, old, None)])
-        known.flat, known.sizes = np.concatenate([known.flat, flat]), np.concatenate([known.sizes, sizes])
-    starts = np.cumsum(known.sizes) - known.sizes
-    return [gathered(known.flat, starts, known.sizes, row) for row in rows]
-
-
 def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """The runs of ``flat`` that ``rows`` names, one after another."""
     n = sizes[rows]
@@ -193,37 +175,115 @@ def decode(ids: np.ndarray, path: str) -> bytes:
     return gathered(m.flat, m.starts, m.sizes, ids.astype(np.int64)).tobytes()
 
 
+def slices(batches, size: int):
+    """(record batch, its texts) of about ``size`` characters or ROWS rows, from batches with column ``_text``."""
+    for b in batches:
+        texts, start, held = b["_text"].to_pylist(), 0, 0
+        for i, n in enumerate(map(len, texts)):
+            if held and held + n > size or i - start >= ROWS:
+                yield b.slice(start, i - start), texts[start:i]
+                start, held = i, 0
+            held += n
+        if start < len(texts):
+            yield b.slice(start), texts[start:]
+
+
 def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", chunk: int = CHUNK) -> DataFrame:
     """``docs`` without ``text``, with n_tokens, ``ids`` and ``decoded``.
 
-    ``ids`` are little-endian unsigned 32-bit integers as binary, ``decoded`` the bytes of the decoded
-    ids. A null text is empty: no ids. Texts are whole, however long; the words of a task's texts are
-    merged together in chunks of about ``chunk`` characters. One pass without a shuffle; rows, repeats
-    and other columns stay, but for columns of the three names, which are replaced.
+    ``ids`` are little-endian unsigned 32-bit integers as binary, ``decoded`` the bytes of the decoded ids.
+
+    Texts are matched against ``pattern`` in batches of about ``chunk`` characters. A batch keeps for each
+    text the numbers of its words, and sends its distinct words to hash buckets. A bucket makes the words of
+    all batches distinct, so every word of the corpus is merged once, replays the merges over them and
+    answers each batch with the ids of its words. The batch gathers the ids of its texts. Texts themselves
+    aren't shuffled, and what is sent are a few packed rows for each batch.
+
+    A null text is empty: no ids. Texts are whole, however long. Rows, repeats and other columns stay, but
+    for columns of the three names, which are replaced.
     """
     new = {"n_tokens": T.LongType(), "ids": T.BinaryType(), "decoded": T.BinaryType()}
     kept = [c for c in docs.columns if c not in (text, *new)]
-
-    def give(batch, texts):
-        ids = encode(texts, path, pattern)
-        made = [
-            pa.array([len(x) for x in ids], pa.int64()),
-            pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
-            pa.array([decode(x, path) for x in ids], pa.binary()),
-        ]
-        return pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *made], names=[*kept, *new])
-
-    def work(batches):
-        for b in batches:
-            start = size = 0
-            texts = b["_text"].to_pylist()
-            for i, n in enumerate(map(len, texts)):
-                if size and size + n > chunk:
-                    yield give(b.slice(start, i - start), texts[start:i])
-                    start, size = i, 0
-                size += n
-            if start < len(texts):
-                yield give(b.slice(start), texts[start:])
-
-    schema = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(c, t) for c, t in new.items())])
-    return docs.select(*kept, F.coalesce(text, F.lit("")).alias("_text")).mapInArrow(work, schema)
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    buckets = max(1, -(-total // BUCKET))
+
+    def pack(batches):
+        find, part, n = regex.compile(pattern).findall, TaskContext.get().partitionId(), 0
+        for b, texts in slices(batches, chunk):
+            number: dict[str, int] = {}
+            flat, sizes = [], []
+            for t in texts:
+                words = find(t)
+                for w in words:
+                    if w not in number:
+                        number[w] = len(number)
+                flat.append(np.fromiter(map(number.__getitem__, words), np.uint32, len(words)))
+                sizes.append(len(words))
+            words = [w.encode() for w in number]
+            bucket = np.fromiter((xxhash.xxh64_intdigest(w) % buckets for w in words), np.int64, len(words))
+            order = np.argsort(bucket, kind="stable")
+            place = np.empty(len(order), np.uint32)  # words are numbered as the buckets will answer
+            place[order] = np.arange(len(order))
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            sent = []
+            for k in np.flatnonzero(np.diff(cuts)).tolist():
+                own = [words[i] for i in order[cuts[k] : cuts[k + 1]].tolist()]
+                lengths = np.fromiter(map(len, own), np.uint32, len(own))
+                sent.append({"bucket": k, "blob": [squeezed(lengths), zstandard.ZstdCompressor(level=3).compress(b"".join(own))]})
+            at = pa.array([0, len(texts)], pa.int32())
+            own_rows = pa.StructArray.from_arrays([b.column(i) for i in range(len(kept))] + [pa.array(range(len(texts)), pa.int32())], names=[*kept, "_row"])
+            yield pa.RecordBatch.from_arrays([
+                pa.array([part << 32 | n], pa.int64()), pa.ListArray.from_arrays(at, own_rows), pa.array([squeezed(np.array(sizes, np.uint32))], pa.binary()),
+                pa.array([squeezed(place[np.concatenate(flat)] if len(flat) else np.zeros(0, np.uint32))], pa.binary()), pa.array([sent], parcels)], names=["batch", "rows", "sizes", "words", "sent"])
+            n += 1
+
+    parcels = pa.list_(pa.struct([("bucket", pa.int32()), ("blob", pa.list_(pa.binary()))]))
+    row = T.StructType([*(docs.schema[c] for c in kept), T.StructField("_row", T.IntegerType())])
+    schema = T.StructType([
+        T.StructField("batch", T.LongType()), T.StructField("rows", T.ArrayType(row)), T.StructField("sizes", T.BinaryType()), T.StructField("words", T.BinaryType()),
+        T.StructField("sent", T.ArrayType(T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("blob", T.ArrayType(T.BinaryType()))])))])
+
+    def merge(t):
+        own = []
+        for lengths, letters in t["blob"].to_pylist():
+            ends = np.cumsum(expanded(lengths, np.uint32)).tolist()
+            letters = zstandard.ZstdDecompressor().decompress(letters)
+            own.append([letters[s:e] for s, e in zip([0, *ends[:-1]], ends)])
+        number: dict[bytes, int] = {}
+        for words in own:
+            for w in words:
+                if w not in number:
+                    number[w] = len(number)
+        flat, sizes = merges(path).replay(list(number))
+        starts = np.cumsum(sizes) - sizes
+        at = [np.fromiter(map(number.__getitem__, words), np.int64, len(words)) for words in own]
+        blobs = [[squeezed(sizes[x].astype(np.uint32)), squeezed(gathered(flat, starts, sizes, x))] for x in at]
+        return pa.table([t["batch"], t["bucket"], pa.array(blobs, pa.list_(pa.binary()))], schema=answer_type)
+
+    answer_type = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), ("blob", pa.list_(pa.binary()))])
+
+    def gather(t, back):
+        back = back.sort_by("bucket")
+        blobs = back["blob"].to_pylist()
+        flat = np.concatenate([np.zeros(0, np.uint32), *(expanded(b[1], np.uint32) for b in blobs)])
+        sizes = np.concatenate([np.zeros(0, np.int64), *(expanded(b[0], np.uint32).astype(np.int64) for b in blobs)])
+        words = expanded(t["words"][0].as_py(), np.uint32).astype(np.int64)
+        ids = gathered(flat, np.cumsum(sizes) - sizes, sizes, words)
+        ends = np.cumsum(sizes[words])
+        upto = np.cumsum(expanded(t["sizes"][0].as_py(), np.uint32).astype(np.int64))
+        ends = np.where(upto > 0, ends[upto - 1], 0) if len(ends) else np.zeros(len(upto), np.int64)
+        texts = np.split(ids.astype("<u4"), ends[:-1])
+        own = t["rows"].combine_chunks().flatten()
+        made = [pa.array([len(x) for x in texts], pa.int64()), pa.array([x.tobytes() for x in texts], pa.binary()), pa.array([decode(x, path) for x in texts], pa.binary())]
+        return pa.table([own.field(i) for i in range(len(kept))] + made, names=[*kept, *new])
+
+    def send(t):
+        own = t["sent"][0].as_py()
+        return pa.table({"bucket": pa.array([x["bucket"] for x in own], pa.int32()), "batch": pa.array([t["batch"][0].as_py()] * len(own), pa.int64()), "blob": pa.array([x["blob"] for x in own], pa.list_(pa.binary()))})
+
+    packed = docs.select(*kept, F.coalesce(text, F.lit("")).alias("_text")).mapInArrow(pack, schema)
+    # both uses of the batches take all their columns and so share one exchange
+    answers = packed.groupBy("batch").applyInArrow(send, "bucket int, batch long, blob array<binary>").groupBy("bucket").applyInArrow(
+        merge, "batch long, bucket int, blob array<binary>")
+    done = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(c, t) for c, t in new.items())])
+    return packed.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(gather, done)
