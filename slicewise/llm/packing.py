@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from slicewise.llm.common import checkpointed
 from slicewise.llm.bpe import gathered
+from slicewise.llm.passages import expanded, squeezed
 from slicewise.llm.token_counts import byte_letters
 
 #: Distinct runs of text that a worker remembers within a task, and texts that are encoded together.
@@ -88,8 +89,10 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, piece, start, length, ids_crc32, ids): every document's ids and ``end_id``, cut at ``capacity``."""
+def pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0, id: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
+    """(id, piece, start, length, ids_crc32, ids): every document's ids and ``end_id``, cut at ``capacity``.
+
+    ``ids`` are squeezed (see ``passages``), as they travel, or null."""
 
     def work(batches):
         encoder = word_ids(path)
@@ -100,8 +103,8 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0, id: str =
                 for i, ids in enumerate(encoder.encode(texts[lo : lo + STEP]), lo):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                     for piece, start in enumerate(range(0, len(ids), capacity)):
-                        part = ids[start : start + capacity].tobytes()
-                        for c, v in zip(cols, (keys[i].as_py(), piece, start, len(part) // 4, zlib.crc32(part), part)):
+                        part = ids[start : start + capacity]
+                        for c, v in zip(cols, (keys[i].as_py(), piece, start, len(part), zlib.crc32(part.tobytes()), squeezed(part) if with_ids else None)):
                             c.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
         encoder.forget()  # a task's words fill the store, and the worker lives on
@@ -159,9 +162,9 @@ class Island:
         self.packings.sort(key=lambda p: p[0])
 
     def settle(self, size: int) -> None:
-        """Fill the population with best-fit packings of ever less strictly falling lengths."""
-        for k in range(len(self.packings), size):
-            order = np.argsort(-self.lengths * (1 + 0.08 * k * (self.rng.random(len(self.lengths)) - 0.5)), kind="stable")
+        """Fill the population with best-fit packings of loosely falling lengths: poor, unlike parents."""
+        for _ in range(len(self.packings), size):
+            order = np.argsort(-self.lengths * np.exp(0.5 * self.rng.standard_normal(len(self.lengths))), kind="stable")
             into = np.empty(len(order), np.int64)
             none = np.zeros(0, np.int64)
             best_fit(self.lengths, order, none, none, 0, self.capacity, into)
@@ -192,15 +195,17 @@ class Island:
         return out
 
     def evolve(self, size: int, generations: int) -> np.ndarray:
+        """Cross pairs of parents both ways; stops early only where no packing can have fewer bins."""
         self.settle(size)
         least = -(-int(self.lengths.sum()) // self.capacity)
-        for _ in range(generations):
-            if self.packings[0][0][0] <= least or len(self.lengths) < 2:
-                break
+        for _ in range(generations if len(self.lengths) > 1 else 0):
             a, b = sorted(self.rng.choice(len(self.packings), 2, replace=False).tolist())
-            self.admit(self.child(self.packings[a][1], self.packings[b][1]))
-            self.admit(self.child(self.packings[b][1], self.packings[a][1]))
+            children = self.child(self.packings[a][1], self.packings[b][1]), self.child(self.packings[b][1], self.packings[a][1])
+            for bins in children:
+                self.admit(bins)
             del self.packings[size:]
+            if self.packings[0][0][0] <= least:
+                break
         return self.packings[0][1]
 
 
@@ -236,18 +241,18 @@ def _rounds(items: DataFrame, capacity: int, islands: int, epochs: int, size: in
 
 def packed(
     docs: DataFrame, path: str, capacity: int = 2048, id: str = "doc_id", text: str = "text", end_id: int = 0,
-    with_ids: bool = False, cell: int = 8192, islands: int = 2, epochs: int = 2, size: int = 5, generations: int = 8,
+    with_ids: bool = False, cell: int = 8192, islands: int = 2, epochs: int = 2, size: int = 5, generations: int = 24,
 ) -> DataFrame:
     """(id, piece, start, length, ids_crc32, sequence_id, offset[, ids]): each piece's place.
 
     Documents longer than ``capacity`` are cut; full pieces are sequences of their own. The others are
     dealt by hash to cells of about ``cell`` pieces. Each cell evolves on ``islands`` islands, Spark
-    groups with their own seeds; after each epoch the elites migrate around the ring. Then the worse
+    groups with their own seeds, from poor packings; after each epoch the elites migrate around the ring. Then the worse
     filled bins of all cells are dealt anew, whole, to fewer cells, and evolve once more; a cell never
     ends with more bins than it got. A null or empty text is one piece with ``end_id`` alone. Rows with
     one id, or none, are packed as rows. Other columns are ignored.
     """
-    found = checkpointed(pieces(docs, path, capacity, end_id, id, text).drop(*([] if with_ids else ["ids"])).withColumn("item", F.monotonically_increasing_id()))
+    found = checkpointed(pieces(docs, path, capacity, end_id, id, text, with_ids).drop(*([] if with_ids else ["ids"])).withColumn("item", F.monotonically_increasing_id()))
     loose = found.where(F.col("length") < capacity).select("item", "length")
     cells = max(1, -(-loose.count() // cell))
     dealt = loose.select(F.pmod(F.xxhash64("item"), F.lit(cells)).alias("cell"), "item", "length", F.lit(-1).cast("long").alias("bin"))
@@ -261,6 +266,15 @@ def packed(
     moved = second.select("item", (F.lit(1 << 61) + F.col("cell") * (1 << 20) + F.col("bin")).alias("sequence_id"))
     stayed = first.join(poor.select("bin"), "bin", "left_anti").select("item", F.col("bin").alias("sequence_id"))
     full = found.where(F.col("length") >= capacity).select("item", (-1 - F.col("item")).alias("sequence_id"))
-    placed = found.join(moved.unionByName(stayed).unionByName(full), "item")
     before = "coalesce(sum(length) over (partition by sequence_id order by length desc, item rows between unbounded preceding and 1 preceding), 0L)"
-    return placed.withColumn("offset", F.expr(before)).drop("item")
+    places = moved.unionByName(stayed).unionByName(full).join(found.select("item", "length"), "item").withColumn("offset", F.expr(before))
+    placed = found.join(places.drop("length"), "item").drop("item")
+    if not with_ids:
+        return placed
+
+    def unpack(batches):
+        for b in batches:
+            at = b.schema.get_field_index("ids")
+            yield b.set_column(at, "ids", pa.array([expanded(x, "<u4").tobytes() for x in b["ids"].to_pylist()], pa.binary()))
+
+    return placed.mapInArrow(unpack, placed.schema)

@@ -106,6 +106,48 @@ def test_islands_never_lose_items_and_beat_first_fit():
     assert island.packings[0][0] <= start
 
 
+def bin_sets(bins):
+    return {frozenset(np.flatnonzero(bins == b).tolist()) for b in np.unique(bins)}
+
+
+def test_crossover_injects_whole_bins_and_improves_on_its_parents():
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(40, 900, 2000)
+    island = packing.Island(lengths, 2048, 5)
+    island.settle(5)
+    seeds = [p[0][0] for p in island.packings]
+    donor, receiver = island.packings[0][1], island.packings[1][1]
+    child = np.unique(island.child(receiver, donor), return_inverse=True)[1]
+    assert island.fill(child).max() <= 2048
+    whole = [s for s in bin_sets(donor) if len(set(child[list(s)].tolist())) == 1]
+    assert len(whole) >= 0.1 * 0.7 * len(bin_sets(donor)) - 1
+    assert len(bin_sets(child) & bin_sets(donor)) > 10 and len(bin_sets(child) & bin_sets(receiver)) > 10
+    island.evolve(5, 24)
+    assert island.packings[0][0][0] < min(seeds)  # by crossover, not by a seed
+    falling = np.empty(len(lengths), np.int64)
+    none = np.zeros(0, np.int64)
+    packing.best_fit(lengths, np.argsort(-lengths, kind="stable"), none, none, 0, 2048, falling)
+    assert island.packings[0][0][0] <= falling.max() + 1
+
+
+def test_elites_migrate_between_islands(spark):
+    """After an epoch each island's best is in the next island too: its last packing is no worse than either."""
+    rng = np.random.default_rng(7)
+    rows = [(0, k, int(n), -1) for k, n in enumerate(rng.integers(300, 1100, 300))]
+    items = spark.createDataFrame(rows, "cell long, item long, length long, bin long")
+    seen = {}
+    for epochs in (1, 2):
+        found = packing._rounds(items, 2048, islands=3, epochs=epochs, size=4, generations=1).toPandas().sort_values("item")
+        assert len(found) == 300 and found.groupby("bin")["length"].sum().max() <= 2048
+        seen[epochs] = found
+    lonely = packing.Island(np.array([n for _, _, n, _ in rows]), 2048, 1)
+    lonely.admit(seen[1]["bin"].to_numpy())
+    kept = lonely.packings[0][0]
+    lonely.admit(seen[2]["bin"].to_numpy())
+    assert lonely.packings[0][0] <= kept and bin_sets(seen[2]["bin"].to_numpy()) != bin_sets(seen[1]["bin"].to_numpy())
+    assert bin_sets(seen[2]["bin"].to_numpy()) & bin_sets(seen[1]["bin"].to_numpy())
+
+
 def test_queries_on_the_small_tables(spark):
     from slicewise.llm import queries
 
