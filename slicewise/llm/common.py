@@ -17,10 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (tests, a laptop) is a local one chosen.
+    Only where that is unset and Spark itself is local (tests, a laptop) is a local one chosen.
     """
     if spark.sparkContext.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints"))
     return spark.sparkContext.getCheckpointDir()
 
