@@ -1,87 +1,128 @@
-"""Array kernels applied to voxel rows: one Spark group is one slice or one volume."""
+"""Array kernels applied to slice rows (stack, z, height, width, pixels): a slice is one row, a volume one Spark group.
+
+Pixels are arrays in row order, so a slice costs one row however large it is, and kernels of single slices
+need no shuffle.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slicewise.functions import imagemath
-from slicewise.sources import tiff
+from slicewise.sources import gif, tiff
+
+SLICES = "stack int, z int, height int, width int, pixels array<double>"
+SLICE_TYPE = pa.schema([("stack", pa.int32()), ("z", pa.int32()), ("height", pa.int32()), ("width", pa.int32()), ("pixels", pa.list_(pa.float64()))])
+
+#: Settings of the three models: expected diameter in pixels, clip limit of the equalisation before (none if
+#: null), and overlap from which objects of adjacent slices are one (not stitched if null). Fixed values.
+MODELS = {
+    "nuclei": {"diameter": 75, "clip_limit": 0.05, "stitch": 0.8},
+    "cell": {"diameter": 150, "clip_limit": 0.1, "stitch": None},
+    "organoid": {"diameter": 750, "clip_limit": 0.1, "stitch": 0.8},
+}
 
-OUT = "stack int, z int, y int, x int, v double"
 
+def as_slices(voxels: DataFrame, value: str = "v") -> DataFrame:
+    """Slice rows of voxel rows (stack, z, y, x, value) that fill their rectangles."""
+    rows = F.sort_array(F.collect_list(F.struct("y", "x", F.col(value).cast("double").alias("p"))))
+    found = voxels.groupBy("stack", "z").agg(rows.alias("_r"), F.count_distinct("y").cast("int").alias("height"), F.count_distinct("x").cast("int").alias("width"))
+    return found.select("stack", "z", "height", "width", F.col("_r.p").alias("pixels"))
 
-def _volume(rows: pd.DataFrame, value: str) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Dense array and its axis values; voxels that aren't there are 0."""
-    axes = [np.unique(rows[c]) for c in ("z", "y", "x")]
-    out = np.zeros([len(a) for a in axes])
-    out[tuple(np.searchsorted(a, rows[c]) for a, c in zip(axes, ("z", "y", "x")))] = rows[value]
-    return out, axes
 
+def as_voxels(slices: DataFrame, value: str = "v") -> DataFrame:
+    """Voxel rows of slice rows."""
+    long = slices.select("stack", "z", "width", F.posexplode("pixels").alias("_at", value))
+    return long.select("stack", "z", F.expr("cast(_at div width as int)").alias("y"), (F.col("_at") % F.col("width")).alias("x"), value)
 
-def _rows(stack: int, array: np.ndarray, axes: list[np.ndarray]) -> pd.DataFrame:
-    z, y, x = np.meshgrid(*axes, indexing="ij")
-    return pd.DataFrame({"stack": np.int32(stack), "z": z.ravel().astype("int32"), "y": y.ravel().astype("int32"), "x": x.ravel().astype("int32"), "v": array.ravel().astype(float)})
 
+def _images(t: pa.Table | pa.RecordBatch) -> list[np.ndarray]:
+    return [np.array(p).reshape(h, w) for p, h, w in zip(t["pixels"].to_pylist(), t["height"].to_pylist(), t["width"].to_pylist())]
 
-def per_volume(voxels: DataFrame, kernel: Callable[[np.ndarray], np.ndarray], value: str = "v") -> DataFrame:
-    """Apply ``kernel`` to each stack's volume; it may return fewer slices, which count from its first z."""
 
-    def work(rows: pd.DataFrame) -> pd.DataFrame:
-        volume, axes = _volume(rows, value)
-        made = kernel(volume)
-        return _rows(rows["stack"].iloc[0], made, [axes[0][: len(made)], axes[1], axes[2]])
+def per_slice(slices: DataFrame, kernel: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """Apply ``kernel`` to each slice; it keeps the slice's shape. No shuffle."""
 
-    return voxels.select("stack", "z", "y", "x", value).groupBy("stack").applyInPandas(work, OUT)
+    def work(batches):
+        for b in batches:
+            made = [np.asarray(kernel(image), float).ravel() for image in _images(b)]
+            yield pa.RecordBatch.from_arrays([*(b[c] for c in ("stack", "z", "height", "width")), pa.array(made, pa.list_(pa.float64()))], schema=SLICE_TYPE)
 
+    return slices.select("stack", "z", "height", "width", "pixels").mapInArrow(work, SLICES)
 
-def per_slice(voxels: DataFrame, kernel: Callable[[np.ndarray], np.ndarray], value: str = "v") -> DataFrame:
-    """Apply ``kernel`` to each slice; a slice is a group of its own."""
 
-    def work(rows: pd.DataFrame) -> pd.DataFrame:
-        volume, axes = _volume(rows, value)
-        return _rows(rows["stack"].iloc[0], kernel(volume[0])[None], axes)
+def per_volume(slices: DataFrame, kernel: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """Apply ``kernel`` to each stack's volume; it may return fewer slices, which count from its first z.
 
-    return voxels.select("stack", "z", "y", "x", value).groupBy("stack", "z").applyInPandas(work, OUT)
+    A stack is one Spark group, as its kernel needs all of it; slices of a stack are of one shape.
+    """
 
+    def work(t):
+        t = t.sort_by("z")
+        made = np.asarray(kernel(np.stack(_images(t))), float)
+        n = len(made)
+        return pa.table([*(t[c][:n] for c in ("stack", "z", "height", "width")), pa.array(list(made.reshape(n, t["height"][0].as_py() * t["width"][0].as_py())), pa.list_(pa.float64()))], schema=SLICE_TYPE)
 
-def equalised(voxels: DataFrame, clip_limit: float = 0.05) -> DataFrame:
-    return per_slice(voxels, lambda image: imagemath.equalised(image, clip_limit))
+    return slices.select("stack", "z", "height", "width", "pixels").groupBy("stack").applyInArrow(work, SLICES)
 
 
-def low_pass(voxels: DataFrame, cutoff: float = 0.1, order: int = 5) -> DataFrame:
-    return per_volume(voxels, lambda volume: imagemath.butterworth(volume, cutoff, order))
+def equalised(slices: DataFrame, clip_limit: float = 0.05) -> DataFrame:
+    """Adaptive histogram equalisation of whole volumes."""
+    return per_volume(slices, lambda volume: imagemath.equalised(volume, clip_limit))
 
 
-def blurred_maximum(voxels: DataFrame, width: int, sigma: float = 1.0) -> DataFrame:
+def low_pass(slices: DataFrame, cutoff: float = 0.1, order: int = 5) -> DataFrame:
+    return per_volume(slices, lambda volume: imagemath.butterworth(volume, cutoff, order))
+
+
+def blurred_maximum(slices: DataFrame, width: int, sigma: float = 1.0) -> DataFrame:
     """Each window of ``width`` slices is blurred as a volume, then projected to its maximum."""
 
     def kernel(volume: np.ndarray) -> np.ndarray:
         windows = [imagemath.gaussian(volume[i : i + width], sigma).max(axis=0) for i in range(len(volume) - width + 1)]
         return np.array(windows) if windows else np.zeros((0, *volume.shape[1:]))
 
-    return per_volume(voxels, kernel)
+    return per_volume(slices, kernel)
+
+
+def segmented(slices: DataFrame, diameter: float, segment: Callable[[np.ndarray, float], np.ndarray] = imagemath.threshold_segment) -> DataFrame:
+    """Labels of each slice by a pluggable model ``segment(image, diameter)``; pixels are labels."""
+    return per_slice(slices, lambda image: segment(image, diameter))
 
 
-def segmented(voxels: DataFrame, diameter: float, segment: Callable[[np.ndarray, float], np.ndarray] = imagemath.threshold_segment) -> DataFrame:
-    """Labels of each slice by a pluggable model ``segment(image, diameter)``; v is the label."""
-    return per_slice(voxels, lambda image: segment(image, diameter))
+def stitched(slices: DataFrame, least_overlap: float = 0.8) -> DataFrame:
+    """Label slices with one label for each object through z.
 
+    An object continues the one of the slice before that it overlaps most, by overlap over union of
+    ``least_overlap`` or more, if it is also the one that overlaps that most (the smaller label in a tie).
+    Objects number from 1 within a stack, by their first slice and label. A stack is one Spark group.
+    """
+    return per_volume(slices, lambda volume: imagemath.stitched(volume.astype(int), least_overlap))
 
-def power_slopes(voxels: DataFrame, value: str = "v") -> DataFrame:
-    """(stack, z, slope): log-log slope of each slice's power spectrum; null where there is none."""
 
-    def work(rows: pd.DataFrame) -> pd.DataFrame:
-        slope = imagemath.power_slope(_volume(rows, value)[0][0])
-        return pd.DataFrame({"stack": [rows["stack"].iloc[0]], "z": [rows["z"].iloc[0]], "slope": [slope]})
+def compartment(slices: DataFrame, name: str, segment: Callable[[np.ndarray, float], np.ndarray] = imagemath.threshold_segment, scale: float = 1.0) -> DataFrame:
+    """Labels by the settings of one of MODELS; ``scale`` fits its diameter to smaller images."""
+    if name not in MODELS:
+        raise ValueError(f"compartment must be one of {tuple(MODELS)}, not {name!r}")
+    model = MODELS[name]
+    found = segmented(equalised(slices, model["clip_limit"]), model["diameter"] * scale, segment)
+    return found if model["stitch"] is None else stitched(found, model["stitch"])
 
-    found = voxels.select("stack", "z", "y", "x", value).groupBy("stack", "z").applyInPandas(work, "stack int, z int, slope double")
-    return found.withColumn("slope", F.nanvl("slope", F.lit(None).cast("double")))
+
+def power_slopes(slices: DataFrame) -> DataFrame:
+    """(stack, z, slope): log-log slope of each slice's power spectrum; null where there is none. No shuffle."""
+
+    def work(batches):
+        for b in batches:
+            slopes = np.array([imagemath.power_slope(image) for image in _images(b)], float)
+            yield pa.RecordBatch.from_arrays([b["stack"], b["z"], pa.array(slopes, pa.float64(), mask=np.isnan(slopes))], names=["stack", "z", "slope"])
+
+    return slices.select("stack", "z", "height", "width", "pixels").mapInArrow(work, "stack int, z int, slope double")
 
 
 def decoded(files: DataFrame) -> DataFrame:
@@ -96,11 +137,21 @@ def decoded(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInArrow(work, "path string, page int, height int, width int, pixels array<double>")
 
 
-def encoded(voxels: DataFrame, value: str = "v") -> DataFrame:
-    """(path, content): each stack as a TIFF file of 16-bit pages, for a binary sink."""
+def _files(slices: DataFrame, name: Callable[[int], str], encode: Callable[[list[np.ndarray]], bytes]) -> DataFrame:
+    """(path, content): one file for each stack, of its slices in z order."""
+
+    def work(t):
+        t = t.sort_by("z")
+        return pa.table({"path": [name(t["stack"][0].as_py())], "content": pa.array([encode(_images(t))], pa.binary())})
+
+    return slices.select("stack", "z", "height", "width", "pixels").groupBy("stack").applyInArrow(work, "path string, content binary")
+
+
+def encoded(slices: DataFrame) -> DataFrame:
+    """(path, content): each stack as a TIFF file of 16-bit pages (see ``files.write_files``)."""
+    return _files(slices, lambda stack: f"stack{stack}.tif", lambda pages: tiff.encode([np.clip(p, 0, 65535).astype("u2") for p in pages]))
 
-    def work(rows: pd.DataFrame) -> pd.DataFrame:
-        volume = np.clip(_volume(rows, value)[0], 0, 65535).astype("u2")
-        return pd.DataFrame({"path": [f"stack{rows['stack'].iloc[0]}.tif"], "content": [tiff.encode(list(volume))]})
 
-    return voxels.select("stack", "z", "y", "x", value).groupBy("stack").applyInPandas(work, "path string, content binary")
+def animated(slices: DataFrame, hundredths: int = 10, loops: int = 10) -> DataFrame:
+    """(path, content): each stack as an animated GIF, a frame for each slice; pixels wrap at 256."""
+    return _files(slices, lambda stack: f"stack{stack}.gif", lambda pages: gif.encode([(p.astype(int) % 256).astype("u1") for p in pages], hundredths, loops))

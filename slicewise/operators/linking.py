@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,11 +78,24 @@ def paths(objects: DataFrame, links: DataFrame) -> DataFrame:
     return found.join(at, ["stack", "node1"]).join(to, ["stack", "node2"]).where("_s1 <= _s2").select("stack", "node1", "node2", "path", "distance")
 
 
+def _maximal(found: pd.DataFrame) -> pd.DataFrame:
+    """A stack's paths that don't lie on a longer one; nodes are bits, and only paths that stay are compared with."""
+    bits = [sum(1 << n for n in set(p)) for p in found["path"]]
+    size = found["path"].map(len).to_numpy()
+    stay, seen = [], []  # longer ones first; a path on a longer path lies on one that stays
+    for i in np.argsort(-size, kind="stable").tolist():
+        if all(size[k] == size[i] or bits[i] & ~bits[k] for k in seen):
+            stay.append(i)
+            seen.append(i)
+    return found.iloc[sorted(stay)]
+
+
 def longest(found: DataFrame) -> DataFrame:
-    """Paths whose nodes don't all lie on a longer path of their stack; equally long ones stay."""
-    other = found.select("stack", F.col("path").alias("_longer"))
-    inside = (F.size("_longer") > F.size("path")) & (F.size(F.array_except("path", "_longer")) == 0)
-    return found.join(other.withColumnRenamed("stack", "_stack"), (F.col("stack") == F.col("_stack")) & inside, "left_anti")
+    """Paths whose nodes don't all lie on a longer path of their stack; equally long ones stay.
+
+    The paths of a stack are one Spark group, as when they were found.
+    """
+    return found.groupBy("stack").applyInPandas(_maximal, found.schema)
 
 
 def numbered(found: DataFrame, first_object: int = 0) -> DataFrame:

@@ -47,10 +47,16 @@ def channel(text: Column) -> Column:
     return out
 
 
-def flattened(paths: DataFrame) -> DataFrame:
-    """One file of each name for each folder above it: the last path wins where names collide."""
-    at = paths.select(directory(F.col("path")).alias("folder"), file_name(F.col("path")).alias("file"), "path")
-    return at.groupBy("folder", "file").agg(F.max("path").alias("path"))
+def flattened(paths: DataFrame, root: str) -> DataFrame:
+    """(folder, file, path): the images of a nested acquisition below ``root``, dealt to folders by name.
+
+    Every folder two levels or more below the root gets each image that lies two levels or more below it;
+    extensions count in any case. The last path wins where names collide.
+    """
+    parts = F.split(F.substr("path", F.lit(len(root) + 2)), "/")
+    below = images(paths.where(F.startswith("path", F.lit(root + "/")))).select("path", parts.alias("_parts"))
+    folders = below.where(F.size("_parts") >= 4).select("path", F.explode(F.slice("_parts", 2, F.size("_parts") - 3)).alias("folder"))
+    return folders.groupBy("folder", file_name(F.col("path")).alias("file")).agg(F.max("path").alias("path"))
 
 
 def stack_order(paths: DataFrame) -> DataFrame:
@@ -82,10 +88,43 @@ def file_counts(paths: DataFrame, expected: int) -> DataFrame:
     return paths.groupBy(directory(F.col("path")).alias("folder")).agg(F.count("*").alias("n_files")).withColumn("complete", F.col("n_files") == expected)
 
 
-def copy_manifest(paths: DataFrame, root: str) -> DataFrame:
-    """(source, destination, action): each image goes to its folder's place under ``root``; a file that is
-    there already, by name, is replaced."""
-    return flattened(paths).select(F.col("path").alias("source"), F.concat(F.lit(root), F.lit("/"), "folder", F.lit("/"), "file").alias("destination"), F.lit("replace").alias("action"))
+def copy_manifest(trees: DataFrame, raw: DataFrame, there: DataFrame, root: str, overwrite: bool = True) -> DataFrame:
+    """(source, destination, action): what fills ``root`` with a folder for each well.
+
+    A well's files in ``trees`` (path) go there as a whole: ``copy`` if ``there`` (folder) doesn't have the
+    well yet, else ``replace``, or ``skip`` without ``overwrite``. The images of ``raw`` (path; only
+    lower-case extensions) go to the folder of the same name, if one is there by then: ``add``. A null path is no file.
+    """
+    at = lambda df: df.select(F.col("path").alias("source"), directory(F.col("path")).alias("folder"), file_name(F.col("path")).alias("file")).distinct()
+    known = there.select("folder", F.lit(True).alias("_there")).distinct()
+    whole = at(trees).join(known, "folder", "left").withColumn("action", F.when(F.col("_there"), F.lit("replace" if overwrite else "skip")).otherwise("copy"))
+    wells = whole.select("folder").union(known.select("folder")).distinct()
+    added = at(images(raw, any_case=False)).join(wells, "folder", "left_semi").withColumn("action", F.lit("add"))
+    both = whole.drop("_there").unionByName(added)
+    return both.select("source", F.concat(F.lit(root), F.lit("/"), "folder", F.lit("/"), "file").alias("destination"), "action")
+
+
+# Files of the compartments: text in the name of the image that shows one, its mask and its sliding windows. Fixed values.
+SHOWN_IN = {"nuclei": "405", "cell": "555", "cytoplasm": "555"}
+MASKS = {"nuclei": ("nuclei_masks.tiff", "nuclei_reconstruction_dict.npy"), "cell": ("cell_masks.tiff", "cell_reconstruction_dict.npy")}
+
+
+def decoupling_files(folders: DataFrame, compartment: str) -> DataFrame:
+    """(folder, mask, windows): the files that the decoupling of a compartment reads and writes in each folder."""
+    if compartment not in MASKS:
+        raise ValueError(f"compartment must be one of {tuple(MASKS)}, not {compartment!r}")
+    mask, windows = (F.concat("folder", F.lit(f"/{name}")) for name in MASKS[compartment])
+    return folders.select("folder", mask.alias("mask"), windows.alias("windows")).distinct()
+
+
+def video_files(paths: DataFrame, compartment: str) -> DataFrame:
+    """(folder, image, mask): of each folder the last image and the last mask, by path, of a compartment's film."""
+    if compartment not in SHOWN_IN:
+        raise ValueError(f"compartment must be one of {tuple(SHOWN_IN)}, not {compartment!r}")
+    name = file_name(F.col("path"))
+    image = F.max(F.when(name.contains(SHOWN_IN[compartment]), F.col("path")))
+    mask = F.max(F.when(name.contains(compartment) & name.contains("mask"), F.col("path")))
+    return paths.groupBy(directory(F.col("path")).alias("folder")).agg(image.alias("image"), mask.alias("mask"))
 
 
 def plate_jobs(paths: DataFrame) -> DataFrame:

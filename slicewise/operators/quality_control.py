@@ -133,3 +133,31 @@ def density(df: DataFrame, value: str, by: list[str], points: int = 50, bins: in
     grid = counted.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).withColumn("at", F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("k") / (points - 1))
     u = (F.col("at") - (F.col("lo") + (F.col("bin") + 0.5) * step)) / F.col("h")
     return grid.groupBy(*by, "k", "at").agg(F.sum(F.col("n") * F.exp(-u * u / 2) / (F.col("total") * F.col("h") * F.sqrt(F.lit(6.283185307179586)))).alias("density"))
+
+
+def diagnostics(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, n_rows, n_columns, n_missing, n_values, least, most): a row for each of ``columns``, as text; one pass.
+
+    ``n_values`` counts distinct values.
+    """
+    found = [F.struct(F.lit(c).alias("column"), F.count("*").alias("n_rows"), F.lit(len(df.columns)).alias("n_columns"), F.count_if(F.col(c).isNull()).alias("n_missing"),
+                      F.count_distinct(c).alias("n_values"), F.min(c).cast("string").alias("least"), F.max(c).cast("string").alias("most")).alias(f"_{i}") for i, c in enumerate(columns)]
+    return df.agg(*found).select(F.explode(F.array(*(f"_{i}" for i in range(len(columns))))).alias("d")).select("d.*")
+
+
+def nan_detect(df: DataFrame, by: str, keys: list[str] = schema.ORGANOID) -> DataFrame:
+    """Whether any of the key columns has a null, for each value of ``by``."""
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    return df.groupBy(by).agg(F.bool_or(missing).alias("has_nan"))
+
+
+def full_path(folder: Column | str, file: Column | str) -> Column:
+    """Folder and file name; null if either is."""
+    return F.concat(folder, F.lit("/"), file)
+
+
+def title(n: Column | str = "n_slices") -> Column:
+    """The title of an example image; null if a part is."""
+    return F.concat("plate", F.lit("_"), "well", F.lit("-"), F.col("site").cast("int").cast("string"), F.lit("_"), "zslice", F.lit(" (Total z-slices: "), F.col(n).cast("string"), F.lit(")"))

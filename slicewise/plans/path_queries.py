@@ -12,11 +12,48 @@ from slicewise.sources import tables as t
 W = f"with {sql.PATHS} "
 CHANNEL = sql.CHANNEL_CASE
 STACK = f"ordered as (select folder, channel, path, cast(row_number() over (partition by folder, channel order by path) - 1 as int) z from (select distinct folder, {CHANNEL.format('file')} channel, path from parts) where channel is not null)"
+NESTED = (
+    "nested as (select event_id, replace(replace(path, '/img_', case when event_id % 7 = 0 then '/scan/deep/img_' when event_id % 5 = 0 then '/img_' else '/scan/img_' end), "
+    "'.tif', case when event_id % 11 = 0 then '.TIFF' when event_id % 13 = 0 then '.png' else '.tif' end) path from image_paths)"
+)
+N = f"with {sql.PATHS}, {NESTED} "
+MANIFEST = (
+    N + ", known as (select distinct folder from parts where folder like 'C%'), trees as (select distinct path, folder, file from parts where event_id % 3 = 0), "
+    "raw as (select distinct path, string_split(path, '/')[-2] folder, string_split(path, '/')[-1] file from nested where event_id % 3 = 1 and (path like '%.tif' or path like '%.tiff')), "
+    "wells as (select folder from trees union select folder from known) "
+    "select path as source, '/cellprofiler/' || folder || '/' || file as destination, case when folder in (from known) then '{}' else 'copy' end as action from trees "
+    "union all select path, '/cellprofiler/' || folder || '/' || file, 'add' from raw where folder in (from wells)"
+)
+VIDEO = (
+    ", files as (select path, folder from parts union all select '/data/' || folder || '/{c}_masks.tiff', folder from parts) "
+    "select folder, max(case when contains(string_split(path, '/')[-1], '{mark}') then path end) as image, "
+    "max(case when contains(string_split(path, '/')[-1], '{c}') and contains(string_split(path, '/')[-1], 'mask') then path end) as mask from files group by folder"
+)
+
+
+def _manifest(spark, d, overwrite):
+    trees, nested = t.image_paths(spark, d), t.nested_paths(spark, d)
+    there = trees.select(p.directory(F.col("path")).alias("folder")).where("folder like 'C%'")
+    return p.copy_manifest(trees.where("event_id % 3 = 0"), nested.where("event_id % 3 = 1"), there, "/cellprofiler", overwrite)
+
+
+def _video(compartment):
+    def query(spark, d):
+        found = t.image_paths(spark, d).select("path")
+        masks = found.select(F.concat(F.lit("/data/"), p.directory(F.col("path")), F.lit(f"/{compartment}_masks.tiff")).alias("path"))
+        return p.video_files(found.union(masks), compartment)
+
+    return query
+
 
 QUERIES = {
     "scan_image_paths": (lambda s, d: p.images(t.image_paths(s, d)), W + "select event_id, path from parts where lower(path) like '%.tif' or lower(path) like '%.tiff'"),
     "scan_tif_case_sensitive": (lambda s, d: p.images(t.image_paths(s, d), any_case=False), W + "select event_id, path from parts where path like '%.tif' or path like '%.tiff'"),
-    "flatten_paths": (lambda s, d: p.flattened(t.image_paths(s, d)), W + "select folder, file, max(path) as path from parts group by all"),
+    "flatten_paths": (
+        lambda s, d: p.flattened(t.nested_paths(s, d), "/data"),
+        N + ", b as (select path, string_split(substr(path, 7), '/') q from nested where lower(path) like '%.tif' or lower(path) like '%.tiff'), "
+        "f as (select path, unnest(q[2:len(q) - 2]) folder from b where len(q) >= 4) "
+        "select folder, string_split(path, '/')[-1] as file, max(path) as path from f group by all"),
     "parse_path_metadata": (
         lambda s, d: p.parse(t.image_paths(s, d)),
         W + f"select event_id, path, nullif(regexp_extract(path, '{schema.FOLDER}', 1), '') as plate, nullif(regexp_extract(path, '{schema.FOLDER}', 2), '') as well, "
@@ -44,7 +81,10 @@ QUERIES = {
     "rerun_jobs": (
         lambda s, d: p.file_counts(t.image_paths(s, d), schema.EXPECTED_RESULTS).where("not complete").select("folder", "n_files"),
         W + f"select folder, count(*) as n_files from parts group by folder having count(*) <> {schema.EXPECTED_RESULTS}"),
-    "copy_manifest": (
-        lambda s, d: p.copy_manifest(t.image_paths(s, d), "/flat"),
-        W + "select max(path) as source, '/flat/' || folder || '/' || file as destination, 'replace' as action from parts group by folder, file"),
+    "copy_manifest": (lambda s, d: _manifest(s, d, True), MANIFEST.format("replace")),
+    "copy_manifest_keep": (lambda s, d: _manifest(s, d, False), MANIFEST.format("skip")),
+    "decoupling_files": (
+        lambda s, d: p.decoupling_files(t.image_paths(s, d).select(p.directory(F.col("path")).alias("folder")), "cell"),
+        W + "select distinct folder, folder || '/cell_masks.tiff' as mask, folder || '/cell_reconstruction_dict.npy' as windows from parts"),
+    **{f"video_files_{c}": (_video(c), W + VIDEO.format(c=c, mark=mark)) for c, mark in p.SHOWN_IN.items()},
 }

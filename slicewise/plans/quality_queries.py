@@ -16,6 +16,9 @@ KEYS = "plate, well, site, zslice"
 WELLS = 45
 
 
+SATURATION = {c: (f"pctmax_{c}", th) for c, th in schema.SATURATION.items()}
+
+
 def flags_of(spark, d):
     return qc.merged_flags(t.zslice_qc(spark, d))
 
@@ -48,6 +51,22 @@ QUERIES = {
         .where("plate is not null and well is not null and site is not null").groupBy("channel").agg(F.count_distinct("plate", "well", "site").alias("n_groups")),
         f"with {sql.BASE}, u as (" + " union all ".join(f"select plate, well, site, '{c}' channel from rated where {sql.TEST[f'blurry_{c}']}" for c in schema.BLUR)
         + ") select channel, count(distinct (plate, well, site)) as n_groups from u group by channel"),
+    "sat_outlier_union": (
+        lambda s, d: qc.outlier_union(t.zslice_qc(s, d), SATURATION),
+        f"with {sql.BASE} " + " union all ".join(f"select {KEYS}, '{c}' as channel from rated where {sql.TEST[f'saturated_{c}']}" for c in schema.SATURATION)),
+    "sat_outlier_groups": (
+        lambda s, d: qc.outlier_union(t.zslice_qc(s, d), SATURATION)
+        .where("plate is not null and well is not null and site is not null").groupBy("channel").agg(F.count_distinct("plate", "well", "site").alias("n_groups")),
+        f"with {sql.BASE}, u as (" + " union all ".join(f"select plate, well, site, '{c}' channel from rated where {sql.TEST[f'saturated_{c}']}" for c in schema.SATURATION)
+        + ") select channel, count(distinct (plate, well, site)) as n_groups from u group by channel"),
+    "sat_sample_per_group": (
+        lambda s, d: qc.one_of_each(qc.outliers(t.zslice_qc(s, d), "pctmax_er", 2.0).select("event_id", *schema.ZSLICE), schema.ORGANOID, ["event_id"], seed=1),
+        f"with {sql.BASE} select event_id, {KEYS} from rated where {sql.TEST['saturated_er']} qualify row_number() over (partition by plate, well, site order by (event_id * 7919 + 1) % 10007, event_id) = 1"),
+    "diagnostics": (
+        lambda s, d: qc.diagnostics(t.zslice_qc(s, d).select(*schema.ZSLICE), schema.ZSLICE),
+        f"with {sql.ZSLICE_QC} " + " union all ".join(
+            f"select '{c}' as \"column\", count(*) as n_rows, 4 as n_columns, count(*) filter ({c} is null) as n_missing, count(distinct {c}) as n_values, "
+            f"cast(min({c}) as varchar) as least, cast(max({c}) as varchar) as most from zslice_qc" for c in schema.ZSLICE)),
     "distinct_organoids": (lambda s, d: t.zslice_qc(s, d).select(*schema.ORGANOID).distinct(), f"with {sql.ZSLICE_QC} select distinct plate, well, site from zslice_qc"),
     "qc_scan_prune": (lambda s, d: qc.select_prefixes(t.zslice_qc(s, d), "plate", "well", "site", "zslice", "slope"), f"with {sql.ZSLICE_QC} select {KEYS}, {', '.join(f'slope_{c}' for c in schema.CHANNELS)} from zslice_qc"),
     "plate_union": (
@@ -58,7 +77,7 @@ QUERIES = {
         f"with {sql.ZSLICE_QC}, b as (select event_id, plate = 'NF0018' and event_id % 97 = 0 gone, plate, well, site, zslice, plate || '_qc_results' source from zslice_qc) "
         "select event_id, case when gone then 'NF0018' else plate end as plate, case when gone then 'E5' else well end as well, case when gone then 3 else site end as site, zslice from b"),
     "nan_detect": (
-        lambda s, d: _blanked(t.zslice_qc(s, d)).groupBy("source").agg(F.bool_or(F.expr("plate is null or well is null or site is null")).alias("any_missing")),
+        lambda s, d: qc.nan_detect(_blanked(t.zslice_qc(s, d)), "source").withColumnRenamed("has_nan", "any_missing"),
         f"with {sql.ZSLICE_QC} select plate || '_qc_results' as source, bool_or(plate = 'NF0018' and event_id % 97 = 0) as any_missing from zslice_qc group by all"),
     "na_counts": (
         lambda s, d: _blanked(t.zslice_qc(s, d)).agg(*(F.count_if(F.col(k).isNull()).alias(k) for k in schema.ZSLICE)).unpivot([], schema.ZSLICE, "column", "n_missing"),
@@ -69,10 +88,10 @@ QUERIES = {
         f"with {sql.ZSLICE_QC}, b as (select *, plate = 'NF0018' and event_id % 97 = 0 gone from zslice_qc), n as (select plate, well, site, count(*) k from b where not gone group by all) "
         "select event_id, case when gone then null else k end as n_slices from b left join n using (plate, well, site)"),
     "full_path": (
-        lambda s, d: _blanked(t.zslice_qc(s, d)).select("event_id", F.concat("plate", F.lit("_raw_images"), F.lit("/"), "well", F.lit("_"), "zslice", F.lit(".tif")).alias("full_path")),
+        lambda s, d: _blanked(t.zslice_qc(s, d)).select("event_id", qc.full_path(F.concat("plate", F.lit("_raw_images")), F.concat("well", F.lit("_"), "zslice", F.lit(".tif"))).alias("full_path")),
         f"with {sql.ZSLICE_QC} select event_id, case when plate = 'NF0018' and event_id % 97 = 0 then null else plate || '_raw_images/' || well || '_' || zslice || '.tif' end as full_path from zslice_qc"),
     "title_format": (
-        lambda s, d: qc.slices_of_organoid(t.zslice_qc(s, d)).select("event_id", F.format_string("%s_%s-%d_%s (Total z-slices: %d)", "plate", "well", "site", "zslice", "n_slices").alias("title")),
+        lambda s, d: qc.slices_of_organoid(t.zslice_qc(s, d)).select("event_id", qc.title().alias("title")),
         f"with {sql.ZSLICE_QC} select event_id, plate || '_' || well || '-' || site || '_' || zslice || ' (Total z-slices: ' || count(*) over (partition by plate, well, site) || ')' as title from zslice_qc"),
     "blur_melt": (
         lambda s, d: qc.melted(t.zslice_qc(s, d), {f"slope_{c}": c for c in schema.CHANNELS}, "channel", "slope", ["event_id", *schema.ZSLICE]),
@@ -81,7 +100,14 @@ QUERIES = {
         lambda s, d: qc.histogram(qc.melted(t.zslice_qc(s, d), {f"slope_{c}": c for c in schema.CHANNELS}, "channel", "slope", ["plate"]), "slope", ["plate", "channel"], 25.0),
         f"with {sql.ZSLICE_QC}, m as (" + " union all ".join(f"select plate, '{c}' channel, slope_{c} slope from zslice_qc" for c in schema.CHANNELS)
         + ") select plate, channel, cast(floor(slope / 25.0) as bigint) as bin, count(*) as n from m where slope is not null group by all"),
-    "blur_kde": (lambda s, d: qc.density(qc.melted(t.zslice_qc(s, d), {f"slope_{c}": c for c in schema.CHANNELS}, "channel", "slope", ["plate"]), "slope", ["plate", "channel"]), None),
+    "blur_kde": (
+        lambda s, d: qc.density(qc.melted(t.zslice_qc(s, d), {f"slope_{c}": c for c in schema.CHANNELS}, "channel", "slope", ["plate"]), "slope", ["plate", "channel"])
+        .select("plate", "channel", "k", F.round("at", 6).alias("at"), F.round("density", 8).alias("density")),
+        f"with {sql.ZSLICE_QC}, m as (" + " union all ".join(f"select plate, '{c}' channel, slope_{c} slope from zslice_qc where slope_{c} is not null" for c in schema.CHANNELS)
+        + "), s as (select plate, channel, min(slope) lo, max(slope) hi, stddev_samp(slope) sd, count(*) total from m group by all having count(*) > 1 and stddev_samp(slope) > 0), "
+        "b as (select m.plate, m.channel, lo, hi, sd * pow(total, -0.2) h, total, (hi - lo) / 2000 step, floor((slope - lo) / ((hi - lo) / 2000)) bin, count(*) n from m join s on m.plate = s.plate and m.channel = s.channel group by all), "
+        "g as (select *, lo + (hi - lo) * k / 49 as \"at\" from b, (select cast(unnest(range(50)) as int) k)) "
+        "select plate, channel, k, round(\"at\", 6) as \"at\", round(sum(n * exp(-pow((\"at\" - (lo + (bin + 0.5) * step)) / h, 2) / 2) / (total * h * sqrt(6.283185307179586))), 8) as density from g group by plate, channel, k, \"at\""),
     "sample_per_group": (
         lambda s, d: qc.one_of_each(qc.outliers(t.zslice_qc(s, d), "slope_dna", -2.0).select("event_id", *schema.ZSLICE), schema.ORGANOID, ["event_id"], seed=1),
         f"with {sql.BASE} select event_id, {KEYS} from rated where {sql.TEST['blurry_dna']} qualify row_number() over (partition by plate, well, site order by (event_id * 7919 + 1) % 10007, event_id) = 1"),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from slicewise.operators import images, linking, masks, volume
 from slicewise.plans import sql
+from slicewise.sources import files
 from slicewise.sources import tables as t
 
 #: Slices of a stack for projections and for linking, window width, and linking radius.
@@ -86,6 +87,20 @@ RGB = (
     "c as (select *, max(greatest(r, b)) over (partition by stack, z) most from a) "
     f"select stack, z, y, x, {BYTE.format('coalesce(r / nullif(most, 0), 0) * 255')} as r, 0 as g, {BYTE.format('coalesce(b / nullif(most, 0), 0) * 255')} as b from c"
 )
+PAGES = (
+    f"with {VD}, p as (select stack, z, string_agg(cast(greatest(v, 0) as varchar), ',' order by y, x) pixels from voxels group by all) "
+    "select stack, cast(row_number() over (partition by stack order by z) - 1 as int) as page, pixels from p"
+)
+STITCHED = (
+    f"with recursive {sql.voxels(DEEP, 0.05)}, a as (select stack, z, lab, count(*) n from voxels where lab > 0 group by all), "
+    "c as (select p.stack, q.z, p.lab old, q.lab new, count(*) n from voxels p join voxels q on p.stack = q.stack and q.z = p.z + 1 and p.y = q.y and p.x = q.x where p.lab > 0 and q.lab > 0 group by all), "
+    "i as (select c.*, c.n / (o.n + w.n - c.n) iou from c join a o on o.stack = c.stack and o.z = c.z - 1 and o.lab = old join a w on w.stack = c.stack and w.z = c.z and w.lab = new), "
+    "most as (select * from i where iou >= {} qualify iou = max(iou) over (partition by stack, z, old)), "
+    "link as (select stack, z, new, old from most qualify row_number() over (partition by stack, z, new order by iou desc, old) = 1), "
+    "roots as (select stack, z, lab, cast(row_number() over (partition by stack order by z, lab) as int) object from a where not exists (select 1 from link l where l.stack = a.stack and l.z = a.z and l.new = a.lab)), "
+    "chain as (select * from roots union all select l.stack, l.z, l.new, c.object from chain c join link l on l.stack = c.stack and l.z = c.z + 1 and l.old = c.lab) "
+    "select stack, z, y, x, coalesce(object, 0) as object from voxels left join chain using (stack, z, lab)"
+)
 
 QUERIES = {
     "sliding_max": (
@@ -147,15 +162,51 @@ QUERIES = {
     "relabel_3d": (
         lambda s, d: linking.relabelled(shallow(s, d), nodes(s, d)),
         L + ", last as (select stack, slice z, label lab, max(object_number) k from nodes join objects using (stack, unique_id) group by all) select stack, z, y, x, coalesce(k, 0) as object from voxels left join last using (stack, z, lab)"),
-    "power_loglog_slope": (lambda s, d: images.power_slopes(deep(s, d)), None),
-    "clahe": (lambda s, d: images.equalised(deep(s, d)), None),
-    "gauss_max": (lambda s, d: images.blurred_maximum(deep(s, d), WIDTH), None),
-    "butterworth": (lambda s, d: images.low_pass(deep(s, d)), None),
-    "segment": (lambda s, d: images.segmented(deep(s, d), 4.0), None),
-    "decode_tiff": (lambda s, d: images.decoded(images.encoded(deep(s, d))), None),
+    "relabel_rescaled": (
+        lambda s, d: volume.rescaled_to_max(linking.relabelled(shallow(s, d), nodes(s, d)), "object"),
+        L + ", last as (select stack, slice z, label lab, max(object_number) k from nodes join objects using (stack, unique_id) group by all), "
+        "o as (select stack, z, y, x, coalesce(k, 0) as object from voxels left join last using (stack, z, lab)) "
+        f"select stack, z, y, x, {BYTE.format('coalesce(object / nullif(max(object) over w, 0), 0) * 255')} as object from o window w as (partition by stack)"),
+    "stitch_labels": (lambda s, d: _stitched(s, d, 0.8), STITCHED.format(0.8)),
+    "stitch_labels_loosely": (lambda s, d: _stitched(s, d, 0.4), STITCHED.format(0.4)),
+    "power_loglog_slope": (lambda s, d: images.power_slopes(t.slices(s, d, DEEP)), None),
+    "clahe": (lambda s, d: images.equalised(t.slices(s, d, DEEP)), None),
+    "gauss_max": (lambda s, d: images.blurred_maximum(t.slices(s, d, DEEP), WIDTH), None),
+    "butterworth": (lambda s, d: images.low_pass(t.slices(s, d, DEEP)), None),
+    "segment": (lambda s, d: images.segmented(t.slices(s, d, DEEP), 4.0), None),
+    **{f"segment_{name}": ((lambda name: lambda s, d: images.compartment(t.slices(s, d, DEEP), name, scale=4.0 / images.MODELS[name]["diameter"]))(name), None) for name in images.MODELS},
+    "decode_tiff": (lambda s, d: _pages(images.encoded(t.slices(s, d, DEEP))), PAGES),
+    "tiff_sink": (lambda s, d: _written(s, images.encoded(t.slices(s, d, DEEP))), PAGES),
+    "window_sink": (lambda s, d: _windows(s, fanned(s, d)), f"with {VS}, {FAN} select stack, z, pseudo_slice, y, x, lab from fan"),
+    "gif_files": (
+        lambda s, d: images.animated(t.slices(s, d, DEEP)).select("path", F.octet_length("content").alias("size")),
+        f"with {VD} select 'stack' || stack || '.gif' as path, cast(801 + 96 * count(distinct z) as int) as size from voxels group by stack"),
 }
 
 
+def _stitched(spark, d, least):
+    labels = t.slices(spark, d, DEEP, 0.05).drop("pixels").withColumnRenamed("labels", "pixels")
+    return images.as_voxels(images.stitched(labels, least), "object").withColumn("object", F.col("object").cast("int"))
+
+
+def _pages(found):
+    """Pages by the number in their file's name, their pixels as text."""
+    stack = F.regexp_extract("path", "stack([0-9]+)[.]tif$", 1).cast("int")
+    return images.decoded(found).select(stack.alias("stack"), "page", F.array_join(F.transform("pixels", lambda v: v.cast("int")), ",").alias("pixels"))
+
+
+def _written(spark, found):
+    folder = files.scratch(spark)
+    files.write_files(found, folder)
+    return _pages(files.image_files(spark, folder))
+
+
+def _windows(spark, rows):
+    folder = files.scratch(spark)
+    files.write_slices(rows, folder, "lab", ["stack", "z", "pseudo_slice"])
+    return files.read_slices(spark, folder, "lab", ["stack", "z", "pseudo_slice"])
+
+
 def _node_pairs(o):
     a = o.select("stack", F.col("unique_id").alias("node1"), F.col("slice").alias("_s1"))
     b = o.select("stack", F.col("unique_id").alias("node2"), F.col("slice").alias("_s2"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,17 +44,49 @@ def read_platemap(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=kinds).drop("wellrow", "wellcol")
 
 
-def write_slices(voxels: DataFrame, path: str, value: str = "v") -> None:
-    """A Parquet row for each slice, its values as an array in row order, partitioned by stack."""
+def write_slices(voxels: DataFrame, path: str, value: str = "v", keys: list[str] = ["stack", "z"]) -> None:
+    """A Parquet row for each slice, its values as an array in row order; the keys may go on to pseudo-slices.
+
+    Rows are in ranges of the keys, so files and row groups are pruned by a filter on them, however many stacks there are.
+    """
     rows = F.sort_array(F.collect_list(F.struct("y", "x", value)))
-    slices = voxels.groupBy("stack", "z").agg(rows.alias("_rows"))
-    slices.select("stack", "z", F.col(f"_rows.{value}").alias("pixels"), (F.array_max("_rows.x") + 1).alias("width")).write.partitionBy("stack").parquet(path)
+    slices = voxels.groupBy(*keys).agg(rows.alias("_rows"))
+    slices.select(*keys, F.col(f"_rows.{value}").alias("pixels"), (F.array_max("_rows.x") + 1).alias("width")).repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(path)
+
 
+def read_slices(spark: SparkSession, path: str, value: str = "v", keys: list[str] = ["stack", "z"]) -> DataFrame:
+    """Voxel rows of slices that ``write_slices`` wrote."""
+    long = spark.read.parquet(path).select(*keys, "width", F.posexplode("pixels").alias("_at", value))
+    return long.select(*keys, F.expr("cast(_at div width as int)").alias("y"), (F.col("_at") % F.col("width")).alias("x"), value)
 
-def read_slices(spark: SparkSession, path: str, value: str = "v") -> DataFrame:
-    """Voxel rows of slices that ``write_slices`` wrote; a filter on stack reads its folders alone."""
-    long = spark.read.parquet(path).select("stack", "z", "width", F.posexplode("pixels").alias("_at", value))
-    return long.select("stack", "z", F.expr("cast(_at div width as int)").alias("y"), (F.col("_at") % F.col("width")).alias("x"), value)
+
+def write_files(found: DataFrame, folder: str) -> None:
+    """Each (path, content) as a file of ``folder``, which all executors must see, such as a mounted share.
+
+    A file appears whole or not at all, so a task that runs again does no harm.
+    """
+    folder = folder.removeprefix("file:")
+
+    def put(rows):
+        os.makedirs(folder, exist_ok=True)
+        for r in rows:
+            part = f"{folder}/.{r.path}.{uuid4().hex}"
+            with open(part, "wb") as f:
+                f.write(r.content)
+            os.replace(part, f"{folder}/{r.path}")
+
+    os.makedirs(folder, exist_ok=True)
+    found.select("path", "content").foreachPartition(put)
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder name in the session's shared checkpoint folder; a local one only where Spark itself is local."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="slices")
+    return f"{shared}/{uuid4().hex}"
 
 
 def updated(df: DataFrame, root: str, version: int) -> str:

@@ -49,6 +49,22 @@ def voxels(spark: SparkSession, sf_dir: str, depth: int, threshold: float = 0.1)
     )
 
 
+def slices(spark: SparkSession, sf_dir: str, depth: int, threshold: float = 0.1) -> DataFrame:
+    """(stack, z, height, width, pixels, labels): ``voxels`` with a row for each slice, made without a shuffle."""
+    return read(spark, sf_dir, "embeddings").selectExpr(
+        f"cast(floor(vec_id / {depth}) as int) stack", f"cast(vec_id % {depth} as int) z", "8 height", "8 width",
+        "transform(embedding, e -> cast(floor((cast(e as double) + cast(0.6 as double)) * 100) as double)) pixels",
+        f"transform(embedding, (e, p) -> cast(case when cast(e as double) > cast({threshold} as double) then 1 + cast(floor((p % 8) / 4) as int) + 2 * cast(floor(p / 32) as int) else 0 end as double)) labels",
+    )
+
+
+def nested_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, path): acquisition trees, with a folder or two between a well and its images, some of other kinds."""
+    path = "replace(path, '/img_', case when event_id % 7 = 0 then '/scan/deep/img_' when event_id % 5 = 0 then '/img_' else '/scan/img_' end)"
+    kind = "case when event_id % 11 = 0 then '.TIFF' when event_id % 13 = 0 then '.png' else '.tif' end"
+    return image_paths(spark, sf_dir).selectExpr("event_id", f"replace({path}, '.tif', {kind}) path")
+
+
 def platemap(spark: SparkSession, sf_dir: str, wells: int = 50) -> DataFrame:
     """(well_position, treatment, dose, wellrow, wellcol) for the first ``wells`` wells."""
     row = "substr('CDEFG', cast(p_size - 1 as int) % 5 + 1, 1)"

@@ -141,7 +141,7 @@ def test_tiff_round_trip(spark, voxels):
     assert all(np.array_equal(a, b) for a, b in zip(tiff.decode(tiff.encode(pages)), pages))
     with pytest.raises(ValueError):
         tiff.decode(b"nothing")
-    back = images.decoded(images.encoded(voxels)).collect()
+    back = images.decoded(images.encoded(images.as_slices(voxels))).collect()
     assert len(back) == 15 and sum(sum(r.pixels) for r in back) == voxels.agg(F.sum("v")).first()[0]
 
 
@@ -164,6 +164,89 @@ def test_kernels():
     assert imagemath.threshold_segment(spots, 10.0).max() == 2
 
 
+def gif_frames(data):
+    """The frames of a grey GIF, by a plain decoder of its variable-length codes."""
+    width, height = int.from_bytes(data[6:8], "little"), int.from_bytes(data[8:10], "little")
+    at, frames = 13 + 768, []
+    while data[at] != 0x3B:
+        if data[at] == 0x21:
+            at += 2
+        else:
+            assert data[at] == 0x2C and data[at + 10] == 8
+            at += 11
+        block = b""
+        extension = data[at - 2] == 0x21
+        while data[at]:
+            block, at = block + data[at + 1 : at + 1 + data[at]], at + 1 + data[at]
+        at += 1
+        if extension:
+            continue
+        bits, n, out, table, before, size, place = int.from_bytes(block, "little"), len(block) * 8, [], {}, None, 9, 0
+        while place + size <= n:
+            code, place = bits >> place & (1 << size) - 1, place + size
+            if code == 257:
+                break
+            if code == 256:
+                table, before, size = {i: [i] for i in range(256)}, None, 9
+                continue
+            now = table.get(code) or [*before, before[0]]
+            if before is not None:
+                table[len(table) + 2] = [*before, now[0]]
+                size = 10 if len(table) + 2 >= 512 else size
+            out, before = out + now, now
+        frames.append(np.array(out).reshape(height, width))
+    return frames
+
+
+def test_animations_hold_their_frames(spark, voxels):
+    from slicewise.sources import gif
+
+    rng = np.random.default_rng(1)
+    pages = [rng.integers(0, 256, (30, 41)).astype("u1") for _ in range(3)]
+    assert all(np.array_equal(a, b) for a, b in zip(gif_frames(gif.encode(pages)), pages, strict=True))
+    films = images.animated(images.as_slices(voxels)).collect()
+    assert sum(len(gif_frames(r.content)) for r in films) == 15
+
+
+def test_volumes_are_equalised_as_a_whole():
+    rng = np.random.default_rng(4)
+    volume = rng.random((10, 16, 16))
+    flat = imagemath.equalised(volume, 0.5)
+    assert flat.shape == volume.shape and 0 <= flat.min() and flat.max() <= 1 + 1e-9
+    assert not np.allclose(flat[0], imagemath.equalised(volume[0], 0.5))
+    one = imagemath.equalised(volume, 1.0, tiles=1)  # one tile without clipping is plain equalisation
+    level = np.minimum(((volume - volume.min()) / np.ptp(volume) * 256).astype(int), 255)
+    share = np.cumsum(np.bincount(level.ravel(), minlength=256)) / volume.size
+    assert np.allclose(one, share[level])
+
+
+def test_labels_go_on_through_z():
+    a = np.zeros((4, 10), int)
+    a[:, :5], a[:, 6:] = 1, 2
+    b = a.copy()
+    b[b == 1], b[b == 2] = 3, 1
+    c = b.copy()
+    c[:, 7:] = 4  # 12 of 16 pixels left: under 0.8
+    got = imagemath.stitched(np.stack([a, b, c, np.zeros_like(a), a]), 0.8)
+    assert np.array_equal(got[0], a) and np.array_equal(got[1], a)
+    assert set(np.unique(got[2][:, :5])) == {1} and set(np.unique(got[2][:, 7:])) == {4} and set(np.unique(got[2][:, 6])) == {3}
+    assert not got[3].any() and got[4].max() > got[2].max()
+
+
+def test_rules_of_paths_and_compartments(spark):
+    from slicewise.operators import paths
+
+    rows = ["/r/a/b/c/i.tif", "/r/a/b/c/d/i.TIFF", "/r/a/b/x.tif", "/r/a/b/c/j.png", "/q/a/b/c/k.tif", "/r/z/b/c/i.tif"]
+    df = spark.createDataFrame([(r,) for r in rows], "path string")
+    got = {(r.folder, r.file): r.path for r in paths.flattened(df, "/r").collect()}
+    assert got == {("b", "i.tif"): "/r/z/b/c/i.tif", ("b", "i.TIFF"): rows[1], ("c", "i.TIFF"): rows[1]}
+    for f in (paths.decoupling_files, paths.video_files):
+        with pytest.raises(ValueError):
+            f(df, "organoid")
+    with pytest.raises(ValueError):
+        images.compartment(None, "membrane")
+
+
 def test_measurements_as_a_stream(spark, tmp_path):
     from slicewise.streaming import ingest
 
