@@ -7,6 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -14,13 +15,19 @@ from slicewise.llm import passages as P
 from slicewise.llm.common import checkpointed, stored
 
 #: The most frequent words have 16-bit ids, with their totals on the driver. Every other word is rare: a word
-#: of the model like them, known by its hash, with its totals in hash buckets.
+#: of the model like them, known by its hash, with its totals in hash buckets. Scores don't depend on which are.
 VOCABULARY = 65_500
 RARE, END, BEGIN = 65_533, 65_534, 65_535
-#: Bits of a word's hash that tell words apart.
+#: Bits of a hash that tell words apart, and anchors.
 WORD_BITS = 48
 #: A bigram with this share of all tokens is scored where it is read; so at most 2 ** 17 are.
 HOT = 1 << 17
+#: Log probabilities are added up as multiples of 1 / SCALE, so that sums don't depend on their order.
+SCALE = 1 << 16
+#: Words of an anchor, and one in how many passages of that length is one.
+ANCHOR, EVERY = 8, 16
+#: Rows of a slice at most.
+ROWS = 1 << 15
 SYMBOL = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 INNER = (np.arange(256) & 0xC0) == 0x80  # bytes that continue a character
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -70,23 +77,56 @@ class Occurrences:
     before_word: np.ndarray  # zero unless before is RARE
     after_word: np.ndarray
     doc: np.ndarray
+    fold: np.ndarray = None
+
+
+class Fold:
+    """The bigram model of one half of the texts: context and continuation mass by word id, and hot bigrams' counts."""
+
+    def __init__(self, rows: np.ndarray, hot_count: np.ndarray):
+        """``rows`` are (kind, id, a, b, c, d): kind 0 contexts, 1 continuations, 2 counts of counts, 4 counts of
+        counts of rare words' continuations, 5 their sum and number."""
+        of = lambda kind: rows[rows[:, 0] == kind]
+        count = np.zeros((1 << 16, 4))
+        count[of(0)[:, 1]] = of(0)[:, 2:]
+        self.discount = discounts(of(2)[:, 2:].sum(axis=0))
+        self.context = count[:, 0]
+        self.backoff = (count[:, 1:] * self.discount[1:]).sum(axis=1) / np.maximum(1, self.context)
+        follows = np.zeros(1 << 16, np.int64)
+        follows[of(1)[:, 1]] = of(1)[:, 2]
+        counts = np.bincount(np.minimum(follows[follows > 0], 5), minlength=6)[1:5] + of(4)[:, 2:].sum(axis=0)
+        e = self.follow_discount = discounts(counts)
+        rare, types = of(5)[:, 2].sum(), of(5)[:, 3].sum()
+        self.total, size = float(follows.sum() + rare), int((follows > 0).sum() + types)
+        one, two = int(counts[0]), int(counts[1])
+        left = (one * e[1] + two * e[2] + (size - one - two) * e[3]) / self.total if self.total else 1.0
+        self.spread = left / (size + 1)  # dealt to all words alike, the unknown one included
+        self.lower = self.continuation(follows)
+        self.hot_count = hot_count
+
+    def continuation(self, follows: np.ndarray) -> np.ndarray:
+        """Lower-order probability of words with so many distinct words before them; unknown ones have none."""
+        return np.maximum(follows - self.follow_discount[np.minimum(follows, 3)], 0) / max(1.0, self.total) + self.spread
+
+    def costs(self, count: np.ndarray, context: np.ndarray, backoff: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Negative log probability of bigrams with so many counts, as multiples of 1 / SCALE."""
+        known = np.maximum(count - self.discount[np.minimum(count, 3)], 0) / np.maximum(context, 1)
+        return np.rint(-SCALE * np.log(np.where(context > 0, known + backoff * lower, lower))).astype(np.int64)
+
+    def pair_costs(self, key: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Of bigrams of frequent words."""
+        first, second = (key >> np.uint32(16)).astype(np.int64), (key & np.uint32(0xFFFF)).astype(np.int64)
+        return self.costs(count, self.context[first], self.backoff[first], self.lower[second])
 
 
 @dataclass
 class Model:
-    """Bigram model: frequent words and hot bigrams as sorted arrays, context and continuation mass by word id."""
+    """Frequent words and hot bigrams as sorted arrays, and a model of each half of the texts."""
 
     vocabulary: np.ndarray  # sorted hashes
     ids: np.ndarray
-    context: np.ndarray = None  # count of each id as a context
-    backoff: np.ndarray = None
-    lower: np.ndarray = None
-    discount: np.ndarray = None
     hot: np.ndarray = None  # sorted bigram keys
-    hot_count: np.ndarray = None
-    follow_discount: np.ndarray = None
-    total: float = 1.0  # distinct bigrams
-    spread: float = 0.0  # what the discounts of continuations leave for each word
+    folds: tuple[Fold, Fold] = None
 
     def number(self, h: np.ndarray) -> np.ndarray:
         """Ids of words by their hashes, RARE for rare ones."""
@@ -112,167 +152,161 @@ class Model:
         return key, words.doc[known], found
 
     def settle(self, rows: list) -> Model:
-        """Take in the totals: (kind, id, a, b, c, d) rows, kind 0 contexts, 1 continuations, 2 counts of counts, 3 hot
-        bigrams, 4 counts of counts of rare words' continuations, 5 their sum and number."""
-        table = np.array([tuple(r) for r in rows], np.int64).reshape(-1, 6)
-        of = lambda kind: table[table[:, 0] == kind]
-        count = np.zeros((1 << 16, 4))
-        count[of(0)[:, 1]] = of(0)[:, 2:]
-        d = self.discount = discounts(of(2)[:, 2:].sum(axis=0))
-        self.context = count[:, 0]
-        self.backoff = (count[:, 1:] * d[1:]).sum(axis=1) / np.maximum(1, self.context)
-        follows = np.zeros(1 << 16, np.int64)
-        follows[of(1)[:, 1]] = of(1)[:, 2]
-        counts = np.bincount(np.minimum(follows[follows > 0], 5), minlength=6)[1:5] + of(4)[:, 2:].sum(axis=0)
-        e = self.follow_discount = discounts(counts)
-        rare, types = of(5)[:, 2].sum(), of(5)[:, 3].sum()
-        self.total, size = max(1.0, float(follows.sum() + rare)), max(1, int((follows > 0).sum() + types))
-        one, two = int(counts[0]), int(counts[1])
-        self.spread = (one * e[1] + two * e[2] + (size - one - two) * e[3]) / self.total / size if self.total > 1 or types else 0.0
-        self.lower = self.continuation(follows)
-        hot = of(3)
-        hot = hot[np.argsort(hot[:, 1])]
-        self.hot, self.hot_count = hot[:, 1].astype(np.uint32), hot[:, 2]
+        """Take in the totals, (kind, fold, id, a, b, c, d) rows; kind 3 are hot bigrams with their counts in both halves."""
+        table = np.array([tuple(r) for r in rows], np.int64).reshape(-1, 7)
+        hot = table[table[:, 0] == 3]
+        hot = hot[np.argsort(hot[:, 2])]
+        self.hot = hot[:, 2].astype(np.uint32)
+        self.folds = tuple(Fold(np.delete(table[table[:, 1] == f], 1, axis=1), hot[:, 3 + f]) for f in (0, 1))
         return self
 
-    def continuation(self, follows: np.ndarray) -> np.ndarray:
-        """Lower-order probability of words with so many distinct words before them."""
-        return np.maximum(follows - self.follow_discount[np.minimum(follows, 3)], 0) / self.total + self.spread
-
-    def log_probability(self, key: np.ndarray, count: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """Of each bigram of frequent words for a document that has it ``own`` times of ``count``."""
-        first, second = (key >> np.uint32(16)).astype(np.int64), (key & np.uint32(0xFFFF)).astype(np.int64)
-        return self.log_of(count, own, self.context[first], self.backoff[first], self.lower[second])
-
-    def log_of(self, count: np.ndarray, own: np.ndarray, context: np.ndarray, backoff: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """Log probability where a document's own counts are left out."""
-        rest = np.maximum(count - own, 0)
-        context = context - own
-        known = np.maximum(rest - self.discount[np.minimum(rest, 3)], 0) / np.maximum(context, 1)
-        return np.log(np.where(context > 0, known + backoff * lower, lower) + 1e-12)
-
-    def rare_logs(self, o: Occurrences, side: list, docs: int) -> np.ndarray:
-        """Sums for each document of the log probabilities of frequent words' bigrams with the rare words of this
-        bucket, and of all bigrams that these begin. ``side`` has what ``fitted`` found of pairs of rare words."""
-        total = np.zeros(docs)
-        one = [x[:2] for kind, x in side if kind == 8]
-        two = [x for kind, x in side if kind == 9]
-
+    def rare_costs(self, o: Occurrences, side: list, docs: int) -> np.ndarray:
+        """Sums for each document of the costs of frequent words' bigrams with the rare words of this bucket, and of
+        all bigrams that these begin; each by the model of the other half. ``side`` has what ``fitted`` found of pairs of rare words."""
+        total = np.zeros(docs, np.int64)
         # a frequent word or a beginning, then a rare word
         at = np.flatnonzero(o.before != RARE)
-        word, before, doc = o.word[at], o.before[at].astype(np.int64), o.doc[at]
-        order, starts, _ = P.runs(word, before, doc)
-        own, pick = np.diff(np.append(starts, len(order))), order[starts]
-        word, before, doc = word[pick], before[pick], doc[pick]
-        _, first, run = P.runs(word, before)  # sorted already
-        if len(first):
-            count = np.add.reduceat(own, first)[run]
-            _, begin, of = P.runs(word[first])
-            follows = np.diff(np.append(begin, len(first)))
-            if one:
-                h, n = np.concatenate([x[0] for x in one]), np.concatenate([x[1] for x in one]).astype(np.int64)
-                order = np.argsort(h)
-                h, n = h[order], n[order]
-                seen = np.minimum(np.searchsorted(h, word[first][begin]), len(h) - 1)
-                follows = follows + np.where(h[seen] == word[first][begin], n[seen], 0)
-            lower = self.continuation(follows)[of][run]
-            total += np.bincount(doc, own * self.log_of(count, own, self.context[before], self.backoff[before], lower), docs)
+        word, before, doc, fold = o.word[at], o.before[at].astype(np.int64), o.doc[at], o.fold[at]
+        _, first, run = P.runs(word, before)
+        if len(at):
+            count = by_fold(run, fold, np.ones(len(at), np.int64), len(first))
+            pick = np.empty(len(first), np.int64)
+            pick[run] = np.arange(len(at))
+            word, before = word[pick], before[pick]
+            _, begin, of = P.runs(word)
+            after_rare = [x for kind, x in side if kind == 8]
+            h, *more = (np.concatenate(x) for x in zip(*after_rare)) if after_rare else [np.zeros(0, np.uint64)] * 3
+            for f in (0, 1):
+                model, other = self.folds[1 - f], count[1 - f]
+                follows = np.add.reduceat(other > 0, begin, dtype=np.int64)
+                if len(h):
+                    order = np.argsort(h)
+                    seen = np.minimum(np.searchsorted(h[order], word[begin]), len(h) - 1)
+                    follows = follows + np.where(h[order][seen] == word[begin], more[1 - f][order][seen].astype(np.int64), 0)
+                cost = model.costs(other, model.context[before], model.backoff[before], model.continuation(follows)[of])
+                own = fold == f
+                total += np.bincount(doc[own], cost[run[own]], docs).astype(np.int64)
 
         # a rare word, then any
         at = np.flatnonzero(o.after != END)
-        word, after, hash_, doc = o.word[at], o.after[at].astype(np.int64), o.after_word[at], o.doc[at]
-        order, starts, _ = P.runs(word, after, hash_, doc)
-        own, pick = np.diff(np.append(starts, len(order))), order[starts]
-        word, after, hash_, doc = word[pick], after[pick], hash_[pick], doc[pick]
+        word, after, hash_, doc, fold = o.word[at], o.after[at].astype(np.int64), o.after_word[at], o.doc[at], o.fold[at]
         _, first, run = P.runs(word, after, hash_)
-        if len(first):
-            count = np.add.reduceat(own, first)
-            _, begin, of = P.runs(word[first])
-            context = np.add.reduceat(count, begin)
-            backoff = np.add.reduceat(self.discount[np.minimum(count, 3)], begin) / context
-            lower = self.lower[after[first]]
-            pair = after[first] == RARE
+        if len(at):
+            count = by_fold(run, fold, np.ones(len(at), np.int64), len(first))
+            pick = np.empty(len(first), np.int64)
+            pick[run] = np.arange(len(at))
+            word, after, hash_ = word[pick], after[pick], hash_[pick]
+            _, begin, of = P.runs(word)
+            pair = after == RARE
             if pair.any():
-                key = joined(np.concatenate([x[0] for x in two]), np.concatenate([x[1] for x in two]))
-                follows = np.concatenate([x[2] for x in two]).astype(np.int64)
+                pairs = [x for kind, x in side if kind == 9]
+                key = joined(np.concatenate([x[0] for x in pairs]), np.concatenate([x[1] for x in pairs]))
                 order = np.argsort(key)
-                seen = order[np.searchsorted(key[order], joined(word[first][pair], hash_[first][pair]))]
-                lower[pair] = self.continuation(follows[seen])
-            total += np.bincount(doc, own * self.log_of(count[run], own, context[of][run], backoff[of][run], lower[run]), docs)
+                seen = order[np.searchsorted(key[order], joined(word[pair], hash_[pair]))]
+            for f in (0, 1):
+                model, other = self.folds[1 - f], count[1 - f]
+                context = np.add.reduceat(other, begin)
+                backoff = np.add.reduceat(model.discount[np.minimum(other, 3)], begin) / np.maximum(context, 1)
+                lower = model.lower[after]
+                if pair.any():
+                    lower[pair] = model.continuation(np.concatenate([x[3 - f] for x in pairs]).astype(np.int64)[seen])
+                cost = model.costs(other, context[of], backoff[of], lower)
+                own = fold == f
+                total += np.bincount(doc[own], cost[run[own]], docs).astype(np.int64)
         return total
 
 
+def by_fold(run: np.ndarray, fold: np.ndarray, n: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of ``n`` for each run, in the first and in the second half."""
+    return tuple(np.bincount(run[fold == f], n[fold == f], size).astype(np.int64) for f in (0, 1))
+
+
 def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """One 64-bit hash for two."""
     return P.mixed(P.mixed(a + np.uint64(1)) + b)
 
 
+def anchors(words: P.Words) -> tuple[np.ndarray, np.ndarray]:
+    """Content-selected passages of ANCHOR words: the distinct (hash, text) of each, sorted."""
+    h, inside = words.rolling(ANCHOR, 11)
+    at = np.flatnonzero(inside & (h % np.uint64(EVERY) == 0))
+    key, doc = h[at] >> np.uint64(64 - WORD_BITS), words.doc[at]
+    order, starts, _ = P.runs(key, doc)
+    return key[order[starts]], doc[order[starts]]
+
+
 def _slices(batches, size: int = 3 << 20):
-    """(record batch, whole texts as bytes) of about ``size`` bytes; a null text is empty."""
-    for b in batches:
-        text = b["text"].cast(pa.binary())
-        lengths = pc.fill_null(pc.binary_length(text), 0).to_pylist()
-        start = held = 0
-        for i, n in enumerate([*lengths, None]):
-            if n is None or held and held + n > size:
-                if i > start:
-                    yield b.slice(start, i - start), [t or b"" for t in text.slice(start, i - start).to_pylist()]
-                start, held = i, 0
-            held += n or 0
-
-
-def _cut(key: np.ndarray, buckets: int) -> dict[int, np.ndarray]:
-    """Positions of the keys for each bucket, dealt by a hash of the key; their order stays."""
-    bucket = (P.mixed(key.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    return {b: order[cuts[b] : cuts[b + 1]] for b in np.flatnonzero(np.diff(cuts)).tolist()}
-
-
-def _parcels(key: np.ndarray, columns: list, o: Occurrences, far: str, buckets: int, with_doc: bool) -> list[tuple[int, list[bytes]]]:
-    """For each bucket its sorted keys, their columns, and its rare words with the hashes of ``far`` neighbours."""
-    order = np.lexsort((o.doc, o.before, o.word) if not with_doc else (o.doc, o.word))
-    known, rare = _cut(key, buckets), {b: order[i] for b, i in _cut(o.word[order], buckets).items()}
-    none, out = np.zeros(0, np.int64), []
-    for b in sorted(known.keys() | rare.keys()):
-        i, j = known.get(b, none), rare.get(b, none)
-        beside = getattr(o, far)[j]
-        blobs = [P.squeezed(np.diff(key[i], prepend=np.uint32(0))), *(P.squeezed(c[i]) for c in columns)]
-        blobs += [P.squeezed_sorted(o.word[j]), P.squeezed(o.before[j]), P.squeezed(o.after[j]), P.squeezed(beside[beside > 0])]
-        out.append((b, [*blobs, P.squeezed(o.doc[j].astype(np.uint32))] if with_doc else blobs))
-    return out
-
-
-def _occurrences(blobs: list[list[bytes]], far: str) -> Occurrences:
-    """The rare words of some parcels, by their last columns from ``_parcels``."""
+    """(fold, record batch, whole texts as bytes) of about ``size`` bytes or ROWS rows; a null text is empty.
+
+    A text's fold, 0 or 1, is by its digest: copies are in one."""
+    for whole in batches:
+        side = whole["digest"].to_numpy() & 1
+        for fold in (0, 1):
+            b = whole.filter(pa.array(side == fold))
+            text = b["text"].cast(pa.binary())
+            lengths = pc.fill_null(pc.binary_length(text), 0).to_pylist()
+            start = held = 0
+            for i, n in enumerate([*lengths, None]):
+                if n is None or held and held + n > size or i - start >= ROWS:
+                    if i > start:
+                        yield fold, b.slice(start, i - start), [t or b"" for t in text.slice(start, i - start).to_pylist()]
+                    start, held = i, 0
+                held += n or 0
+
+
+def _dealt(groups: list[tuple[np.ndarray, list]], buckets: int) -> list[tuple[int, list[bytes]]]:
+    """For each bucket the packed columns of each group; ``groups`` are (key, [(column, pack)]), dealt by a hash of
+    the key. The order of a group's rows stays."""
+    places = []
+    for key, _ in groups:
+        bucket = (P.mixed(key.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        places.append((order, np.searchsorted(bucket[order], np.arange(buckets + 1))))
+    filled = [b for b in range(buckets) if any(cuts[b + 1] > cuts[b] for _, cuts in places)]
+    return [(b, [pack(column[order[cuts[b] : cuts[b + 1]]]) for (order, cuts), (_, columns) in zip(places, groups) for column, pack in columns]) for b in filled]
+
+
+def _rising(keys: np.ndarray) -> bytes:
+    return P.squeezed(np.diff(keys, prepend=np.uint32(0)))
+
+
+def _rising_keys(blob: bytes) -> np.ndarray:
+    return np.cumsum(P.expanded(blob, np.uint32), dtype=np.uint32)
+
+
+def _rare(o: Occurrences, far: str, with_doc: bool) -> tuple[np.ndarray, list]:
+    """The rare words as a group for ``_dealt``, with the hashes of rare ``far`` neighbours."""
+    order = np.lexsort((o.doc, o.word) if with_doc else (o.doc, o.before, o.word))
+    columns = [(o.word, P.squeezed_sorted), (o.before, P.squeezed), (o.after, P.squeezed), (getattr(o, far), lambda v: P.squeezed(v[v > 0]))]
+    columns += [(o.doc.astype(np.uint16), P.squeezed)] if with_doc else []
+    return o.word[order], [(c[order], pack) for c, pack in columns]
+
+
+def _occurrences(blobs: list[list[bytes]], far: str, folds: list[int]) -> tuple[Occurrences, list[int]]:
+    """The rare words of some parcels, by their columns from ``_rare``, and how many each parcel has."""
     word = [P.expanded_sorted(b[0]) for b in blobs]
     before, after = (np.concatenate([P.expanded(b[k], np.uint16) for b in blobs]) for k in (1, 2))
     beside = np.zeros(len(before), np.uint64)
     beside[(before if far == "before_word" else after) == RARE] = np.concatenate([P.expanded(b[3], np.uint64) for b in blobs])
-    doc = np.concatenate([P.expanded(b[4], np.uint32) for b in blobs]) if len(blobs[0]) > 4 else None
-    return Occurrences(np.concatenate(word), before, after, beside, beside, doc)
-
-
-def _keys(blob: bytes) -> np.ndarray:
-    return np.cumsum(P.expanded(blob, np.uint32), dtype=np.uint32)
+    sizes = [len(w) for w in word]
+    doc = np.concatenate([P.expanded(b[4], np.uint16) for b in blobs]).astype(np.int64) if len(blobs[0]) > 4 else None
+    return Occurrences(np.concatenate(word), before, after, beside, beside, doc, np.repeat(folds, sizes)), sizes
 
 
 def fitted(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple[Model, DataFrame]:
-    """The model of all texts in ``docs``, and what the buckets must know of pairs of rare words.
+    """The models of both halves of ``docs`` (digest, text), and what the buckets must know of pairs of rare words.
 
     Only tables with a proven bound reach the driver: the ``vocabulary`` most frequent words with their totals,
     and bigrams of them with a 2 ** -17 share of the tokens or more. Rare words are counted in hash buckets.
     """
 
     def words(batches):
-        for _, texts in _slices(batches, 5 << 20):
+        for _, _, texts in _slices(batches, 5 << 20):
             h = P.Words(texts).hash >> np.uint64(64 - WORD_BITS)
             order, starts, _ = P.runs(h)
             n, h = np.diff(np.append(starts, len(h))).astype(np.uint32), h[order[starts]]
-            cuts = np.searchsorted(h, (np.arange(buckets + 1, dtype=np.float64) / buckets * (1 << WORD_BITS)).astype(np.uint64)).tolist()
-            filled = [b for b in range(buckets) if cuts[b + 1] > cuts[b]]
-            blobs = [[P.squeezed_sorted(h[cuts[b] : cuts[b + 1]]), P.squeezed(n[cuts[b] : cuts[b + 1]])] for b in filled]
-            yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), pa.array(blobs, pa.list_(pa.binary()))], names=["bucket", "blob"])
+            found = _dealt([(h, [(h, P.squeezed_sorted), (n, P.squeezed)])], buckets)
+            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int32()), pa.array([x for _, x in found], pa.list_(pa.binary()))], names=["bucket", "blob"])
 
     share = vocabulary / buckets  # words fall in buckets by hash: none has many more of the top than its share
     most = int(share + 8 * share**0.5 + 8)
@@ -297,76 +331,89 @@ def fitted(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple
     model = Model(hashes[order], order)
 
     def pairs(batches):
-        for _, texts in _slices(batches):
+        for fold, _, texts in _slices(batches):
             key, _, rare = model.bigrams(P.Words(texts))
             order, starts, _ = P.runs(key)
-            found = _parcels(key[order[starts]], [np.diff(np.append(starts, len(key))).astype(np.uint32)], rare, "before_word", buckets, False)
-            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int32()), pa.array([x for _, x in found], pa.list_(pa.binary()))], names=["bucket", "blob"])
+            n, key = np.diff(np.append(starts, len(key))).astype(np.uint32), key[order[starts]]
+            found = _dealt([(key, [(key, _rising), (n, P.squeezed)]), _rare(rare, "before_word", False)], buckets)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([b for b, _ in found], pa.int32()), pa.array([fold] * len(found), pa.int32()), pa.array([x for _, x in found], pa.list_(pa.binary()))], names=["bucket", "fold", "blob"])
 
     least = max(2, -(-tokens // HOT))
 
-    def contexts(first, n):
+    def contexts(fold, first, n):
         ids, at = np.unique(first, return_inverse=True)
         columns = [np.bincount(at, n, len(ids)), *(np.bincount(at[np.minimum(n, 3) == k], minlength=len(ids)) for k in (1, 2, 3))]
-        return np.stack([0 * ids, ids, *columns], axis=1)
+        return np.stack([0 * ids, 0 * ids + fold, ids, *columns], axis=1)
 
-    def continuations(second):
+    def continuations(fold, second):
         ids, n = np.unique(second, return_counts=True)
-        return np.stack([0 * ids + 1, ids, n, *([0 * ids] * 3)], axis=1)
+        return np.stack([0 * ids + 1, 0 * ids + fold, ids, n, *([0 * ids] * 3)], axis=1)
 
-    def counts(kind, n):
-        return np.array([[kind, 0, *((n == k).sum() for k in (1, 2, 3, 4))]])
+    def counts(kind, fold, n):
+        return np.array([[kind, fold, 0, *((n == k).sum() for k in (1, 2, 3, 4))]])
 
     def totals(key, t):
-        blobs = t["blob"].to_pylist()
-        pair = np.concatenate([_keys(b[0]) for b in blobs])
-        order, starts, _ = P.runs(pair)
-        pair = pair[order[starts]].astype(np.int64)
-        n = np.concatenate([P.expanded(b[1], np.uint32) for b in blobs])[order].astype(np.int64)
-        n = np.add.reduceat(n, starts) if len(starts) else n
-        hot = np.flatnonzero(n >= least)
-        out = [contexts(pair >> 16, n), continuations(pair & 0xFFFF), counts(2, n), np.stack([0 * hot + 3, pair[hot], n[hot], *([0 * hot] * 3)], axis=1)]
-        o, side = _occurrences([b[2:] for b in blobs], "before_word"), []
+        blobs, folds = t["blob"].to_pylist(), t["fold"].to_pylist()
+        keys = [_rising_keys(b[0]) for b in blobs]
+        fold = np.repeat(folds, [len(k) for k in keys])
+        order, starts, run = P.runs(np.concatenate(keys))
+        pair = np.concatenate(keys)[order[starts]].astype(np.int64)
+        count = by_fold(run, fold, np.concatenate([P.expanded(b[1], np.uint32) for b in blobs]).astype(np.int64), len(starts))
+        hot = np.flatnonzero(count[0] + count[1] >= least)
+        out = [np.stack([0 * hot + 3, 0 * hot, pair[hot], count[0][hot], count[1][hot], 0 * hot, 0 * hot], axis=1)]
+        for f, n in enumerate(count):
+            some = n > 0
+            out += [contexts(f, pair[some] >> 16, n[some]), continuations(f, pair[some] & 0xFFFF), counts(2, f, n)]
+        (o, _), side = _occurrences([b[2:] for b in blobs], "before_word", folds), []
         if len(o.word):
+            ones = np.ones(len(o.word), np.int64)
             # each distinct bigram that ends with a rare word of this bucket
-            order, starts, _ = P.runs(o.word, o.before, o.before_word)
-            n, pick = np.diff(np.append(starts, len(order))), order[starts]
+            order, starts, run = P.runs(o.word, o.before, o.before_word)
+            pick = order[starts]
             word, before, hash_ = o.word[pick], o.before[pick].astype(np.int64), o.before_word[pick]
             known = before != RARE
-            _, begin, run = P.runs(word)
-            follows = np.diff(np.append(begin, len(word)))
-            out += [contexts(before[known], n[known]), counts(2, n), counts(4, follows), np.array([[5, 0, len(word), len(begin), 0, 0]])]
-            rare = np.bincount(run[~known], minlength=len(begin))
-            some = np.flatnonzero(rare)
+            _, begin, of = P.runs(word)
+            follows, rare = [], []
+            for f, n in enumerate(by_fold(run, o.fold, ones, len(starts))):
+                follows.append(np.add.reduceat(n > 0, begin, dtype=np.int64))
+                rare.append(np.bincount(of[~known & (n > 0)], minlength=len(begin)))
+                some = known & (n > 0)
+                out += [contexts(f, before[some], n[some]), counts(2, f, n), counts(4, f, follows[f]), np.array([[5, f, 0, follows[f].sum(), (follows[f] > 0).sum(), 0, 0]])]
+            some = np.flatnonzero(rare[0] + rare[1])
             if len(some):
-                side.append((8, key[0].as_py(), [P.squeezed_sorted(word[begin][some]), P.squeezed(rare[some].astype(np.uint32))]))
-                first, second, then = hash_[~known], word[~known], follows[run][~known].astype(np.uint32)
+                side.append((8, key[0].as_py(), [P.squeezed_sorted(word[begin][some]), *(P.squeezed(r[some].astype(np.uint32)) for r in rare)]))
+                first, second = hash_[~known], word[~known]
                 order = np.lexsort((second, first))
-                for b, i in _cut(first[order], buckets).items():
-                    i = order[i]
-                    side.append((9, b, [P.squeezed_sorted(first[i]), P.squeezed(second[i]), P.squeezed(then[i])]))
+                columns = [(first, P.squeezed_sorted), (second, P.squeezed), *((x[of][~known].astype(np.uint32), P.squeezed) for x in follows)]
+                side += [(9, b, x) for b, x in _dealt([(first[order], [(c[order], pack) for c, pack in columns])], buckets)]
             # and each that begins with one and ends with a frequent word
             at = np.flatnonzero(o.after < RARE)
-            order, starts, _ = P.runs(o.word[at], o.after[at])
-            out += [counts(2, np.diff(np.append(starts, len(order)))), continuations(o.after[at][order[starts]].astype(np.int64))]
+            order, starts, run = P.runs(o.word[at], o.after[at])
+            after = o.after[at][order[starts]].astype(np.int64)
+            for f, n in enumerate(by_fold(run, o.fold[at], ones[at], len(starts))):
+                out += [counts(2, f, n), continuations(f, after[n > 0])]
         rows = np.concatenate(out).astype(np.int64)
-        rows = np.concatenate([rows, np.array([[kind, b, 0, 0, 0, 0] for kind, b, _ in side], np.int64).reshape(-1, 6)])
+        rows = np.concatenate([rows, np.array([[kind, 0, b, 0, 0, 0, 0] for kind, b, _ in side], np.int64).reshape(-1, 7)])
         extra = pa.array([None] * (len(rows) - len(side)) + [x for *_, x in side], pa.list_(pa.binary()))
-        return pa.table({**{c: pa.array(rows[:, i]) for i, c in enumerate(("kind", "id", "a", "b", "c", "d"))}, "blob": extra})
+        return pa.table({**{c: pa.array(rows[:, i]) for i, c in enumerate(("kind", "fold", "id", "a", "b", "c", "d"))}, "blob": extra})
 
-    sent = docs.mapInArrow(pairs, "bucket int, blob array<binary>")
-    found = stored(sent.groupBy("bucket").applyInArrow(totals, "kind long, id long, a long, b long, c long, d long, blob array<binary>"))
-    model.settle(found.where("kind < 8").groupBy("kind", "id").agg(*(F.sum(c).alias(c) for c in "abcd")).collect())
+    sent = docs.mapInArrow(pairs, "bucket int, fold int, blob array<binary>")
+    found = stored(sent.groupBy("bucket").applyInArrow(totals, "kind long, fold long, id long, a long, b long, c long, d long, blob array<binary>"))
+    model.settle(found.where("kind < 8").groupBy("kind", "fold", "id").agg(*(F.sum(c).alias(c) for c in "abcd")).collect())
     return model, found.where("kind >= 8").select(F.col("id").cast("int").alias("bucket"), "kind", "blob")
 
 
 def scored(docs: DataFrame, model: Model, side: DataFrame, buckets: int) -> DataFrame:
-    """(id, lang, digest, base statistics, log_p) for each row of (id, lang, digest, text)."""
+    """(id, lang, digest, base statistics, cost, n_anchors, n_copied) for each row of (id, lang, digest, text).
+
+    ``cost`` is the negative log probability by the model of the other half, times SCALE; ``n_copied`` counts
+    the anchors that another document has."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def send(batches):
-        m = shared.value
-        for b, texts in _slices(batches):
+        m, part, n_batch = shared.value, TaskContext.get().partitionId(), 0
+        for fold, b, texts in _slices(batches):
             words = P.Words(texts)
             key, of, rare = m.bigrams(words)
             order, starts, _ = P.runs((of.astype(np.uint64) << np.uint64(32)) | key)
@@ -374,100 +421,130 @@ def scored(docs: DataFrame, model: Model, side: DataFrame, buckets: int) -> Data
             key, doc = key[order[starts]], of[order[starts]]
             at = np.minimum(np.searchsorted(m.hot, key), max(0, len(m.hot) - 1))
             hot = m.hot[at] == key if len(m.hot) else np.zeros(len(key), bool)
-            local = np.bincount(doc[hot], own[hot] * m.log_probability(key[hot], m.hot_count[at[hot]] if len(m.hot) else own[hot], own[hot]), len(texts))
+            local = np.zeros(len(texts), np.int64)
+            if hot.any():
+                other = m.folds[1 - fold]
+                np.add.at(local, doc[hot], own[hot] * other.pair_costs(key[hot], other.hot_count[at[hot]]))
             key, doc, own = key[~hot], doc[~hot], own[~hot]
             order = np.lexsort((doc, key))
             key, doc, own = key[order], doc[order], own[order]
-            found = _parcels(key, [doc.astype(np.uint16) if len(texts) < 1 << 16 else doc.astype(np.uint32), own], rare, "after_word", buckets, True) or [(0, [])]
-            n = len(found)
-            batch = int(np.bitwise_xor.reduce(P.mixed(b["digest"].to_numpy().view(np.uint64) + np.arange(len(texts), dtype=np.uint64))).view(np.int64))
-            about = [b["id"].to_pylist(), b["lang"].to_pylist(), b["digest"].to_pylist(), base_statistics(texts, words).reshape(-1).tolist(), local.tolist()]
-            carrier = batch % n  # one parcel carries what is known of the documents
-            cols = [pa.array([x if i == carrier else None for i in range(n)], pa.list_(t)) for x, t in zip(about, (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int32()), pa.array([batch] * n, pa.int64()), pa.array([len(texts)] * n, pa.int32()), pa.array([x for _, x in found], pa.list_(pa.binary())), *cols], names=names)
-
-    names = ["bucket", "batch", "size", "blob", "id", "lang", "digest", "base", "local"]
-    about = "id array<long>, lang array<string>, digest array<long>, base array<long>, local array<double>"
+            anchor, anchor_doc = anchors(words)
+            found = _dealt([
+                (key, [(key, _rising), (doc.astype(np.uint16), P.squeezed), (own, P.squeezed)]), _rare(rare, "after_word", True),
+                (anchor, [(anchor, P.squeezed_sorted), (anchor_doc.astype(np.uint16), P.squeezed)])], buckets) or [(0, [])]
+            n, batch = len(found), part << 32 | n_batch
+            n_anchors = np.bincount(anchor_doc, minlength=len(texts))
+            about = [b["id"].to_pylist(), b["lang"].to_pylist(), b["digest"].to_pylist(), base_statistics(texts, words).reshape(-1).tolist(), local.tolist(), n_anchors.tolist()]
+            carrier = n_batch % n  # one parcel carries what is known of the documents
+            cols = [pa.array([x if i == carrier else None for i in range(n)], pa.list_(t)) for x, t in zip(about, (pa.int64(), pa.string(), *[pa.int64()] * 4))]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([x for x, _ in found], pa.int32()), pa.array([batch] * n, pa.int64()), pa.array([fold] * n, pa.int32()), pa.array([len(texts)] * n, pa.int32()),
+                pa.array([x for _, x in found], pa.list_(pa.binary())), *cols], names=names)
+            n_batch += 1
+
+    about = ["id", "lang", "digest", "base", "local", "anchors"]
+    names = ["bucket", "batch", "fold", "size", "blob", *about]
+    about_type = ", ".join(f"{c} array<{'string' if c == 'lang' else 'long'}>" for c in about)
 
     def answer(t, side):
-        blobs, sizes = t["blob"].to_pylist(), t["size"].to_pylist()
+        blobs, sizes, folds = t["blob"].to_pylist(), t["size"].to_pylist(), t["fold"].to_pylist()
         full = [i for i, b in enumerate(blobs) if b]
-        logs = [b""] * len(blobs)
+        out = [[]] * len(blobs)
         if full:
-            keys = [_keys(blobs[i][0]) for i in full]
-            mine = np.concatenate([P.expanded(blobs[i][2], np.uint32) for i in full]).astype(np.int64)
-            key = np.concatenate(keys)
-            order, starts, run = P.runs(key)
-            count = np.add.reduceat(mine[order], starts)[run] if len(starts) else mine
-            value = np.split(mine * shared.value.log_probability(key, count, mine), np.cumsum([len(k) for k in keys])[:-1])
             edge = np.cumsum([sizes[i] for i in full])
-            rare = _occurrences([blobs[i][3:] for i in full], "after_word")
-            lengths = [int.from_bytes(blobs[i][3][:8], "little") for i in full]
-            rare.doc = rare.doc.astype(np.int64) + np.repeat(edge - [sizes[i] for i in full], lengths)
-            known = [(k, [P.expanded_sorted(x[0]), *(P.expanded(y, np.uint32 if j or k == 8 else np.uint64) for j, y in enumerate(x[1:]))]) for k, x in zip(side["kind"].to_pylist(), side["blob"].to_pylist())]
-            far = np.split(shared.value.rare_logs(rare, known, int(edge[-1])), edge[:-1])
-            for i, v, w in zip(full, value, far):
-                doc = P.expanded(blobs[i][1], np.uint16 if sizes[i] < 1 << 16 else np.uint32)
-                logs[i] = P.squeezed((np.bincount(doc, v, sizes[i]) + w).astype(np.float32))
-        return t.drop_columns(["bucket", "blob"]).append_column("logs", pa.array(logs, pa.binary()))
+            shift, docs = edge - [sizes[i] for i in full], int(edge[-1])  # documents of all parcels have numbers of their own
+
+            def place(kind, column):
+                docs_of = [P.expanded(blobs[i][column], kind).astype(np.int64) for i in full]
+                return np.concatenate(docs_of) + np.repeat(shift, [len(x) for x in docs_of])
+
+            keys = [_rising_keys(blobs[i][0]) for i in full]
+            fold = np.repeat([folds[i] for i in full], [len(k) for k in keys])
+            own = np.concatenate([P.expanded(blobs[i][2], np.uint32) for i in full]).astype(np.int64)
+            doc, key = place(np.uint16, 1), np.concatenate(keys)
+            order, starts, run = P.runs(key)
+            count, key = by_fold(run, fold, own, len(starts)), key[order[starts]]
+            cost = np.zeros(docs, np.int64)
+            for f in (0, 1):
+                here = fold == f
+                cost += np.bincount(doc[here], own[here] * shared.value.folds[1 - f].pair_costs(key, count[1 - f])[run[here]], docs).astype(np.int64)
+            rare, lengths = _occurrences([blobs[i][3:8] for i in full], "after_word", [folds[i] for i in full])
+            rare.doc = rare.doc + np.repeat(shift, lengths)
+            kinds = {8: (np.uint32, np.uint32), 9: (np.uint64, np.uint32, np.uint32)}
+            known = [(k, [P.expanded_sorted(x[0]), *(P.expanded(y, kind) for y, kind in zip(x[1:], kinds[k]))]) for k, x in zip(side["kind"].to_pylist(), side["blob"].to_pylist())]
+            cost += shared.value.rare_costs(rare, known, docs)
+            anchor = np.concatenate([P.expanded_sorted(blobs[i][8]) for i in full])
+            of = place(np.uint16, 9)
+            order, starts, run = P.runs(anchor)
+            copied = np.bincount(of[(np.diff(np.append(starts, len(order))) > 1)[run]], minlength=docs)
+            for i, c, n in zip(full, np.split(cost, edge[:-1]), np.split(copied, edge[:-1])):
+                out[i] = [P.squeezed(c), P.squeezed(n.astype(np.uint32))]
+        return t.drop_columns(["bucket", "fold", "blob"]).append_column("sums", pa.array(out, pa.list_(pa.binary())))
 
     def gather(t):
         n = t["size"][0].as_py()
-        carriers = [i for i, x in enumerate(t["id"].to_pylist()) if x is not None]
-        total = np.zeros(n)
-        for x in t["logs"].to_pylist():
+        i = next(i for i, x in enumerate(t["id"].to_pylist()) if x is not None)
+        cost, copied = np.array(t["local"][i].as_py(), np.int64), np.zeros(n, np.int64)
+        for x in t["sums"].to_pylist():
             if x:
-                total += P.expanded(x, np.float32)
-        parts = []  # equal slices of repeated rows share a batch number: each carrier stands for its share
-        for i in carriers:
-            base = np.array(t["base"][i].as_py(), np.int64).reshape(n, len(BASE))
-            log_p = total / len(carriers) + np.array(t["local"][i].as_py())
-            parts.append(pa.table({"id": pa.array(t["id"][i].as_py(), pa.int64()), "lang": pa.array(t["lang"][i].as_py(), pa.string()), "digest": pa.array(t["digest"][i].as_py(), pa.int64()),
-                                   **{c: pa.array(base[:, k]) for k, c in enumerate(BASE)}, "log_p": pa.array(log_p)}))
-        return pa.concat_tables(parts)
+                cost += P.expanded(x[0], np.int64)
+                copied += P.expanded(x[1], np.uint32)
+        base = np.array(t["base"][i].as_py(), np.int64).reshape(n, len(BASE))
+        return pa.table({
+            "id": pa.array(t["id"][i].as_py(), pa.int64()), "lang": pa.array(t["lang"][i].as_py(), pa.string()), "digest": pa.array(t["digest"][i].as_py(), pa.int64()),
+            **{c: pa.array(base[:, k]) for k, c in enumerate(BASE)}, "cost": pa.array(cost), "n_anchors": pa.array(t["anchors"][i].as_py(), pa.int64()), "n_copied": pa.array(copied)})
 
-    sent = docs.mapInArrow(send, f"bucket int, batch long, size int, blob array<binary>, {about}")
-    sums_ = sent.groupBy("bucket").cogroup(side.groupBy("bucket")).applyInArrow(answer, f"batch long, size int, {about}, logs binary")
-    return sums_.groupBy("batch").applyInArrow(gather, "id long, lang string, digest long, " + ", ".join(f"{c} long" for c in BASE) + ", log_p double")
+    sent = docs.mapInArrow(send, f"bucket int, batch long, fold int, size int, blob array<binary>, {about_type}")
+    sums_ = sent.groupBy("bucket").cogroup(side.groupBy("bucket")).applyInArrow(answer, f"batch long, size int, {about_type}, sums array<binary>")
+    return sums_.groupBy("batch").applyInArrow(gather, "id long, lang string, digest long, " + ", ".join(f"{c} long" for c in [*BASE, "cost", "n_anchors", "n_copied"]))
 
 
 def quality(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", above: float = 5.5, below: float = 18.0, least_spread: float = 0.05,
+    docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", fence: float = 3.0, most_copied: float = 0.25, least_range: float = 0.3,
     bucket_bytes: int = 16 << 20, vocabulary: int = VOCABULARY,
 ) -> DataFrame:
-    """(id, digest, lang, base statistics, base_failed, perplexity, lower, upper, kept) for each row.
-
-    The model is an interpolated modified Kneser-Ney bigram model of all texts: Spark counts words, then
-    bigrams, in hash buckets that each hold their bigrams as a sorted array. A document's own counts are
-    left out when it is scored. Every word is a word of the model: the ``vocabulary`` most frequent ones
-    have short ids, all others are counted and scored by their hashes. Frequent bigrams are scored where they are read; the others travel as sorted postings to
-    their buckets, which answer with sums for each document, so texts are never shuffled.
-
-    The band of a language is around the median of log perplexity of its distinct texts that pass the base
-    rules: up to ``above`` spreads over it and ``below`` spreads under it. A spread is taken from the upper
-    quartile (as of a normal distribution; at least ``least_spread``), since repeated text widens only the
-    lower side. Outside the band a document is rejected. The lower edge is far out since clean text that
-    others copied is easy to predict; dedup, not this rule, judges it. Null and empty texts have no words and fail
-    the base rules (fewer than 50 words, or over half the words in repeated trigrams). A null language is
-    a language of its own; a null id is kept as one. ``digest`` is xxhash64 of the text.
+    """(id, digest, lang, base statistics, base_failed, perplexity, copied, lower, upper, kept) for each row.
+
+    The models are interpolated modified Kneser-Ney bigram models, one of each half of the texts (by a hash,
+    so copies are in one half): Spark counts words, then bigrams, in hash buckets that each hold their bigrams
+    as a sorted array. A text is scored by the model of the other half, so neither it nor its copies vouch for
+    it; words which that half lacks are one unknown word. Every word is a word of the model: the ``vocabulary``
+    most frequent ones have short ids, all others are counted and scored by their hashes. Frequent bigrams are
+    scored where they are read; the others travel as sorted postings to their buckets, which answer with sums
+    for each document, so texts are never shuffled for it.
+
+    ``copied`` is the share of a document's content-selected passages of eight words that another document has
+    too. Text that others copied is easy to predict, which says nothing of its quality: documents with more than
+    ``most_copied`` of it are not held to the lower edge, and dedup judges them.
+
+    The band of a language is made of the quartiles of log perplexity of its distinct texts that pass the base
+    rules and are not copied: from ``fence`` interquartile ranges under the first to as many over the third
+    (3, the outer fences of a box plot; a range is taken as ``least_range`` at least). A language without such
+    texts has no band. Outside the band a document is rejected.
+
+    Null and empty texts have no words and fail the base rules (fewer than 50 words, or over half the words in
+    repeated trigrams). A null language is a language of its own; a null id is kept as one. ``digest`` is
+    xxhash64 of the text. Rows that repeat others share their scores, an empty table gives none, and other columns are ignored.
     """
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     source = docs.select(F.col(id).cast("long").alias("id"), F.col(lang).cast("string").alias("lang"), F.xxhash64(text).alias("digest"), F.col(text).alias("text"))
-    found = scored(source, *fitted(source.select("text"), buckets, vocabulary), buckets)
-    rated = found.withColumn("log_ppl", F.when(F.col("n_words") > 0, -F.col("log_p") / F.col("n_words")))
+    found = scored(source, *fitted(source.select("digest", "text"), buckets, vocabulary), buckets)
+    rated = found.withColumn("log_ppl", F.when(F.col("n_words") > 0, F.col("cost") / (F.col("n_words") * SCALE)))
+    rated = rated.withColumn("copied", F.coalesce(F.try_divide("n_copied", "n_anchors"), F.lit(0.0)))
     rated = rated.withColumn("base_failed", F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words"))
     rated = checkpointed(rated)
-    fair = rated.where(~F.col("base_failed"))
+    fair = rated.where(~F.col("base_failed") & (F.col("copied") <= most_copied))
     once = fair.groupBy("lang", "digest").agg(F.min("log_ppl").alias("log_ppl"))  # copies count once
-    half, three = (F.percentile_approx("log_ppl", q, 10000) for q in (0.5, 0.75))
-    bands = once.groupBy(F.col("lang").alias("band_lang")).agg(half.alias("middle"), F.greatest(F.lit(least_spread), (three - half) / 0.6745).alias("spread"))
+    one, three = (F.percentile_approx("log_ppl", q, 10000) for q in (0.25, 0.75))
+    bands = once.groupBy(F.col("lang").alias("band_lang")).agg(one.alias("one"), three.alias("three"))
+    bands = bands.withColumn("reach", fence * F.greatest(F.lit(least_range), F.col("three") - F.col("one")))
     joined = rated.join(bands, F.col("lang").eqNullSafe(F.col("band_lang")), "left")
-    low, high = F.col("middle") - below * F.col("spread"), F.col("middle") + above * F.col("spread")
-    kept = F.coalesce(~F.col("base_failed") & F.col("log_ppl").between(low, high), F.lit(False))
+    low, high = F.col("one") - F.col("reach"), F.col("three") + F.col("reach")
+    inside = F.coalesce((F.col("log_ppl") <= high) & ((F.col("log_ppl") >= low) | (F.col("copied") > most_copied)), F.lit(True))
     return joined.select(
-        F.col("id").alias(id), "digest", F.col("lang").alias(lang), *BASE, "base_failed", F.exp("log_ppl").alias("perplexity"),
-        F.exp(low).alias("lower"), F.exp(high).alias("upper"), kept.alias("kept"))
+        F.col("id").alias(id), "digest", F.col("lang").alias(lang), *BASE, "base_failed", F.exp("log_ppl").alias("perplexity"), "copied",
+        F.exp(low).alias("lower"), F.exp(high).alias("upper"), (~F.col("base_failed") & inside).alias("kept"))
 
 
 def keep_good(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", **how) -> DataFrame:

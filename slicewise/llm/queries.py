@@ -53,7 +53,7 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality.quality(table(spark, sf_dir, "documents"))
-    columns = ["doc_id", *quality.BASE, "base_failed", "kept", "perplexity", "lower", "upper"]
+    columns = ["doc_id", *quality.BASE, "base_failed", "kept", "perplexity", "copied", "lower", "upper"]
     return rated.select(*columns)
 
 

@@ -46,9 +46,16 @@ def test_base_statistics_and_bands(spark, documents):
     assert len(got) == len(documents)
     expected = sorted((str(r[0]), *base(r[1])) for r in documents)
     assert sorted((str(r.doc_id), r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got) == expected
+    fair = {}
     for r in got:
         assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
-        assert r.kept == (not r.base_failed and r.lower <= r.perplexity <= r.upper)
+        assert r.kept == (not r.base_failed and r.perplexity <= r.upper and (r.perplexity >= r.lower or r.copied > 0.25))
+        if not r.base_failed and r.copied <= 0.25:
+            fair.setdefault(r.lang, {})[r.digest] = np.log(r.perplexity)
+    for r in got:  # the edges are three interquartile ranges outside the quartiles
+        one, three = (np.quantile(list(fair[r.lang].values()), q, method="inverted_cdf") for q in (0.25, 0.75))
+        reach = 3 * max(0.3, three - one)
+        assert (r.lower, r.upper) == pytest.approx((np.exp(one - reach), np.exp(three + reach)), rel=1e-3)
     kept = {r.doc_id for r in got if r.kept}
     assert len([i for i in range(400) if i in kept]) >= 395 and len([i for i in range(2000, 2060) if i in kept]) >= 58
     assert not any(i in kept for i in range(1000, 1008))
@@ -61,48 +68,76 @@ def test_quality_of_nothing(spark):
     assert quality.quality(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_scores_follow_the_model_in_one_or_many_buckets(spark, documents):
-    """The distributed score equals a direct computation of the modified Kneser-Ney formula."""
-    docs = spark.createDataFrame(documents, SCHEMA)
-    one = {(r.doc_id, r.digest): r.perplexity for r in quality.quality(docs).collect()}
-    many = {(r.doc_id, r.digest): r.perplexity for r in quality.quality(docs, bucket_bytes=5_000).collect()}
-    assert one.keys() == many.keys()
-    assert all(a == many[k] or abs(a / many[k] - 1) < 1e-3 for k, a in one.items())
-
-    texts = {(r[0], r[1]): re.findall(r"[^\x20\x09-\x0D]+", r[1] or "") for r in documents}
-    all_rows = [re.findall(r"[^\x20\x09-\x0D]+", r[1] or "") for r in documents]
-    pairs = collections.Counter(p for w in all_rows for p in zip([None, *w], w))
-    context, follows, kinds = collections.Counter(), collections.Counter(), collections.defaultdict(lambda: [0, 0, 0])
-    for (a, b), n in pairs.items():
+def test_the_lower_edge_rejects_text_that_is_too_easy_but_not_copies(spark):
+    """Spun text of a few stock words is rejected below; a text and its near copies in both halves stay."""
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(3000)]
+    stock = ["stock%d" % i for i in range(12)]
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(80, 200)))) for i in range(500)]
+    rows += [(1000 + i, " ".join(rng.choice(stock) for _ in range(150))) for i in range(12)]
+    whole = rows[0][1].split()
+    for i in range(30):
+        near = list(whole)
+        near[rng.randrange(len(near))] = "edited%d" % i
+        rows.append((2000 + i, " ".join(near)))
+    docs = spark.createDataFrame([(i, t, "xx", "s", 0) for i, t in rows], SCHEMA)
+    got = {r.doc_id: r for r in quality.quality(docs, bucket_bytes=20_000).collect()}
+    assert not any(got[i].base_failed for i in range(1000, 1012))
+    assert not any(got[i].kept for i in range(1000, 1012)) and all(got[i].perplexity < got[i].lower for i in range(1000, 1012))
+    assert sum(got[i].kept for i in range(500)) >= 497
+    assert all(got[i].kept and got[i].copied > 0.25 for i in range(2000, 2030)) and any(got[i].perplexity < got[i].lower for i in range(2000, 2030))
+
+
+def kneser_ney(train):
+    """log p(word | word before) of an interpolated modified Kneser-Ney bigram model, straight from its definition."""
+    pairs = collections.Counter(p for w in train for p in zip(["<s>", *w], w))
+    types = collections.Counter(b for _, b in pairs)
+    context = collections.Counter()
+    for (a, _), n in pairs.items():
         context[a] += n
-        follows[b] += 1
-        kinds[a][min(n, 3) - 1] += 1
-    d = quality.discounts([sum(n == k for n in pairs.values()) for k in (1, 2, 3, 4)])
-    e = quality.discounts([sum(n == k for n in follows.values()) for k in (1, 2, 3, 4)])
-    total = sum(follows.values())
-    spread = sum(e[min(n, 3)] for n in follows.values()) / total / len(follows)
-    lower = {w: max(n - e[min(n, 3)], 0) / total + spread for w, n in follows.items()}
-    id, text = documents[5][:2]
-    words = texts[id, text]
-    own = collections.Counter(zip([None, *words], words))
-    log_p = 0.0
-    for (a, b), k in own.items():
-        rest = pairs[a, b] - k
-        back = sum(d[i + 1] * x for i, x in enumerate(kinds[a])) / context[a]
-        p = max(rest - d[min(rest, 3)], 0) / max(context[a] - k, 1) + back * lower[b] if context[a] > k else lower[b]
-        log_p += k * np.log(p + 1e-12)
-    found = next(v for (i, _), v in one.items() if i == id)
-    assert found == pytest.approx(np.exp(-log_p / len(words)), rel=1e-3)
-
-
-@pytest.mark.parametrize("bucket_bytes", [16 << 20, 5_000])
-def test_words_beyond_the_frequent_ones_are_words_of_the_model(spark, documents, bucket_bytes):
-    """With eight short ids only, nearly every word is rare; scores stay those of the whole vocabulary."""
+
+    def cuts(counts):
+        n = [sum(v == k for v in counts) for k in range(5)]
+        if min(n[1:4]) == 0:
+            return [0, 0.5, 0.75, 0.9]
+        y = n[1] / (n[1] + 2 * n[2])
+        found = [1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3]]
+        return [0, *(min(max(x, 0.05), top) for x, top in zip(found, (0.95, 1.95, 2.95)))]
+
+    high, low, total = cuts(pairs.values()), cuts(types.values()), sum(types.values())
+    freed = collections.Counter()
+    for (a, _), n in pairs.items():
+        freed[a] += high[min(n, 3)]
+    spread = sum(low[min(n, 3)] for n in types.values()) / total / (len(types) + 1)
+
+    def log_p(a, b):
+        unigram = max(types[b] - low[min(types[b], 3)], 0) / total + spread
+        if not context[a]:
+            return np.log(unigram)
+        return np.log(max(pairs[a, b] - high[min(pairs[a, b], 3)], 0) / context[a] + freed[a] / context[a] * unigram)
+
+    vocabulary = set(types) | {"<unknown>"}
+    for a in ["<s>", *list(types)[:3]]:  # it is a distribution
+        assert sum(np.exp(log_p(a, b)) for b in vocabulary) == pytest.approx(1)
+    return log_p
+
+
+@pytest.mark.parametrize("bucket_bytes,vocabulary", [(16 << 20, 65_500), (5_000, 65_500), (5_000, 8), (16 << 20, 8)])
+def test_scores_are_the_other_halfs_kneser_ney_model(spark, documents, bucket_bytes, vocabulary):
+    """In one or many buckets, and with any number of short ids, down to a model of rare words alone."""
     docs = spark.createDataFrame(documents, SCHEMA)
-    whole = {(r.doc_id, r.digest): r.perplexity for r in quality.quality(docs).collect()}
-    few = {(r.doc_id, r.digest): r.perplexity for r in quality.quality(docs, bucket_bytes=bucket_bytes, vocabulary=8).collect()}
-    assert whole.keys() == few.keys()
-    assert all(a == few[k] or abs(a / few[k] - 1) < 1e-3 for k, a in whole.items())
+    got = quality.quality(docs, bucket_bytes=bucket_bytes, vocabulary=vocabulary).collect()
+    split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t or "")
+    digest = {r.text: r.d for r in docs.selectExpr("text", "xxhash64(text) d").collect()}
+    models = [kneser_ney([split(t) for _, t, *_ in documents if digest[t] & 1 != f]) for f in (0, 1)]
+    text_of = {d: t for t, d in digest.items()}
+    for r in got:
+        words = split(text_of[r.digest])
+        if words:
+            log_p = sum(models[r.digest & 1](a, b) for a, b in zip(["<s>", *words], words))
+            assert r.perplexity == pytest.approx(np.exp(-log_p / len(words)), rel=1e-4)
+        else:
+            assert r.perplexity is None
 
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a="</p><p>x.";</script></head><body>
