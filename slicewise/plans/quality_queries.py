@@ -12,8 +12,8 @@ from slicewise.sources import tables as t
 
 BLURRY, SATURATED = schema.FLAGS[:5], schema.FLAGS[5:]
 KEYS = "plate, well, site, zslice"
-#: Wells that the platemap holds; the others show as NA_NA.
-WELLS = 45
+#: Wells of a plate, all in the platemap (a well that it lacks shows as NA_NA).
+WELLS = 50
 
 
 SATURATION = {c: (f"pctmax_{c}", th) for c, th in schema.SATURATION.items()}
