@@ -87,6 +87,51 @@ RGB = (
     "c as (select *, max(greatest(r, b)) over (partition by stack, z) most from a) "
     f"select stack, z, y, x, {BYTE.format('coalesce(r / nullif(most, 0), 0) * 255')} as r, 0 as g, {BYTE.format('coalesce(b / nullif(most, 0), 0) * 255')} as b from c"
 )
+#: The spectrum by its definition: a sum over all pixels for each of the frequencies -4 to 3 along both axes.
+SLOPES = (
+    f"with {VD}, m as (select stack, z, y, x, v - avg(v) over w d, max(v) over w - min(v) over w contrast from voxels window w as (partition by stack, z)), "
+    "f as (select unnest(range(-4, 4)) k), g as (select a.k ky, b.k kx, cast(floor(sqrt(a.k * a.k + b.k * b.k)) as int) r from f a, f b), "
+    "p as (select stack, z, ky, kx, r, pow(sum(d * cos(2 * pi() * (ky * y + kx * x) / 8)), 2) + pow(sum(d * sin(2 * pi() * (ky * y + kx * x) / 8)), 2) power from m, g where r between 1 and 4 and contrast > 0 group by all), "
+    "q as (select stack, z, r, avg(power) power from p group by all), "
+    "s as (select stack, z, regr_slope(ln(power), ln(r)) slope from q where power > 0 group by all having count(*) > 1) "
+    "select stack, z, round(slope, 6) as slope from (select distinct stack, z from voxels) left join s using (stack, z)"
+)
+#: The blur by its definition: weights of all places that reflect into a pixel, along each axis.
+WEIGHTS = (
+    "{0} as (select i, case when q % 2 = 0 then p - {1} * q else {1} - 1 - (p - {1} * q) end j, sum(weight) weight from "
+    "(select i, i + d p, cast(floor((i + d) / {1}) as int) q, exp(-d * d / 2) / (select sum(exp(-pow(e, 2) / 2)) from (select unnest(range(-4, 5)) e)) weight "
+    "from (select cast(unnest(range({1})) as int) i), (select cast(unnest(range(-4, 5)) as int) d)) group by all)"
+)
+BLURRED = (
+    f"with {VD}, {WEIGHTS.format('deep', WIDTH)}, {WEIGHTS.format('wide', 8)}, "
+    f"a as (select stack, z, y, w.i x, sum(v * weight) v from voxels join wide w on w.j = x group by all), b as (select stack, z, w.i y, x, sum(v * weight) v from a join wide w on w.j = y group by all), "
+    f"windows as (select stack, z, max(z) over (partition by stack) + 1 depth from (select distinct stack, z from voxels) qualify z <= depth - {WIDTH}), "
+    "c as (select w.stack, w.z, k.i, y, x, sum(v * weight) v from windows w join b on b.stack = w.stack join deep k on b.z = w.z + k.j group by all) "
+    "select stack, z, y, x, round(max(v), 6) as v from c group by all"
+)
+
+
+def _turned(name, source, axis, sign):
+    """One axis of a discrete Fourier transform (re, im) by its definition; ``n_<axis>`` is its length."""
+    other = ", ".join(c for c in ("stack", "z", "y", "x", "n_z", "n_y", "n_x") if c != axis)
+    angle = f"2 * pi() * k * {axis} / n_{axis}"
+    return (
+        f"{name} as (select {other}, k {axis}, sum(re * cos({angle}) - ({sign}) * im * sin({angle})) re, sum(im * cos({angle}) + ({sign}) * re * sin({angle})) im "
+        f"from (select *, cast(unnest(range(n_{axis})) as int) k from {source}) group by all)"
+    )
+
+
+def _frequency(axis):
+    return f"pow((case when {axis} < (n_{axis} + 1) // 2 then {axis} else {axis} - n_{axis} end) / n_{axis} / 0.1, 2)"
+
+
+LOW_PASS = (
+    f"with {VD}, v as (select stack, z, y, x, cast(v as double) re, 0.0::double im, max(z) over (partition by stack) + 1 n_z, 8 n_y, 8 n_x from voxels), "
+    + ", ".join((_turned("a", "v", "x", -1), _turned("b", "a", "y", -1), _turned("c", "b", "z", -1)))
+    + f", g as (select * replace (re * gain as re, im * gain as im) from (select *, 1 / (1 + pow({_frequency('z')} + {_frequency('y')} + {_frequency('x')}, 5)) gain from c)), "
+    + ", ".join((_turned("d", "g", "x", 1), _turned("e", "d", "y", 1), _turned("f", "e", "z", 1)))
+    + " select stack, z, y, x, round(re / (n_z * n_y * n_x), 6) as v from f"
+)
 PAGES = (
     f"with {VD}, p as (select stack, z, string_agg(cast(greatest(v, 0) as varchar), ',' order by y, x) pixels from voxels group by all) "
     "select stack, cast(row_number() over (partition by stack order by z) - 1 as int) as page, pixels from p"
@@ -169,10 +214,10 @@ QUERIES = {
         f"select stack, z, y, x, {BYTE.format('coalesce(object / nullif(max(object) over w, 0), 0) * 255')} as object from o window w as (partition by stack)"),
     "stitch_labels": (lambda s, d: _stitched(s, d, 0.8), STITCHED.format(0.8)),
     "stitch_labels_loosely": (lambda s, d: _stitched(s, d, 0.4), STITCHED.format(0.4)),
-    "power_loglog_slope": (lambda s, d: images.power_slopes(t.slices(s, d, DEEP)), None),
+    "power_loglog_slope": (lambda s, d: images.power_slopes(t.slices(s, d, DEEP)).withColumn("slope", F.round("slope", 6)), SLOPES),
     "clahe": (lambda s, d: images.equalised(t.slices(s, d, DEEP)), None),
-    "gauss_max": (lambda s, d: images.blurred_maximum(t.slices(s, d, DEEP), WIDTH), None),
-    "butterworth": (lambda s, d: images.low_pass(t.slices(s, d, DEEP)), None),
+    "gauss_max": (lambda s, d: images.as_voxels(images.blurred_maximum(t.slices(s, d, DEEP), WIDTH)).withColumn("v", F.round("v", 6)), BLURRED),
+    "butterworth": (lambda s, d: images.as_voxels(images.low_pass(t.slices(s, d, DEEP))).withColumn("v", F.round("v", 6)), LOW_PASS),
     "segment": (lambda s, d: images.segmented(t.slices(s, d, DEEP), 4.0), None),
     **{f"segment_{name}": ((lambda name: lambda s, d: images.compartment(t.slices(s, d, DEEP), name, scale=4.0 / images.MODELS[name]["diameter"]))(name), None) for name in images.MODELS},
     "decode_tiff": (lambda s, d: _pages(images.encoded(t.slices(s, d, DEEP))), PAGES),
