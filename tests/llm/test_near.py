@@ -178,3 +178,10 @@ def test_recall_of_the_embedding_query(spark):
     got = queries.op8_embedding_near_dedup(spark, d).orderBy("vec_id").collect()
     found = np.array([r.n_links for r in got])
     assert (found <= true).all() and found.sum() >= 0.9 * true.sum()
+
+
+@pytest.mark.parametrize("code", [50, 500, 5000, 15_811])
+def test_pairs_at_the_threshold_meet_in_a_filter_at_every_size(code):
+    filters = embedding_dedup.CapFilters(64, code, 0.95, 0.97, 6)
+    rng = np.random.default_rng(code)
+    assert filters.met >= 0.97 and filters.meeting([filters.pairs(rng, 50, 0.95) for _ in range(8)], 6) >= 0.9
