@@ -46,7 +46,7 @@ class Suffixes:
             self.at = np.flatnonzero((best == h) & inside)
         else:
             self.at = np.zeros(0, np.int64)
-        self.gram = h[self.at]
+        self.gram = P.mixed(h[self.at])  # least hashes are small ones: mixed, they fill all buckets alike
         order, starts, self.entry = P.runs(self.gram >> np.uint64(64 - ANCHOR_BITS))
         self.key = self.gram[order[starts]] >> np.uint64(64 - ANCHOR_BITS)
         self.cuts = P.cut_at_buckets(self.key, buckets, ANCHOR_BITS)
