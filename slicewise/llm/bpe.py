@@ -176,9 +176,9 @@ def decode(ids: np.ndarray, path: str) -> bytes:
 
 
 def slices(batches, size: int):
-    """(record batch, its texts) of about ``size`` characters or ROWS rows, from batches with column ``_text``."""
+    """(record batch, its texts) of about ``size`` characters or ROWS rows, from batches whose last column is the text."""
     for b in batches:
-        texts, start, held = b["_text"].to_pylist(), 0, 0
+        texts, start, held = b.column(b.num_columns - 1).to_pylist(), 0, 0
         for i, n in enumerate(map(len, texts)):
             if held and held + n > size or i - start >= ROWS:
                 yield b.slice(start, i - start), texts[start:i]
@@ -231,14 +231,15 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", chunk:
                 lengths = np.fromiter(map(len, own), np.uint32, len(own))
                 sent.append({"bucket": k, "blob": [squeezed(lengths), zstandard.ZstdCompressor(level=3).compress(b"".join(own))]})
             at = pa.array([0, len(texts)], pa.int32())
-            own_rows = pa.StructArray.from_arrays([b.column(i) for i in range(len(kept))] + [pa.array(range(len(texts)), pa.int32())], names=[*kept, "_row"])
+            own_rows = pa.StructArray.from_arrays([b.column(i) for i in range(len(kept))] + [pa.array(range(len(texts)), pa.int32())], names=[*fields, "row"])
             yield pa.RecordBatch.from_arrays([
                 pa.array([part << 32 | n], pa.int64()), pa.ListArray.from_arrays(at, own_rows), pa.array([squeezed(np.array(sizes, np.uint32))], pa.binary()),
                 pa.array([squeezed(place[np.concatenate(flat)] if len(flat) else np.zeros(0, np.uint32))], pa.binary()), pa.array([sent], parcels)], names=["batch", "rows", "sizes", "words", "sent"])
             n += 1
 
     parcels = pa.list_(pa.struct([("bucket", pa.int32()), ("blob", pa.list_(pa.binary()))]))
-    row = T.StructType([*(docs.schema[c] for c in kept), T.StructField("_row", T.IntegerType())])
+    fields = [f"c{i}" for i in range(len(kept))]
+    row = T.StructType([*(T.StructField(f, docs.schema[c].dataType) for f, c in zip(fields, kept)), T.StructField("row", T.IntegerType())])
     schema = T.StructType([
         T.StructField("batch", T.LongType()), T.StructField("rows", T.ArrayType(row)), T.StructField("sizes", T.BinaryType()), T.StructField("words", T.BinaryType()),
         T.StructField("sent", T.ArrayType(T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("blob", T.ArrayType(T.BinaryType()))])))])
@@ -281,7 +282,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", chunk:
         own = t["sent"][0].as_py()
         return pa.table({"bucket": pa.array([x["bucket"] for x in own], pa.int32()), "batch": pa.array([t["batch"][0].as_py()] * len(own), pa.int64()), "blob": pa.array([x["blob"] for x in own], pa.list_(pa.binary()))})
 
-    packed = docs.select(*kept, F.coalesce(text, F.lit("")).alias("_text")).mapInArrow(pack, schema)
+    packed = docs.select(*(F.col(c).alias(n) for c, n in zip(kept, fields)), F.coalesce(text, F.lit("")).alias("text")).mapInArrow(pack, schema)
     # both uses of the batches take all their columns and so share one exchange
     answers = packed.groupBy("batch").applyInArrow(send, "bucket int, batch long, blob array<binary>").groupBy("bucket").applyInArrow(
         merge, "batch long, bucket int, blob array<binary>")

@@ -287,15 +287,17 @@ def extracted(pages: DataFrame, html: str = "html") -> DataFrame:
     other columns stay, but for columns of the two names, which are replaced.
     """
     kept = [c for c in pages.columns if c not in (html, "text", "n_chars")]
+    inner = [f"c{i}" for i in range(len(kept))]
 
     def work(batches):
         for b in batches:
-            texts = [main_text(x.as_py()) for x in b["_html"]]
+            texts = [main_text(x.as_py()) for x in b["html"]]
             made = [pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(kept))), *made], names=[*kept, "text", "n_chars"])
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(kept))), *made], names=[*inner, "text", "n_chars"])
 
-    schema = T.StructType([*(pages.schema[c] for c in kept), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-    return pages.select(*kept, F.col(html).alias("_html")).mapInArrow(work, schema)
+    schema = T.StructType([*(T.StructField(n, pages.schema[c].dataType) for n, c in zip(inner, kept)), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
+    found = pages.select(*(F.col(c).alias(n) for c, n in zip(kept, inner)), F.col(html).alias("html")).mapInArrow(work, schema)
+    return found.toDF(*kept, "text", "n_chars")
 
 
 #: The query in DuckDB for pages of the given tables, whose text is all in one article element.

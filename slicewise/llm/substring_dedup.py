@@ -88,7 +88,7 @@ def substring_dedup(
     rest = [c for c in docs.columns if c not in (id, text, *made)]
     dealt = docs.select(
         P.batch_number(id, text, batches), F.col(id).cast("long").alias("id"),
-        F.col(text).alias("text"), F.struct(F.lit(0).alias("_none"), *rest).alias("rest"),
+        F.col(text).alias("text"), F.struct(F.lit(0).alias("none"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(rest))).alias("rest"),
     )
     sent, answer = "bucket int, batch int, blob array<binary>", "batch int, bucket int, round int, bits binary"
     sent_type = pa.schema([("bucket", pa.int32()), ("batch", pa.int32()), ("blob", pa.list_(pa.binary()))])
@@ -161,7 +161,7 @@ def substring_dedup(
     two = batchwise(one, send_windows, sent).groupBy("bucket").applyInArrow(match_windows, answer)
     schema = T.StructType([*(dealt.schema[c] for c in ("id", "text", "rest")), *(T.StructField(c, k) for c, k in made.items())])
     done = batchwise(one.unionByName(two), cut, schema)
-    return done.select(F.col("id").alias(id), F.col("text").alias(text), *(F.col("rest")[c].alias(c) for c in rest), *made)
+    return done.select(F.col("id").alias(id), F.col("text").alias(text), *(F.col("rest")[f"c{i}"].alias(c) for i, c in enumerate(rest)), *made)
 
 
 #: The query in DuckDB: every window of 13 words by its text, not by anchors.

@@ -102,12 +102,13 @@ def token_counts(docs: DataFrame, path: str, pattern: str, text: str = "text", l
 
     def work(batches):
         for b in batches:
-            texts, counts = b["_text"].to_pylist(), []
+            texts, counts = b.column(b.num_columns - 1).to_pylist(), []
             for part in slices(texts):
                 counts += whole_tokens(path, pattern).counts(part)
             sizes = pa.array([len(t.encode()) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(kept))), sizes, pa.array(counts, pa.int64())], names=[*kept, *new])
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(kept))), sizes, pa.array(counts, pa.int64())], names=[*inner, *new])
 
-    schema = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(c, T.LongType()) for c in new)])
-    counted = docs.select(*kept, F.coalesce(text, F.lit("")).alias("_text")).mapInArrow(work, schema)
+    inner = [f"c{i}" for i in range(len(kept))]
+    schema = T.StructType([*(T.StructField(n, docs.schema[c].dataType) for n, c in zip(inner, kept)), *(T.StructField(c, T.LongType()) for c in new)])
+    counted = docs.select(*(F.col(c).alias(n) for c, n in zip(kept, inner)), F.coalesce(text, F.lit("")).alias("text")).mapInArrow(work, schema).toDF(*kept, *new)
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

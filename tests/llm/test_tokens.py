@@ -148,6 +148,18 @@ def test_elites_migrate_between_islands(spark):
     assert bin_sets(seen[2]["bin"].to_numpy()) & bin_sets(seen[1]["bin"].to_numpy())
 
 
+def test_columns_named_like_inner_ones_are_kept(spark):
+    from slicewise.llm import html_text
+    from slicewise.llm.substring_dedup import substring_dedup
+
+    names = ["_text", "_html", "_row", "row", "c0", "none", "batch", "id", "rest"]
+    docs = spark.createDataFrame([(1, "a b c", *range(9)), (2, None, *range(9))], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    path = public.path("byte_bpe_50k.tiktoken")
+    for found in (bpe.encoded(docs, path, public.PATTERN), token_counts.token_counts(docs, public.path("byte_bpe_50k.json"), public.PATTERN), html_text.extracted(docs, "text"), substring_dedup(docs)):
+        rows = found.collect()
+        assert len(rows) == 2 and all([r[n] for n in names] == list(range(9)) for r in rows)
+
+
 def test_queries_on_the_small_tables(spark):
     from slicewise.llm import queries
 
