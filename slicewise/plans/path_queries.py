@@ -63,7 +63,9 @@ QUERIES = {
         lambda s, d: t.image_paths(s, d).select("event_id", p.channel(p.file_name(F.col("path"))).alias("channel")), W + f"select event_id, {CHANNEL.format('file')} as channel from parts"),
     "channel_last_wins": (
         lambda s, d: p.last_of_channel(t.image_paths(s, d)),
-        W + f"select folder, {CHANNEL.format('path')} as channel, max(path) as path from parts where {CHANNEL.format('path')} is not null group by all"),
+        W +
+            f"select folder, {CHANNEL.format('path')} as channel, max(path) as path from parts "
+            f"where {CHANNEL.format('path')} is not null group by all"),
     "stack_zorder": (lambda s, d: p.stack_order(t.image_paths(s, d)), W + f", {STACK} select * from ordered"),
     "channel_align": (
         lambda s, d: p.aligned_channels(p.stack_order(t.image_paths(s, d)), list(schema.CHANNEL_TEXT.values())),
@@ -85,6 +87,8 @@ QUERIES = {
     "copy_manifest_keep": (lambda s, d: _manifest(s, d, False), MANIFEST.format("skip")),
     "decoupling_files": (
         lambda s, d: p.decoupling_files(t.image_paths(s, d).select(p.directory(F.col("path")).alias("folder")), "cell"),
-        W + "select distinct folder, folder || '/cell_masks.tiff' as mask, folder || '/cell_reconstruction_dict.npy' as windows from parts"),
+        W +
+            "select distinct folder, folder || '/cell_masks.tiff' as mask, "
+            "folder || '/cell_reconstruction_dict.npy' as windows from parts"),
     **{f"video_files_{c}": (_video(c), W + VIDEO.format(c=c, mark=mark)) for c, mark in p.SHOWN_IN.items()},
 }

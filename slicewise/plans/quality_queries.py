@@ -61,7 +61,9 @@ QUERIES = {
         + ") select channel, count(distinct (plate, well, site)) as n_groups from u group by channel"),
     "sat_sample_per_group": (
         lambda s, d: qc.one_of_each(qc.outliers(t.zslice_qc(s, d), "pctmax_er", 2.0).select("event_id", *schema.ZSLICE), schema.ORGANOID, ["event_id"], seed=1),
-        f"with {sql.BASE} select event_id, {KEYS} from rated where {sql.TEST['saturated_er']} qualify row_number() over (partition by plate, well, site order by (event_id * 7919 + 1) % 10007, event_id) = 1"),
+        f"with {sql.BASE} select event_id, {KEYS} from rated where {sql.TEST['saturated_er']} "
+        "qualify row_number() over (partition by plate, well, site order by (event_id * 7919 + 1) % 10007, "
+        "event_id) = 1"),
     "diagnostics": (
         lambda s, d: qc.diagnostics(t.zslice_qc(s, d).select(*schema.ZSLICE), schema.ZSLICE),
         f"with {sql.ZSLICE_QC} " + " union all ".join(
@@ -71,14 +73,16 @@ QUERIES = {
     "qc_scan_prune": (lambda s, d: qc.select_prefixes(t.zslice_qc(s, d), "plate", "well", "site", "zslice", "slope"), f"with {sql.ZSLICE_QC} select {KEYS}, {', '.join(f'slope_{c}' for c in schema.CHANNELS)} from zslice_qc"),
     "plate_union": (
         lambda s, d: _plate_union(t.zslice_qc(s, d)),
-        f"with {sql.ZSLICE_QC} select event_id, plate, slope_dna, case when plate = 'NF0014' then null else slope_mito end as slope_mito from zslice_qc"),
+        f"with {sql.ZSLICE_QC} select event_id, plate, slope_dna, case "
+        "when plate = 'NF0014' then null else slope_mito end as slope_mito from zslice_qc"),
     "fill_metadata": (
         lambda s, d: qc.fill_metadata(_blanked(t.zslice_qc(s, d)), "source", "NF0018_qc_results", {"plate": "NF0018", "well": "E5", "site": 3}).select("event_id", *schema.ZSLICE),
         f"with {sql.ZSLICE_QC}, b as (select event_id, plate = 'NF0018' and event_id % 97 = 0 gone, plate, well, site, zslice, plate || '_qc_results' source from zslice_qc) "
         "select event_id, case when gone then 'NF0018' else plate end as plate, case when gone then 'E5' else well end as well, case when gone then 3 else site end as site, zslice from b"),
     "nan_detect": (
         lambda s, d: qc.nan_detect(_blanked(t.zslice_qc(s, d)), "source").withColumnRenamed("has_nan", "any_missing"),
-        f"with {sql.ZSLICE_QC} select plate || '_qc_results' as source, bool_or(plate = 'NF0018' and event_id % 97 = 0) as any_missing from zslice_qc group by all"),
+        f"with {sql.ZSLICE_QC} select plate || '_qc_results' as source, bool_or(plate = 'NF0018' "
+        "and event_id % 97 = 0) as any_missing from zslice_qc group by all"),
     "na_counts": (
         lambda s, d: _blanked(t.zslice_qc(s, d)).agg(*(F.count_if(F.col(k).isNull()).alias(k) for k in schema.ZSLICE)).unpivot([], schema.ZSLICE, "column", "n_missing"),
         f"with {sql.ZSLICE_QC}, n as (select count(*) filter (plate = 'NF0018' and event_id % 97 = 0) k from zslice_qc) "
@@ -89,10 +93,14 @@ QUERIES = {
         "select event_id, case when gone then null else k end as n_slices from b left join n using (plate, well, site)"),
     "full_path": (
         lambda s, d: _blanked(t.zslice_qc(s, d)).select("event_id", qc.full_path(F.concat("plate", F.lit("_raw_images")), F.concat("well", F.lit("_"), "zslice", F.lit(".tif"))).alias("full_path")),
-        f"with {sql.ZSLICE_QC} select event_id, case when plate = 'NF0018' and event_id % 97 = 0 then null else plate || '_raw_images/' || well || '_' || zslice || '.tif' end as full_path from zslice_qc"),
+        f"with {sql.ZSLICE_QC} select event_id, case when plate = 'NF0018' "
+        "and event_id % 97 = 0 then null else plate || '_raw_images/' "
+        "|| well || '_' || zslice || '.tif' end as full_path from zslice_qc"),
     "title_format": (
         lambda s, d: qc.slices_of_organoid(t.zslice_qc(s, d)).select("event_id", qc.title().alias("title")),
-        f"with {sql.ZSLICE_QC} select event_id, plate || '_' || well || '-' || site || '_' || zslice || ' (Total z-slices: ' || count(*) over (partition by plate, well, site) || ')' as title from zslice_qc"),
+        f"with {sql.ZSLICE_QC} select event_id, "
+        "plate || '_' || well || '-' || site || '_' || zslice || ' (Total z-slices: "
+        "' || count(*) over (partition by plate, well, site) || ')' as title from zslice_qc"),
     "blur_melt": (
         lambda s, d: qc.melted(t.zslice_qc(s, d), {f"slope_{c}": c for c in schema.CHANNELS}, "channel", "slope", ["event_id", *schema.ZSLICE]),
         f"with {sql.ZSLICE_QC} " + " union all ".join(f"select event_id, {KEYS}, '{c}' as channel, slope_{c} as slope from zslice_qc where slope_{c} is not null" for c in schema.CHANNELS)),
@@ -110,24 +118,37 @@ QUERIES = {
         "select plate, channel, k, round(\"at\", 6) as \"at\", round(sum(n * exp(-pow((\"at\" - (lo + (bin + 0.5) * step)) / h, 2) / 2) / (total * h * sqrt(6.283185307179586))), 8) as density from g group by plate, channel, k, \"at\""),
     "sample_per_group": (
         lambda s, d: qc.one_of_each(qc.outliers(t.zslice_qc(s, d), "slope_dna", -2.0).select("event_id", *schema.ZSLICE), schema.ORGANOID, ["event_id"], seed=1),
-        f"with {sql.BASE} select event_id, {KEYS} from rated where {sql.TEST['blurry_dna']} qualify row_number() over (partition by plate, well, site order by (event_id * 7919 + 1) % 10007, event_id) = 1"),
+        f"with {sql.BASE} select event_id, {KEYS} from rated where {sql.TEST['blurry_dna']} "
+        "qualify row_number() over (partition by plate, well, site order by (event_id * 7919 + 1) % 10007, "
+        "event_id) = 1"),
     "sample_three": (
         lambda s, d: qc.outliers(t.zslice_qc(s, d), "slope_er", -2.0).select("event_id", *schema.ZSLICE).orderBy(F.expr("(event_id * 7919 + 1) % 10007"), "event_id").limit(3),
-        f"with {sql.BASE} select event_id, {KEYS} from rated where {sql.TEST['blurry_er']} order by (event_id * 7919 + 1) % 10007, event_id limit 3"),
+        f"with {sql.BASE} select event_id, {KEYS} from rated where {sql.TEST['blurry_er']} "
+        "order by (event_id * 7919 + 1) % 10007, event_id limit 3"),
     "mito_sorted": (
         lambda s, d: qc.outliers(t.zslice_qc(s, d), "slope_mito", -3.0).select("event_id", *schema.ZSLICE, "slope_mito").orderBy("slope_mito", "event_id"),
         f"with {sql.BASE} select event_id, {KEYS}, slope_mito from rated where {sql.TEST['blurry_mito']} order by slope_mito, event_id"),
     "top3": (
         lambda s, d: qc.outliers(t.zslice_qc(s, d), "slope_mito", -3.0).select("event_id", *schema.ZSLICE, "slope_mito").orderBy("slope_mito", "event_id").limit(3),
-        f"with {sql.BASE} select event_id, {KEYS}, slope_mito from rated where {sql.TEST['blurry_mito']} order by slope_mito, event_id limit 3"),
-    "blur_percent": (lambda s, d: report.flag_share(flags_of(s, d), BLURRY), f"with {sql.BASE} select count(*) filter ({' or '.join(BLURRY)}) as flagged, count(*) as total, round(100 * count(*) filter ({' or '.join(BLURRY)}) / count(*), 6) as percent_flagged from qc"),
-    "sat_percent": (lambda s, d: report.flag_share(flags_of(s, d), SATURATED), f"with {sql.BASE} select count(*) filter ({' or '.join(SATURATED)}) as flagged, count(*) as total, round(100 * count(*) filter ({' or '.join(SATURATED)}) / count(*), 6) as percent_flagged from qc"),
+        f"with {sql.BASE} select event_id, {KEYS}, slope_mito from rated where {sql.TEST['blurry_mito']} "
+        "order by slope_mito, event_id limit 3"),
+    "blur_percent": (lambda s, d: report.flag_share(flags_of(s, d), BLURRY),
+        f"with {sql.BASE} select count(*) filter ({' or '.join(BLURRY)}) as flagged, count(*) as total, "
+        f"round(100 * count(*) filter ({' or '.join(BLURRY)}) / count(*), 6) as percent_flagged from qc"),
+    "sat_percent": (lambda s, d: report.flag_share(flags_of(s, d), SATURATED),
+        f"with {sql.BASE} select count(*) filter ({' or '.join(SATURATED)}) as flagged, count(*) as total, "
+        f"round(100 * count(*) filter ({' or '.join(SATURATED)}) / count(*), 6) as percent_flagged from qc"),
     "qc_melt": (lambda s, d: report.long_flags(flags_of(s, d)), f"with {sql.BASE}, {sql.LONG} select * from long"),
-    "failed_counts": (lambda s, d: report.failed_counts(flags_of(s, d)), f"with {sql.BASE}, {sql.LONG} select condition, channel, count(*) filter (failed) as failed_count from long group by all"),
-    "failed_by_z": (lambda s, d: report.failed_counts(flags_of(s, d), ["zslice"]), f"with {sql.BASE}, {sql.LONG} select zslice, condition, channel, count(*) filter (failed) as failed_count from long group by all"),
+    "failed_counts": (lambda s, d: report.failed_counts(flags_of(s, d)),
+        f"with {sql.BASE}, {sql.LONG} select condition, channel, count(*) filter (failed) as failed_count from long "
+        "group by all"),
+    "failed_by_z": (lambda s, d: report.failed_counts(flags_of(s, d), ["zslice"]),
+        f"with {sql.BASE}, {sql.LONG} select zslice, condition, channel, count(*) filter (failed) as failed_count "
+        "from long group by all"),
     "max_failed": (
         lambda s, d: report.failed_counts(flags_of(s, d), ["zslice"]).agg(F.max("failed_count").alias("max_failed")),
-        f"with {sql.BASE}, {sql.LONG}, c as (select zslice, condition, channel, count(*) filter (failed) n from long group by all) select max(n) as max_failed from c"),
+        f"with {sql.BASE}, {sql.LONG}, c as (select zslice, condition, channel, count(*) filter (failed) n from long "
+        "group by all) select max(n) as max_failed from c"),
     "norm_zslice": (
         lambda s, d: report.with_depth(flags_of(s, d)).select(*schema.ZSLICE, "depth"),
         f"with {sql.BASE}, n as (select {KEYS}, cast(replace(zslice, 'ZS', '') as double) k from qc) select {KEYS}, "
@@ -143,7 +164,9 @@ QUERIES = {
         f"with {sql.BASE} select plate, well, site, count(*) as failed_slices from qc where {sql.ANY} group by all"),
     "failure_class": (
         lambda s, d: report.failed_per_organoid(flags_of(s, d)),
-        f"with {sql.BASE} select plate, well, site, count(*) as failed_slices, case when count(*) = 1 then 'only 1 failed' else 'more than 1 failed' end as class from qc where {sql.ANY} group by all"),
+        f"with {sql.BASE} select plate, well, site, count(*) as failed_slices, case "
+        f"when count(*) = 1 then 'only 1 failed' else 'more than 1 failed' end as class from qc where {sql.ANY} "
+        "group by all"),
     "fail_percent": (
         lambda s, d: report.failure_share(flags_of(s, d)),
         f"with {sql.BASE}, o as (select plate, well, site, bool_or{sql.ANY} failed from qc group by all) "
@@ -160,10 +183,13 @@ QUERIES = {
     "folder_inventory": (lambda s, d: report.folder_inventory(t.folders(s, d)), f"with {sql.ZSLICE_QC}, {sql.FOLDERS}, {sql.INVENTORY} select * from inventory"),
     "missing_organoids": (
         lambda s, d: report.missing_organoids(report.folder_inventory(t.folders(s, d)), t.zslice_qc(s, d)),
-        f"with {sql.ZSLICE_QC}, {sql.FOLDERS}, {sql.INVENTORY} select * from inventory i where not exists (select 1 from zslice_qc q where q.plate = i.plate and q.well = i.well and q.site = i.site)"),
+        f"with {sql.ZSLICE_QC}, {sql.FOLDERS}, {sql.INVENTORY} select * from inventory i where not exists (select 1 "
+        "from zslice_qc q where q.plate = i.plate and q.well = i.well and q.site = i.site)"),
     "missing_per_plate": (
         lambda s, d: report.missing_organoids(report.folder_inventory(t.folders(s, d)), t.zslice_qc(s, d)).groupBy("plate").agg(F.count("*").alias("n_missing")),
-        f"with {sql.ZSLICE_QC}, {sql.FOLDERS}, {sql.INVENTORY} select plate, count(*) as n_missing from inventory i where not exists (select 1 from zslice_qc q where q.plate = i.plate and q.well = i.well and q.site = i.site) group by plate"),
+        f"with {sql.ZSLICE_QC}, {sql.FOLDERS}, {sql.INVENTORY} select plate, count(*) as n_missing from inventory i "
+        "where not exists (select 1 from zslice_qc q where q.plate = i.plate and q.well = i.well and q.site = i.site) "
+        "group by plate"),
 }
 
 

@@ -20,7 +20,9 @@ TEST = {f"blurry_{c}": f"z_slope_{c} < {t}" for c, t in schema.BLUR.items()} | {
 QC = "qc as (select plate, well, site, zslice, " + ", ".join(f"bool_or({t}) {n}" for n, t in TEST.items()) + " from rated group by all)"
 BASE = f"{ZSLICE_QC}, {STATS}, {RATED}, {QC}"
 ANY = "(" + " or ".join(schema.FLAGS) + ")"
-LONG = "long as (" + " union all ".join(f"select plate, well, site, zslice, '{f.split('_')[0]}' condition, '{f.split('_')[1]}' channel, {f} failed from qc" for f in schema.FLAGS) + ")"
+LONG = "long as (" + " union all ".join(
+    f"select plate, well, site, zslice, '{f.split('_')[0]}' condition, '{f.split('_')[1]}' channel, {f} failed "
+    "from qc" for f in schema.FLAGS) + ")"
 
 
 def platemap(wells: int) -> str:

@@ -126,9 +126,12 @@ def _frequency(axis):
 
 
 LOW_PASS = (
-    f"with {VD}, v as (select stack, z, y, x, cast(v as double) re, 0.0::double im, max(z) over (partition by stack) + 1 n_z, 8 n_y, 8 n_x from voxels), "
+    f"with {VD}, v as (select stack, z, y, x, cast(v as double) re, 0.0::double im, "
+    "max(z) over (partition by stack) + 1 n_z, 8 n_y, 8 n_x from voxels), "
     + ", ".join((_turned("a", "v", "x", -1), _turned("b", "a", "y", -1), _turned("c", "b", "z", -1)))
-    + f", g as (select * replace (re * gain as re, im * gain as im) from (select *, 1 / (1 + pow({_frequency('z')} + {_frequency('y')} + {_frequency('x')}, 5)) gain from c)), "
+    +
+        ", g as (select * replace (re * gain as re, im * gain as im) from (select *, "
+        f"1 / (1 + pow({_frequency('z')} + {_frequency('y')} + {_frequency('x')}, 5)) gain from c)), "
     + ", ".join((_turned("d", "g", "x", 1), _turned("e", "d", "y", 1), _turned("f", "e", "z", 1)))
     + " select stack, z, y, x, round(re / (n_z * n_y * n_x), 6) as v from f"
 )
@@ -150,30 +153,39 @@ STITCHED = (
 QUERIES = {
     "sliding_max": (
         lambda s, d: volume.sliding_max(deep(s, d), WIDTH),
-        f"with {VD}, w as (select stack, z, y, x, max(v) over w v, count(*) over w n from voxels window w as (partition by stack, y, x order by z rows between current row and {WIDTH - 1} following)) select stack, z, y, x, v from w where n = {WIDTH}"),
+        f"with {VD}, w as (select stack, z, y, x, max(v) over w v, count(*) over w n "
+        "from voxels window w as (partition by stack, y, x order by z rows between current row "
+        f"and {WIDTH - 1} following)) select stack, z, y, x, v from w where n = {WIDTH}"),
     "window_fanout": (lambda s, d: fanned(s, d).select("stack", "z", "pseudo_slice", "y", "x", "lab"), f"with {VS}, {FAN} select stack, z, pseudo_slice, y, x, lab from fan"),
     "organoid_merge": (lambda s, d: volume.merged_labels(fanned(s, d)), f"with {VS}, {FAN} select stack, z, y, x, max(lab) as lab from fan group by all"),
     "rescale_minmax": (
         lambda s, d: volume.rescaled_to_range(deep(s, d)),
-        f"with {VD} select stack, z, y, x, {BYTE.format('coalesce((v - min(v) over w) / nullif(max(v) over w - min(v) over w, 0), 0) * 255')} as v from voxels window w as (partition by stack)"),
+        f"with {VD} select stack, z, y, x, "
+        f"{BYTE.format('coalesce((v - min(v) over w) / nullif(max(v) over w - min(v) over w, 0), 0) * 255')} as v "
+        "from voxels window w as (partition by stack)"),
     "rescale_max": (
         lambda s, d: volume.rescaled_to_max(deep(s, d).drop("lab")),
-        f"with {VD} select stack, z, y, x, {BYTE.format('coalesce(v / nullif(max(v) over w, 0), 0) * 255')} as v from voxels window w as (partition by stack)"),
+        f"with {VD} select stack, z, y, x, {BYTE.format('coalesce(v / nullif(max(v) over w, 0), 0) * 255')} as v "
+        "from voxels window w as (partition by stack)"),
     "rgb_composite": (lambda s, d: volume.rgb_composite(deep(s, d).withColumn("nuc", F.when(F.col("lab") > 0, F.col("v")).otherwise(0)), "v", "nuc"), RGB),
     "video_scale": (
-        lambda s, d: volume.video_scaled(deep(s, d)), f"with {VD} select stack, z, y, x, (({BYTE.format('v / 255')}) * 8) % 256 as image, (lab % 256 * 16) % 256 as mask from voxels"),
+        lambda s, d: volume.video_scaled(deep(s, d)),
+            f"with {VD} select stack, z, y, x, (({BYTE.format('v / 255')}) * 8) % 256 as image, "
+            "(lab % 256 * 16) % 256 as mask from voxels"),
     "gif_frames": (
         lambda s, d: volume.frames(deep(s, d)).select("stack", "z", shown("image"), shown("mask")),
         f"with {VD}, f as (select stack, z, y, x, (({BYTE.format('v / 255')}) * 8) % 256 image, (lab % 256 * 16) % 256 mask from voxels) "
         "select stack, z, string_agg(image, ',' order by y, x) as image, string_agg(mask, ',' order by y, x) as mask from f group by all"),
     "cytoplasm": (
         lambda s, d: volume.cytoplasm(t.voxels(s, d, DEEP, 0.05), t.voxels(s, d, DEEP, 0.2)),
-        f"with {sql.voxels(DEEP, 0.05, 'cell')}, {sql.voxels(DEEP, 0.2, 'nuclei')} select stack, z, y, x, case when n.lab > 0 then 0 else c.lab end as lab from cell c join nuclei n using (stack, z, y, x)"),
+        f"with {sql.voxels(DEEP, 0.05, 'cell')}, {sql.voxels(DEEP, 0.2, 'nuclei')} select stack, z, y, x, case "
+        "when n.lab > 0 then 0 else c.lab end as lab from cell c join nuclei n using (stack, z, y, x)"),
     "channel_max": (
         lambda s, d: volume.channel_max(deep(s, d).withColumn("w", F.col("lab") * 20), ["v", "w"]), f"with {VD} select stack, z, y, x, greatest(v, lab * 20) as v from voxels"),
     "percent_maximal": (
         lambda s, d: volume.percent_maximal(deep(s, d)),
-        f"with {VD}, m as (select *, max(v) over (partition by stack, z) most from voxels) select stack, z, round(100 * count(*) filter (v = most) / count(*), 6) as percent_maximal from m group by all"),
+        f"with {VD}, m as (select *, max(v) over (partition by stack, z) most from voxels) select stack, z, "
+        "round(100 * count(*) filter (v = most) / count(*), 6) as percent_maximal from m group by all"),
     "stitch_iou": (
         lambda s, d: volume.stitched(deep(s, d), 0.4),
         f"with {VD}, a as (select stack, z, lab, count(*) n from voxels where lab > 0 group by all), "
@@ -182,31 +194,42 @@ QUERIES = {
         "select stack, z, label, next_label, round(iou, 6) as iou from i where iou >= 0.4"),
     "mask_index": (
         lambda s, d: masks.mask_index(fanned(s, d)).select(*masks.MASK, shown("ys"), shown("xs"), "area"),
-        f"with {VS}, {FAN}, {MASKS} select stack, z, label, pseudo_slice, list_aggregate(ys, 'string_agg', ',') as ys, list_aggregate(xs, 'string_agg', ',') as xs, area from masks"),
+        f"with {VS}, {FAN}, {MASKS} select stack, z, label, pseudo_slice, list_aggregate(ys, 'string_agg', ',') as ys, "
+        "list_aggregate(xs, 'string_agg', ',') as xs, area from masks"),
     "mask_overlap": (
         lambda s, d: masks.overlaps(masks.mask_index(fanned(s, d))),
-        f"with {VS}, {FAN}, {MASKS}, {RANKED}, {PAIRS} select stack, z, i, j, round(iou, 6) as iou, label, pseudo_slice from pairs where iou > 0.8"),
+        f"with {VS}, {FAN}, {MASKS}, {RANKED}, {PAIRS} select stack, z, i, j, round(iou, 6) as iou, label, pseudo_slice "
+        "from pairs where iou > 0.8"),
     "decouple_masks": (
         lambda s, d: masks.decoupled(fanned(s, d)),
-        f"with {VS}, {FAN}, {MASKS}, {RANKED}, {PAIRS} select f.stack, f.z, f.y, f.x, arg_max(f.lab, i * 1000000 + j) as label from pairs p join fan f on f.stack = p.stack and f.z = p.z and f.lab = p.label and f.pseudo_slice = p.pseudo_slice where iou > 0.8 group by all"),
+        f"with {VS}, {FAN}, {MASKS}, {RANKED}, {PAIRS} select f.stack, f.z, f.y, f.x, arg_max(f.lab, "
+        "i * 1000000 + j) as label from pairs p join fan f on f.stack = p.stack and f.z = p.z and f.lab = p.label "
+        "and f.pseudo_slice = p.pseudo_slice where iou > 0.8 group by all"),
     "centroids": (
         lambda s, d: objects(s, d).withColumns({c: F.round(c, 6) for c in ("centroid_0", "centroid_1")}),
-        f"with {VS}, {OBJECTS} select stack, slice, label, round(centroid_0, 6) as centroid_0, round(centroid_1, 6) as centroid_1, unique_id from objects"),
+        f"with {VS}, {OBJECTS} select stack, slice, label, round(centroid_0, 6) as centroid_0, round(centroid_1, "
+        "6) as centroid_1, unique_id from objects"),
     "slice_edges": (
         lambda s, d: linking.edges(objects(s, d), RADIUS).withColumn("weight", F.round("weight", 6)), f"with {VS}, {OBJECTS}, {EDGES} select stack, src, dst, round(weight, 6) as weight from edges"),
     "node_pairs": (
         lambda s, d: _node_pairs(objects(s, d)),
-        f"with {VS}, {OBJECTS} select a.stack, a.unique_id as node1, b.unique_id as node2 from objects a join objects b on a.stack = b.stack and a.slice <= b.slice and a.unique_id <> b.unique_id"),
+        f"with {VS}, {OBJECTS} select a.stack, a.unique_id as node1, b.unique_id as node2 from objects a "
+        "join objects b on a.stack = b.stack and a.slice <= b.slice and a.unique_id <> b.unique_id"),
     "hop_distance": (lambda s, d: found_paths(s, d)[1].select("stack", "node1", "node2", (F.size("path") - 1).alias("hops"), shown("path")), L + f"select stack, node1, node2, cast(len(path) - 1 as int) as hops, {PATH_TEXT} as path from paths"),
     "weighted_distance": (lambda s, d: found_paths(s, d)[1].select("stack", "node1", "node2", F.round("distance", 6).alias("distance")), L + "select stack, node1, node2, round(distance, 6) as distance from paths"),
     "longest_paths": (lambda s, d: linking.longest(found_paths(s, d)[1]).select("stack", shown("path")), L + f"select stack, {PATH_TEXT} as path from longest"),
     "object_number": (lambda s, d: numbered(s, d)[1].select("stack", "object_number", shown("path")), L + f"select stack, object_number, {PATH_TEXT} as path from numbered"),
     "path_nodes": (
         lambda s, d: nodes(s, d).withColumns({c: F.round(c, 6) for c in ("centroid_0", "centroid_1")}),
-        L + "select stack, object_number, cast(step as int) as step, unique_id, slice, label, round(centroid_0, 6) as centroid_0, round(centroid_1, 6) as centroid_1 from nodes join objects using (stack, unique_id)"),
+        L +
+            "select stack, object_number, cast(step as int) as step, unique_id, slice, label, round(centroid_0, "
+            "6) as centroid_0, round(centroid_1, 6) as centroid_1 from nodes join objects using (stack, unique_id)"),
     "relabel_3d": (
         lambda s, d: linking.relabelled(shallow(s, d), nodes(s, d)),
-        L + ", last as (select stack, slice z, label lab, max(object_number) k from nodes join objects using (stack, unique_id) group by all) select stack, z, y, x, coalesce(k, 0) as object from voxels left join last using (stack, z, lab)"),
+        L +
+            ", last as (select stack, slice z, label lab, max(object_number) k from nodes join objects using (stack, "
+            "unique_id) group by all) select stack, z, y, x, coalesce(k, 0) as object from voxels left "
+            "join last using (stack, z, lab)"),
     "relabel_rescaled": (
         lambda s, d: volume.rescaled_to_max(linking.relabelled(shallow(s, d), nodes(s, d)), "object"),
         L + ", last as (select stack, slice z, label lab, max(object_number) k from nodes join objects using (stack, unique_id) group by all), "
@@ -225,7 +248,8 @@ QUERIES = {
     "window_sink": (lambda s, d: _windows(s, fanned(s, d)), f"with {VS}, {FAN} select stack, z, pseudo_slice, y, x, lab from fan"),
     "gif_files": (
         lambda s, d: images.animated(t.slices(s, d, DEEP)).select("path", F.octet_length("content").alias("size")),
-        f"with {VD} select 'stack' || stack || '.gif' as path, cast(801 + 96 * count(distinct z) as int) as size from voxels group by stack"),
+        f"with {VD} select 'stack' || stack || '.gif' as path, cast(801 + 96 * count(distinct z) as int) as size "
+        "from voxels group by stack"),
 }
 
 
