@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from slicewise.llm import passages as P
 from slicewise.llm.common import checkpointed, stored
 
-#: The most frequent words have 16-bit ids, with their totals on the driver. Every other word is rare: a word
-#: of the model like them, known by its hash, with its totals in hash buckets. Scores don't depend on which are.
-VOCABULARY = 65_500
-RARE, END, BEGIN = 65_533, 65_534, 65_535
+#: Frequent words have 20-bit ids, with their totals on the driver. Every other word is rare: a word of the
+#: model like them, known by its hash, with its totals in hash buckets. Scores don't depend on which are.
+VOCABULARY, ID_BITS = 1 << 19, 20
+RARE, END, BEGIN = (1 << ID_BITS) - 3, (1 << ID_BITS) - 2, (1 << ID_BITS) - 1
+#: Totals of so many ids are added up in one task; bigrams are dealt to buckets in runs of so many second words.
+RANGE, RUN_BITS = 1 << 15, 10
 #: Bits of a hash that tell words apart, and anchors.
 WORD_BITS = 48
 #: A bigram with this share of all tokens is scored where it is read; so at most 2 ** 17 are.
@@ -81,22 +83,28 @@ class Occurrences:
 
 
 class Fold:
-    """The bigram model of one half of the texts: context and continuation mass by word id, and hot bigrams' counts."""
-
-    def __init__(self, rows: np.ndarray, hot_count: np.ndarray):
-        """``rows`` are (kind, id, a, b, c, d): kind 0 contexts, 1 continuations, 2 counts of counts, 4 counts of
-        counts of rare words' continuations, 5 their sum and number."""
-        of = lambda kind: rows[rows[:, 0] == kind]
-        count = np.zeros((1 << 16, 4))
-        count[of(0)[:, 1]] = of(0)[:, 2:]
-        self.discount = discounts(of(2)[:, 2:].sum(axis=0))
+    """The bigram model of one half of the texts: context and continuation mass by word id, and hot bigrams' counts.
+
+    Arrays have a place for each frequent word and one for the beginning."""
+
+    def __init__(self, found: dict, words: int, hot_count: np.ndarray):
+        """``found`` has by kind (ids, columns): 0 contexts, 1 continuations, 2 counts of counts, 4 counts of counts of
+        rare words' continuations, 5 their sum and number."""
+        none = np.zeros(0, np.int64)
+        of = lambda kind, n: found.get(kind, (none, [none] * n))
+        total = lambda kind, n: np.array([x.sum() for x in of(kind, n)[1]])
+        ids, columns = of(0, 4)
+        count = np.zeros((words + 1, 4))
+        count[np.minimum(ids, words)] = np.stack(columns, axis=1)
+        self.discount = discounts(total(2, 4))
         self.context = count[:, 0]
         self.backoff = (count[:, 1:] * self.discount[1:]).sum(axis=1) / np.maximum(1, self.context)
-        follows = np.zeros(1 << 16, np.int64)
-        follows[of(1)[:, 1]] = of(1)[:, 2]
-        counts = np.bincount(np.minimum(follows[follows > 0], 5), minlength=6)[1:5] + of(4)[:, 2:].sum(axis=0)
+        ids, columns = of(1, 1)
+        follows = np.zeros(words + 1, np.int64)
+        follows[ids] = columns[0]
+        counts = np.bincount(np.minimum(follows[follows > 0], 5), minlength=6)[1:5] + total(4, 4)
         e = self.follow_discount = discounts(counts)
-        rare, types = of(5)[:, 2].sum(), of(5)[:, 3].sum()
+        rare, types = total(5, 2)
         self.total, size = float(follows.sum() + rare), int((follows > 0).sum() + types)
         one, two = int(counts[0]), int(counts[1])
         left = (one * e[1] + two * e[2] + (size - one - two) * e[3]) / self.total if self.total else 1.0
@@ -104,6 +112,10 @@ class Fold:
         self.lower = self.continuation(follows)
         self.hot_count = hot_count
 
+    def at(self, code: np.ndarray) -> np.ndarray:
+        """Places of words, or the beginning, by their codes."""
+        return np.minimum(code.astype(np.int64), len(self.context) - 1)
+
     def continuation(self, follows: np.ndarray) -> np.ndarray:
         """Lower-order probability of words with so many distinct words before them; unknown ones have none."""
         return np.maximum(follows - self.follow_discount[np.minimum(follows, 3)], 0) / max(1.0, self.total) + self.spread
@@ -115,7 +127,7 @@ class Fold:
 
     def pair_costs(self, key: np.ndarray, count: np.ndarray) -> np.ndarray:
         """Of bigrams of frequent words."""
-        first, second = (key >> np.uint32(16)).astype(np.int64), (key & np.uint32(0xFFFF)).astype(np.int64)
+        first, second = self.at(key >> np.uint64(ID_BITS)), self.at(key & np.uint64((1 << ID_BITS) - 1))
         return self.costs(count, self.context[first], self.backoff[first], self.lower[second])
 
 
@@ -136,7 +148,7 @@ class Model:
         return np.where(self.vocabulary[at] == h, self.ids[at], RARE)
 
     def bigrams(self, words: P.Words) -> tuple[np.ndarray, np.ndarray, Occurrences]:
-        """A 32-bit key for each frequent word after a frequent one or a beginning, their texts, and the rare words."""
+        """A 40-bit key for each frequent word after a frequent one or a beginning, their texts, and the rare words."""
         h = words.hash >> np.uint64(64 - WORD_BITS)
         ids = self.number(h)
         before, after = np.roll(ids, 1), np.roll(ids, -1)
@@ -144,20 +156,23 @@ class Model:
         after[words.first[1:][np.diff(words.first) > 0] - 1] = END
         rare = ids == RARE
         known = ~rare & (before != RARE)
-        key = (before[known].astype(np.uint32) << np.uint32(16)) | ids[known].astype(np.uint32)
+        key = (before[known].astype(np.uint64) << np.uint64(ID_BITS)) | ids[known].astype(np.uint64)
         none = np.uint64(0)
         found = Occurrences(
-            h[rare], before[rare].astype(np.uint16), after[rare].astype(np.uint16), np.where(before == RARE, np.roll(h, 1), none)[rare],
+            h[rare], before[rare].astype(np.uint32), after[rare].astype(np.uint32), np.where(before == RARE, np.roll(h, 1), none)[rare],
             np.where(after == RARE, np.roll(h, -1), none)[rare], words.doc[rare])
         return key, words.doc[known], found
 
     def settle(self, rows: list) -> Model:
-        """Take in the totals, (kind, fold, id, a, b, c, d) rows; kind 3 are hot bigrams with their counts in both halves."""
-        table = np.array([tuple(r) for r in rows], np.int64).reshape(-1, 7)
-        hot = table[table[:, 0] == 3]
-        hot = hot[np.argsort(hot[:, 2])]
-        self.hot = hot[:, 2].astype(np.uint32)
-        self.folds = tuple(Fold(np.delete(table[table[:, 1] == f], 1, axis=1), hot[:, 3 + f]) for f in (0, 1))
+        """Take in the totals, (kind, fold, blob) rows; kind 3 are hot bigrams with their counts in both halves."""
+        found: dict = {}
+        for kind, fold, blob in rows:
+            found.setdefault((fold, kind), []).append([P.expanded(x, np.int64) for x in blob])
+        found = {k: [np.concatenate(c) for c in zip(*parts)] for k, parts in found.items()}
+        hot = found.get((0, 3), [np.zeros(0, np.int64)] * 3)
+        order = np.argsort(hot[0])
+        self.hot = hot[0][order].astype(np.uint64)
+        self.folds = tuple(Fold({k: (c[0], c[1:]) for (fold, k), c in found.items() if fold == f}, len(self.vocabulary), hot[1 + f][order]) for f in (0, 1))
         return self
 
     def rare_costs(self, o: Occurrences, side: list, docs: int) -> np.ndarray:
@@ -183,7 +198,7 @@ class Model:
                     order = np.argsort(h)
                     seen = np.minimum(np.searchsorted(h[order], word[begin]), len(h) - 1)
                     follows = follows + np.where(h[order][seen] == word[begin], more[1 - f][order][seen].astype(np.int64), 0)
-                cost = model.costs(other, model.context[before], model.backoff[before], model.continuation(follows)[of])
+                cost = model.costs(other, model.context[model.at(before)], model.backoff[model.at(before)], model.continuation(follows)[of])
                 own = fold == f
                 total += np.bincount(doc[own], cost[run[own]], docs).astype(np.int64)
 
@@ -207,7 +222,7 @@ class Model:
                 model, other = self.folds[1 - f], count[1 - f]
                 context = np.add.reduceat(other, begin)
                 backoff = np.add.reduceat(model.discount[np.minimum(other, 3)], begin) / np.maximum(context, 1)
-                lower = model.lower[after]
+                lower = model.lower[model.at(after)]
                 if pair.any():
                     lower[pair] = model.continuation(np.concatenate([x[3 - f] for x in pairs]).astype(np.int64)[seen])
                 cost = model.costs(other, context[of], backoff[of], lower)
@@ -266,14 +281,6 @@ def _dealt(groups: list[tuple[np.ndarray, list]], buckets: int) -> list[tuple[in
     return [(b, [pack(column[order[cuts[b] : cuts[b + 1]]]) for (order, cuts), (_, columns) in zip(places, groups) for column, pack in columns]) for b in filled]
 
 
-def _rising(keys: np.ndarray) -> bytes:
-    return P.squeezed(np.diff(keys, prepend=np.uint32(0)))
-
-
-def _rising_keys(blob: bytes) -> np.ndarray:
-    return np.cumsum(P.expanded(blob, np.uint32), dtype=np.uint32)
-
-
 def _rare(o: Occurrences, far: str, with_doc: bool) -> tuple[np.ndarray, list]:
     """The rare words as a group for ``_dealt``, with the hashes of rare ``far`` neighbours."""
     order = np.lexsort((o.doc, o.word) if with_doc else (o.doc, o.before, o.word))
@@ -285,7 +292,7 @@ def _rare(o: Occurrences, far: str, with_doc: bool) -> tuple[np.ndarray, list]:
 def _occurrences(blobs: list[list[bytes]], far: str, folds: list[int]) -> tuple[Occurrences, list[int]]:
     """The rare words of some parcels, by their columns from ``_rare``, and how many each parcel has."""
     word = [P.expanded_sorted(b[0]) for b in blobs]
-    before, after = (np.concatenate([P.expanded(b[k], np.uint16) for b in blobs]) for k in (1, 2))
+    before, after = (np.concatenate([P.expanded(b[k], np.uint32) for b in blobs]) for k in (1, 2))
     beside = np.zeros(len(before), np.uint64)
     beside[(before if far == "before_word" else after) == RARE] = np.concatenate([P.expanded(b[3], np.uint64) for b in blobs])
     sizes = [len(w) for w in word]
@@ -296,17 +303,20 @@ def _occurrences(blobs: list[list[bytes]], far: str, folds: list[int]) -> tuple[
 def fitted(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple[Model, DataFrame]:
     """The models of both halves of ``docs`` (digest, text), and what the buckets must know of pairs of rare words.
 
-    Only tables with a proven bound reach the driver: the ``vocabulary`` most frequent words with their totals,
-    and bigrams of them with a 2 ** -17 share of the tokens or more. Rare words are counted in hash buckets.
+    Only tables with a proven bound reach the driver: the ``vocabulary`` most frequent words (of those that
+    are twice in a slice) with their totals, and bigrams of them with a 2 ** -17 share of the tokens or more. Rare words are counted in hash buckets.
     """
 
     def words(batches):
         for _, _, texts in _slices(batches, 5 << 20):
             h = P.Words(texts).hash >> np.uint64(64 - WORD_BITS)
             order, starts, _ = P.runs(h)
-            n, h = np.diff(np.append(starts, len(h))).astype(np.uint32), h[order[starts]]
-            found = _dealt([(h, [(h, P.squeezed_sorted), (n, P.squeezed)])], buckets)
-            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int32()), pa.array([x for _, x in found], pa.list_(pa.binary()))], names=["bucket", "blob"])
+            n = np.diff(np.append(starts, len(h)))
+            some = n > 1  # a word that is never twice in a slice isn't frequent
+            h, n, tokens = h[order[starts]][some], n[some].astype(np.uint32), len(h)
+            found = _dealt([(h, [(h, P.squeezed_sorted), (n, P.squeezed)])], buckets) or [(0, [P.squeezed_sorted(h), P.squeezed(n)])]
+            own = [tokens, *[0] * (len(found) - 1)]
+            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int32()), pa.array([x for _, x in found], pa.list_(pa.binary())), pa.array(own, pa.int64())], names=["bucket", "blob", "tokens"])
 
     share = vocabulary / buckets  # words fall in buckets by hash: none has many more of the top than its share
     most = int(share + 8 * share**0.5 + 8)
@@ -315,18 +325,20 @@ def fitted(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple
         blobs = t["blob"].to_pylist()
         h = np.concatenate([P.expanded_sorted(b[0]) for b in blobs])
         order, starts, _ = P.runs(h)
-        n = np.add.reduceat(np.concatenate([P.expanded(b[1], np.uint32) for b in blobs])[order].astype(np.int64), starts)
+        n = np.concatenate([P.expanded(b[1], np.uint32) for b in blobs])[order].astype(np.int64)
+        n = np.add.reduceat(n, starts) if len(starts) else n
         top = np.argsort(-n, kind="stable")[:most]
-        whole = np.zeros(max(1, len(top)), np.int64)
-        whole[0] = n.sum()
-        return pa.table({"h": pa.array(h[order[starts]].view(np.int64)[top]), "n": pa.array(n[top]), "tokens": pa.array(whole)})
+        whole = np.zeros(len(top) + 1, np.int64)
+        whole[0] = sum(t["tokens"].to_pylist())  # in a row without a word
+        h = pa.array(np.append(0, h[order[starts]].view(np.int64)[top]), mask=np.arange(len(top) + 1) == 0)
+        return pa.table({"h": h, "n": pa.array(np.append(0, n[top])), "tokens": pa.array(whole)})
 
     seen = Observation()
-    counted = docs.mapInArrow(words, "bucket int, blob array<binary>").groupBy("bucket").applyInArrow(tally, "h long, n long, tokens long")
+    counted = docs.mapInArrow(words, "bucket int, blob array<binary>, tokens long").groupBy("bucket").applyInArrow(tally, "h long, n long, tokens long")
     counted = counted.observe(seen, F.sum("tokens").alias("tokens"))
-    top = counted.select("h", "n").orderBy(F.col("n").desc(), "h").limit(vocabulary).collect()
+    top = counted.where("h is not null").select("h", "n").orderBy(F.col("n").desc(), "h").limit(vocabulary).toArrow()
     tokens = seen.get["tokens"] or 0
-    hashes = np.array([r["h"] for r in top], np.int64).view(np.uint64)
+    hashes = top["h"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     model = Model(hashes[order], order)
 
@@ -335,7 +347,7 @@ def fitted(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple
             key, _, rare = model.bigrams(P.Words(texts))
             order, starts, _ = P.runs(key)
             n, key = np.diff(np.append(starts, len(key))).astype(np.uint32), key[order[starts]]
-            found = _dealt([(key, [(key, _rising), (n, P.squeezed)]), _rare(rare, "before_word", False)], buckets)
+            found = _dealt([(key >> np.uint64(RUN_BITS), [(key, P.squeezed_sorted), (n, P.squeezed)]), _rare(rare, "before_word", False)], buckets)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b for b, _ in found], pa.int32()), pa.array([fold] * len(found), pa.int32()), pa.array([x for _, x in found], pa.list_(pa.binary()))], names=["bucket", "fold", "blob"])
 
@@ -343,28 +355,48 @@ def fitted(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple
 
     def contexts(fold, first, n):
         ids, at = np.unique(first, return_inverse=True)
-        columns = [np.bincount(at, n, len(ids)), *(np.bincount(at[np.minimum(n, 3) == k], minlength=len(ids)) for k in (1, 2, 3))]
-        return np.stack([0 * ids, 0 * ids + fold, ids, *columns], axis=1)
+        return 0, fold, ids, [np.bincount(at, n, len(ids)), *(np.bincount(at[np.minimum(n, 3) == k], minlength=len(ids)) for k in (1, 2, 3))]
 
     def continuations(fold, second):
         ids, n = np.unique(second, return_counts=True)
-        return np.stack([0 * ids + 1, 0 * ids + fold, ids, n, *([0 * ids] * 3)], axis=1)
+        return 1, fold, ids, [n]
 
     def counts(kind, fold, n):
-        return np.array([[kind, fold, 0, *((n == k).sum() for k in (1, 2, 3, 4))]])
+        return kind, fold, np.zeros(1), [np.array([(n == k).sum()]) for k in (1, 2, 3, 4)]
+
+    def rows(found):
+        """(kind, fold, range, blob) rows of (kind, fold, ids, columns): ids that repeat are added up, and cut in ranges."""
+        out = []
+        for kind, fold in sorted({x[:2] for x in found}):
+            parts = [x[2:] for x in found if x[:2] == (kind, fold)]
+            ids, at = np.unique(np.concatenate([i for i, _ in parts]).astype(np.int64), return_inverse=True)
+            columns = [np.bincount(at, np.concatenate(c), len(ids)).astype(np.int64) for c in zip(*(c for _, c in parts))]
+            part = np.minimum(ids // RANGE, 1 << ID_BITS)
+            for k in np.unique(part).tolist():
+                lo, hi = np.searchsorted(part, [k, k + 1])
+                out.append((kind, fold, k, [P.squeezed(ids[lo:hi]), *(P.squeezed(c[lo:hi]) for c in columns)]))
+        return out
+
+    def as_table(found):
+        kinds = ("kind", pa.int32()), ("fold", pa.int32()), ("part", pa.int32()), ("blob", pa.list_(pa.binary()))
+        return pa.table({name: pa.array(c, kind) for (name, kind), c in zip(kinds, zip(*found))})
+
+    def add(t):
+        found = [(k, f, P.expanded(b[0], np.int64), [P.expanded(c, np.int64) for c in b[1:]]) for k, f, b in zip(t["kind"].to_pylist(), t["fold"].to_pylist(), t["blob"].to_pylist())]
+        return as_table(rows(found))
 
     def totals(key, t):
         blobs, folds = t["blob"].to_pylist(), t["fold"].to_pylist()
-        keys = [_rising_keys(b[0]) for b in blobs]
+        keys = [P.expanded_sorted(b[0]) for b in blobs]
         fold = np.repeat(folds, [len(k) for k in keys])
         order, starts, run = P.runs(np.concatenate(keys))
         pair = np.concatenate(keys)[order[starts]].astype(np.int64)
         count = by_fold(run, fold, np.concatenate([P.expanded(b[1], np.uint32) for b in blobs]).astype(np.int64), len(starts))
         hot = np.flatnonzero(count[0] + count[1] >= least)
-        out = [np.stack([0 * hot + 3, 0 * hot, pair[hot], count[0][hot], count[1][hot], 0 * hot, 0 * hot], axis=1)]
+        out = [(3, 0, pair[hot], [n[hot] for n in count])]
         for f, n in enumerate(count):
             some = n > 0
-            out += [contexts(f, pair[some] >> 16, n[some]), continuations(f, pair[some] & 0xFFFF), counts(2, f, n)]
+            out += [contexts(f, pair[some] >> ID_BITS, n[some]), continuations(f, pair[some] & (1 << ID_BITS) - 1), counts(2, f, n)]
         (o, _), side = _occurrences([b[2:] for b in blobs], "before_word", folds), []
         if len(o.word):
             ones = np.ones(len(o.word), np.int64)
@@ -379,7 +411,7 @@ def fitted(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple
                 follows.append(np.add.reduceat(n > 0, begin, dtype=np.int64))
                 rare.append(np.bincount(of[~known & (n > 0)], minlength=len(begin)))
                 some = known & (n > 0)
-                out += [contexts(f, before[some], n[some]), counts(2, f, n), counts(4, f, follows[f]), np.array([[5, f, 0, follows[f].sum(), (follows[f] > 0).sum(), 0, 0]])]
+                out += [contexts(f, before[some], n[some]), counts(2, f, n), counts(4, f, follows[f]), (5, f, np.zeros(1), [follows[f].sum(keepdims=True), (follows[f] > 0).sum(keepdims=True)])]
             some = np.flatnonzero(rare[0] + rare[1])
             if len(some):
                 side.append((8, key[0].as_py(), [P.squeezed_sorted(word[begin][some]), *(P.squeezed(r[some].astype(np.uint32)) for r in rare)]))
@@ -393,15 +425,14 @@ def fitted(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple
             after = o.after[at][order[starts]].astype(np.int64)
             for f, n in enumerate(by_fold(run, o.fold[at], ones[at], len(starts))):
                 out += [counts(2, f, n), continuations(f, after[n > 0])]
-        rows = np.concatenate(out).astype(np.int64)
-        rows = np.concatenate([rows, np.array([[kind, 0, b, 0, 0, 0, 0] for kind, b, _ in side], np.int64).reshape(-1, 7)])
-        extra = pa.array([None] * (len(rows) - len(side)) + [x for *_, x in side], pa.list_(pa.binary()))
-        return pa.table({**{c: pa.array(rows[:, i]) for i, c in enumerate(("kind", "fold", "id", "a", "b", "c", "d"))}, "blob": extra})
+        return as_table(rows(out) + [(kind, 0, b, x) for kind, b, x in side])
 
+    schema = "kind int, fold int, part int, blob array<binary>"
     sent = docs.mapInArrow(pairs, "bucket int, fold int, blob array<binary>")
-    found = stored(sent.groupBy("bucket").applyInArrow(totals, "kind long, fold long, id long, a long, b long, c long, d long, blob array<binary>"))
-    model.settle(found.where("kind < 8").groupBy("kind", "fold", "id").agg(*(F.sum(c).alias(c) for c in "abcd")).collect())
-    return model, found.where("kind >= 8").select(F.col("id").cast("int").alias("bucket"), "kind", "blob")
+    found = stored(sent.groupBy("bucket").applyInArrow(totals, schema))
+    whole = found.where("kind < 8").groupBy("kind", "fold", "part").applyInArrow(add, schema)
+    model.settle([(r.kind, r.fold, [bytes(x) for x in r.blob]) for r in whole.collect()])
+    return model, found.where("kind >= 8").select(F.col("part").alias("bucket"), "kind", "blob")
 
 
 def scored(docs: DataFrame, model: Model, side: DataFrame, buckets: int) -> DataFrame:
@@ -416,7 +447,7 @@ def scored(docs: DataFrame, model: Model, side: DataFrame, buckets: int) -> Data
         for fold, b, texts in _slices(batches):
             words = P.Words(texts)
             key, of, rare = m.bigrams(words)
-            order, starts, _ = P.runs((of.astype(np.uint64) << np.uint64(32)) | key)
+            order, starts, _ = P.runs((of.astype(np.uint64) << np.uint64(2 * ID_BITS)) | key)
             own = np.diff(np.append(starts, len(order))).astype(np.uint32)
             key, doc = key[order[starts]], of[order[starts]]
             at = np.minimum(np.searchsorted(m.hot, key), max(0, len(m.hot) - 1))
@@ -430,7 +461,7 @@ def scored(docs: DataFrame, model: Model, side: DataFrame, buckets: int) -> Data
             key, doc, own = key[order], doc[order], own[order]
             anchor, anchor_doc = anchors(words)
             found = _dealt([
-                (key, [(key, _rising), (doc.astype(np.uint16), P.squeezed), (own, P.squeezed)]), _rare(rare, "after_word", True),
+                (key >> np.uint64(RUN_BITS), [(key, P.squeezed_sorted), (doc.astype(np.uint16), P.squeezed), (own, P.squeezed)]), _rare(rare, "after_word", True),
                 (anchor, [(anchor, P.squeezed_sorted), (anchor_doc.astype(np.uint16), P.squeezed)])], buckets) or [(0, [])]
             n, batch = len(found), part << 32 | n_batch
             n_anchors = np.bincount(anchor_doc, minlength=len(texts))
@@ -458,7 +489,7 @@ def scored(docs: DataFrame, model: Model, side: DataFrame, buckets: int) -> Data
                 docs_of = [P.expanded(blobs[i][column], kind).astype(np.int64) for i in full]
                 return np.concatenate(docs_of) + np.repeat(shift, [len(x) for x in docs_of])
 
-            keys = [_rising_keys(blobs[i][0]) for i in full]
+            keys = [P.expanded_sorted(blobs[i][0]) for i in full]
             fold = np.repeat([folds[i] for i in full], [len(k) for k in keys])
             own = np.concatenate([P.expanded(blobs[i][2], np.uint32) for i in full]).astype(np.int64)
             doc, key = place(np.uint16, 1), np.concatenate(keys)
