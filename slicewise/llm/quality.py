@@ -16,7 +16,7 @@ from slicewise.llm.common import checkpointed, stored
 
 #: Frequent words have 20-bit ids, with their totals on the driver. Every other word is rare: a word of the
 #: model like them, known by its hash, with its totals in hash buckets. Scores don't depend on which are.
-VOCABULARY, ID_BITS = 1 << 19, 20
+VOCABULARY, ID_BITS = 1 << 18, 20
 RARE, END, BEGIN = (1 << ID_BITS) - 3, (1 << ID_BITS) - 2, (1 << ID_BITS) - 1
 #: Totals of so many ids are added up in one task; bigrams are dealt to buckets in runs of so many second words.
 RANGE, RUN_BITS = 1 << 15, 10
@@ -486,19 +486,21 @@ def scored(docs: DataFrame, model: Model, side: DataFrame, buckets: int) -> Data
             shift, docs = edge - [sizes[i] for i in full], int(edge[-1])  # documents of all parcels have numbers of their own
 
             def place(kind, column):
-                docs_of = [P.expanded(blobs[i][column], kind).astype(np.int64) for i in full]
-                return np.concatenate(docs_of) + np.repeat(shift, [len(x) for x in docs_of])
+                docs_of = [P.expanded(blobs[i][column], kind).astype(np.int32) for i in full]
+                return np.concatenate(docs_of) + np.repeat(shift, [len(x) for x in docs_of]).astype(np.int32)
 
-            keys = [P.expanded_sorted(blobs[i][0]) for i in full]
-            fold = np.repeat([folds[i] for i in full], [len(k) for k in keys])
-            own = np.concatenate([P.expanded(blobs[i][2], np.uint32) for i in full]).astype(np.int64)
-            doc, key = place(np.uint16, 1), np.concatenate(keys)
+            key = [P.expanded_sorted(blobs[i][0]) for i in full]
+            fold = np.repeat(np.array([folds[i] for i in full], np.int8), [len(k) for k in key])
+            key = np.concatenate(key)
             order, starts, run = P.runs(key)
-            count, key = by_fold(run, fold, own, len(starts)), key[order[starts]]
-            cost = np.zeros(docs, np.int64)
+            key, run = key[order[starts]], run.astype(np.int32)
+            del order
+            own, doc = np.concatenate([P.expanded(blobs[i][2], np.uint32) for i in full]), place(np.uint16, 1)
+            count, cost = by_fold(run, fold, own, len(starts)), np.zeros(docs, np.int64)
             for f in (0, 1):
                 here = fold == f
                 cost += np.bincount(doc[here], own[here] * shared.value.folds[1 - f].pair_costs(key, count[1 - f])[run[here]], docs).astype(np.int64)
+            del key, fold, own, doc, run, here
             rare, lengths = _occurrences([blobs[i][3:8] for i in full], "after_word", [folds[i] for i in full])
             rare.doc = rare.doc + np.repeat(shift, lengths)
             kinds = {8: (np.uint32, np.uint32), 9: (np.uint64, np.uint32, np.uint32)}
