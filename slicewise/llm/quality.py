@@ -19,11 +19,11 @@ from slicewise.llm.common import checkpointed, stored
 VOCABULARY, ID_BITS = 1 << 18, 20
 RARE, END, BEGIN = (1 << ID_BITS) - 3, (1 << ID_BITS) - 2, (1 << ID_BITS) - 1
 #: Totals of so many ids are added up in one task; bigrams are dealt to buckets in runs of so many second words.
-RANGE, RUN_BITS = 1 << 15, 10
+RANGE, RUN_BITS = 1 << 15, 12
 #: Bits of a hash that tell words apart, and anchors.
 WORD_BITS = 48
-#: A bigram with this share of all tokens is scored where it is read; so at most 2 ** 17 are.
-HOT = 1 << 17
+#: A bigram with this share of all tokens is scored where it is read; so at most 2 ** 19 are.
+HOT = 1 << 19
 #: Log probabilities are added up as multiples of 1 / SCALE, so that sums don't depend on their order.
 SCALE = 1 << 16
 #: Words of an anchor, and one in how many passages of that length is one.
@@ -304,7 +304,7 @@ def fitted(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple
     """The models of both halves of ``docs`` (digest, text), and what the buckets must know of pairs of rare words.
 
     Only tables with a proven bound reach the driver: the ``vocabulary`` most frequent words (of those that
-    are twice in a slice) with their totals, and bigrams of them with a 2 ** -17 share of the tokens or more. Rare words are counted in hash buckets.
+    are three times in a slice) with their totals, and bigrams of them with a 2 ** -19 share of the tokens or more. Rare words are counted in hash buckets.
     """
 
     def words(batches):
@@ -312,7 +312,7 @@ def fitted(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple
             h = P.Words(texts).hash >> np.uint64(64 - WORD_BITS)
             order, starts, _ = P.runs(h)
             n = np.diff(np.append(starts, len(h)))
-            some = n > 1  # a word that is never twice in a slice isn't frequent
+            some = n > 2  # a word that is never three times in a slice isn't frequent
             h, n, tokens = h[order[starts]][some], n[some].astype(np.uint32), len(h)
             found = _dealt([(h, [(h, P.squeezed_sorted), (n, P.squeezed)])], buckets) or [(0, [P.squeezed_sorted(h), P.squeezed(n)])]
             own = [tokens, *[0] * (len(found) - 1)]
@@ -343,7 +343,7 @@ def fitted(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple
     model = Model(hashes[order], order)
 
     def pairs(batches):
-        for fold, _, texts in _slices(batches):
+        for fold, _, texts in _slices(batches, 5 << 20):
             key, _, rare = model.bigrams(P.Words(texts))
             order, starts, _ = P.runs(key)
             n, key = np.diff(np.append(starts, len(key))).astype(np.uint32), key[order[starts]]
