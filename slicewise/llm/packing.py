@@ -29,7 +29,8 @@ class WordIds:
     """Ids of a lower-casing word BPE: each distinct run of non-space characters is encoded once.
 
     The vocabulary's pre-tokens never cross white space, so a text's ids are those of its runs, one
-    after another. Special strings are cut out first, as the library does.
+    after another. Special strings are cut out first, as the library does, and only as they stand in
+    the text: a run that becomes one by lower-casing is ordinary text. A special string is its id among runs.
     """
 
     def __init__(self, path: str):
@@ -46,14 +47,14 @@ class WordIds:
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number: dict[str | int, int] = {}
         self.flat, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
-    def runs(self, text: str) -> list[str]:
+    def runs(self, text: str) -> list[str | int]:
         if "<|" in text and self.cut.search(text):
             out = []
             for part in self.cut.split(text):
-                out += [part] if part in self.special else self.runs(part)
+                out += [self.special[part]] if part in self.special else self.runs(part)
             return out
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
@@ -62,9 +63,9 @@ class WordIds:
             text = text.lower()
         return regex.split(r"\s+", text) if SEPARATORS.search(text) else text.split()
 
-    def ids_of(self, run: str) -> list[int]:
-        if run in self.special:
-            return [self.special[run]]
+    def ids_of(self, run: str | int) -> list[int]:
+        if isinstance(run, int):
+            return [run]
         return [t.id for p in self.pieces.findall(run) for t in self.model.tokenize(p.encode().decode("latin1").translate(self.letters))]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:

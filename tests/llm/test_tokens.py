@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import struct
 import zlib
 
@@ -17,6 +18,7 @@ TEXTS = [
     "", None, " ", "  a   b \n\n c", "aaaaaaaaab", "<|endoftext|>x<|endoftext|> ", "é漢字 \U0001f600 ΑΣ ΑΣ. İstanbul é", "a" * 5000,
     "don't WE'LL they've 123 ½ ² Ⅷ", "a\x1cb\x1d c\x85d e f　g", "\t\tx\r\ny   ", "<|startoftext|> hi<|endoftext|>", "word " * 3000,
     "The thing that onting erstth, of the and nding.", "x\n \n  \ny", "####$$$ &&& ***", "\u0000�",
+    "say <|ENDOFTEXT|> now", "a<|EndOfText|>b<|endoftext|>C<|STARTOFTEXT|><|startoftext|>", "<|<|endoftext|>|>", "<|endoftext|", "<|ENDOFTEXT|>",
 ]
 
 
@@ -95,6 +97,15 @@ def test_packing_places_every_piece_once(spark, texts):
     assert packing.packed(spark.createDataFrame([], texts.schema), path).count() == 0
 
 
+def test_ids_of_special_strings_in_any_case_are_the_librarys():
+    path = public.path("word_bpe_49k.json")
+    tokenizer, own, rng = Tokenizer.from_file(path), packing.WordIds(path), random.Random(5)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|StartOfText|>", "<|", "|>", "endoftext", " ", "\n", "a", "Word", "É", "İ", "Σ", "ΑΣ ", "12", "'s", "!"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 9))) for _ in range(4000)]
+    for text, ids in zip(texts, own.encode(texts)):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_islands_never_lose_items_and_beat_first_fit():
     rng = np.random.default_rng(0)
     lengths = rng.integers(300, 1100, 400)
