@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicewise.llm import bpe, chat, embedding_dedup, html_text, packing, quality, simhash, substring_dedup, suffix_dedup, token_counts
+from slicewise.llm import bpe, chat, embedding_dedup, html_text, packing, personal, quality, simhash, substring_dedup, suffix_dedup, token_counts, vector_codes, whitening
 from slicewise.llm.common import table
 
 
@@ -63,6 +63,21 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.found(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as long) n_{k}") for k in personal.BASE]
+    return found.select("doc_id", *counts, F.sha2(shown(F.col("base")), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=8, scale=1024, shift=100_000)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [f for name, f in globals().items() if name.startswith("op") and callable(f)]
     return {f.__name__: f for f in found}
@@ -75,4 +90,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_suffix_array_dedup": suffix_dedup.SQL,
         "op7_chat_formatting": chat.SQL,
         "op8_embedding_near_dedup": embedding_dedup.SQL,
+        "op11_vector_codes": vector_codes.SQL,
     }

@@ -22,4 +22,4 @@ def test_operator_matches_its_sql(spark, name):
 
 def test_every_operator_has_a_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
