@@ -42,6 +42,8 @@ ASIDE_WORD = re.compile(
     r"newsletter|subscribe\w*|subscription|signup|sidebar|widget\w*|menu|nav|navbar|navigation|breadcrumbs?|comments?|commentlist|disqus|repl(?:y|ies)|"
     r"respond|responses|discussion|share|sharing|social|related|recommend\w*|footer|masthead|login|search|pagination|pager|toolbar|tags|copyright)(?:$|[^a-z])"
 )
+#: Inline text with such a class word goes even inside a sentence; with others only where all of its block has one.
+ADVERT_WORD = re.compile(r"(?:^|[^a-z])(?<!no-)(?:ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*)(?:$|[^a-z])")
 #: Marks the page's header, but an article's own header has its title.
 HEADER_WORD = re.compile(r"(?:^|[^a-z])(?<!has-)(?<!with-)(?<!no-)header(?:$|[^a-z])")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
@@ -61,6 +63,9 @@ PLAIN, MARKED, OUT = 0, 1, 2
 MARKED_WEIGHT, LEAST_SHARE = 0.02, 0.1
 #: Elements that may be open at a time; deeper ones don't nest, as in browsers.
 DEPTH = 512
+#: Where a path lies, and unlinked characters of a block, with a mark among them, that make it a paragraph of an article.
+OUTSIDE, MAIN, ARTICLE = 0, 1, 2
+PARAGRAPH = 40
 
 
 class Paths:
@@ -68,7 +73,7 @@ class Paths:
 
     def __init__(self):
         self.number: dict[tuple[int, str, int], int] = {}
-        self.tag, self.state, self.container, self.inner = [""], [PLAIN], [0], [False]
+        self.tag, self.state, self.container, self.level = [""], [PLAIN], [0], [OUTSIDE]
 
     def under(self, parent: int, tag: str, label: str, state: int) -> int:
         key = parent, label, state
@@ -77,7 +82,7 @@ class Paths:
             self.tag.append(tag)
             self.state.append(state)
             self.container.append(self.container[parent] if tag in PART else n)
-            self.inner.append(self.inner[parent] or tag == "article" or tag == "main")
+            self.level.append(max(self.level[parent], {"article": ARTICLE, "main": MAIN}.get(tag, OUTSIDE)))
         return self.number[key]
 
 
@@ -117,38 +122,47 @@ def own_state(tag: str, kept: dict[str, str], inside: bool) -> tuple[int, bool]:
     return PLAIN, False
 
 
-def blocks(page: str) -> tuple[Paths, list[tuple[int, int, str]]]:
-    """The page's tag paths, and (path, characters inside links, text) of each block with text, in page order.
+def blocks(page: str) -> tuple[Paths, list[tuple[int, int, str, int]]]:
+    """The page's tag paths, and (path, characters inside links, text, article) of each block with text, in page order.
 
-    A path holds the open block elements with their class words; inline elements are left out of it, and
-    the text of hidden or marked ones (an advert in a span) is dropped. Unclosed p, li, dt, dd and table
-    cells end where HTML ends them; stray end tags do nothing. Time and memory are linear in the page.
+    A path holds the open block elements with their class words; inline elements are left out of it. The text of
+    hidden ones and of adverts is dropped; that of inline elements with other words of ASIDE_WORD only where the whole
+    block is such text. ``article`` numbers the outermost article elements from 1; 0 is outside. Unclosed p, li, dt, dd
+    and table cells end where HTML ends them; stray end tags do nothing. Elements beyond DEPTH don't nest, but what
+    isn't in sight there takes its text out too. Time and memory are linear in the page.
     """
     paths, stack = Paths(), []
     open_tags: Counter[str] = Counter()
-    out: list[tuple[int, list[int], list[str]]] = []
-    parts, linked = None, [0]  # of the block that is being read
-    at = links = 0
+    out: list[tuple[int, list[int], list[str], int]] = []
+    parts, linked = None, [0, 0]  # of the block that is being read: its text, characters in links and outside worded inline elements
+    at = links = articles = 0
     skip, skip_tag, skip_base = 0, "", 0  # depth inside an inline element whose text is dropped
+    word, word_tag = 0, ""  # depth inside an inline element with a class word
+    beyond: Counter[str] = Counter()  # open elements past DEPTH
+    gone = None  # the first of them whose text is dropped: its tag, and how many were open then
 
     def add(raw: str) -> None:
         nonlocal parts, linked
-        if not raw or skip or parts is None and raw.isspace():
+        if not raw or skip or gone or parts is None and raw.isspace():
             return
         if parts is None:
-            parts, linked = [], [0]
-            out.append((stack[-1].path if stack else 0, linked, parts))
+            parts, linked = [], [0, 0]
+            out.append((stack[-1].path if stack else 0, linked, parts, articles if open_tags["article"] else 0))
         parts.append(raw)
         if links:
             linked[0] += len(raw)
+        if not word and not raw.isspace():
+            linked[1] += len(raw)
 
     def close(i: int) -> None:
-        nonlocal skip
+        nonlocal skip, gone
         for e in stack[i:]:
             open_tags[e.tag] -= 1
         del stack[i:]
         if skip and len(stack) < skip_base:
             skip = 0
+        beyond.clear()
+        gone = None
 
     while True:
         m = TAG.search(page, at)
@@ -178,12 +192,21 @@ def blocks(page: str) -> tuple[Paths, list[tuple[int, int, str]]]:
                 continue
             if skip:
                 skip += (-1 if ends else 1) if tag == skip_tag else 0
-            elif not ends and m[3] and not m[3].isspace():
+                continue
+            if word and tag == word_tag:
+                word += -1 if ends else 1
+            if not ends and m[3] and not m[3].isspace():
                 kept = attributes(m[3])
-                if out_of_sight(kept) or ASIDE_WORD.search(kept.get("class", "")):
+                if out_of_sight(kept) or ADVERT_WORD.search(kept.get("class", "")):
                     skip, skip_tag, skip_base = 1, tag, len(stack)
+                elif not word and ASIDE_WORD.search(kept.get("class", "")):
+                    word, word_tag = 1, tag
+            continue
+        parts, word = None, 0
+        if ends and beyond[tag]:
+            gone = None if gone == (tag, beyond[tag]) else gone
+            beyond[tag] -= 1
             continue
-        parts = None
         if ends:
             if open_tags[tag]:
                 close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag))
@@ -197,11 +220,17 @@ def blocks(page: str) -> tuple[Paths, list[tuple[int, int, str]]]:
                     close(i)
                 elif stack[i].tag in STOP:
                     break
-        if tag in VOID or len(stack) >= DEPTH:
+        if tag in VOID:
             continue
         kept = attributes(m[3])
         inside = open_tags["article"] > 0 or open_tags["main"] > 0
         own, worded = own_state(tag, kept, inside)
+        if len(stack) >= DEPTH:
+            beyond[tag] += 1
+            if own == OUT and not gone:
+                gone = tag, beyond[tag]
+            continue
+        articles += tag == "article" and not open_tags["article"]
         if tag in ("article", "main"):  # what a class word says of the layout around the article can't hold
             state = max([own, *(e.own for e in stack if not e.worded)])
             for e in stack:
@@ -211,11 +240,11 @@ def blocks(page: str) -> tuple[Paths, list[tuple[int, int, str]]]:
         label = f"{tag}.{'.'.join(kept['class'].split())}" if kept.get("class") else tag
         stack.append(Open(tag, paths.under(stack[-1].path if stack else 0, tag, label, OUT if skip else state), own, worded))
         open_tags[tag] += 1
-    texts = ((path, linked[0], " ".join(entities.unescape("".join(parts)).split())) for path, linked, parts in out)
+    texts = ((path, linked[0], " ".join(entities.unescape("".join(parts)).split()), article) for path, linked, parts, article in out if linked[1])
     return paths, [x for x in texts if x[2]]
 
 
-def path_scores(paths: Paths, found: list[tuple[int, int, str]]) -> dict[int, tuple[float, int]]:
+def path_scores(paths: Paths, found: list[tuple[int, int, str, int]]) -> dict[int, tuple[float, int]]:
     """(fused ratio, unlinked characters) of each tag path that isn't out.
 
     Unlinked text length and punctuation are added up over a path's blocks and divided by their number.
@@ -224,7 +253,7 @@ def path_scores(paths: Paths, found: list[tuple[int, int, str]]) -> dict[int, tu
     are length * (1 + punctuation), and MARKED_WEIGHT of that where class words mark the path.
     """
     sums: dict[int, list[float]] = {}
-    for path, linked, text in found:
+    for path, linked, text, _ in found:
         s = sums.setdefault(path, [0, 0, 0])
         for i, v in enumerate((max(0, len(text) - linked), len(MARKS.findall(text)), 1)):
             s[i] += v
@@ -241,12 +270,43 @@ def path_scores(paths: Paths, found: list[tuple[int, int, str]]) -> dict[int, tu
     return scores
 
 
-def content(paths: Paths, found: list[tuple[int, int, str]]) -> list[bool]:
-    """Which of the blocks, none of them out, are the article.
+def home(paths: Paths, found: list[tuple[int, int, str, int]]) -> list[bool]:
+    """Which blocks lie where the article is: in article elements, in main outside of them, or outside of both.
+
+    Article elements are it, however much text lies outside, if one of them has two paragraphs (PARAGRAPH) that no class word
+    marks, or as many unlinked characters as any container elsewhere; then those with two paragraphs, or at least half of the
+    text of the longest, are taken. A teaser has neither. Next main is it if it has two paragraphs, or its strongest
+    path's ratio (``path_scores``) is as large as any outside; else what lies outside. Where articles
+    and main fail, the stronger ratio decides.
+    """
+    size, paragraphs, elsewhere = Counter(), Counter(), Counter()
+    for p, linked, text, article in found:
+        if paths.state[p] == PLAIN:
+            alone = max(0, len(text) - linked)
+            place = article if paths.level[p] == ARTICLE else -paths.level[p]
+            size[place] += alone
+            paragraphs[place] += alone >= PARAGRAPH and MARKS.search(text) is not None and paths.tag[p] not in HEADING
+            if place <= 0:
+                elsewhere[paths.container[p]] += alone
+    longest = max((n for place, n in size.items() if place > 0), default=0)
+    taken = {place for place in size if place > 0 and (paragraphs[place] > 1 or 2 * size[place] >= longest)}
+    if any(paragraphs[place] > 1 for place in taken) or longest and longest >= max(elsewhere.values(), default=0):
+        return [article in taken for *_, article in found]
+    scores = path_scores(paths, found)
+    best = {level: max((s for p, (s, _) in scores.items() if paths.level[p] == level), default=0) for level in (OUTSIDE, MAIN, ARTICLE)}
+    if paragraphs[-MAIN] > 1 and best[MAIN] >= best[ARTICLE]:
+        level = MAIN
+    else:
+        level = max((ARTICLE, MAIN, OUTSIDE), key=best.get)
+    return [paths.level[p] == level for p, *_ in found]
+
+
+def content(paths: Paths, found: list[tuple[int, int, str, int]]) -> list[bool]:
+    """Which of the blocks, all of them from one ``home`` and none of them out, are the article.
 
     Paths whose fused ratio (``path_scores``) is LEAST_SHARE of the mean or more hold content, the mean
-    being over characters (those of marked paths count by MARKED_WEIGHT). If the strongest of them, by ratio times characters, lies inside article or
-    main, paths outside go, and the other way round. Headings, list items and other parts of a text with low ratios come
+    being over characters (those of marked paths count by MARKED_WEIGHT), and so does the strongest by ratio times
+    characters. Headings, list items and other parts of a text with low ratios come
     back if their container holds a content path; so do a heading right before content, and parts
     between two blocks of content. Marked paths and those that are mostly links don't come back.
     """
@@ -256,12 +316,12 @@ def content(paths: Paths, found: list[tuple[int, int, str]]) -> list[bool]:
     best = max(scores, key=lambda p: scores[p][0] * (1 + scores[p][1]))
     weight = {p: c * (MARKED_WEIGHT if paths.state[p] == MARKED else 1) for p, (_, c) in scores.items()}
     least = LEAST_SHARE * sum(s * weight[p] for p, (s, _) in scores.items()) / (sum(weight.values()) or 1)
-    chosen = {p for p, (s, _) in scores.items() if s >= least and paths.inner[p] == paths.inner[best]} | {best}
+    chosen = {p for p, (s, _) in scores.items() if s >= least} | {best}
     total, linked = Counter(), Counter()
-    for p, n, text in found:
+    for p, n, text, _ in found:
         total[p] += len(text)
         linked[p] += n
-    part = {p for p in scores if (paths.tag[p] in PART or p == paths.container[p]) and 2 * linked[p] <= total[p] and paths.inner[p] == paths.inner[best]}
+    part = {p for p in scores if (paths.tag[p] in PART or p == paths.container[p]) and 2 * linked[p] <= total[p]}
     part = {p for p in part if paths.state[p] == paths.state[best] or paths.state[p] == PLAIN}
     homes = {paths.container[p] for p in chosen}
     kept = [p in chosen or p in part and paths.container[p] in homes for p, *_ in found]
@@ -276,7 +336,8 @@ def main_text(page: str | None) -> str:
     """The article's blocks joined by newlines; empty for a null or empty page or one without text."""
     paths, found = blocks(page) if page else (None, [])
     found = [x for x in found if paths.state[x[0]] != OUT]
-    return "\n".join(text for (*_, text), keep in zip(found, content(paths, found)) if keep)
+    found = [x for x, there in zip(found, home(paths, found)) if there]
+    return "\n".join(text for (_, _, text, _), keep in zip(found, content(paths, found)) if keep)
 
 
 def extracted(pages: DataFrame, html: str = "html") -> DataFrame:

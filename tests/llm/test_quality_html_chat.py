@@ -268,6 +268,55 @@ def test_adverts_in_inline_elements_and_junk_in_articles_go():
     assert html_text.main_text("<p>Kept, <span class=ad>a <span>b</span> c</span>too.<p>And <i hidden>not</i> <b>this</b>.") == "Kept, too.\nAnd this."
 
 
+def said(n, size):
+    """A paragraph of ``size`` characters, two sentences."""
+    text = f"Number {n} says something, at some length. " + "words and words " * 40
+    return text[: size - 1] + "."
+
+
+ARTICLE = ["The title", said(1, 120), said(2, 120), said(3, 120)]
+
+
+@pytest.mark.parametrize("wrap", ["<main>{}{}</main>", "<div>{}{}</div>", "<main>{}</main>{}"])
+@pytest.mark.parametrize("size", [60, 100, 400, 2000])
+@pytest.mark.parametrize("n", [0, 1, 2, 4, 10, 50])
+def test_an_article_comes_before_any_number_of_comments(n, size, wrap):
+    article = "<article><h1>{}</h1><p>{}</p><p>{}</p><p>{}</p></article>".format(*ARTICLE)
+    comments = "".join(f"<p>{said(100 + i, size)}</p>" for i in range(n))
+    for thread in (f"<div class=thread>{comments}</div>", f"<section><ul>{comments.replace('<p>', '<li><p>')}</ul></section>"):
+        assert html_text.main_text("<body><nav>Go, there.</nav>" + wrap.format(article, thread) + "</body>") == "\n".join(ARTICLE)
+
+
+@pytest.mark.parametrize("n", [1, 2, 8])
+@pytest.mark.parametrize("outer", ["<div class=post>{}</div>", "<main><div>{}</div></main>", "<section id=text>{}</section>"])
+def test_teasers_in_article_elements_lose_to_the_text(n, outer):
+    body = "".join(f"<p>{said(i, 300)}</p>" for i in range(4))
+    teasers = "".join(f"<article><h3><a href=x>Other {i}</a></h3><p>{said(50 + i, 90)}</p></article>" for i in range(n))
+    expected = "\n".join(said(i, 300) for i in range(4))
+    assert html_text.main_text(f"<body>{outer.format(body)}<div>{teasers}</div></body>") == expected
+    article = "<article><h1>{}</h1><p>{}</p><p>{}</p><p>{}</p></article>".format(*ARTICLE)
+    assert html_text.main_text(f"<body><main>{article}<section>{teasers}</section></main></body>") == "\n".join(ARTICLE)
+
+
+def test_several_articles_are_all_the_text():
+    both = "".join(f"<article><h2>Post {k}</h2><p>{said(k, 200)}</p><p>{said(k + 5, 150)}</p></article>" for k in (1, 2))
+    assert html_text.main_text(f"<body><p>Home, sweet.</p>{both}</body>") == "\n".join(x for k in (1, 2) for x in (f"Post {k}", said(k, 200), said(k + 5, 150)))
+
+
+def test_class_words_inside_a_sentence_drop_nothing():
+    line = "Open the <span class='menu'>File</span> menu, find <mark class='search'>term</mark> and <a class='nav-link'>this page</a>; it is <em class='alert'>urgent</em>."
+    text = "Open the File menu, find term and this page; it is urgent."
+    assert html_text.main_text(f"<article>{LONG}<p>{line}</p></article>") == f"{PLAIN}\n{text}"
+    assert html_text.main_text(f"<article>{LONG}<p><a class=share>Share</a> <a class=share>it</a></p></article>") == PLAIN
+    assert html_text.main_text(f"<article>{LONG}<p>Not <i role=alert>this</i> <b hidden>one</b>.</p></article>") == f"{PLAIN}\nNot ."
+
+
+def test_what_is_out_stays_out_however_deep():
+    deep = "<section>" * 600
+    page = f"<body><article>{LONG}{deep}<nav>Go, there, now.<section>And, there.</section></nav><p>Some more text, down here.</p><div hidden><div>No, no.</div>No.</div>{'</section>' * 600}<p>The end, of it.</p></article></body>"
+    assert html_text.main_text(page) == f"{PLAIN}\nSome more text, down here.\nThe end, of it."
+
+
 @pytest.mark.parametrize("page", ["<div>x" * 100_000, "<p>hello " + "<a " * 200_000, "<center><li>x" * 50_000, "<!" * 200_000, "<a b='" * 50_000 + '<a c="' * 50_000, "<center>" * 2000 + "</x>" * 50_000])
 def test_hostile_pages_take_linear_time(page):
     import time
