@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from slicewise.operators import images
+
 COMPARTMENTS = ("nuclei", "cell")
 
 
@@ -110,8 +112,8 @@ def path_nodes(objects: DataFrame, numbers: DataFrame) -> DataFrame:
     return nodes.join(objects, ["stack", "unique_id"]).select("stack", "object_number", "step", "unique_id", "slice", "label", "centroid_0", "centroid_1")
 
 
-def relabelled(voxels: DataFrame, nodes: DataFrame, label: str = "lab") -> DataFrame:
-    """Voxels with their object's number instead of the slice label; the last object of a label wins, and
-    voxels of no object are 0."""
-    last = nodes.groupBy("stack", F.col("slice").alias("z"), F.col("label").alias(label)).agg(F.max("object_number").alias("_object"))
-    return voxels.join(last, ["stack", "z", label], "left").select("stack", "z", "y", "x", F.coalesce("_object", F.lit(0)).alias("object"))
+def relabelled(slices: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Label slices with their object's number instead of the slice label; the last object of a label wins, and
+    pixels of no object are 0."""
+    last = nodes.groupBy("stack", F.col("slice").alias("z"), "label").agg(F.max("object_number").alias("object"))
+    return images.renamed(slices, last)

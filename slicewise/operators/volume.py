@@ -1,62 +1,56 @@
-"""Operators over voxel rows (stack, z, y, x, value): projections along z, rescaling, compartments."""
+"""Operators over voxel rows (stack, z, y, x, value), and over slice rows whose pixels are arrays (see ``images``)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from slicewise.sources.shared import bounded
+
 VOXEL = ["stack", "z", "y", "x"]
 SLICE = ["stack", "z"]
-
-
-def sliding_max(voxels: DataFrame, width: int, value: str = "v") -> DataFrame:
-    """Maximum over slices z .. z + width - 1 at each place; only full windows, so depth - width + 1 of them."""
-    ahead = Window.partitionBy("stack", "y", "x").orderBy("z").rowsBetween(0, width - 1)
-    return voxels.select(*VOXEL, F.max(value).over(ahead).alias(value), F.count("*").over(ahead).alias("_n")).where(F.col("_n") == width).drop("_n")
+SHAPE = [*SLICE, "height", "width"]
 
 
 def fan_out(windows: DataFrame, width: int, depth: int) -> DataFrame:
-    """The inverse: window z gives its rows to slices z .. z + width - 1 below ``depth``, as pseudo_slice z."""
+    """Window z gives its rows to slices z .. z + width - 1 below ``depth``, as pseudo_slice z. Rows are voxels or slices."""
     spread = windows.withColumnRenamed("z", "pseudo_slice").withColumn("z", F.explode(F.sequence(F.col("pseudo_slice"), F.col("pseudo_slice") + width - 1)))
     return spread.where(F.col("z") < depth)
 
 
-def merged_labels(fanned: DataFrame, label: str = "lab") -> DataFrame:
-    """The largest label that any window gives a voxel."""
-    return fanned.groupBy(*VOXEL).agg(F.max(label).alias(label))
+def to_byte(value: Column) -> Column:
+    """Cut to whole numbers and wrap at 256, as a cast to unsigned bytes does."""
+    return F.pmod(F.floor(value).cast("int"), F.lit(256))
 
 
-def by_key(df: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame:
-    """``df`` with aggregates of its group: map-side combined and joined back, so no group is sorted whole."""
-    stats = df.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(*aggregates)
-    return df.join(stats, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]).drop(*(f"_{k}" for k in keys))
+def _of(value: Column, most: Column) -> Column:
+    """value / most * 255 as a byte; 0 where ``most`` is 0."""
+    return to_byte(F.coalesce(value / F.nullif(most, F.lit(0)), F.lit(0.0)) * 255)
 
 
-def to_byte(value: Column) -> Column:
-    """Cut to whole numbers and wrap at 256, as a cast to unsigned bytes does."""
-    return F.pmod(F.floor(value).cast("int"), F.lit(256))
+def with_range(slices: DataFrame, pixels: str = "pixels") -> DataFrame:
+    """Slices with the least and the greatest value of their stack. Only two numbers of a slice are aggregated."""
+    ranges = slices.groupBy("stack").agg(F.min(F.array_min(pixels)).alias("_lo"), F.max(F.array_max(pixels)).alias("_hi"))
+    return slices.join(bounded(ranges), "stack")
 
 
-def rescaled_to_range(voxels: DataFrame, value: str = "v") -> DataFrame:
+def rescaled_to_range(slices: DataFrame) -> DataFrame:
     """(v - least) / (most - least) * 255 of the stack, as a byte; 0 in a constant stack."""
-    s = by_key(voxels, ["stack"], F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    share = F.coalesce((F.col(value) - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0)), F.lit(0.0))
-    return s.select(*VOXEL, to_byte(share * 255).alias(value))
+    return with_range(slices).select(*SHAPE, F.transform("pixels", lambda v: _of(v - F.col("_lo"), F.col("_hi") - F.col("_lo"))).alias("pixels"))
 
 
-def rescaled_to_max(voxels: DataFrame, value: str = "v", keys: list[str] = ["stack"]) -> DataFrame:
-    """v / most * 255, as a byte; 0 where the group's most is 0."""
-    s = by_key(voxels, keys, F.max(value).alias("_hi"))
-    return s.withColumn(value, to_byte(F.coalesce(F.col(value) / F.nullif(F.col("_hi"), F.lit(0)), F.lit(0.0)) * 255)).drop("_hi")
+def rescaled_to_max(slices: DataFrame) -> DataFrame:
+    """v / most * 255 of the stack, as a byte; 0 where the most is 0."""
+    return with_range(slices).select(*SHAPE, F.transform("pixels", lambda v: _of(v, F.col("_hi"))).alias("pixels"))
 
 
-def rgb_composite(voxels: DataFrame, red: str, blue: str) -> DataFrame:
-    """(voxel, r, g, b): both channels scaled to their slice's maximum, green 0, then all to the composite's."""
-    s = by_key(voxels, SLICE, F.max(red).alias("_r"), F.max(blue).alias("_b"))
-    scaled = s.select(*VOXEL, *(to_byte(F.coalesce(F.col(c) / F.nullif(F.col(m), F.lit(0)), F.lit(0.0)) * 255).alias(n) for c, m, n in ((red, "_r", "r"), (blue, "_b", "b"))))
-    again = by_key(scaled, SLICE, F.max(F.greatest("r", "b")).alias("_most"))
-    byte = lambda c: to_byte(F.coalesce(F.col(c) / F.nullif(F.col("_most"), F.lit(0)), F.lit(0.0)) * 255)
-    return again.select(*VOXEL, byte("r").alias("r"), F.lit(0).alias("g"), byte("b").alias("b"))
+def rgb_composite(slices: DataFrame, red: str, blue: str) -> DataFrame:
+    """(stack, z, height, width, r, g, b): both channels scaled to their slice's maximum, green 0, then all to the
+    composite's. No shuffle: a slice has all that it needs."""
+    with_most = slices.select(*SHAPE, red, blue, F.array_max(red).alias("_red"), F.array_max(blue).alias("_blue"))
+    scaled = with_most.select(*SHAPE, F.transform(red, lambda v: _of(v, F.col("_red"))).alias("r"), F.transform(blue, lambda v: _of(v, F.col("_blue"))).alias("b"))
+    again = scaled.withColumn("_most", F.greatest(F.array_max("r"), F.array_max("b")))
+    return again.select(*SHAPE, F.transform("r", lambda v: _of(v, F.col("_most"))).alias("r"), F.transform("r", lambda v: F.lit(0)).alias("g"), F.transform("b", lambda v: _of(v, F.col("_most"))).alias("b"))
 
 
 def video_scaled(voxels: DataFrame) -> DataFrame:
@@ -71,10 +65,11 @@ def frames(voxels: DataFrame) -> DataFrame:
     return whole.select(*SLICE, F.col("rows.image").alias("image"), F.col("rows.mask").alias("mask"))
 
 
-def cytoplasm(cell: DataFrame, nuclei: DataFrame, label: str = "lab") -> DataFrame:
-    """Cell labels without the voxels of any nucleus; a voxel that ``nuclei`` lacks has none."""
-    inner = nuclei.where(F.col(label) > 0).select(*VOXEL, F.lit(True).alias("_in"))
-    return cell.join(inner, VOXEL, "left").select(*VOXEL, F.when(F.col("_in"), 0).otherwise(F.col(label)).alias(label))
+def cytoplasm(cell: DataFrame, nuclei: DataFrame) -> DataFrame:
+    """Cell label slices without the pixels of any nucleus; a slice or a pixel that ``nuclei`` lacks has none."""
+    inner = nuclei.select(*SLICE, F.col("pixels").alias("_inner"))
+    joined = cell.join(inner, SLICE, "left")
+    return joined.select(*SHAPE, F.zip_with("pixels", F.coalesce("_inner", "pixels"), lambda c, n: F.when(F.col("_inner").isNotNull() & (n > 0), F.lit(0.0)).otherwise(c)).alias("pixels"))
 
 
 def channel_max(voxels: DataFrame, channels: list[str]) -> DataFrame:
@@ -85,15 +80,3 @@ def percent_maximal(voxels: DataFrame, value: str = "v") -> DataFrame:
     """Share of a slice's voxels at its maximum, 0 to 100: values are counted, then the largest is looked up."""
     counts = voxels.groupBy(*SLICE, value).agg(F.count("*").alias("n"))
     return counts.groupBy(*SLICE).agg(F.round(100 * F.max_by("n", value) / F.sum("n"), 6).alias("percent_maximal"))
-
-
-def stitched(voxels: DataFrame, least_overlap: float = 0.8, label: str = "lab") -> DataFrame:
-    """Objects of adjacent slices whose overlap over union reaches ``least_overlap``."""
-    here = voxels.where(F.col(label) > 0).select(*VOXEL, F.col(label).alias("label"))
-    after = here.select("stack", (F.col("z") - 1).alias("z"), "y", "x", F.col("label").alias("next_label"))
-    common = here.join(after, VOXEL).groupBy(*SLICE, "label", "next_label").agg(F.count("*").alias("common"))
-    area = here.groupBy(*SLICE, "label").agg(F.count("*").alias("area"))
-    next_area = area.select("stack", (F.col("z") - 1).alias("z"), F.col("label").alias("next_label"), F.col("area").alias("next_area"))
-    iou = F.col("common") / (F.col("area") + F.col("next_area") - F.col("common"))
-    joined = common.join(area, [*SLICE, "label"]).join(next_area, [*SLICE, "next_label"])
-    return joined.select(*SLICE, "label", "next_label", F.round(iou, 6).alias("iou")).where(iou >= least_overlap)

@@ -23,6 +23,15 @@ def shallow(s, d):
     return t.voxels(s, d, SHALLOW)
 
 
+def labels(s, d, depth, threshold=0.1):
+    return t.slices(s, d, depth, threshold).drop("pixels").withColumnRenamed("labels", "pixels")
+
+
+def with_nuclei(s, d):
+    """Slices with a second channel: the pixels of objects, 0 elsewhere."""
+    return t.slices(s, d, DEEP).withColumn("nuclei", F.zip_with("pixels", "labels", lambda v, lab: F.when(lab > 0, v).otherwise(0.0)))
+
+
 def fanned(s, d):
     """Each slice that starts a full window stands for its mask, and gives it to the window's slices."""
     return volume.fan_out(shallow(s, d).where(F.col("z") <= SHALLOW - WIDTH).drop("v"), WIDTH, SHALLOW)
@@ -135,6 +144,30 @@ LOW_PASS = (
     + ", ".join((_turned("d", "g", "x", 1), _turned("e", "d", "y", 1), _turned("f", "e", "z", 1)))
     + " select stack, z, y, x, round(re / (n_z * n_y * n_x), 6) as v from f"
 )
+#: The equalisation by its definition: parts of an axis, middles beside a place, clipped counts up to a level. Both
+#: sides add 1e-9, as the shares are fractions that often end in the digit that rounding cuts.
+_AXIS = (
+    "{0}_cut as (select n, i, cast(floor(i * n / least(8, n)) as int) low, cast(floor((i + 1) * n / least(8, n)) as int) high from (select distinct n_{0} n from v), (select unnest(range(8)) i) where i < least(8, n)), "
+    "{0}_near as (select n, p, i, least(i + 1, least(8, n) - 1) j, (low + high - 1) / 2 m from (select distinct n, unnest(range(n)) p from {0}_cut) join {0}_cut using (n) "
+    "qualify i = coalesce(max(case when m <= p then i end) over (partition by n, p), 0)), "
+    "{0}_share as (select a.n, p, a.i, a.j, case when a.i = a.j then 0 else greatest(0, least(1, (p - a.m) / ((b.low + b.high - 1) / 2 - a.m))) end w from {0}_near a join {0}_cut b on b.n = a.n and b.i = a.j), "
+    "{0}_mix as (select n, p, i t, 1 - w w from {0}_share union all select n, p, j, w from {0}_share)"
+)
+EQUALISED = (
+    f"with {VD}, v as (select *, min(v) over s lo, max(v) over s hi, max(z) over s + 1 n_z, 8 n_y, 8 n_x from voxels window s as (partition by stack)), "
+    + ", ".join(_AXIS.format(a) for a in "zyx")
+    + ", l as (select stack, z, y, x, n_z, n_y, n_x, case when hi > lo then least(255, cast(floor((v - lo) / (hi - lo) * 256) as int)) else -1 end level from v), "
+    "h as (select stack, tz.i tz, ty.i ty, tx.i tx, level, count(*) n from l join z_cut tz on tz.n = n_z and z >= tz.low and z < tz.high "
+    "join y_cut ty on ty.n = n_y and y >= ty.low and y < ty.high join x_cut tx on tx.n = n_x and x >= tx.low and x < tx.high where level >= 0 group by all), "
+    "s as (select *, sum(n) over k size, greatest(0.05 * sum(n) over k, sum(n) over k / 256) most from h window k as (partition by stack, tz, ty, tx)), "
+    "c as (select stack, tz, ty, tx, level, size, least(n, most) n, sum(greatest(n - most, 0)) over (partition by stack, tz, ty, tx) spare from s), "
+    "near as (select l.stack, l.z, l.y, l.x, l.level, mz.t tz, my.t ty, mx.t tx, sum(mz.w * my.w * mx.w) w from l join z_mix mz on mz.n = n_z and mz.p = z join y_mix my on my.n = n_y and my.p = y "
+    "join x_mix mx on mx.n = n_x and mx.p = x where l.level >= 0 group by all having sum(mz.w * my.w * mx.w) > 0), "
+    "m as (select near.stack, z, y, x, any_value(w) * (sum(case when c.level <= near.level then n else 0 end) + any_value(spare) * (near.level + 1) / 256) / any_value(size) share "
+    "from near join c using (stack, tz, ty, tx) group by near.stack, z, y, x, near.level, tz, ty, tx), "
+    "t as (select stack, z, y, x, sum(share) share from m group by all) "
+    "select stack, z, y, x, round(coalesce(share, 0) + 1e-9, 6) as v from v left join t using (stack, z, y, x)"
+)
 PAGES = (
     f"with {VD}, p as (select stack, z, string_agg(cast(greatest(v, 0) as varchar), ',' order by y, x) pixels from voxels group by all) "
     "select stack, cast(row_number() over (partition by stack order by z) - 1 as int) as page, pixels from p"
@@ -152,22 +185,22 @@ STITCHED = (
 
 QUERIES = {
     "sliding_max": (
-        lambda s, d: volume.sliding_max(deep(s, d), WIDTH),
+        lambda s, d: images.as_voxels(images.sliding_max(t.slices(s, d, DEEP), WIDTH), "v", "int"),
         f"with {VD}, w as (select stack, z, y, x, max(v) over w v, count(*) over w n "
         "from voxels window w as (partition by stack, y, x order by z rows between current row "
         f"and {WIDTH - 1} following)) select stack, z, y, x, v from w where n = {WIDTH}"),
     "window_fanout": (lambda s, d: fanned(s, d).select("stack", "z", "pseudo_slice", "y", "x", "lab"), f"with {VS}, {FAN} select stack, z, pseudo_slice, y, x, lab from fan"),
-    "organoid_merge": (lambda s, d: volume.merged_labels(fanned(s, d)), f"with {VS}, {FAN} select stack, z, y, x, max(lab) as lab from fan group by all"),
+    "organoid_merge": (lambda s, d: images.as_voxels(images.merged_windows(labels(s, d, SHALLOW).where(F.col("z") <= SHALLOW - WIDTH), WIDTH, SHALLOW), "lab", "int"), f"with {VS}, {FAN} select stack, z, y, x, max(lab) as lab from fan group by all"),
     "rescale_minmax": (
-        lambda s, d: volume.rescaled_to_range(deep(s, d)),
+        lambda s, d: images.as_voxels(volume.rescaled_to_range(t.slices(s, d, DEEP)), "v", "int"),
         f"with {VD} select stack, z, y, x, "
         f"{BYTE.format('coalesce((v - min(v) over w) / nullif(max(v) over w - min(v) over w, 0), 0) * 255')} as v "
         "from voxels window w as (partition by stack)"),
     "rescale_max": (
-        lambda s, d: volume.rescaled_to_max(deep(s, d).drop("lab")),
+        lambda s, d: images.as_voxels(volume.rescaled_to_max(t.slices(s, d, DEEP)), "v", "int"),
         f"with {VD} select stack, z, y, x, {BYTE.format('coalesce(v / nullif(max(v) over w, 0), 0) * 255')} as v "
         "from voxels window w as (partition by stack)"),
-    "rgb_composite": (lambda s, d: volume.rgb_composite(deep(s, d).withColumn("nuc", F.when(F.col("lab") > 0, F.col("v")).otherwise(0)), "v", "nuc"), RGB),
+    "rgb_composite": (lambda s, d: _rgb(volume.rgb_composite(with_nuclei(s, d), "pixels", "nuclei")), RGB),
     "video_scale": (
         lambda s, d: volume.video_scaled(deep(s, d)),
             f"with {VD} select stack, z, y, x, (({BYTE.format('v / 255')}) * 8) % 256 as image, "
@@ -177,7 +210,7 @@ QUERIES = {
         f"with {VD}, f as (select stack, z, y, x, (({BYTE.format('v / 255')}) * 8) % 256 image, (lab % 256 * 16) % 256 mask from voxels) "
         "select stack, z, string_agg(image, ',' order by y, x) as image, string_agg(mask, ',' order by y, x) as mask from f group by all"),
     "cytoplasm": (
-        lambda s, d: volume.cytoplasm(t.voxels(s, d, DEEP, 0.05), t.voxels(s, d, DEEP, 0.2)),
+        lambda s, d: images.as_voxels(volume.cytoplasm(labels(s, d, DEEP, 0.05), labels(s, d, DEEP, 0.2)), "lab", "int"),
         f"with {sql.voxels(DEEP, 0.05, 'cell')}, {sql.voxels(DEEP, 0.2, 'nuclei')} select stack, z, y, x, case "
         "when n.lab > 0 then 0 else c.lab end as lab from cell c join nuclei n using (stack, z, y, x)"),
     "channel_max": (
@@ -187,7 +220,7 @@ QUERIES = {
         f"with {VD}, m as (select *, max(v) over (partition by stack, z) most from voxels) select stack, z, "
         "round(100 * count(*) filter (v = most) / count(*), 6) as percent_maximal from m group by all"),
     "stitch_iou": (
-        lambda s, d: volume.stitched(deep(s, d), 0.4),
+        lambda s, d: images.close_overlaps(labels(s, d, DEEP), 0.4),
         f"with {VD}, a as (select stack, z, lab, count(*) n from voxels where lab > 0 group by all), "
         "c as (select p.stack, p.z, p.lab label, q.lab next_label, count(*) n from voxels p join voxels q on p.stack = q.stack and q.z = p.z + 1 and p.y = q.y and p.x = q.x where p.lab > 0 and q.lab > 0 group by all), "
         "i as (select c.stack, c.z, label, next_label, c.n / (a.n + b.n - c.n) iou from c join a on a.stack = c.stack and a.z = c.z and a.lab = label join a b on b.stack = c.stack and b.z = c.z + 1 and b.lab = next_label) "
@@ -225,24 +258,27 @@ QUERIES = {
             "select stack, object_number, cast(step as int) as step, unique_id, slice, label, round(centroid_0, "
             "6) as centroid_0, round(centroid_1, 6) as centroid_1 from nodes join objects using (stack, unique_id)"),
     "relabel_3d": (
-        lambda s, d: linking.relabelled(shallow(s, d), nodes(s, d)),
+        lambda s, d: images.as_voxels(linking.relabelled(labels(s, d, SHALLOW), nodes(s, d)), "object", "int"),
         L +
             ", last as (select stack, slice z, label lab, max(object_number) k from nodes join objects using (stack, "
             "unique_id) group by all) select stack, z, y, x, coalesce(k, 0) as object from voxels left "
             "join last using (stack, z, lab)"),
     "relabel_rescaled": (
-        lambda s, d: volume.rescaled_to_max(linking.relabelled(shallow(s, d), nodes(s, d)), "object"),
+        lambda s, d: images.as_voxels(volume.rescaled_to_max(linking.relabelled(labels(s, d, SHALLOW), nodes(s, d))), "object", "int"),
         L + ", last as (select stack, slice z, label lab, max(object_number) k from nodes join objects using (stack, unique_id) group by all), "
         "o as (select stack, z, y, x, coalesce(k, 0) as object from voxels left join last using (stack, z, lab)) "
         f"select stack, z, y, x, {BYTE.format('coalesce(object / nullif(max(object) over w, 0), 0) * 255')} as object from o window w as (partition by stack)"),
     "stitch_labels": (lambda s, d: _stitched(s, d, 0.8), STITCHED.format(0.8)),
     "stitch_labels_loosely": (lambda s, d: _stitched(s, d, 0.4), STITCHED.format(0.4)),
     "power_loglog_slope": (lambda s, d: images.power_slopes(t.slices(s, d, DEEP)).withColumn("slope", F.round("slope", 6)), SLOPES),
-    "clahe": (lambda s, d: images.equalised(t.slices(s, d, DEEP)), None),
+    "clahe": (lambda s, d: images.as_voxels(images.equalised(t.slices(s, d, DEEP))).withColumn("v", F.round(F.col("v") + 1e-9, 6)), EQUALISED),
     "gauss_max": (lambda s, d: images.as_voxels(images.blurred_maximum(t.slices(s, d, DEEP), WIDTH)).withColumn("v", F.round("v", 6)), BLURRED),
     "butterworth": (lambda s, d: images.as_voxels(images.low_pass(t.slices(s, d, DEEP))).withColumn("v", F.round("v", 6)), LOW_PASS),
     "segment": (lambda s, d: images.segmented(t.slices(s, d, DEEP), 4.0), None),
-    **{f"segment_{name}": ((lambda name: lambda s, d: images.compartment(t.slices(s, d, DEEP), name, scale=4.0 / images.MODELS[name]["diameter"]))(name), None) for name in images.MODELS},
+    **{
+        f"segment_{name}": ((lambda name: lambda s, d: images.compartment(
+            with_nuclei(s, d), name, scale=4.0 / images.MODELS[name]["diameter"], nuclei="nuclei" if name == "cell" else None))(name), None)
+        for name in images.MODELS},
     "decode_tiff": (lambda s, d: _pages(images.encoded(t.slices(s, d, DEEP))), PAGES),
     "tiff_sink": (lambda s, d: _written(s, images.encoded(t.slices(s, d, DEEP))), PAGES),
     "window_sink": (lambda s, d: _windows(s, fanned(s, d)), f"with {VS}, {FAN} select stack, z, pseudo_slice, y, x, lab from fan"),
@@ -254,8 +290,13 @@ QUERIES = {
 
 
 def _stitched(spark, d, least):
-    labels = t.slices(spark, d, DEEP, 0.05).drop("pixels").withColumnRenamed("labels", "pixels")
-    return images.as_voxels(images.stitched(labels, least), "object").withColumn("object", F.col("object").cast("int"))
+    return images.as_voxels(images.stitched(labels(spark, d, DEEP, 0.05), least), "object", "int")
+
+
+def _rgb(found):
+    """A row for each pixel of three channels that are arrays."""
+    long = found.select("stack", "z", "width", F.posexplode(F.arrays_zip("r", "g", "b")).alias("_at", "_c"))
+    return long.select("stack", "z", F.expr("cast(_at div width as int)").alias("y"), (F.col("_at") % F.col("width")).alias("x"), "_c.r", "_c.g", "_c.b")
 
 
 def _pages(found):

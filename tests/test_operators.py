@@ -2,9 +2,11 @@
 
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
+import whole_volumes
 from pyspark.sql import functions as F
 
 from slicewise.functions import imagemath
@@ -65,24 +67,94 @@ def test_path_edges(spark):
 
 
 def test_windows_count_and_fan_out(voxels):
+    slices = images.as_slices(voxels)
     for width in (1, 3, 5, 6):
-        windows = volume.sliding_max(voxels, width)
-        assert windows.count() == 3 * 16 * max(0, 5 - width + 1)
+        windows = images.sliding_max(slices, width)
+        assert windows.count() == 3 * max(0, 5 - width + 1)
         assert volume.fan_out(windows, width, 5).count() == width * windows.count()
 
 
+def stacks(slices):
+    """{stack: volume} of slice rows."""
+    found = {}
+    for r in slices.collect():
+        found.setdefault(r.stack, {})[r.z] = np.array(r.pixels).reshape(r.height, r.width)
+    return {s: np.stack([v[z] for z in sorted(v)]) for s, v in found.items()}
+
+
+@pytest.fixture(scope="module")
+def deep(spark):
+    """Two volumes of 23 and 9 slices, and a constant one; as slices and as arrays."""
+    rng = np.random.default_rng(5)
+    volumes = {0: rng.random((23, 20, 11)), 1: rng.integers(0, 50, (9, 7, 30)).astype(float), 2: np.full((3, 2, 2), 4.0)}
+    rows = [(s, z, *image.shape, image.ravel().tolist()) for s, v in volumes.items() for z, image in enumerate(v)]
+    return spark.createDataFrame(rows, images.SLICES).repartition(5), volumes
+
+
+def test_operators_across_slices_are_those_of_whole_volumes(deep, monkeypatch):
+    slices, volumes = deep
+    for width in (1, 2, 3, 7, 9, 12):
+        got = stacks(images.sliding_max(slices, width))
+        want = {s: np.stack([v[i : i + width].max(axis=0) for i in range(len(v) - width + 1)]) for s, v in volumes.items() if len(v) >= width}
+        assert got.keys() == want.keys() and all(np.array_equal(got[s], want[s]) for s in want)
+        merged = stacks(images.merged_windows(slices, width, 20))
+        want = {s: np.stack([v[max(0, z - width + 1) : z + 1].max(axis=0) for z in range(min(20, len(v) + width - 1))]) for s, v in volumes.items()}
+        assert all(np.array_equal(merged[s], want[s]) for s in want)
+    for limit in (0.02, 0.5):
+        got = stacks(images.equalised(slices, limit))
+        assert all(np.allclose(got[s], whole_volumes.equalised(v, limit)) for s, v in volumes.items())
+    for strip in (1 << 16, 40):
+        monkeypatch.setattr(images, "STRIP", strip)
+        got = stacks(images.low_pass(slices))
+        assert all(np.allclose(got[s], whole_volumes.butterworth(v)) for s, v in volumes.items())
+    got = stacks(images.blurred_maximum(slices, 3))
+    assert all(np.allclose(got[s], [imagemath.gaussian(v[i : i + 3]).max(axis=0) for i in range(len(v) - 2)]) for s, v in volumes.items())
+
+
+def test_stitching_by_pairs_is_that_of_whole_volumes(spark):
+    rng = np.random.default_rng(6)
+    volumes = {}
+    for s in range(4):
+        labels = rng.integers(0, 4, (6, 6))
+        volume = [labels]
+        for _ in range(20):
+            labels = np.where(rng.random((6, 6)) < 0.12, rng.integers(0, 6, (6, 6)), labels)
+            volume.append(labels * (rng.random() > 0.05))
+        volumes[s] = np.stack(volume)
+    rows = [(s, z, 6, 6, image.ravel().astype(float).tolist()) for s, v in volumes.items() for z, image in enumerate(v)]
+    slices = spark.createDataFrame(rows, images.SLICES)
+    for least in (0.3, 0.5, 0.8):
+        got = stacks(images.stitched(slices, least))
+        assert all(np.array_equal(got[s], whole_volumes.stitched(v, least)) for s, v in volumes.items())
+
+
+def test_plans_hold_no_voxel_rows_and_no_whole_volume(deep):
+    slices, _ = deep
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    for df in (images.sliding_max(slices, 3), volume.rescaled_to_range(slices), volume.rescaled_to_max(slices), volume.rgb_composite(slices.withColumn("b", F.col("pixels")), "pixels", "b"), volume.cytoplasm(slices, slices)):
+        assert "Window" not in plan(df) and "explode(pixels" not in plan(df)
+    for df in (images.equalised(slices), images.low_pass(slices), images.sliding_max(slices, 3)):
+        for line in plan(df).split("\n"):
+            if "FlatMapGroupsInArrow" in line:
+                assert re.search(r"\[stack#\d+, (_range|_strip|z|layer)#\d+\]", line), line
+
+
 def test_rescaling_constant_and_blank_volumes(spark):
     df = spark.createDataFrame([(0, 0, 0, 0, 5, 0), (0, 1, 0, 0, 5, 0), (1, 0, 0, 0, 0, 300), (2, 0, 0, 0, 10, 1), (2, 0, 0, 1, 20, 1)], VOXEL)
-    assert {(r.stack, r.v) for r in volume.rescaled_to_range(df).collect()} == {(0, 0), (1, 0), (2, 0), (2, 255)}
-    assert {(r.stack, r.v) for r in volume.rescaled_to_max(df).select("stack", "v").collect()} == {(0, 255), (1, 0), (2, 127), (2, 255)}
+    slices = images.as_slices(df)
+    assert {(r.stack, r.v) for r in images.as_voxels(volume.rescaled_to_range(slices)).collect()} == {(0, 0), (1, 0), (2, 0), (2, 255)}
+    assert {(r.stack, r.v) for r in images.as_voxels(volume.rescaled_to_max(slices)).collect()} == {(0, 255), (1, 0), (2, 127), (2, 255)}
+    blank = volume.rgb_composite(slices.withColumn("b", F.transform("pixels", lambda v: v * 0)), "pixels", "b").where("stack = 1").first()
+    assert (blank.r, blank.g, blank.b) == ([0], [0], [0])
     assert {(r.image, r.mask) for r in volume.video_scaled(df).where("stack = 1").collect()} == {(0, 300 % 256 * 16 % 256)}
 
 
 def test_cytoplasm_lies_in_the_cell_and_out_of_the_nuclei(voxels):
     nuclei = voxels.withColumn("lab", F.when(F.col("v") > 150, F.col("lab")).otherwise(0))
-    joined = volume.cytoplasm(voxels, nuclei).alias("c").join(voxels.alias("v"), volume.VOXEL).join(nuclei.alias("n"), volume.VOXEL)
+    made = images.as_voxels(volume.cytoplasm(images.as_slices(voxels, "lab"), images.as_slices(nuclei, "lab").where("z < 4")), "lab", "int")
+    joined = made.where("z < 4").alias("c").join(voxels.alias("v"), volume.VOXEL).join(nuclei.alias("n"), volume.VOXEL)
     rows = joined.select(F.col("c.lab").alias("c"), F.col("v.lab").alias("v"), F.col("n.lab").alias("n")).collect()
-    assert len(rows) == 240 and all(r.c in (0, r.v) and not (r.c and r.n) for r in rows)
+    assert made.count() == 240 and len(rows) == 192 and all(r.c in (0, r.v) and not (r.c and r.n) for r in rows)
 
 
 def brute_decouple(cells):
@@ -153,15 +225,88 @@ def test_kernels():
     assert np.isnan(imagemath.power_slope(np.ones((16, 16))))
     assert smooth.mean() == pytest.approx(image.mean(), rel=0.05)
     assert np.allclose(imagemath.gaussian(np.full((3, 4, 5), 2.0)), 2.0)
-    assert np.allclose(imagemath.butterworth(np.full((4, 8, 8), 3.0)), 3.0)
-    flat = imagemath.equalised(image, 0.5)
-    assert 0 <= flat.min() and flat.max() <= 1 + 1e-9 and not imagemath.equalised(np.ones((4, 4))).any()
+    assert np.allclose(whole_volumes.butterworth(np.full((4, 8, 8), 3.0)), 3.0)
+    flat = whole_volumes.equalised(image, 0.5)
+    assert 0 <= flat.min() and flat.max() <= 1 + 1e-9 and not whole_volumes.equalised(np.ones((4, 4))).any()
     mask = np.array([[1, 1, 0, 1], [0, 1, 0, 1], [1, 0, 0, 1]], bool)
     assert imagemath.components(mask).tolist() == [[1, 1, 0, 2], [0, 1, 0, 2], [3, 0, 0, 2]]
     spots = np.zeros((20, 20))
     spots[2:8, 2:8] = spots[12:18, 12:18] = 5
     spots[10, 0] = 5
-    assert imagemath.threshold_segment(spots, 10.0).max() == 2
+    assert imagemath.watershed_segment(spots, 10.0).max() == 2
+
+
+def plain_components(mask):
+    """Labels by flood fill from each pixel in order."""
+    out, n = np.zeros(mask.shape, int), 0
+    for start in zip(*np.nonzero(mask)):
+        if not out[start]:
+            n, todo = n + 1, [start]
+            while todo:
+                y, x = todo.pop()
+                if 0 <= y < mask.shape[0] and 0 <= x < mask.shape[1] and mask[y, x] and not out[y, x]:
+                    out[y, x] = n
+                    todo += [(y - 1, x), (y + 1, x), (y, x - 1), (y, x + 1)]
+    return out
+
+
+def plain_flood(level, markers):
+    """The watershed's rounds, pixel by pixel over the whole image."""
+    h, w = level.shape
+    out = np.where(level >= 0, markers, 0)
+    for now in range(level.max(initial=-1), -1, -1):
+        while True:
+            new = out.copy()
+            for y, x in itertools.product(range(h), range(w)):
+                if level[y, x] >= now and not out[y, x]:
+                    beside = [out[a, b] for a, b in ((y - 1, x), (y + 1, x), (y, x - 1), (y, x + 1)) if 0 <= a < h and 0 <= b < w and out[a, b]]
+                    new[y, x] = min(beside, default=0)
+            if (new == out).all():
+                break
+            out = new
+    return out
+
+
+def test_components_distances_and_flooding_are_the_plain_ones():
+    rng = np.random.default_rng(8)
+    for trial in range(60):
+        h, w = rng.integers(1, 14, 2)
+        mask = rng.random((h, w)) < rng.choice([0.3, 0.6, 0.9])
+        assert np.array_equal(imagemath.components(mask), plain_components(mask))
+        padded = np.pad(mask, 1)
+        back = np.argwhere(~padded)
+        want = [((back - p - 1) ** 2).sum(axis=1).min() for p in np.argwhere(mask)]
+        assert imagemath.squared_distances(mask)[mask].tolist() == want
+        level = np.where(mask, rng.integers(0, 4, (h, w)), -1)
+        markers = np.where(rng.random((h, w)) < 0.1, rng.integers(1, 5, (h, w)), 0)
+        assert np.array_equal(imagemath.flooded(level, markers), plain_flood(level, markers))
+
+
+def discs(shape, *found):
+    y, x = np.indices(shape)
+    return np.any([(y - cy) ** 2 + (x - cx) ** 2 <= r * r for cy, cx, r in found], axis=0) * 7.0
+
+
+def test_touching_objects_are_parted_by_their_diameter(spark):
+    pair = discs((60, 120), (30, 35, 21), (30, 74, 21))
+    found = imagemath.watershed_segment(pair, 40)
+    assert imagemath.components(pair > 0).max() == 1 and found.max() == 2
+    assert found[30, 20] == 1 and found[30, 90] == 2 and abs((found == 1).sum() - (found == 2).sum()) < 60 and ((found > 0) == (pair > 0)).all()
+    assert imagemath.watershed_segment(pair, 200).max() == 1  # one large object at that diameter
+    assert imagemath.watershed_segment(np.pad(pair, 8) + 0.0, 40).max() == 2 and not imagemath.watershed_segment(np.ones((5, 5)), 3).any()
+    # one cell by its shape, but with two nuclei; and a cell without any
+    cell = discs((60, 160), (30, 40, 24), (30, 56, 24), (30, 130, 20))
+    nuclei = discs((60, 160), (30, 30, 7), (30, 66, 7))
+    assert imagemath.watershed_segment(cell, 48).max() == 2
+    both = imagemath.watershed_segment(cell, 48, nuclei)
+    assert both.max() == 3 and both[30, 30] == 1 and both[30, 66] == 2 and both[30, 130] == 3 and ((both > 0) == (cell > 0)).all()
+    row = lambda *a: (0, 0, 60, 160, *(v.ravel().tolist() for v in a))
+    slices = spark.createDataFrame([row(cell, nuclei)], images.SLICES + ", blue array<double>")
+    got = images.segmented(slices, 48, second="blue").first()
+    assert np.array_equal(np.array(got.pixels).reshape(60, 160), both)
+    assert max(images.compartment(slices, "cell", scale=48 / 150, nuclei="blue").first().pixels) == 3
+    with pytest.raises(ValueError):
+        images.compartment(slices, "nuclei", nuclei="blue")
 
 
 def gif_frames(data):
@@ -211,10 +356,10 @@ def test_animations_hold_their_frames(spark, voxels):
 def test_volumes_are_equalised_as_a_whole():
     rng = np.random.default_rng(4)
     volume = rng.random((10, 16, 16))
-    flat = imagemath.equalised(volume, 0.5)
+    flat = whole_volumes.equalised(volume, 0.5)
     assert flat.shape == volume.shape and 0 <= flat.min() and flat.max() <= 1 + 1e-9
-    assert not np.allclose(flat[0], imagemath.equalised(volume[0], 0.5))
-    one = imagemath.equalised(volume, 1.0, tiles=1)  # one tile without clipping is plain equalisation
+    assert not np.allclose(flat[0], whole_volumes.equalised(volume[0], 0.5))
+    one = whole_volumes.equalised(volume, 1.0, tiles=1)  # one tile without clipping is plain equalisation
     level = np.minimum(((volume - volume.min()) / np.ptp(volume) * 256).astype(int), 255)
     share = np.cumsum(np.bincount(level.ravel(), minlength=256)) / volume.size
     assert np.allclose(one, share[level])
@@ -227,7 +372,7 @@ def test_labels_go_on_through_z():
     b[b == 1], b[b == 2] = 3, 1
     c = b.copy()
     c[:, 7:] = 4  # 12 of 16 pixels left: under 0.8
-    got = imagemath.stitched(np.stack([a, b, c, np.zeros_like(a), a]), 0.8)
+    got = whole_volumes.stitched(np.stack([a, b, c, np.zeros_like(a), a]), 0.8)
     assert np.array_equal(got[0], a) and np.array_equal(got[1], a)
     assert set(np.unique(got[2][:, :5])) == {1} and set(np.unique(got[2][:, 7:])) == {4} and set(np.unique(got[2][:, 6])) == {3}
     assert not got[3].any() and got[4].max() > got[2].max()
