@@ -377,14 +377,15 @@ def power_slopes(slices: DataFrame) -> DataFrame:
     return slices.select("stack", "z", "height", "width", "pixels").mapInArrow(work, "stack int, z int, slope double")
 
 
-def decoded(files: DataFrame) -> DataFrame:
-    """(path, page, height, width, pixels) of TIFF ``files`` (path, content), as from the binaryFile source."""
+def decoded(files: DataFrame, decode: Callable[[bytes], list[np.ndarray]] = tiff.decode) -> DataFrame:
+    """(path, page, height, width, pixels) of image ``files`` (path, content), as from the binaryFile source: TIFF, or what ``decode`` reads."""
 
     def work(batches):
         for b in batches:
-            rows = [(p, i, *page.shape, page.ravel().astype(float)) for p, c in zip(b["path"].to_pylist(), b["content"].to_pylist()) if c for i, page in enumerate(tiff.decode(c))]
-            kinds = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["path", "page", "height", "width", "pixels"])
+            for path, content in zip(b["path"].to_pylist(), b["content"]):
+                pages = decode(content.as_py()) if content.is_valid and content.as_py() else []
+                ints = [list(range(len(pages))), [p.shape[0] for p in pages], [p.shape[1] for p in pages]]
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(pages), pa.string()), *(pa.array(c, pa.int32()) for c in ints), _lists(pages)], names=["path", "page", "height", "width", "pixels"])
 
     return files.select("path", "content").mapInArrow(work, "path string, page int, height int, width int, pixels array<double>")
 

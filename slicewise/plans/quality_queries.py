@@ -8,6 +8,7 @@ from slicewise import schema
 from slicewise.operators import quality_control as qc
 from slicewise.operators import report
 from slicewise.plans import sql
+from slicewise.sources import files
 from slicewise.sources import tables as t
 
 BLURRY, SATURATED = schema.FLAGS[:5], schema.FLAGS[5:]
@@ -71,6 +72,10 @@ QUERIES = {
             f"cast(min({c}) as varchar) as least, cast(max({c}) as varchar) as most from zslice_qc" for c in schema.ZSLICE)),
     "distinct_organoids": (lambda s, d: t.zslice_qc(s, d).select(*schema.ORGANOID).distinct(), f"with {sql.ZSLICE_QC} select distinct plate, well, site from zslice_qc"),
     "qc_scan_prune": (lambda s, d: qc.select_prefixes(t.zslice_qc(s, d), "plate", "well", "site", "zslice", "slope"), f"with {sql.ZSLICE_QC} select {KEYS}, {', '.join(f'slope_{c}' for c in schema.CHANNELS)} from zslice_qc"),
+    "qc_csv_scan": (
+        lambda s, d: _ragged(s, t.zslice_qc(s, d)).withColumn("plate", F.coalesce("plate", F.col("source"))),
+        f"with {sql.ZSLICE_QC} select event_id, {KEYS}, " + ", ".join(f"case when plate = 'NF0018' and '{c}' = 'mito' then null else slope_{c} end as slope_{c}" for c in schema.CHANNELS) + ", plate as source from zslice_qc"),
+    "qc_self_overwrite": (lambda s, d: _overwritten(s, qc.blur_flags(t.zslice_qc(s, d)), qc.saturation_flags(t.zslice_qc(s, d))), f"with {sql.BASE} select * from qc"),
     "plate_union": (
         lambda s, d: _plate_union(t.zslice_qc(s, d)),
         f"with {sql.ZSLICE_QC} select event_id, plate, slope_dna, case "
@@ -205,3 +210,25 @@ def _plate_union(df):
     """Plates as separate tables, one without a channel's column, put together by name."""
     first = df.where("plate = 'NF0014'").select("event_id", "plate", "slope_dna")
     return first.unionByName(df.where("plate <> 'NF0014'").select("event_id", "plate", "slope_dna", "slope_mito"), allowMissingColumns=True)
+
+
+def _ragged(spark, df):
+    """Plates as CSV files of three kinds, read in one call: one has columns more, in another order, another lacks two."""
+    root, wide = files.scratch(spark), df.select("event_id", *schema.ZSLICE, *(f"{p}_{c}" for c in schema.CHANNELS for p in ("slope", "pctmax")))
+    kinds = {
+        "NF0014": wide.where("plate = 'NF0014'"),
+        "NF0016": wide.where("plate = 'NF0016'").select(*(wide.columns[::-1]), F.lit(7).alias("count_objects"), F.lit("a, b").alias("remark")),
+        "NF0018": wide.where("plate = 'NF0018'").drop("plate", "slope_mito"),
+    }
+    for plate, rows in kinds.items():
+        files.write_measurements(rows, f"{root}/{plate}")
+    wanted = ["event_id", "plate", "well", "site", "zslice", "slope"]
+    return files.read_csv_by_prefix(spark, f"{root}/*/*.csv", wanted, {"event_id": "long", **files.KINDS})
+
+
+def _overwritten(spark, blur, saturation):
+    """Blur flags kept as a table, read, joined with the saturation flags, and written over themselves."""
+    table = files.Versions(spark, files.scratch(spark))
+    first = table.overwrite(blur, 0)
+    table.overwrite(qc.merge(table.read(), saturation), first)
+    return table.read()

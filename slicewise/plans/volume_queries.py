@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from slicewise.operators import images, linking, masks, volume
 from slicewise.plans import sql
-from slicewise.sources import files
+from slicewise.sources import files, gif
 from slicewise.sources import tables as t
 
 #: Slices of a stack for projections and for linking, window width, and linking radius.
@@ -283,9 +283,9 @@ QUERIES = {
     "tiff_sink": (lambda s, d: _written(s, images.encoded(t.slices(s, d, DEEP))), PAGES),
     "window_sink": (lambda s, d: _windows(s, fanned(s, d)), f"with {VS}, {FAN} select stack, z, pseudo_slice, y, x, lab from fan"),
     "gif_files": (
-        lambda s, d: images.animated(t.slices(s, d, DEEP)).select("path", F.octet_length("content").alias("size")),
-        f"with {VD} select 'stack' || stack || '.gif' as path, cast(801 + 96 * count(distinct z) as int) as size "
-        "from voxels group by stack"),
+        lambda s, d: _films(s, images.animated(t.slices(s, d, DEEP))),
+        f"with {VD}, f as (select stack, z, string_agg(cast(((v % 256) + 256) % 256 as varchar), ',' order by y, x) pixels from voxels group by all) "
+        "select 'stack' || stack || '.gif' as path, cast(row_number() over (partition by stack order by z) - 1 as int) as page, 8 as height, 8 as width, pixels from f"),
 }
 
 
@@ -311,6 +311,15 @@ def _written(spark, found):
     return _pages(files.image_files(spark, folder))
 
 
+def _films(spark, found):
+    """The frames of animations that were written and read again."""
+    folder = files.scratch(spark)
+    files.write_files(found, folder)
+    back = images.decoded(spark.read.format("binaryFile").load(folder), gif.decode)
+    name = F.element_at(F.split("path", "/"), -1)
+    return back.select(name.alias("path"), "page", "height", "width", F.array_join(F.transform("pixels", lambda v: v.cast("int")), ",").alias("pixels"))
+
+
 def _windows(spark, rows):
     folder = files.scratch(spark)
     files.write_slices(rows, folder, "lab", ["stack", "z", "pseudo_slice"])

@@ -8,6 +8,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slicewise.sources.store import Store
+
 #: Rows of a table that is sent to every task; more are joined by a shuffle.
 FEW = 20_000
 
@@ -18,14 +20,19 @@ def is_local(spark: SparkSession) -> bool:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder name in the session's shared checkpoint folder; a local one only where Spark itself is local."""
+    """A new folder name in the session's shared checkpoint folder; a local one only where Spark itself is local.
+
+    What is written there goes when the driver ends.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared is None:
         if not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="slices"))
         shared = spark.sparkContext.getCheckpointDir()
-    return f"{shared}/{uuid4().hex}"
+    folder = f"{shared}/{uuid4().hex}"
+    Store(spark, folder).delete_at_end(folder)
+    return folder
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -15,16 +15,25 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Where an image belongs, by the arithmetic of an event's numbers.
+PLACE = (
+    "concat('NF00', cast(14 + 2 * (user_id % 3) as string)) plate",
+    "concat(substr('CDEFG', cast(floor(user_id / 3) as int) % 5 + 1, 1), cast(2 + cast(floor(user_id / 15) as int) % 10 as string)) well",
+    "cast(floor(user_id / 150) as int) site",
+    "concat('ZS', lpad(cast(event_id % 40 as string), 3, '0')) zslice",
+)
+
+
+def _placed(events: DataFrame) -> DataFrame:
+    return events.selectExpr("event_id", "event_type", "value", *PLACE)
+
+
 def zslice_qc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each measured z-slice image; keys repeat, as in reruns."""
     slopes = zip(("dna", "mito", "er", "agp", "brightfield"), (2, 3, 5, 4, 7))
     shares = zip(("dna", "mito", "er", "agp", "brightfield"), (3, 5, 2, 4, 11))
-    return read(spark, sf_dir, "events").selectExpr(
-        "event_id",
-        "concat('NF00', cast(14 + 2 * (user_id % 3) as string)) plate",
-        "concat(substr('CDEFG', cast(floor(user_id / 3) as int) % 5 + 1, 1), cast(2 + cast(floor(user_id / 15) as int) % 10 as string)) well",
-        "cast(floor(user_id / 150) as int) site",
-        "concat('ZS', lpad(cast(event_id % 40 as string), 3, '0')) zslice",
+    return _placed(read(spark, sf_dir, "events")).selectExpr(
+        "event_id", *schema.ZSLICE,
         *(f"-value / (1 + event_id % {k}) slope_{c}" for c, k in slopes),
         *(f"value / (1 + event_id % {k}) pctmax_{c}" for c, k in shares),
     )
@@ -33,9 +42,8 @@ def zslice_qc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def image_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(event_id, path): the image file of each z-slice, its identity in the path text."""
     text = "case event_type when 'click' then '405' when 'view' then '488' when 'purchase' then '555' when 'signup' then '640' else 'TRANS' end"
-    kinds = read(spark, sf_dir, "events").selectExpr("event_id", f"{text} channel_text")
-    path = "concat('/data/', plate, '_raw_images/', well, '-', cast(site as string), '/img_', channel_text, '_', zslice, '.tif') path"
-    return zslice_qc(spark, sf_dir).join(kinds, "event_id").selectExpr("event_id", path)
+    path = f"concat('/data/', plate, '_raw_images/', well, '-', cast(site as string), '/img_', {text}, '_', zslice, '.tif') path"
+    return _placed(read(spark, sf_dir, "events")).selectExpr("event_id", path)
 
 
 def voxels(spark: SparkSession, sf_dir: str, depth: int, threshold: float = 0.1) -> DataFrame:
