@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import heapq
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slicewise.operators import images
+from slicewise.sources.shared import stored
 
 COMPARTMENTS = ("nuclei", "cell")
 
@@ -32,22 +32,43 @@ def centroids(voxels: DataFrame, min_objects: int = 2, label: str = "lab") -> Da
 
 
 def edges(objects: DataFrame, radius: float = 10.0) -> DataFrame:
-    """(stack, src, dst, weight): objects of adjacent slices nearer than ``radius``."""
-    a = objects.select("stack", F.col("slice").alias("_slice"), F.col("unique_id").alias("src"), F.col("centroid_0").alias("_a0"), F.col("centroid_1").alias("_a1"))
-    b = objects.select("stack", (F.col("slice") - 1).alias("_slice"), F.col("unique_id").alias("dst"), F.col("centroid_0").alias("_b0"), F.col("centroid_1").alias("_b1"))
+    """(stack, slice, src, dst, weight): objects of adjacent slices nearer than ``radius``; ``slice`` is that of ``src``."""
+    a = objects.select("stack", "slice", F.col("unique_id").alias("src"), F.col("centroid_0").alias("_a0"), F.col("centroid_1").alias("_a1"))
+    b = objects.select("stack", (F.col("slice") - 1).alias("slice"), F.col("unique_id").alias("dst"), F.col("centroid_0").alias("_b0"), F.col("centroid_1").alias("_b1"))
     weight = F.sqrt((F.col("_a0") - F.col("_b0")) * (F.col("_a0") - F.col("_b0")) + (F.col("_a1") - F.col("_b1")) * (F.col("_a1") - F.col("_b1")))
-    return a.join(b, ["stack", "_slice"]).select("stack", "src", "dst", weight.alias("weight")).where(F.col("weight") < radius)
+    return a.join(b, ["stack", "slice"]).select("stack", "slice", "src", "dst", weight.alias("weight")).where(F.col("weight") < radius)
 
 
-def _walks(links: pd.DataFrame) -> pd.DataFrame:
-    """Fewest-hop path and least total weight from each node to each it reaches, in one stack."""
+def components(links: DataFrame) -> DataFrame:
+    """(stack, node, component): linked nodes share the least of their numbers.
+
+    Each round every node takes the least component beside it, then that node's own (pointers double), until
+    nothing changes; a round is two joins of rows of numbers.
+    """
+    ends = stored(links.select("stack", F.explode(F.array(F.struct(F.col("src").alias("node"), F.col("dst").alias("other")), F.struct(F.col("dst").alias("node"), F.col("src").alias("other")))).alias("_e")).select("stack", "_e.node", "_e.other"))
+    at = ends.groupBy("stack", "node").agg(F.least(F.col("node"), F.min("other")).alias("component"))
+    while True:
+        beside = ends.join(at.select("stack", F.col("node").alias("other"), "component"), ["stack", "other"]).groupBy("stack", "node").agg(F.min("component").alias("near"))
+        least = at.join(beside, ["stack", "node"]).select("stack", "node", "component", F.least("component", "near").alias("near"))
+        jump = at.select("stack", F.col("node").alias("near"), F.col("component").alias("beyond"))
+        on = stored(least.join(jump, ["stack", "near"]).select("stack", "node", F.col("beyond").alias("component"), (F.col("beyond") != F.col("component")).alias("moved")))
+        moved = on.where("moved").limit(1).count()
+        at = on.drop("moved")
+        if not moved:
+            return at
+
+
+def _walks(t: pa.Table) -> pa.Table:
+    """Fewest-hop path and least total weight from each node to each it reaches in its slice or a later one; one component or more."""
     beside: dict[int, list] = {}
-    for a, b, w in links[["src", "dst", "weight"]].itertuples(index=False):
+    level: dict[int, int] = {}
+    for z, a, b, w in zip(*(t[c].to_pylist() for c in ("slice", "src", "dst", "weight"))):
         beside.setdefault(a, []).append((b, w))
         beside.setdefault(b, []).append((a, w))
+        level[a], level[b] = z, z + 1
     for near in beside.values():
         near.sort()
-    out = []
+    out = [], [], [], []
     for start in sorted(beside):
         path, queue = {start: [start]}, [start]
         for node in queue:  # neighbours in order: of equally short paths the least by its nodes comes first
@@ -62,42 +83,55 @@ def _walks(links: pd.DataFrame) -> pd.DataFrame:
                 far[node] = d
                 for other, w in beside[node]:
                     heapq.heappush(heap, (d + w, other))
-        out += [(start, n, path[n], far[n]) for n in queue[1:]]
-    found = pd.DataFrame(out, columns=["node1", "node2", "path", "distance"])
-    found.insert(0, "stack", links["stack"].iloc[0])
-    return found
+        ends = [n for n in queue[1:] if level[n] >= level[start]]
+        for column, x in zip(out, ([start] * len(ends), ends, [path[n] for n in ends], [far[n] for n in ends])):
+            column += x
+    kinds = pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.float64()
+    columns = [pa.array([t["stack"][0].as_py()] * len(out[0]), pa.int32()), *(pa.array(c, k) for c, k in zip(out, kinds))]
+    return pa.Table.from_arrays(columns, names=["stack", "node1", "node2", "path", "distance"])
 
 
-def paths(objects: DataFrame, links: DataFrame) -> DataFrame:
+def paths(links: DataFrame, most_links: int = 20_000) -> DataFrame:
     """(stack, node1, node2, path, distance) for reachable pairs whose first node isn't in a later slice.
 
     ``path`` has the fewest hops, of equals the one whose node list is least; ``distance`` is the least
-    total weight, maybe along another path. The graph of a stack is one Spark group.
+    total weight, maybe along another path. A stack of up to ``most_links`` links is one Spark group; of a larger one
+    the connected components are found first, and each is a group. The result is kept in the shared folder.
     """
-    found = links.groupBy("stack").applyInPandas(_walks, "stack int, node1 long, node2 long, path array<long>, distance double")
-    at = objects.select("stack", F.col("unique_id").alias("node1"), F.col("slice").alias("_s1"))
-    to = objects.select("stack", F.col("unique_id").alias("node2"), F.col("slice").alias("_s2"))
-    return found.join(at, ["stack", "node1"]).join(to, ["stack", "node2"]).where("_s1 <= _s2").select("stack", "node1", "node2", "path", "distance")
+    links = stored(links)
+    large = stored(links.groupBy("stack").count().where(F.col("count") > most_links).select("stack"))
+    grouped = links.withColumn("component", F.lit(-1).cast("long"))
+    if large.limit(1).count():
+        own = links.join(large, "stack", "left_semi")
+        rest = links.join(large, "stack", "left_anti").withColumn("component", F.lit(-1).cast("long"))
+        grouped = rest.unionByName(own.join(components(own).withColumnRenamed("node", "src"), ["stack", "src"]))
+    return stored(grouped.groupBy("stack", "component").applyInArrow(_walks, "stack int, node1 long, node2 long, path array<long>, distance double"))
 
 
-def _maximal(found: pd.DataFrame) -> pd.DataFrame:
-    """A stack's paths that don't lie on a longer one; nodes are bits, and only paths that stay are compared with."""
-    bits = [sum(1 << n for n in set(p)) for p in found["path"]]
-    size = found["path"].map(len).to_numpy()
-    stay, seen = [], []  # longer ones first; a path on a longer path lies on one that stays
-    for i in np.argsort(-size, kind="stable").tolist():
-        if all(size[k] == size[i] or bits[i] & ~bits[k] for k in seen):
-            stay.append(i)
-            seen.append(i)
-    return found.iloc[sorted(stay)]
+def containers(found: DataFrame) -> DataFrame:
+    """Pairs (stack, path, longer) of a path and a longer one that holds its rarest node: those that ``longest`` compares.
+
+    The inverted index has a row for each node of each path. A path looks up its node with the fewest paths alone (of
+    equals the least), as any path that holds all its nodes holds that one.
+    """
+    index = found.select("stack", "path", F.explode("path").alias("node"))
+    often = index.groupBy("stack", "node").agg(F.count("*").alias("n"))
+    rarest = index.join(often, ["stack", "node"]).groupBy("stack", "path").agg(F.min(F.struct("n", "node"))["node"].alias("node"))
+    holders = index.select("stack", "node", F.col("path").alias("longer"))
+    return rarest.join(holders, ["stack", "node"]).where(F.size("longer") > F.size("path")).select("stack", "path", "longer")
 
 
 def longest(found: DataFrame) -> DataFrame:
     """Paths whose nodes don't all lie on a longer path of their stack; equally long ones stay.
 
-    The paths of a stack are one Spark group, as when they were found.
+    Paths that another one extends by a node at either end go by an equality join, which leaves few. A longer path
+    that was extended has a holder among those left, so these are compared with each other only, through
+    an inverted index (``containers``).
     """
-    return found.groupBy("stack").applyInPandas(_maximal, found.schema)
+    shorter = found.select("stack", F.explode(F.array(F.expr("slice(path, 1, size(path) - 1)"), F.expr("slice(path, 2, size(path) - 1)"))).alias("path")).distinct()
+    left = stored(found.join(shorter, ["stack", "path"], "left_anti"))
+    inside = containers(left).where(F.size(F.array_except("path", "longer")) == 0).select("stack", "path").distinct()
+    return left.join(inside, ["stack", "path"], "left_anti").select(*found.columns)
 
 
 def numbered(found: DataFrame, first_object: int = 0) -> DataFrame:

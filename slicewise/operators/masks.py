@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from slicewise.sources.shared import stored
+
 MASK = ["stack", "z", "label", "pseudo_slice"]
 
 
@@ -16,22 +18,36 @@ def mask_index(pixels: DataFrame) -> DataFrame:
     return sets
 
 
+def candidates(masks: DataFrame, above: float = 0.8) -> DataFrame:
+    """(stack, z, i, j) with i < j: the masks of a slice whose coordinate sets may overlap by more than ``above``.
+
+    Sets that do share one of their rarest coordinates, of n the first n - ceil(above * n) + 1 (a prefix filter), and
+    neither is smaller than ``above`` of the other, so masks meet on those alone. Rarity is a coordinate's count in the slice.
+    """
+    long = masks.select("stack", "z", "i", F.size("coords").alias("n"), F.explode("coords").alias("c"))
+    often = long.groupBy("stack", "z", "c").agg(F.count("*").alias("often"))
+    ranked = long.join(often, ["stack", "z", "c"]).groupBy("stack", "z", "i", "n").agg(F.sort_array(F.collect_list(F.struct("often", "c"))).alias("_by"))
+    prefix = ranked.select("stack", "z", "i", "n", F.explode(F.expr(f"slice(_by, 1, cast(n - ceil({above}D * n - 1e-9D) + 1 as int))")).alias("_e")).select("stack", "z", "i", "n", "_e.c")
+    other = prefix.select("stack", "z", "c", F.col("i").alias("j"), F.col("n").alias("_n"))
+    met = prefix.join(other, ["stack", "z", "c"]).where("i < j").where((F.col("_n") >= above * F.col("n")) & (F.col("n") >= above * F.col("_n")))
+    return met.select("stack", "z", "i", "j").distinct()
+
+
 def overlaps(masks: DataFrame, above: float = 0.8) -> DataFrame:
     """Ordered pairs (i, j) of masks of one slice whose coordinate sets overlap by more than ``above``.
 
     The compared set of a mask is its row numbers together with its column numbers. i and j are ranks by
-    label, then pseudo-slice; the winner is the larger mask, i in a tie.
+    label, then pseudo-slice; the winner is the larger mask, i in a tie. Only ``candidates`` are compared, each pair once.
     """
     rank = F.row_number().over(Window.partitionBy("stack", "z").orderBy("label", "pseudo_slice")).cast("long")
-    m = masks.select("*", rank.alias("i"), F.array_distinct(F.concat("ys", "xs")).alias("coords"))
-    a = m.select("stack", "z", "i", F.col("label").alias("label_i"), F.col("pseudo_slice").alias("slice_i"), F.col("area").alias("area_i"), F.col("coords").alias("coords_i"))
-    b = m.select("stack", "z", F.col("i").alias("j"), F.col("label").alias("label_j"), F.col("pseudo_slice").alias("slice_j"), F.col("area").alias("area_j"), F.col("coords").alias("coords_j"))
-    iou = F.size(F.array_intersect("coords_i", "coords_j")) / F.size(F.array_union("coords_i", "coords_j"))
-    pairs = a.join(b, ["stack", "z"]).where("i <> j").withColumn("iou", iou).where(F.col("iou") > above)
-    first = F.col("area_i") >= F.col("area_j")
-    return pairs.select(
-        "stack", "z", "i", "j", F.round("iou", 6).alias("iou"),
-        F.when(first, F.col("label_i")).otherwise(F.col("label_j")).alias("label"), F.when(first, F.col("slice_i")).otherwise(F.col("slice_j")).alias("pseudo_slice"))
+    m = stored(masks.select(*MASK, "area", rank.alias("i"), F.array_distinct(F.concat("ys", "xs")).alias("coords")))
+    side = lambda k: m.select("stack", "z", F.col("i").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in ("label", "pseudo_slice", "area", "coords")))
+    common = F.size(F.array_intersect("coords_i", "coords_j"))
+    pairs = candidates(m, above).join(side("i"), ["stack", "z", "i"]).join(side("j"), ["stack", "z", "j"])
+    pairs = pairs.withColumn("iou", common / (F.size("coords_i") + F.size("coords_j") - common)).where(F.col("iou") > above)
+    names = ("label", "pseudo_slice")
+    ways = [F.struct(F.col(a).alias("i"), F.col(b).alias("j"), *(F.when(F.col(f"area_{a}") >= F.col(f"area_{b}"), F.col(f"{c}_{a}")).otherwise(F.col(f"{c}_{b}")).alias(c) for c in names)) for a, b in (("i", "j"), ("j", "i"))]
+    return pairs.select("stack", "z", F.round("iou", 6).alias("iou"), F.explode(F.array(*ways)).alias("_p")).select("stack", "z", "_p.i", "_p.j", "iou", "_p.label", "_p.pseudo_slice")
 
 
 def pixel_overlaps(pixels: DataFrame, above: float = 0.8) -> DataFrame:

@@ -8,6 +8,7 @@ from slicewise.operators import images, linking, masks, volume
 from slicewise.plans import sql
 from slicewise.sources import files, gif
 from slicewise.sources import tables as t
+from slicewise.sources.shared import stored
 
 #: Slices of a stack for projections and for linking, window width, and linking radius.
 DEEP, SHALLOW, WIDTH, RADIUS = 20, 5, 3, 3.0
@@ -73,12 +74,12 @@ def shown(column):
 
 
 def objects(s, d):
-    return linking.centroids(shallow(s, d))
+    return stored(linking.centroids(shallow(s, d)))
 
 
 def found_paths(s, d):
     o = objects(s, d)
-    return o, linking.paths(o, linking.edges(o, RADIUS))
+    return o, linking.paths(linking.edges(o, RADIUS))
 
 
 def numbered(s, d):
@@ -243,7 +244,7 @@ QUERIES = {
         f"with {VS}, {OBJECTS} select stack, slice, label, round(centroid_0, 6) as centroid_0, round(centroid_1, "
         "6) as centroid_1, unique_id from objects"),
     "slice_edges": (
-        lambda s, d: linking.edges(objects(s, d), RADIUS).withColumn("weight", F.round("weight", 6)), f"with {VS}, {OBJECTS}, {EDGES} select stack, src, dst, round(weight, 6) as weight from edges"),
+        lambda s, d: linking.edges(objects(s, d), RADIUS).drop("slice").withColumn("weight", F.round("weight", 6)), f"with {VS}, {OBJECTS}, {EDGES} select stack, src, dst, round(weight, 6) as weight from edges"),
     "node_pairs": (
         lambda s, d: _node_pairs(objects(s, d)),
         f"with {VS}, {OBJECTS} select a.stack, a.unique_id as node1, b.unique_id as node2 from objects a "

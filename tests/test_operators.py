@@ -192,8 +192,9 @@ def test_linking_rules(spark):
     at = [(0, 0, 1, 0.0, 0.0), (0, 0, 2, 0.0, 9.0), (0, 1, 1, 1.0, 0.0), (0, 1, 2, 0.0, 19.0), (0, 3, 1, 0.0, 0.0), (0, 3, 2, 5.0, 5.0)]
     objects = spark.createDataFrame([(*r, i) for i, r in enumerate(at)], "stack int, slice int, label int, centroid_0 double, centroid_1 double, unique_id long")
     edges = {(r.src, r.dst) for r in linking.edges(objects, 10.0).collect()}
+    assert {r.slice for r in linking.edges(objects, 10.0).collect()} == {0}
     assert edges == {(0, 2), (1, 2)}  # the distance 10 itself, and gaps in z, don't link
-    found = linking.paths(objects, linking.edges(objects, 10.0))
+    found = linking.paths(linking.edges(objects, 10.0))
     assert {(r.node1, r.node2): list(r.path) for r in found.collect()} == {(0, 1): [0, 2, 1], (1, 0): [1, 2, 0], (0, 2): [0, 2], (1, 2): [1, 2]}
     assert {tuple(r.path) for r in linking.longest(found).collect()} == {(0, 2, 1), (1, 2, 0)}
     assert {r.object_number for r in linking.numbered(linking.longest(found), 1).collect()} == {1, 2}
@@ -203,11 +204,72 @@ def test_linking_rules(spark):
 
 def test_no_surviving_path_lies_in_a_longer_one(spark, voxels):
     objects = linking.centroids(voxels)
-    found = linking.longest(linking.paths(objects, linking.edges(objects, 1.2))).collect()
+    found = linking.longest(linking.paths(linking.edges(objects, 1.2))).collect()
     for a, b in itertools.permutations(found, 2):
         assert not (a.stack == b.stack and len(a.path) < len(b.path) and set(a.path) <= set(b.path))
 
 
+def random_links(spark, seed, stacks=6):
+    rng = random.Random(seed)
+    rows = set()
+    for s in range(stacks):
+        for z in range(rng.randint(1, 9)):
+            for _ in range(rng.randint(0, 5)):
+                rows.add((s, z, 10 * z + rng.randrange(4), 10 * (z + 1) + rng.randrange(4)))
+    return spark.createDataFrame([(*r, rng.random()) for r in sorted(rows)], "stack int, slice int, src long, dst long, weight double"), rows
+
+
+def test_paths_by_component_are_those_by_stack(spark):
+    links, rows = random_links(spark, 11)
+    found = {(r.stack, r.node): r.component for r in linking.components(links).collect()}
+    root = {n: n for s, _, a, b in rows for n in ((s, a), (s, b))}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for s, _, a, b in rows:
+        x, y = sorted((find((s, a)), find((s, b))))
+        root[y] = x
+    assert found == {n: find(n)[1] for n in root}
+    shown = lambda df: sorted((r.stack, r.node1, r.node2, tuple(r.path), round(r.distance, 9)) for r in df.collect())
+    whole = shown(linking.paths(links))
+    assert whole and shown(linking.paths(links, most_links=0)) == whole and shown(linking.paths(links, most_links=8)) == whole
+    assert linking.paths(links.limit(0), 0).count() == 0
+
+
+def test_longest_paths_compare_candidates_only(spark):
+    links, _ = random_links(spark, 12, stacks=25)
+    found = linking.paths(links)
+    rows = [(r.stack, tuple(r.path)) for r in found.collect()]
+    held = {(s, p) for s, p in rows for t, q in rows if s == t and len(q) > len(p) and set(p) <= set(q)}
+    assert sorted((r.stack, tuple(r.path)) for r in linking.longest(found).collect()) == sorted(x for x in rows if x not in held)
+    by_stack = {s: sum(t == s for t, _ in rows) for s, _ in rows}
+    assert 10 * linking.containers(linking.longest(found)).count() < sum(n * n for n in by_stack.values())
+
+
+def test_masks_meet_on_rare_coordinates_only(spark):
+    rng = random.Random(13)
+    rows = []
+    for z in range(3):
+        for label in range(40):
+            y, x, h, w = rng.randrange(60), rng.randrange(60), rng.randint(1, 6), rng.randint(1, 6)
+            for p in range(rng.randint(1, 3)):
+                rows += [(0, z, p, y + a, x + b, label) for a in range(h) for b in range(w) if rng.random() < 0.95]
+    df = spark.createDataFrame(sorted(set(rows)), "stack int, z int, pseudo_slice int, y int, x int, lab int")
+    index = masks.mask_index(df).collect()
+    want, pairs = set(), 0
+    for z in range(3):
+        own = sorted((r.label, r.pseudo_slice, {*r.ys, *r.xs}) for r in index if r.z == z)
+        for (i, a), (j, b) in itertools.permutations(enumerate(own, 1), 2):
+            pairs += i < j
+            if len(a[2] & b[2]) / len(a[2] | b[2]) > 0.8:
+                want.add((z, i, j))
+    ranked = masks.mask_index(df).selectExpr("*", "row_number() over (partition by stack, z order by label, pseudo_slice) i", "array_distinct(concat(ys, xs)) coords")
+    met = {(r.z, r.i, r.j) for r in masks.candidates(ranked).collect()}
+    assert {(r.z, r.i, r.j) for r in masks.overlaps(masks.mask_index(df)).collect()} == want
+    assert {w for w in want if w[1] < w[2]} <= met and 10 * len(met) < pairs
+
+
 def test_tiff_round_trip(spark, voxels):
     pages = [np.arange(12, dtype="u2").reshape(3, 4), np.full((2, 2), 7, "u1"), np.ones((1, 3), "f4")]
     assert all(np.array_equal(a, b) for a, b in zip(tiff.decode(tiff.encode(pages)), pages))
