@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+from functools import lru_cache
 
 import numpy as np
 
@@ -49,11 +50,13 @@ def cuts(length: int, tiles: int) -> np.ndarray:
     return np.arange(n + 1) * length // n
 
 
+@lru_cache(maxsize=64)
 def tile_of(length: int, tiles: int) -> np.ndarray:
     """The part that each position of an axis lies in."""
     return np.searchsorted(cuts(length, tiles), np.arange(length), side="right") - 1
 
 
+@lru_cache(maxsize=64)
 def tiles_of(shape: tuple[int, int], tiles: int) -> tuple[np.ndarray, int]:
     """The tile of each pixel of an image, and the number of tiles."""
     y, x = (tile_of(n, tiles) for n in shape)
@@ -68,13 +71,15 @@ def levels(image: np.ndarray, low: float, high: float, bins: int) -> np.ndarray:
     return np.minimum(((image - low) / (high - low) * bins).astype(int), bins - 1)
 
 
-def clipped_map(counts: np.ndarray, clip_limit: float) -> np.ndarray:
-    """Share of pixels up to each level, after counts over ``clip_limit`` of all are cut and the excess dealt evenly."""
-    size, bins = counts.sum(), len(counts)
-    most = max(clip_limit * size, size / bins)
-    return np.cumsum(np.minimum(counts, most) + np.maximum(counts - most, 0).sum() / bins) / size
+def clipped_maps(counts: np.ndarray, clip_limit: float) -> np.ndarray:
+    """For each row of counts: the share of pixels up to each level, after counts over ``clip_limit`` of all are cut and
+    the excess is dealt evenly."""
+    size, bins = counts.sum(axis=1, keepdims=True), counts.shape[1]
+    most = np.maximum(clip_limit * size, size / bins)
+    return np.cumsum(np.minimum(counts, most) + np.maximum(counts - most, 0).sum(axis=1, keepdims=True) / bins, axis=1) / size
 
 
+@lru_cache(maxsize=64)
 def blend(length: int, tiles: int) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
     """The two parts of an axis whose middles are beside each position, and their shares."""
     edges = cuts(length, tiles)
@@ -85,13 +90,18 @@ def blend(length: int, tiles: int) -> tuple[tuple[np.ndarray, np.ndarray], tuple
     return (at, 1 - share), (after, share)
 
 
+@lru_cache(maxsize=64)
+def corners(shape: tuple[int, int], tiles: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The four tiles of a layer beside each pixel of a slice, and their shares."""
+    wide = min(tiles, shape[1])
+    pairs = itertools.product(*(blend(n, tiles) for n in shape))
+    return [(y[:, None] * wide + x[None, :], of_y[:, None] * of_x[None, :]) for (y, of_y), (x, of_x) in pairs]
+
+
 def mapped(level: np.ndarray, maps: list[np.ndarray], share: float, tiles: int) -> np.ndarray:
     """A slice's levels by the maps (tiles, levels) of the two layers beside it, the second by ``share``, blended in its plane."""
-    out, wide = np.zeros(level.shape), min(tiles, level.shape[1])
-    for layer, of_z in zip(maps, (1 - share, share)):
-        for (y, of_y), (x, of_x) in itertools.product(*(blend(n, tiles) for n in level.shape)):
-            out += of_z * of_y[:, None] * of_x[None, :] * layer[y[:, None] * wide + x[None, :], level]
-    return out
+    near = corners(level.shape, tiles)
+    return sum(of_z * of_yx * layer[tile, level] for layer, of_z in zip(maps, (1 - share, share)) for tile, of_yx in near)
 
 
 def components(mask: np.ndarray) -> np.ndarray:

@@ -46,7 +46,7 @@ def as_voxels(slices: DataFrame, value: str = "v", kind: str = "double", pixels:
     return long.select("stack", "z", F.expr("cast(_at div width as int)").alias("y"), (F.col("_at") % F.col("width")).alias("x"), F.col(value).cast(kind).alias(value))
 
 
-def _arrays(t: pa.Table | pa.RecordBatch, column: str = "pixels") -> list[np.ndarray]:
+def arrays(t: pa.Table | pa.RecordBatch, column: str = "pixels") -> list[np.ndarray]:
     """The images of a list column, as views of its flat values: no Python object for each pixel."""
     lists = t[column].combine_chunks() if isinstance(t, pa.Table) else t[column]
     flat, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
@@ -72,7 +72,7 @@ def per_slice(slices: DataFrame, kernel: Callable[..., np.ndarray], *more: str)
 
     def work(batches):
         for b in batches:
-            made = [kernel(*images) for images in zip(*(_arrays(b, c) for c in ("pixels", *more)))]
+            made = [kernel(*images) for images in zip(*(arrays(b, c) for c in ("pixels", *more)))]
             yield pa.RecordBatch.from_arrays([*(b[c] for c in SHAPE), _lists(made)], schema=SLICE_TYPE)
 
     return slices.select(*SHAPE, "pixels", *more).mapInArrow(work, SLICES)
@@ -87,7 +87,7 @@ def per_range(slices: DataFrame, before: int, after: int, kernel: Callable[[int,
     size = max(8, before + after)
 
     def work(t):
-        images = dict(zip(t["z"].to_pylist(), _arrays(t)))
+        images = dict(zip(t["z"].to_pylist(), arrays(t)))
         first = t["_range"][0].as_py() * size
         return _rows(t["stack"][0].as_py(), list(kernel(first, first + size - 1, images)))
 
@@ -147,9 +147,9 @@ def equalised(slices: DataFrame, clip_limit: float = 0.05) -> DataFrame:
 
     Each axis is cut into up to TILES parts and the stack's range into BINS levels. A tile's histogram is clipped at
     ``clip_limit`` of its pixels and the excess dealt evenly; a pixel blends the maps of the nearest two tiles
-    along each axis. Histograms are an aggregation over (stack, tile, level); their clipped maps are a small
-    table, a layer of tiles for each part of z; a slice meets the two layers beside it. Its pixels move once. Slices of a
-    stack follow each other in z.
+    along each axis. Histograms are an aggregation over (stack, tile, level), a small table with a row for the
+    layer of tiles of each part of z; a slice meets the two layers beside it and makes their clipped maps. Its pixels move
+    once. Slices of a stack follow each other in z.
     """
     ranges = slices.groupBy("stack").agg(
         F.min(F.array_min("pixels")).alias("_low"), F.max(F.array_max("pixels")).alias("_high"), F.min("z").alias("_first"), (F.max("z") - F.min("z") + 1).alias("_depth"))
@@ -157,32 +157,18 @@ def equalised(slices: DataFrame, clip_limit: float = 0.05) -> DataFrame:
 
     def count(batches):
         for b in batches:
-            low, high, first, depth = (b[c].to_numpy() for c in ("_low", "_high", "_first", "_depth"))
-            out = [np.zeros(0, np.int64)] * 4
-            for i, image in enumerate(_arrays(b)):
-                of_z, (tile, tiles) = imagemath.tile_of(int(depth[i]), TILES), imagemath.tiles_of(image.shape, TILES)
-                level = imagemath.levels(image, low[i], high[i], BINS)
-                n = np.bincount((tile * BINS + level).ravel(), minlength=tiles * BINS)
-                cell = np.flatnonzero(n)
-                here = np.full(len(cell), b["stack"][i].as_py()), np.full(len(cell), of_z[b["z"][i].as_py() - first[i]])
-                out = [np.concatenate([c, x]) for c, x in zip(out, (*here, cell, n[cell]))]
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(k)) for c, k in zip(out, ("i4", "i4", "i8", "i8"))], names=["stack", "layer", "cell", "n"])
+            low, high, first, depth, stack, z = (b[c].to_numpy() for c in ("_low", "_high", "_first", "_depth", "stack", "z"))
+            layers, found = [], []
+            for i, image in enumerate(arrays(b)):
+                layers.append(imagemath.tile_of(int(depth[i]), TILES)[z[i] - first[i]])
+                tile, _ = imagemath.tiles_of(image.shape, TILES)
+                found.append(np.unique(tile * BINS + imagemath.levels(image, low[i], high[i], BINS), return_counts=True))
+            sizes = [len(cell) for cell, _ in found]
+            cell, n = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (zip(*found) if found else ([], [])))
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(stack, sizes)), pa.array(np.repeat(np.array(layers, np.int32), sizes)), pa.array(cell), pa.array(n)], names=["stack", "layer", "cell", "n"])
 
     counts = known.mapInArrow(count, "stack int, layer int, cell long, n long").groupBy("stack", "layer", "cell").agg(F.sum("n").alias("n"))
-    tile = F.floor(F.col("cell") / BINS).alias("tile")
-    tiles = counts.groupBy("stack", "layer", tile).agg(F.collect_list(F.struct((F.col("cell") % BINS).cast("int").alias("level"), "n")).alias("levels"))
-
-    def clip(batches):
-        for b in batches:
-            maps = []
-            for levels in b["levels"].to_pylist():
-                n = np.zeros(BINS)
-                n[[e["level"] for e in levels]] = [e["n"] for e in levels]
-                maps.append(imagemath.clipped_map(n, clip_limit))
-            yield pa.RecordBatch.from_arrays([b["stack"], b["layer"], b["tile"], _lists(maps)], names=["stack", "layer", "tile", "map"])
-
-    maps = tiles.mapInArrow(clip, "stack int, layer int, tile long, map array<double>")
-    layers = maps.groupBy("stack", "layer").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("tile", "map"))), lambda x: x["map"])).alias("maps"))
+    layers = counts.groupBy("stack", "layer").agg(F.collect_list(F.struct("cell", "n")).alias("layer_counts"))
 
     def beside(batches):
         """Which layers a slice blends, and the share of the second: rows (stack, z, layer, second, share)."""
@@ -197,17 +183,22 @@ def equalised(slices: DataFrame, clip_limit: float = 0.05) -> DataFrame:
 
     places = ranges.select("stack", "_first", "_depth").mapInArrow(beside, "stack int, z int, layer int, second int, share double")
     pairs = places.join(layers, ["stack", "layer"]).groupBy("stack", "z").agg(
-        *(F.max(F.when(F.col("second") == k, F.col("maps"))).alias(f"_maps{k}") for k in (0, 1)), F.max("share").alias("_share"))
+        *(F.max(F.when(F.col("second") == k, F.col("layer_counts"))).alias(f"_c{k}") for k in (0, 1)), F.max("share").alias("_share"))
+    pairs = pairs.select("stack", "z", "_share", *(F.col(f"_c{k}.{c}").alias(f"_{c}{k}") for k in (0, 1) for c in ("cell", "n")))
 
     def blend(batches):
         for b in batches:
             made, shapes = [], zip(b["height"].to_pylist(), b["width"].to_pylist())
             low, high, share = (b[c].to_numpy() for c in ("_low", "_high", "_share"))
-            for i, (image, shape) in enumerate(zip(_arrays(b), shapes)):
+            for i, (image, shape) in enumerate(zip(arrays(b), shapes)):
                 if low[i] == high[i]:
                     made.append(np.zeros(shape))
                     continue
-                maps = [b[f"_maps{k}"][i].values.to_numpy().reshape(-1, BINS) for k in (0, 1)]
+                maps = []
+                for k in (0, 1):
+                    dense = np.zeros(imagemath.tiles_of(shape, TILES)[1] * BINS)
+                    dense[b[f"_cell{k}"][i].values.to_numpy()] = b[f"_n{k}"][i].values.to_numpy()
+                    maps.append(imagemath.clipped_maps(dense.reshape(-1, BINS), clip_limit))
                 made.append(imagemath.mapped(imagemath.levels(image, low[i], high[i], BINS), maps, share[i], TILES))
             yield pa.RecordBatch.from_arrays([*(b[c] for c in SHAPE), _lists(made)], schema=SLICE_TYPE)
 
@@ -230,7 +221,7 @@ def low_pass(slices: DataFrame, cutoff: float = 0.1, order: int = 5) -> DataFram
     def plane(batches):
         for b in batches:
             rows = []
-            for z, stack, image in zip(b["z"].to_pylist(), b["stack"].to_pylist(), _arrays(b)):
+            for z, stack, image in zip(b["z"].to_pylist(), b["stack"].to_pylist(), arrays(b)):
                 turned, step = np.fft.rfft2(image), cut(image.shape)
                 rows += [(stack, z, *image.shape, k // step, turned[k : k + step].tobytes()) for k in range(0, len(turned), step)]
             columns = list(zip(*rows)) or [[]] * 6
@@ -274,7 +265,7 @@ def overlaps(slices: DataFrame) -> DataFrame:
     def work(batches):
         for b in batches:
             out = [np.zeros(0, np.int64)] * 7
-            for stack, z, now, old in zip(b["stack"].to_pylist(), b["z"].to_pylist(), _arrays(b), _arrays(b, "_before")):
+            for stack, z, now, old in zip(b["stack"].to_pylist(), b["z"].to_pylist(), arrays(b), arrays(b, "_before")):
                 now, old = now.astype(np.int64), old.astype(np.int64)
                 both = (now > 0) & (old > 0)
                 pairs, common = np.unique(np.stack([now[both], old[both]]), axis=1, return_counts=True)
@@ -309,7 +300,7 @@ def renamed(slices: DataFrame, names: DataFrame) -> DataFrame:
     def work(batches):
         for b in batches:
             made = []
-            for i, image in enumerate(_arrays(b)):
+            for i, image in enumerate(arrays(b)):
                 if not b["_from"][i].is_valid:
                     made.append(np.zeros(image.shape))
                     continue
@@ -371,7 +362,7 @@ def power_slopes(slices: DataFrame) -> DataFrame:
 
     def work(batches):
         for b in batches:
-            slopes = np.array([imagemath.power_slope(image) for image in _arrays(b)], float)
+            slopes = np.array([imagemath.power_slope(image) for image in arrays(b)], float)
             yield pa.RecordBatch.from_arrays([b["stack"], b["z"], pa.array(slopes, pa.float64(), mask=np.isnan(slopes))], names=["stack", "z", "slope"])
 
     return slices.select("stack", "z", "height", "width", "pixels").mapInArrow(work, "stack int, z int, slope double")
@@ -395,7 +386,7 @@ def _files(slices: DataFrame, name: Callable[[int], str], encode: Callable[[list
 
     def work(t):
         t = t.sort_by("z")
-        return pa.table({"path": [name(t["stack"][0].as_py())], "content": pa.array([encode(_arrays(t))], pa.binary())})
+        return pa.table({"path": [name(t["stack"][0].as_py())], "content": pa.array([encode(arrays(t))], pa.binary())})
 
     return slices.select("stack", "z", "height", "width", "pixels").groupBy("stack").applyInArrow(work, "path string, content binary")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,14 +22,28 @@ def compartment(name: str) -> str:
     return name
 
 
-def centroids(voxels: DataFrame, min_objects: int = 2, label: str = "lab") -> DataFrame:
-    """(stack, slice, label, centroid_0, centroid_1, unique_id) of objects in slices with ``min_objects`` or more.
+def centroids(slices: DataFrame, min_objects: int = 2) -> DataFrame:
+    """(stack, slice, label, centroid_0, centroid_1, unique_id) of objects in label slices with ``min_objects`` or more.
 
-    unique_id counts from 0 within a stack, by slice and label.
+    A slice's objects are found where it is read; only their rows are shuffled, for unique_id, which counts from 0
+    within a stack, by slice and label.
     """
-    objects = voxels.where(F.col(label) > 0).groupBy("stack", F.col("z").alias("slice"), F.col(label).alias("label")).agg(F.avg("y").alias("centroid_0"), F.avg("x").alias("centroid_1"))
-    full = objects.withColumn("_n", F.count("*").over(Window.partitionBy("stack", "slice"))).where(F.col("_n") >= min_objects).drop("_n")
-    return full.withColumn("unique_id", (F.row_number().over(Window.partitionBy("stack").orderBy("slice", "label")) - 1).cast("long"))
+
+    def work(batches):
+        for b in batches:
+            out = [[], [], [], [], []]
+            for stack, z, image in zip(b["stack"].to_pylist(), b["z"].to_pylist(), images.arrays(b)):
+                y, x = np.nonzero(image > 0)
+                labels, at, n = np.unique(image[y, x], return_inverse=True, return_counts=True)
+                if len(labels) >= min_objects:
+                    middle = (np.bincount(at, v) / n for v in (y, x))
+                    for column, v in zip(out, ([stack] * len(labels), [z] * len(labels), labels.astype(int).tolist(), *middle)):
+                        column.extend(v)
+            kinds = pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64()
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["stack", "slice", "label", "centroid_0", "centroid_1"])
+
+    objects = slices.select(*images.SHAPE, "pixels").mapInArrow(work, "stack int, slice int, label int, centroid_0 double, centroid_1 double")
+    return objects.withColumn("unique_id", (F.row_number().over(Window.partitionBy("stack").orderBy("slice", "label")) - 1).cast("long"))
 
 
 def edges(objects: DataFrame, radius: float = 10.0) -> DataFrame:
@@ -99,7 +114,7 @@ def paths(links: DataFrame, most_links: int = 20_000) -> DataFrame:
     the connected components are found first, and each is a group. The result is kept in the shared folder.
     """
     links = stored(links)
-    large = stored(links.groupBy("stack").count().where(F.col("count") > most_links).select("stack"))
+    large = links.groupBy("stack").count().where(F.col("count") > most_links).select("stack")
     grouped = links.withColumn("component", F.lit(-1).cast("long"))
     if large.limit(1).count():
         own = links.join(large, "stack", "left_semi")
@@ -128,9 +143,9 @@ def longest(found: DataFrame) -> DataFrame:
     that was extended has a holder among those left, so these are compared with each other only, through
     an inverted index (``containers``).
     """
-    shorter = found.select("stack", F.explode(F.array(F.expr("slice(path, 1, size(path) - 1)"), F.expr("slice(path, 2, size(path) - 1)"))).alias("path")).distinct()
+    shorter = found.select("stack", F.explode(F.array(F.expr("slice(path, 1, size(path) - 1)"), F.expr("slice(path, 2, size(path) - 1)"))).alias("path"))
     left = stored(found.join(shorter, ["stack", "path"], "left_anti"))
-    inside = containers(left).where(F.size(F.array_except("path", "longer")) == 0).select("stack", "path").distinct()
+    inside = containers(left).where(F.size(F.array_except("path", "longer")) == 0).select("stack", "path")
     return left.join(inside, ["stack", "path"], "left_anti").select(*found.columns)
 
 

@@ -21,13 +21,12 @@ def mask_index(pixels: DataFrame) -> DataFrame:
 def candidates(masks: DataFrame, above: float = 0.8) -> DataFrame:
     """(stack, z, i, j) with i < j: the masks of a slice whose coordinate sets may overlap by more than ``above``.
 
-    Sets that do share one of their rarest coordinates, of n the first n - ceil(above * n) + 1 (a prefix filter), and
-    neither is smaller than ``above`` of the other, so masks meet on those alone. Rarity is a coordinate's count in the slice.
+    Sets that do share one of their least coordinates, of n the first n - ceil(above * n) + 1 (a prefix filter in the order
+    of numbers), and neither is smaller than ``above`` of the other, so masks meet on those alone.
     """
-    long = masks.select("stack", "z", "i", F.size("coords").alias("n"), F.explode("coords").alias("c"))
-    often = long.groupBy("stack", "z", "c").agg(F.count("*").alias("often"))
-    ranked = long.join(often, ["stack", "z", "c"]).groupBy("stack", "z", "i", "n").agg(F.sort_array(F.collect_list(F.struct("often", "c"))).alias("_by"))
-    prefix = ranked.select("stack", "z", "i", "n", F.explode(F.expr(f"slice(_by, 1, cast(n - ceil({above}D * n - 1e-9D) + 1 as int))")).alias("_e")).select("stack", "z", "i", "n", "_e.c")
+    n = F.size("coords")
+    least = F.slice(F.array_sort("coords"), F.lit(1), (n - F.ceil(above * n - 1e-9) + 1).cast("int"))
+    prefix = masks.select("stack", "z", "i", n.alias("n"), F.explode(least).alias("c"))
     other = prefix.select("stack", "z", "c", F.col("i").alias("j"), F.col("n").alias("_n"))
     met = prefix.join(other, ["stack", "z", "c"]).where("i < j").where((F.col("_n") >= above * F.col("n")) & (F.col("n") >= above * F.col("_n")))
     return met.select("stack", "z", "i", "j").distinct()

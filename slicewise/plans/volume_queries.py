@@ -74,7 +74,7 @@ def shown(column):
 
 
 def objects(s, d):
-    return stored(linking.centroids(shallow(s, d)))
+    return stored(linking.centroids(labels(s, d, SHALLOW)))
 
 
 def found_paths(s, d):

@@ -203,7 +203,7 @@ def test_linking_rules(spark):
 
 
 def test_no_surviving_path_lies_in_a_longer_one(spark, voxels):
-    objects = linking.centroids(voxels)
+    objects = linking.centroids(images.as_slices(voxels, "lab"))
     found = linking.longest(linking.paths(linking.edges(objects, 1.2))).collect()
     for a, b in itertools.permutations(found, 2):
         assert not (a.stack == b.stack and len(a.path) < len(b.path) and set(a.path) <= set(b.path))
@@ -247,7 +247,7 @@ def test_longest_paths_compare_candidates_only(spark):
     assert 10 * linking.containers(linking.longest(found)).count() < sum(n * n for n in by_stack.values())
 
 
-def test_masks_meet_on_rare_coordinates_only(spark):
+def test_masks_meet_on_few_coordinates_only(spark):
     rng = random.Random(13)
     rows = []
     for z in range(3):
