@@ -145,7 +145,7 @@ def otsu(image: np.ndarray) -> np.ndarray:
         return np.zeros(image.shape, bool)
     left = np.cumsum(flat)[:-1]
     k = np.arange(1, n)
-    between = np.where(flat[1:] > flat[:-1], k * (n - k) * (left / k - (total - left) / (n - k)) ** 2, -1)
+    between = np.where(flat[1:] > flat[:-1], (left * n - total * k) ** 2 / (k * (n - k)), -1)  # whole numbers tie exactly
     return image > flat[int(np.argmax(between))]
 
 

@@ -61,7 +61,7 @@ def _lists(images: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-def _rows(stack: int, made: list[tuple[int, np.ndarray]]) -> pa.Table:
+def rows_of(stack: int, made: list[tuple[int, np.ndarray]]) -> pa.Table:
     """A table of slices (z, image) of one stack."""
     ints = [[stack] * len(made), [z for z, _ in made], *([image.shape[k] for _, image in made] for k in (0, 1))]
     return pa.Table.from_arrays([*(pa.array(c, pa.int32()) for c in ints), _lists([image for _, image in made])], schema=SLICE_TYPE)
@@ -89,7 +89,7 @@ def per_range(slices: DataFrame, before: int, after: int, kernel: Callable[[int,
     def work(t):
         images = dict(zip(t["z"].to_pylist(), arrays(t)))
         first = t["_range"][0].as_py() * size
-        return _rows(t["stack"][0].as_py(), list(kernel(first, first + size - 1, images)))
+        return rows_of(t["stack"][0].as_py(), list(kernel(first, first + size - 1, images)))
 
     ranges = F.sequence(F.floor((F.col("z") - after) / size), F.floor((F.col("z") + before) / size))
     return slices.select(*SHAPE, "pixels", F.explode(ranges.cast("array<int>")).alias("_range")).groupBy("stack", "_range").applyInArrow(work, SLICES)
@@ -241,7 +241,7 @@ def low_pass(slices: DataFrame, cutoff: float = 0.1, order: int = 5) -> DataFram
         t = t.combine_chunks().sort_by("_strip")
         shape = t["height"][0].as_py(), t["width"][0].as_py()
         turned = np.frombuffer(b"".join(t["_part"].to_pylist()), complex).reshape(shape[0], -1)
-        return _rows(t["stack"][0].as_py(), [(t["z"][0].as_py(), np.fft.irfft2(turned, shape))])
+        return rows_of(t["stack"][0].as_py(), [(t["z"][0].as_py(), np.fft.irfft2(turned, shape))])
 
     strips = slices.select(*SHAPE, "pixels").mapInArrow(plane, complex_strip)
     return strips.groupBy("stack", "_strip").applyInArrow(along, complex_strip).groupBy("stack", "z").applyInArrow(back, SLICES)

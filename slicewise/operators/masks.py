@@ -1,21 +1,48 @@
-"""Masks of overlapping windows: index sets, overlap, and the choice of one label for each pixel."""
+"""Masks of overlapping windows: index sets, overlap, and the choice of one label for each pixel.
+
+Rows are label slices of windows: (stack, z, pseudo_slice, height, width, pixels), as ``volume.fan_out`` makes them.
+"""
 
 from __future__ import annotations
 
+import itertools
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from slicewise.operators import images
 from slicewise.sources.shared import stored
 
 MASK = ["stack", "z", "label", "pseudo_slice"]
+WINDOW = ["stack", "z", "pseudo_slice", "height", "width"]
+#: A mask's number in its slice, from 1.
+RANK = "cast(row_number() over (partition by stack, z order by label, pseudo_slice) as long) i"
 
 
-def mask_index(pixels: DataFrame) -> DataFrame:
+def mask_index(rows: DataFrame) -> DataFrame:
     """A row for each mask (label and pseudo-slice at a z): its distinct rows and columns, and their area,
-    which is twice its pixels. Label 0 is a mask like others."""
-    sets = pixels.groupBy("stack", "z", F.col("lab").alias("label"), "pseudo_slice").agg(
-        F.sort_array(F.collect_set("y")).alias("ys"), F.sort_array(F.collect_set("x")).alias("xs"), (2 * F.count("*")).alias("area"))
-    return sets
+    which is twice its pixels. Label 0 is a mask like others.
+
+    ``rows`` are label slices with a pseudo_slice; masks are found where a slice is read, without a shuffle.
+    """
+
+    def work(batches):
+        for b in batches:
+            out = [[] for _ in names]
+            for stack, z, p, image in zip(*(b[c].to_pylist() for c in ("stack", "z", "pseudo_slice")), images.arrays(b)):
+                flat = image.ravel().astype(np.int64)
+                order = np.argsort(flat, kind="stable")
+                labels, first = np.unique(flat[order], return_index=True)
+                for label, at in zip(labels.tolist(), np.split(order, first[1:]) if len(labels) else []):
+                    for column, v in zip(out, (stack, z, label, p, np.unique(at // image.shape[1]), np.unique(at % image.shape[1]), 2 * len(at))):
+                        column.append(v)
+            kinds = pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64()
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
+
+    names = [*MASK, "ys", "xs", "area"]
+    return rows.select(*WINDOW, "pixels").mapInArrow(work, "stack int, z int, label int, pseudo_slice int, ys array<int>, xs array<int>, area long")
 
 
 def candidates(masks: DataFrame, above: float = 0.8) -> DataFrame:
@@ -38,39 +65,69 @@ def overlaps(masks: DataFrame, above: float = 0.8) -> DataFrame:
     The compared set of a mask is its row numbers together with its column numbers. i and j are ranks by
     label, then pseudo-slice; the winner is the larger mask, i in a tie. Only ``candidates`` are compared, each pair once.
     """
-    rank = F.row_number().over(Window.partitionBy("stack", "z").orderBy("label", "pseudo_slice")).cast("long")
-    m = stored(masks.select(*MASK, "area", rank.alias("i"), F.array_distinct(F.concat("ys", "xs")).alias("coords")))
+    m = stored(masks.selectExpr(*MASK, "area", RANK, "array_distinct(concat(ys, xs)) coords"))
     side = lambda k: m.select("stack", "z", F.col("i").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in ("label", "pseudo_slice", "area", "coords")))
     common = F.size(F.array_intersect("coords_i", "coords_j"))
     pairs = candidates(m, above).join(side("i"), ["stack", "z", "i"]).join(side("j"), ["stack", "z", "j"])
-    pairs = pairs.withColumn("iou", common / (F.size("coords_i") + F.size("coords_j") - common)).where(F.col("iou") > above)
+    return _both_ways(pairs.withColumn("iou", common / (F.size("coords_i") + F.size("coords_j") - common)), above)
+
+
+def _both_ways(pairs: DataFrame, above: float) -> DataFrame:
+    """The pairs whose overlap is over ``above``, as (i, j) and as (j, i), with the winner of each."""
     names = ("label", "pseudo_slice")
     ways = [F.struct(F.col(a).alias("i"), F.col(b).alias("j"), *(F.when(F.col(f"area_{a}") >= F.col(f"area_{b}"), F.col(f"{c}_{a}")).otherwise(F.col(f"{c}_{b}")).alias(c) for c in names)) for a, b in (("i", "j"), ("j", "i"))]
-    return pairs.select("stack", "z", F.round("iou", 6).alias("iou"), F.explode(F.array(*ways)).alias("_p")).select("stack", "z", "_p.i", "_p.j", "iou", "_p.label", "_p.pseudo_slice")
+    over = pairs.where(F.col("iou") > above).select("stack", "z", F.round("iou", 6).alias("iou"), F.explode(F.array(*ways)).alias("_p"))
+    return over.select("stack", "z", "_p.i", "_p.j", "iou", "_p.label", "_p.pseudo_slice")
+
+
+def pixel_overlaps(rows: DataFrame, above: float = 0.8) -> DataFrame:
+    """As ``overlaps``, by true overlap of pixels instead of coordinate sets.
+
+    The windows of one slice are a Spark group; masks of one window share no pixel.
+    """
 
+    def work(t):
+        found = sorted(zip(t["pseudo_slice"].to_pylist(), images.arrays(t)), key=lambda x: x[0])
+        out = [np.zeros(0, np.int64)] * 5
+        for (p, a), (q, b) in itertools.combinations(found, 2):
+            pairs, common = np.unique(np.stack([a.ravel(), b.ravel()]).astype(np.int64), axis=1, return_counts=True)
+            out = [np.concatenate([c, x]) for c, x in zip(out, (pairs[0], np.full(len(common), p), pairs[1], np.full(len(common), q), common))]
+        n = len(out[0])
+        return pa.table({"stack": pa.array([t["stack"][0].as_py()] * n, pa.int32()), "z": pa.array([t["z"][0].as_py()] * n, pa.int32()), **{c: pa.array(v.astype(k)) for c, v, k in zip(("label_i", "pseudo_slice_i", "label_j", "pseudo_slice_j", "common"), out, ("i4", "i4", "i4", "i4", "i8"))}})
 
-def pixel_overlaps(pixels: DataFrame, above: float = 0.8) -> DataFrame:
-    """As ``overlaps``, by true overlap of pixels instead of coordinate sets."""
-    masks = mask_index(pixels).select(*MASK, "area", F.row_number().over(Window.partitionBy("stack", "z").orderBy("label", "pseudo_slice")).cast("long").alias("i"))
-    at = pixels.withColumnRenamed("lab", "label").join(masks, MASK)
-    other = at.select("stack", "z", "y", "x", F.col("i").alias("j"), F.col("label").alias("label_j"), F.col("pseudo_slice").alias("slice_j"), F.col("area").alias("area_j"))
-    common = at.join(other, ["stack", "z", "y", "x"]).where("i <> j").groupBy("stack", "z", "i", "j", "label", "pseudo_slice", "area", "label_j", "slice_j", "area_j").agg(F.count("*").alias("common"))
-    iou = F.col("common") / (F.col("area") / 2 + F.col("area_j") / 2 - F.col("common"))
-    first = F.col("area") >= F.col("area_j")
-    return common.where(iou > above).select(
-        "stack", "z", "i", "j", F.round(iou, 6).alias("iou"),
-        F.when(first, F.col("label")).otherwise(F.col("label_j")).alias("label"), F.when(first, F.col("pseudo_slice")).otherwise(F.col("slice_j")).alias("pseudo_slice"))
+    common = rows.select(*WINDOW, "pixels").groupBy("stack", "z").applyInArrow(work, "stack int, z int, label_i int, pseudo_slice_i int, label_j int, pseudo_slice_j int, common long")
+    m = stored(mask_index(rows).selectExpr(*MASK, "area", RANK))
+    side = lambda k: m.select("stack", "z", F.col("i").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in ("label", "pseudo_slice", "area")))
+    pairs = common.join(side("i"), ["stack", "z", "label_i", "pseudo_slice_i"]).join(side("j"), ["stack", "z", "label_j", "pseudo_slice_j"])
+    return _both_ways(pairs.withColumn("iou", F.col("common") / (F.col("area_i") / 2 + F.col("area_j") / 2 - F.col("common"))), above)
 
 
-def decoupled(pixels: DataFrame, above: float = 0.8, iou: str = "coordinate_set") -> DataFrame:
-    """One label for each pixel that a winning mask covers (stack, z, y, x, label).
+def decoupled(rows: DataFrame, above: float = 0.8, iou: str = "coordinate_set") -> DataFrame:
+    """Label slices (stack, z, height, width, pixels) with one label for each pixel that a winning mask covers, else -1.
 
     Winners are painted in the order of their pairs (i, j), the last paint stays. A mask's last paint is
-    all that counts of it, so pairs fold to one row for each winner before they meet its pixels.
+    all that counts of it, so pairs fold to one turn for each winner, and a list of turns for each window, before they
+    meet pixels. The windows of one slice are a Spark group. Slices without any winner don't come.
     """
     if iou not in ("coordinate_set", "pixel"):
         raise ValueError(f"no such overlap: {iou}")
-    pairs = overlaps(mask_index(pixels), above) if iou == "coordinate_set" else pixel_overlaps(pixels, above)
-    last = pairs.groupBy(*MASK).agg(F.max(F.struct("i", "j")).alias("turn"))
-    painted = pixels.withColumnRenamed("lab", "label").join(last, MASK)
-    return painted.groupBy("stack", "z", "y", "x").agg(F.max_by("label", "turn").alias("label"))
+    pairs = overlaps(mask_index(rows), above) if iou == "coordinate_set" else pixel_overlaps(rows, above)
+    last = pairs.groupBy(*MASK).agg(F.max(F.struct("i", "j")).alias("_turn"))
+    order = F.row_number().over(Window.partitionBy("stack", "z").orderBy("_turn"))
+    turns = last.select(*MASK, order.alias("_n")).groupBy("stack", "z", "pseudo_slice").agg(F.sort_array(F.collect_list(F.struct("label", "_n"))).alias("_t"))
+    turns = turns.select("stack", "z", "pseudo_slice", F.col("_t.label").alias("_labels"), F.col("_t._n").alias("_turns"))
+
+    def paint(t):
+        t = t.combine_chunks()
+        shape = t["height"][0].as_py(), t["width"][0].as_py()
+        best, label = np.zeros(shape, np.int64), np.full(shape, -1.0)
+        for i, image in enumerate(images.arrays(t)):
+            labels, turn = (t[c][i].values.to_numpy() for c in ("_labels", "_turns"))
+            at = np.minimum(np.searchsorted(labels, image), len(labels) - 1)
+            mine = np.where(labels[at] == image, turn[at], 0)
+            label = np.where(mine > best, image, label)
+            best = np.maximum(mine, best)
+        return images.rows_of(t["stack"][0].as_py(), [(t["z"][0].as_py(), label)])
+
+    painted = rows.select(*WINDOW, "pixels").join(turns, ["stack", "z", "pseudo_slice"])
+    return painted.groupBy("stack", "z").applyInArrow(paint, images.SLICES)

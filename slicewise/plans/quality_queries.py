@@ -35,7 +35,7 @@ def outlier_sql(feature, flag):
 QUERIES = {
     "blur_flags": (lambda s, d: qc.blur_flags(t.zslice_qc(s, d)), f"with {sql.BASE} select {KEYS}, {', '.join(BLURRY)} from qc"),
     "sat_flags": (lambda s, d: qc.saturation_flags(t.zslice_qc(s, d)), f"with {sql.BASE} select {KEYS}, {', '.join(SATURATED)} from qc"),
-    "qc_merge": (lambda s, d: qc.merge(qc.blur_flags(t.zslice_qc(s, d)), qc.saturation_flags(t.zslice_qc(s, d))), f"with {sql.BASE} select * from qc"),
+    "qc_merge": (lambda s, d: flags_of(s, d), f"with {sql.BASE} select * from qc"),
     "treatment_failure": (
         lambda s, d: report.treatment_failure(flags_of(s, d), t.platemap(s, d, WELLS)),
         f"with {sql.BASE}, {sql.platemap(WELLS)}, organoids as (select plate, well, site, bool_or{sql.ANY} failed from qc group by all), "

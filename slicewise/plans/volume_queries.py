@@ -20,10 +20,6 @@ def deep(s, d):
     return t.voxels(s, d, DEEP)
 
 
-def shallow(s, d):
-    return t.voxels(s, d, SHALLOW)
-
-
 def labels(s, d, depth, threshold=0.1):
     return t.slices(s, d, depth, threshold).drop("pixels").withColumnRenamed("labels", "pixels")
 
@@ -35,7 +31,12 @@ def with_nuclei(s, d):
 
 def fanned(s, d):
     """Each slice that starts a full window stands for its mask, and gives it to the window's slices."""
-    return volume.fan_out(shallow(s, d).where(F.col("z") <= SHALLOW - WIDTH).drop("v"), WIDTH, SHALLOW)
+    return volume.fan_out(labels(s, d, SHALLOW).where(F.col("z") <= SHALLOW - WIDTH), WIDTH, SHALLOW)
+
+
+def fanned_voxels(s, d):
+    long = fanned(s, d).select("stack", "z", "pseudo_slice", "width", F.posexplode("pixels").alias("_at", "lab"))
+    return long.selectExpr("stack", "z", "pseudo_slice", "cast(_at div width as int) y", "_at % width x", "cast(lab as int) lab")
 
 
 FAN = f"fan as (select stack, cast(z + k as int) as z, z as pseudo_slice, y, x, lab from voxels, (select unnest(range({WIDTH})) k) where z <= {SHALLOW - WIDTH} and z + k < {SHALLOW})"
@@ -190,7 +191,7 @@ QUERIES = {
         f"with {VD}, w as (select stack, z, y, x, max(v) over w v, count(*) over w n "
         "from voxels window w as (partition by stack, y, x order by z rows between current row "
         f"and {WIDTH - 1} following)) select stack, z, y, x, v from w where n = {WIDTH}"),
-    "window_fanout": (lambda s, d: fanned(s, d).select("stack", "z", "pseudo_slice", "y", "x", "lab"), f"with {VS}, {FAN} select stack, z, pseudo_slice, y, x, lab from fan"),
+    "window_fanout": (lambda s, d: fanned_voxels(s, d), f"with {VS}, {FAN} select stack, z, pseudo_slice, y, x, lab from fan"),
     "organoid_merge": (lambda s, d: images.as_voxels(images.merged_windows(labels(s, d, SHALLOW).where(F.col("z") <= SHALLOW - WIDTH), WIDTH, SHALLOW), "lab", "int"), f"with {VS}, {FAN} select stack, z, y, x, max(lab) as lab from fan group by all"),
     "rescale_minmax": (
         lambda s, d: images.as_voxels(volume.rescaled_to_range(t.slices(s, d, DEEP)), "v", "int"),
@@ -235,7 +236,7 @@ QUERIES = {
         f"with {VS}, {FAN}, {MASKS}, {RANKED}, {PAIRS} select stack, z, i, j, round(iou, 6) as iou, label, pseudo_slice "
         "from pairs where iou > 0.8"),
     "decouple_masks": (
-        lambda s, d: masks.decoupled(fanned(s, d)),
+        lambda s, d: images.as_voxels(masks.decoupled(fanned(s, d)), "label", "int").where("label >= 0"),
         f"with {VS}, {FAN}, {MASKS}, {RANKED}, {PAIRS} select f.stack, f.z, f.y, f.x, arg_max(f.lab, "
         "i * 1000000 + j) as label from pairs p join fan f on f.stack = p.stack and f.z = p.z and f.lab = p.label "
         "and f.pseudo_slice = p.pseudo_slice where iou > 0.8 group by all"),
@@ -282,7 +283,7 @@ QUERIES = {
         for name in images.MODELS},
     "decode_tiff": (lambda s, d: _pages(images.encoded(t.slices(s, d, DEEP))), PAGES),
     "tiff_sink": (lambda s, d: _written(s, images.encoded(t.slices(s, d, DEEP))), PAGES),
-    "window_sink": (lambda s, d: _windows(s, fanned(s, d)), f"with {VS}, {FAN} select stack, z, pseudo_slice, y, x, lab from fan"),
+    "window_sink": (lambda s, d: _windows(s, fanned_voxels(s, d)), f"with {VS}, {FAN} select stack, z, pseudo_slice, y, x, lab from fan"),
     "gif_files": (
         lambda s, d: _films(s, images.animated(t.slices(s, d, DEEP))),
         f"with {VD}, f as (select stack, z, string_agg(cast(((v % 256) + 256) % 256 as varchar), ',' order by y, x) pixels from voxels group by all) "

@@ -174,16 +174,44 @@ def brute_decouple(cells):
     return paint
 
 
+def windows_of(spark, rows):
+    """Label slices of windows from rows (stack, z, pseudo_slice, y, x, label); what has no row is 0."""
+    found = {}
+    for s, z, p, y, x, lab in rows:
+        found.setdefault((s, z, p), {})[y, x] = lab
+    h, w = (1 + max(at[k] for cells in found.values() for at in cells) for k in (0, 1))
+    made = [(s, z, p, h, w, [float(cells.get((y, x), 0)) for y in range(h) for x in range(w)]) for (s, z, p), cells in found.items()]
+    return spark.createDataFrame(made, "stack int, z int, pseudo_slice int, height int, width int, pixels array<double>")
+
+
+def brute_pixel_overlaps(rows, above):
+    out = {}
+    for z in {r[1] for r in rows}:
+        found = {}
+        for _, zz, p, y, x, lab in rows:
+            if zz == z:
+                found.setdefault((lab, p), set()).add((y, x))
+        for (i, a), (j, b) in itertools.permutations(enumerate(sorted(found), 1), 2):
+            iou = len(found[a] & found[b]) / len(found[a] | found[b])
+            if iou > above:
+                out[z, i, j] = round(iou, 6)
+    return out
+
+
 def test_decoupling_is_the_brute_force_one(spark):
     rng = random.Random(3)
     for trial in range(3):
         rows = [(0, z, p, y, x, rng.choice([0, 1, 1, 2, 3])) for z in range(3) for p in range(rng.randint(1, 3)) for y in range(4) for x in range(4)]
-        df = spark.createDataFrame(rows, "stack int, z int, pseudo_slice int, y int, x int, lab int")
+        df = windows_of(spark, rows)
         got = {}
-        for r in masks.decoupled(df).collect():
+        for r in images.as_voxels(masks.decoupled(df), "label", "int").where("label >= 0").collect():
             got.setdefault(r.z, {})[r.y, r.x] = r.label
         assert got == {z: b for z in range(3) if (b := brute_decouple({(p, y, x): lab for _, zz, p, y, x, lab in rows if zz == z}))}
-    assert masks.decoupled(df, iou="pixel").count() >= 0
+        shared = {}
+        for r in masks.pixel_overlaps(df, 0.3).collect():
+            shared[r.z, r.i, r.j] = r.iou
+        assert shared == brute_pixel_overlaps(rows, 0.3)
+        assert (masks.decoupled(df, 0.3, iou="pixel").count() > 0) == bool(shared)
     with pytest.raises(ValueError):
         masks.decoupled(df, iou="volume")
 
@@ -255,7 +283,7 @@ def test_masks_meet_on_few_coordinates_only(spark):
             y, x, h, w = rng.randrange(60), rng.randrange(60), rng.randint(1, 6), rng.randint(1, 6)
             for p in range(rng.randint(1, 3)):
                 rows += [(0, z, p, y + a, x + b, label) for a in range(h) for b in range(w) if rng.random() < 0.95]
-    df = spark.createDataFrame(sorted(set(rows)), "stack int, z int, pseudo_slice int, y int, x int, lab int")
+    df = windows_of(spark, rows)
     index = masks.mask_index(df).collect()
     want, pairs = set(), 0
     for z in range(3):
@@ -349,6 +377,62 @@ def discs(shape, *found):
     return np.any([(y - cy) ** 2 + (x - cx) ** 2 <= r * r for cy, cx, r in found], axis=0) * 7.0
 
 
+def plain_segment(image, diameter, nuclei=None):
+    """The default segmenter by definition: every threshold, distance, peak and round in turn."""
+    values = np.unique(image)
+    best, mask = -1, np.zeros(image.shape, bool)
+    for v in values[:-1]:
+        low, k = image[image <= v].sum(), (image <= v).sum()
+        spread = (low * image.size - image.sum() * k) ** 2 / (k * (image.size - k))
+        if spread > best * (1 + 1e-12):
+            best, mask = spread, image > v
+    part, padded = plain_components(mask), np.pad(mask, 1)
+    back = np.argwhere(~padded) - 1
+    distance = np.zeros(image.shape, int)
+    for p in np.argwhere(mask):
+        distance[tuple(p)] = ((back - p) ** 2).sum(axis=1).min()
+    seeds = np.zeros(image.shape, int)
+    for y, x in sorted(map(tuple, np.argwhere(mask)), key=lambda p: (-distance[p], p)):
+        near = distance[max(0, y - 1) : y + 2, max(0, x - 1) : x + 2]
+        taken = [p for p in np.argwhere(seeds) if part[tuple(p)] == part[y, x]]
+        if distance[y, x] == near.max() and all((p[0] - y) ** 2 + (p[1] - x) ** 2 >= (diameter / 2) ** 2 for p in taken):
+            seeds[y, x] = seeds.max() + 1
+    if nuclei is not None:
+        inner = plain_segment(nuclei, diameter / 2) * mask
+        for k in range(1, part.max() + 1):
+            own = part == k
+            seeds[own] = inner[own] if inner[own].any() else np.where(seeds[own] > 0, seeds[own] + inner.max(), 0)
+    label = plain_flood(np.where(mask, np.sqrt(distance).astype(int), -1), seeds)
+    names = [n for n in dict.fromkeys(label.ravel().tolist()) if n and (label == n).sum() >= np.pi * diameter**2 / 200]
+    return sum(((label == n) * k for k, n in enumerate(names, 1)), np.zeros(image.shape, int))
+
+
+def test_segment_queries_are_the_plain_ones(spark):
+    from slicewise.plans import registry, volume_queries
+
+    d = "/root/testdata/sf0.001"
+    slices = stacks(volume_queries.t.slices(spark, d, 20))
+    nuclei = stacks(volume_queries.with_nuclei(spark, d).withColumn("pixels", F.col("nuclei")))
+    got = stacks(registry.queries()["segment"](spark, d))
+    assert all(np.array_equal(got[s], [plain_segment(image, 4.0) for image in v]) for s, v in slices.items())
+    for name, model in images.MODELS.items():
+        got = stacks(registry.queries()[f"segment_{name}"](spark, d))
+        for s, v in slices.items():
+            flat = whole_volumes.equalised(v, model["clip_limit"])
+            want = np.stack([plain_segment(np.round(image, 9), 4.0, *([nuclei[s][z]] if name == "cell" else [])) for z, image in enumerate(flat)])
+            assert np.array_equal(got[s], want if model["stitch"] is None else whole_volumes.stitched(want, model["stitch"])), (name, s)
+
+
+def test_density_by_bins_is_near_the_plain_one(spark):
+    rng = random.Random(9)
+    values = [rng.gauss(0, 1) for _ in range(400)] + [rng.gauss(5, 0.5) for _ in range(200)]
+    got = quality_control.density(spark.createDataFrame([("a", v) for v in values], "k string, v double"), "v", ["k"]).collect()
+    x = np.array(values)
+    h = x.std(ddof=1) * len(x) ** -0.2
+    want = [np.exp(-0.5 * ((r["at"] - x) / h) ** 2).sum() / (len(x) * h * np.sqrt(2 * np.pi)) for r in got]
+    assert len(got) == 50 and np.abs(np.array([r.density for r in got]) - want).max() < 1e-3 * max(want)
+
+
 def test_touching_objects_are_parted_by_their_diameter(spark):
     pair = discs((60, 120), (30, 35, 21), (30, 74, 21))
     found = imagemath.watershed_segment(pair, 40)
