@@ -9,6 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slicewise.sources.shared import is_local
+from slicewise.sources.store import Store
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,7 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     if spark.sparkContext.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
-        if not shared and not spark.sparkContext.master.startswith("local["):
+        if not shared and not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints"))
     return spark.sparkContext.getCheckpointDir()
@@ -36,6 +39,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again, for tables with texts."""
     path = f"{shared_folder(df.sparkSession)}/{uuid4().hex}"
+    Store(df.sparkSession, path).delete_at_end(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 

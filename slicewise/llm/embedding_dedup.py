@@ -18,6 +18,10 @@ SEED = 7
 
 #: Pairs of random unit vectors that a code is calibrated on, and how many are scored at a time.
 PAIRS, STEP = 600, 50
+#: Filters of a vector at most; where more would be wanted, or the dimensions are as few as GRID, a grid takes their place.
+MOST, GRID = 384, 8
+#: Lengths of vectors that the driver calibrates a code for; where there are more, workers do it for theirs.
+LENGTHS = 16
 
 
 class CapFilters:
@@ -26,21 +30,24 @@ class CapFilters:
 
     ``each`` is about how many filters a vector exceeds. It is the least power of two (or the half between
     two) by which a share ``recall`` of random pairs at cosine ``cosine`` meets in a filter, so it rises
-    slowly with the code. ``threshold`` is what a random unit vector's score exceeds for about ``each``
+    slowly with the code; ``met`` is the share reached, less than ``recall`` where MOST wouldn't do. ``threshold`` is what a random unit vector's score exceeds for about ``each``
     filters (the mean of the each-th best score of random vectors). Both depend on the parameters, not on
     data, and are drawn from a fixed seed.
     """
 
-    def __init__(self, dim: int, code: int, cosine: float, recall: float, least: int):
+    def __init__(self, dim: int, code: int, cosine: float, recall: float, least: int, known: tuple[float, float] | None = None):
         rng = np.random.default_rng(SEED + dim)
         self.dim, self.wide, self.code = dim, max(2, dim + dim % 2), code
         self.turn = np.linalg.qr(rng.standard_normal((self.wide, self.wide)))[0]
         half = self.wide // 2
         self.words = [v / np.linalg.norm(v, axis=1, keepdims=True) for v in rng.standard_normal((2, code, half))]
+        if known:  # calibrated before, to this threshold and share
+            self.threshold, self.met = known
+            return
         probes = [self.pairs(rng, STEP, cosine) for _ in range(PAIRS // STEP)]
         most = min(512, code * code)
         best = np.concatenate([self.best_sums(a, most) for a, _ in probes])
-        for self.each in (e for k in range(3, 9) for e in (1 << k, 3 << k - 1)):
+        for self.each in (e for k in range(3, 9) for e in (1 << k, 3 << k - 1) if e <= MOST):
             self.threshold = float(best[:, min(self.each, most) - 1].mean())
             self.met = self.meeting(probes, least)
             if self.met >= recall or self.each >= most:
@@ -98,9 +105,38 @@ class CapFilters:
         return out
 
 
+class GridFilters:
+    """Cells of a grid in few dimensions: any two unit vectors with a cosine of ``cosine`` or more share a cell, whatever their number.
+
+    They are at most r = sqrt(2 - 2 * cosine) apart. A vector goes to the cells, 2 * r wide, that the box of r / 2 around
+    it touches; the boxes of two such vectors both hold the place midway. Only the first axes count, GRID at most.
+    """
+
+    def __init__(self, dim: int, cosine: float):
+        self.reach = np.sqrt(max(0.0, 2 - 2 * cosine)) / 2 * (1 + 1e-9) + 1e-9
+        self.low, high = (int(np.floor(side * (1 + self.reach) / (4 * self.reach))) for side in (-1, 1))
+        self.base = high - self.low + 1
+        self.axes = max(1, min(dim, GRID, int(40 / np.log2(self.base))))  # so that a cell's number is below 2^40
+        self.met = 1.0
+
+    def decoded(self, unit: np.ndarray, least: int) -> list[np.ndarray]:
+        first, last = (np.floor((unit[:, : self.axes] + side) / (4 * self.reach)).astype(np.int64) - self.low for side in (-self.reach, self.reach))
+        rows, cells = np.arange(len(unit)), np.zeros(len(unit), np.int64)
+        for axis in range(self.axes):
+            two = np.flatnonzero(last[rows, axis] > first[rows, axis])
+            rows, cells, second = np.append(rows, rows[two]), np.append(cells, cells[two]), np.append(np.zeros(len(rows), bool), np.ones(len(two), bool))
+            cells = cells * self.base + np.where(second, last[rows, axis], first[rows, axis])
+        order = np.lexsort((cells, rows))
+        return np.split(cells[order], np.cumsum(np.bincount(rows, minlength=len(unit)))[:-1])
+
+
 @lru_cache(maxsize=8)
-def cap_filters(dim: int, code: int, cosine: float, recall: float, least: int) -> CapFilters:
-    return CapFilters(dim, code, cosine, recall, least)
+def cap_filters(dim: int, code: int, cosine: float, recall: float, least: int, known: tuple[float, float] | None = None) -> CapFilters | GridFilters:
+    """The filters for vectors of a length: caps, or a grid where dimensions are few or caps don't reach the recall."""
+    if dim <= GRID:
+        return GridFilters(dim, cosine)
+    found = CapFilters(dim, code, cosine, recall, least, known)
+    return found if found.met >= recall else GridFilters(dim, cosine)
 
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
@@ -132,7 +168,8 @@ def near_vectors(
 
     Equal vectors collapse to one class first; a class is linked within itself. Each class is decoded to
     all spherical-cap filters that it exceeds (its ``least`` best at least), as many that random pairs at
-    ``least_cosine`` meet with a chance of ``recall`` or more at any number of classes; closer pairs meet more often. Classes
+    ``least_cosine`` meet with a chance of ``recall`` or more at any number of classes; closer pairs meet more often. Up to GRID
+    dimensions, or where that would take over MOST filters, the cells of a grid are the filters, and every pair meets. Classes
     meet on filters, and pairs are verified in double precision. A pair counts in the first filter that
     it shares, so that n_links, weighted by class sizes, counts each link once. Hot filters are cut
     into tiles; a cell returns link counts and the edges that span it, never its pairs.
@@ -149,6 +186,12 @@ def near_vectors(
     classes = rows.where("good").groupBy("v").agg(F.min("_id").alias("rep"), F.count("*").alias("copies"))
     classes = checkpointed(classes.withColumn("node", F.monotonically_increasing_id()))
     code = max(4, round((classes.count() / 4) ** 0.5))
+    lengths = [r["n"] for r in classes.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(LENGTHS).collect()]
+    known = {}
+    for dim in lengths:
+        if dim > GRID:
+            caps = cap_filters(dim, code, least_cosine, recall, least)
+            known[dim] = (getattr(caps, "threshold", 0.0), caps.met if isinstance(caps, CapFilters) else 0.0)
 
     def decode(batches):
         for b in batches:
@@ -159,8 +202,8 @@ def near_vectors(
             for dim in np.unique(sizes).tolist():
                 at = np.flatnonzero(sizes == dim)
                 unit = unit_rows(flat[starts[at][:, None] + np.arange(dim)])
-                for i, f in zip(at.tolist(), cap_filters(dim, code, least_cosine, recall, least).decoded(unit, least)):
-                    found[i] = f + dim * code * code  # vectors of unlike length never share a filter
+                for i, f in zip(at.tolist(), cap_filters(dim, code, least_cosine, recall, least, known.get(dim)).decoded(unit, least)):
+                    found[i] = (f << 20) + dim  # vectors of unlike length never share a filter
             yield pa.RecordBatch.from_arrays([b["node"], b["copies"], b["v"], pa.array(found, pa.list_(pa.int64()))], names=["node", "copies", "v", "filters"])
 
     kind = classes.schema["v"].dataType.simpleString()

@@ -39,7 +39,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4, blocks=6, share=2)
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex(F.col("fingerprint")[0]), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -17,6 +17,8 @@ from slicewise.llm.components import connected_components
 from slicewise.llm.passages import expanded, squeezed
 
 SEED = 42
+#: Fingerprints that share a key on average, at most; a comparison is cheap beside a key that is shuffled.
+CROWD = 64
 #: Runs of up to so many rows that share a key are compared pair by pair, larger ones breadth first.
 SMALL = 32
 #: Cells of the sketch of how frequent shingles are, of 2 ** CELL_BITS, and the ranges that they are added up in.
@@ -143,6 +145,18 @@ def block_keys(lanes: int, blocks: int, share: int) -> Column:
     return F.array(*keys)
 
 
+def blocks_for(classes: int, width: int, max_bits: int) -> tuple[int, int]:
+    """How many blocks to cut fingerprints into, and how many of them make a key, for so many distinct fingerprints.
+
+    Every choice of max_bits blocks may differ, so with ``share`` more none misses a pair. More blocks give longer keys, but more of
+    them: the fewest are taken whose keys are shared by at most CROWD fingerprints on average.
+    """
+    share = 2
+    while classes >> width // (max_bits + share) * share > CROWD and share < 8:
+        share += 1
+    return max_bits + share, share
+
+
 def near_edges(fp: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Row pairs that span the components of rows within ``most`` differing bits.
 
@@ -235,7 +249,7 @@ def confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame, least: flo
 
 
 def grouped(
-    docs: DataFrame, id: str, text: str, shingle: int, lanes: int, max_bits: int, blocks: int, share: int, tile: int, similarity: float | None,
+    docs: DataFrame, id: str, text: str, shingle: int, lanes: int, max_bits: int, blocks: int | None, share: int | None, tile: int, similarity: float | None,
 ) -> DataFrame:
     """(_id, digest, fingerprint, first) for each row; ``first`` is the first document (_id, digest) of its group.
 
@@ -247,9 +261,10 @@ def grouped(
     if similarity is None:
         found = fp.groupBy("fingerprint").agg(own)
     else:
-        found = fp.groupBy("fingerprint").agg(own, F.min_by("prefix", "digest").alias("prefix"))
+        found = fp.groupBy("fingerprint").agg(own, F.min_by("prefix", F.struct(F.col("_id").isNull(), "_id", "digest")).alias("prefix"))
     classes = checkpointed(found.withColumn("node", F.monotonically_increasing_id()))
     if similarity is None:
+        blocks, share = (blocks, share) if blocks else blocks_for(classes.count(), 64 * lanes, max_bits)
         keyed = classes.select("node", "fingerprint", F.explode(block_keys(lanes, blocks, share)).alias("key"))
     else:
         keyed = classes.select("node", F.explode("prefix").alias("key")).repartition("key")
@@ -292,7 +307,7 @@ def grouped(
 
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, lanes: int = 1,
-    max_bits: int = 4, blocks: int = 6, share: int = 2, tile: int = 4096,
+    max_bits: int = 4, blocks: int | None = None, share: int | None = None, tile: int = 4096,
     similarity: float | None = None,
 ) -> DataFrame:
     """(id, fingerprint array, component_id) for each row; documents within ``max_bits`` bits are linked.
@@ -304,7 +319,7 @@ def near_duplicates(
     ``max_bits`` should be wide, as it alone can lose a pair.
 
     Equal fingerprints collapse first, so copies cost one row each. Distinct ones meet on their block
-    keys, are verified by Hamming distance, and give the edges that span each cell; components follow.
+    keys (of a number of blocks that follows the number of distinct fingerprints, see ``blocks_for``, unless given), are verified by Hamming distance, and give the edges that span each cell; components follow.
     Hot keys are cut into tiles (``in_tiles``). Null and empty texts have the zero fingerprint and are
     linked like any other. A null id keeps its row, and its class is named by the smallest id there is
     (null if there is none); rows with one id, of one text or several, are each returned with their own
@@ -315,7 +330,7 @@ def near_duplicates(
 
 
 def keep_first(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, lanes: int = 1, max_bits: int = 4, blocks: int = 6, share: int = 2,
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, lanes: int = 1, max_bits: int = 4, blocks: int | None = None, share: int | None = None,
     tile: int = 4096, similarity: float | None = None,
 ) -> DataFrame:
     """``docs`` with one document of each group of ``near_duplicates``: that with the smallest id.

@@ -180,6 +180,50 @@ def test_recall_of_the_embedding_query(spark):
     assert (found <= true).all() and found.sum() >= 0.9 * true.sum()
 
 
+@pytest.mark.parametrize("dim", [1, 2, 4, 8])
+def test_all_links_of_short_vectors_are_found(spark, dim):
+    rng = np.random.default_rng(dim)
+    v = rng.standard_normal((1500, dim)).astype(np.float32)
+    data = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)] + [(9000, [1.0] * 30), (9001, [1.0] * 29 + [1.1])], "vec_id long, embedding array<float>")
+    unit = v.astype(float) / np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    got = {r.vec_id: r for r in embedding_dedup.near_vectors(data, tile=256).collect()}
+    assert [got[i].n_links for i in range(1500)] == (near.sum(axis=1) - 1).tolist() and got[9000].n_links == got[9001].n_links == 1
+    expected = labels(range(1500), [tuple(x) for x in np.argwhere(np.triu(near, 1)).tolist()])
+    assert [got[i].component_id for i in range(1500)] == [expected[i] for i in range(1500)]
+
+
+def test_filters_fall_back_to_a_grid_where_caps_do_not_reach_the_recall(monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "MOST", 8)
+    embedding_dedup.cap_filters.cache_clear()
+    filters = embedding_dedup.cap_filters(64, 500, 0.95, 0.97, 6)
+    embedding_dedup.cap_filters.cache_clear()
+    assert isinstance(filters, embedding_dedup.GridFilters)
+    rng = np.random.default_rng(4)
+    a, b = embedding_dedup.CapFilters.pairs(type("", (), {"dim": 64}), rng, 300, 0.95)
+    assert all(np.intersect1d(x, y).size for x, y in zip(filters.decoded(a, 6), filters.decoded(b, 6)))
+
+
+def test_a_calibrated_code_is_the_same_code():
+    whole = embedding_dedup.CapFilters(24, 60, 0.95, 0.97, 6)
+    again = embedding_dedup.CapFilters(24, 60, 0.95, 0.97, 6, (whole.threshold, whole.met))
+    unit = whole.pairs(np.random.default_rng(1), 50, 0.9)[0]
+    assert all(np.array_equal(x, y) for x, y in zip(whole.decoded(unit, 6), again.decoded(unit, 6)))
+
+
+@pytest.mark.parametrize("blocks, share", [(6, 2), (7, 3), (8, 4)])
+def test_simhash_links_are_the_same_for_any_blocks(spark, blocks, share):
+    rng = random.Random(21)
+    words = [" ".join(f"w{rng.randrange(60)}" for _ in range(rng.randint(1, 40))) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(words * 2)), "doc_id long, text string")
+    shown = lambda df: sorted((r.doc_id, r.component_id) for r in df.collect())
+    assert shown(simhash.near_duplicates(docs, blocks=blocks, share=share)) == shown(simhash.near_duplicates(docs))
+
+
+def test_blocks_follow_the_number_of_fingerprints():
+    assert [simhash.blocks_for(n, 64, 4) for n in (0, 10**6, 10**8, 10**9, 10**10, 10**12)] == [(6, 2), (6, 2), (7, 3), (7, 3), (8, 4), (9, 5)]
+
+
 @pytest.mark.parametrize("code", [50, 500, 5000, 15_811])
 def test_pairs_at_the_threshold_meet_in_a_filter_at_every_size(code):
     filters = embedding_dedup.CapFilters(64, code, 0.95, 0.97, 6)
