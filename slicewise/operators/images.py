@@ -116,14 +116,15 @@ def sliding_max(slices: DataFrame, width: int) -> DataFrame:
     return per_range(slices, 0, width - 1, kernel)
 
 
-def merged_windows(windows: DataFrame, width: int, depth: int) -> DataFrame:
-    """The inverse for labels: a slice below ``depth`` has at each pixel the largest label of the windows that hold it.
+def merged_windows(windows: DataFrame, width: int, depth: int | None = None) -> DataFrame:
+    """The inverse for labels: a slice (below ``depth``) has at each pixel the largest label of the windows that hold it.
 
     Window z holds slices z .. z + width - 1; slices that no window holds don't come.
     """
 
     def kernel(first, last, images):
-        for z in range(max(first, min(images)), min(last, max(images) + width - 1, depth - 1) + 1):
+        end = min(last, max(images) + width - 1)
+        for z in range(max(first, min(images)), (end if depth is None else min(end, depth - 1)) + 1):
             near = [images[k] for k in range(z - width + 1, z + 1) if k in images]
             if near:
                 yield z, np.maximum.reduce(near)

@@ -9,7 +9,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slicewise.operators import images
@@ -106,28 +106,32 @@ def decoupled(rows: DataFrame, above: float = 0.8, iou: str = "coordinate_set")
     """Label slices (stack, z, height, width, pixels) with one label for each pixel that a winning mask covers, else -1.
 
     Winners are painted in the order of their pairs (i, j), the last paint stays. A mask's last paint is
-    all that counts of it, so pairs fold to one turn for each winner, and a list of turns for each window, before they
-    meet pixels. The windows of one slice are a Spark group. Slices without any winner don't come.
+    all that counts of it, so pairs fold to one turn for each winner, and those to a list for each slice, before they
+    meet pixels, which move once. The windows of one slice are a Spark group. Slices without any winner don't come.
     """
     if iou not in ("coordinate_set", "pixel"):
         raise ValueError(f"no such overlap: {iou}")
     pairs = overlaps(mask_index(rows), above) if iou == "coordinate_set" else pixel_overlaps(rows, above)
     last = pairs.groupBy(*MASK).agg(F.max(F.struct("i", "j")).alias("_turn"))
-    order = F.row_number().over(Window.partitionBy("stack", "z").orderBy("_turn"))
-    turns = last.select(*MASK, order.alias("_n")).groupBy("stack", "z", "pseudo_slice").agg(F.sort_array(F.collect_list(F.struct("label", "_n"))).alias("_t"))
-    turns = turns.select("stack", "z", "pseudo_slice", F.col("_t.label").alias("_labels"), F.col("_t._n").alias("_turns"))
+    turns = last.groupBy("stack", "z").agg(F.sort_array(F.collect_list(F.struct("_turn", "label", "pseudo_slice"))).alias("_t"))
+    turns = turns.select("stack", "z", F.col("_t.label").alias("_labels"), F.col("_t.pseudo_slice").alias("_windows"))
 
     def paint(t):
         t = t.combine_chunks()
         shape = t["height"][0].as_py(), t["width"][0].as_py()
         best, label = np.zeros(shape, np.int64), np.full(shape, -1.0)
-        for i, image in enumerate(images.arrays(t)):
-            labels, turn = (t[c][i].values.to_numpy() for c in ("_labels", "_turns"))
+        winners, windows = (t[c][0].values.to_numpy() for c in ("_labels", "_windows"))
+        for window, image in zip(t["pseudo_slice"].to_pylist(), images.arrays(t)):
+            turn = np.flatnonzero(windows == window) + 1
+            if not len(turn):
+                continue
+            order = np.argsort(winners[turn - 1])
+            labels, turn = winners[turn - 1][order], turn[order]
             at = np.minimum(np.searchsorted(labels, image), len(labels) - 1)
             mine = np.where(labels[at] == image, turn[at], 0)
             label = np.where(mine > best, image, label)
             best = np.maximum(mine, best)
         return images.rows_of(t["stack"][0].as_py(), [(t["z"][0].as_py(), label)])
 
-    painted = rows.select(*WINDOW, "pixels").join(turns, ["stack", "z", "pseudo_slice"])
+    painted = rows.select(*WINDOW, "pixels").join(turns, ["stack", "z"])
     return painted.groupBy("stack", "z").applyInArrow(paint, images.SLICES)

@@ -12,10 +12,10 @@ SLICE = ["stack", "z"]
 SHAPE = [*SLICE, "height", "width"]
 
 
-def fan_out(windows: DataFrame, width: int, depth: int) -> DataFrame:
-    """Window z gives its rows to slices z .. z + width - 1 below ``depth``, as pseudo_slice z. Rows are voxels or slices."""
+def fan_out(windows: DataFrame, width: int, depth: int | None = None) -> DataFrame:
+    """Window z gives its rows to slices z .. z + width - 1 (below ``depth``), as pseudo_slice z. Rows are voxels or slices."""
     spread = windows.withColumnRenamed("z", "pseudo_slice").withColumn("z", F.explode(F.sequence(F.col("pseudo_slice"), F.col("pseudo_slice") + width - 1)))
-    return spread.where(F.col("z") < depth)
+    return spread if depth is None else spread.where(F.col("z") < depth)
 
 
 def to_byte(value: Column) -> Column:
@@ -47,8 +47,8 @@ def rescaled_to_max(slices: DataFrame) -> DataFrame:
 def rgb_composite(slices: DataFrame, red: str, blue: str) -> DataFrame:
     """(stack, z, height, width, r, g, b): both channels scaled to their slice's maximum, green 0, then all to the
     composite's. No shuffle: a slice has all that it needs."""
-    with_most = slices.select(*SHAPE, red, blue, F.array_max(red).alias("_red"), F.array_max(blue).alias("_blue"))
-    scaled = with_most.select(*SHAPE, F.transform(red, lambda v: _of(v, F.col("_red"))).alias("r"), F.transform(blue, lambda v: _of(v, F.col("_blue"))).alias("b"))
+    own = slices.select(*SHAPE, F.col(red).alias("r"), F.col(blue).alias("b"), F.array_max(red).alias("_r"), F.array_max(blue).alias("_b"))
+    scaled = own.select(*SHAPE, F.transform("r", lambda v: _of(v, F.col("_r"))).alias("r"), F.transform("b", lambda v: _of(v, F.col("_b"))).alias("b"))
     again = scaled.withColumn("_most", F.greatest(F.array_max("r"), F.array_max("b")))
     return again.select(*SHAPE, F.transform("r", lambda v: _of(v, F.col("_most"))).alias("r"), F.transform("r", lambda v: F.lit(0)).alias("g"), F.transform("b", lambda v: _of(v, F.col("_most"))).alias("b"))
 

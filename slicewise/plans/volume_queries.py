@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from slicewise.operators import images, linking, masks, volume
+from slicewise.operators import flows, images, linking, masks, volume
 from slicewise.plans import sql
 from slicewise.sources import files, gif
 from slicewise.sources import tables as t
@@ -281,6 +281,11 @@ QUERIES = {
         f"segment_{name}": ((lambda name: lambda s, d: images.compartment(
             with_nuclei(s, d), name, scale=4.0 / images.MODELS[name]["diameter"], nuclei="nuclei" if name == "cell" else None))(name), None)
         for name in images.MODELS},
+    "flow_nuclei": (lambda s, d: flows.nuclei(t.slices(s, d, DEEP), WIDTH, 4.0 / 75), None),
+    "flow_cells": (lambda s, d: flows.cells(with_nuclei(s, d), "nuclei", WIDTH, 4.0 / 150), None),
+    "flow_organoids": (lambda s, d: flows.organoids(t.slices(s, d, DEEP), WIDTH, 4.0 / 750), None),
+    "flow_cytoplasm": (lambda s, d: volume.cytoplasm(flows.cells(with_nuclei(s, d), "nuclei", WIDTH, 4.0 / 150), flows.nuclei(t.slices(s, d, DEEP), WIDTH, 4.0 / 75)), None),
+    "flow_objects": (lambda s, d: flows.objects(flows.nuclei(t.slices(s, d, SHALLOW), WIDTH, 4.0 / 75), RADIUS)[0], None),
     "decode_tiff": (lambda s, d: _pages(images.encoded(t.slices(s, d, DEEP))), PAGES),
     "tiff_sink": (lambda s, d: _written(s, images.encoded(t.slices(s, d, DEEP))), PAGES),
     "window_sink": (lambda s, d: _windows(s, fanned_voxels(s, d)), f"with {VS}, {FAN} select stack, z, pseudo_slice, y, x, lab from fan"),

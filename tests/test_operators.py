@@ -237,6 +237,16 @@ def test_no_surviving_path_lies_in_a_longer_one(spark, voxels):
         assert not (a.stack == b.stack and len(a.path) < len(b.path) and set(a.path) <= set(b.path))
 
 
+def test_edges_are_those_of_all_pairs(spark):
+    rng = random.Random(14)
+    at = [(s, z, i, rng.choice([rng.uniform(-40, 40), float(rng.randrange(-40, 40))]), rng.uniform(0, 30)) for s in range(2) for z in (0, 1, 2, 4) for i in range(40)]
+    objects = spark.createDataFrame([(s, z, lab, y, x, i) for i, (s, z, lab, y, x) in enumerate(at)], "stack int, slice int, label int, centroid_0 double, centroid_1 double, unique_id long")
+    for radius in (0.7, 10.0, 500.0):
+        want = {(i, j) for (i, a), (j, b) in itertools.permutations(enumerate(at), 2) if a[0] == b[0] and b[1] == a[1] + 1 and ((a[3] - b[3]) ** 2 + (a[4] - b[4]) ** 2) ** 0.5 < radius}
+        got = [(r.src, r.dst) for r in linking.edges(objects, radius).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
 def random_links(spark, seed, stacks=6):
     rng = random.Random(seed)
     rows = set()
@@ -423,6 +433,98 @@ def test_segment_queries_are_the_plain_ones(spark):
             assert np.array_equal(got[s], want if model["stitch"] is None else whole_volumes.stitched(want, model["stitch"])), (name, s)
 
 
+def plain_decoupled(windows, width):
+    """{z: labels} of windows {z: labels}, by the painting of ``brute_decouple``."""
+    out, shape = {}, next(iter(windows.values())).shape
+    for z in sorted({z + k for z in windows for k in range(width)}):
+        cells = {(p, y, x): int(windows[p][y, x]) for p in range(z - width + 1, z + 1) if p in windows for y in range(shape[0]) for x in range(shape[1])}
+        paint = brute_decouple(cells)
+        if paint:
+            out[z] = np.array([[paint.get((y, x), 0) for x in range(shape[1])] for y in range(shape[0])])
+    return out
+
+
+def plain_byte(v, most):
+    return np.floor(v / most * 255).astype(int) % 256 if most else np.zeros(v.shape, int)
+
+
+def plain_objects(labels, radius):
+    """{z: object numbers} of one stack's label slices, by all paths in one graph."""
+    low, high = min(v.min() for v in labels.values()), max(v.max() for v in labels.values())
+    scaled = {z: plain_byte(v - low, high - low) for z, v in labels.items()}
+    nodes = []
+    for z in sorted(scaled):
+        names = [n for n in np.unique(scaled[z]).tolist() if n]
+        if len(names) > 1:
+            nodes += [(z, n, *np.argwhere(scaled[z] == n).mean(axis=0)) for n in names]
+    near = {i: sorted(j for j, b in enumerate(nodes) if abs(b[0] - a[0]) == 1 and np.hypot(a[2] - b[2], a[3] - b[3]) < radius) for i, a in enumerate(nodes)}
+    paths = []
+    for i in near:
+        found, queue = {i: [i]}, [i]
+        for n in queue:
+            for m in near[n]:
+                if m not in found:
+                    found[m] = [*found[n], m]
+                    queue.append(m)
+        paths += [p for m, p in found.items() if m != i and nodes[m][0] >= nodes[i][0]]
+    paths = sorted(p for p in paths if not any(len(q) > len(p) and set(p) <= set(q) for q in paths))
+    number = {}
+    for k, p in enumerate(paths):
+        for n in p:
+            number[nodes[n][:2]] = max(k, number.get(nodes[n][:2], 0))
+    return {z: np.vectorize(lambda v, z=z: number.get((z, v), 0), otypes=[int])(v) for z, v in scaled.items()}
+
+
+def by_slice(df):
+    found = {}
+    for r in df.collect():
+        found.setdefault(r.stack, {})[r.z] = np.array(r.pixels).reshape(r.height, r.width).astype(int)
+    return found
+
+
+def test_flows_are_the_plain_ones(spark):
+    from slicewise.plans import registry, volume_queries
+
+    d, q = "/root/testdata/sf0.001", registry.queries()
+    t = volume_queries.t
+    slices, blue = stacks(t.slices(spark, d, 20)), stacks(volume_queries.with_nuclei(spark, d).withColumn("pixels", F.col("nuclei")))
+    slide = lambda v: [v[i : i + 3].max(axis=0) for i in range(len(v) - 2)]
+
+    def nuclei(v):
+        labels = np.stack([plain_segment(np.round(w, 9), 4.0) for w in slide(whole_volumes.equalised(v, 0.05))])
+        return plain_decoupled(dict(enumerate(whole_volumes.stitched(labels, 0.8))), 3)
+
+    def cells(v, b):
+        windows = {}
+        for z, (red, inner) in enumerate(zip(slide(whole_volumes.equalised(v, 0.1)), slide(b))):
+            r, n = plain_byte(red, red.max()), plain_byte(inner, inner.max())
+            most = max(r.max(), n.max())
+            windows[z] = plain_segment(plain_byte(r, most).astype(float), 4.0, plain_byte(n, most).astype(float))
+        return plain_decoupled(windows, 3)
+
+    def organoids(v):
+        flat = whole_volumes.equalised(v, 0.1)
+        smooth = whole_volumes.butterworth(np.stack([imagemath.gaussian(flat[i : i + 3]).max(axis=0) for i in range(len(v) - 2)]))
+        labels = whole_volumes.stitched(np.stack([plain_segment(np.round(w, 9), 4.0) for w in smooth]), 0.8)
+        return {z: labels[max(0, z - 2) : z + 1].max(axis=0) for z in range(len(v))}
+
+    some = sorted(slices)[:6]
+    got = {name: by_slice(q[f"flow_{name}"](spark, d).where(F.col("stack") <= some[-1])) for name in ("nuclei", "cells", "organoids", "cytoplasm")}
+    for s in some:
+        n, c = nuclei(slices[s]), cells(slices[s], blue[s])
+        same = lambda a, b: a.keys() == b.keys() and all(np.array_equal(a[z], b[z]) for z in b)
+        assert same(got["nuclei"].get(s, {}), n) and same(got["cells"].get(s, {}), c) and same(got["organoids"][s], organoids(slices[s]))
+        assert same(got["cytoplasm"].get(s, {}), {z: np.where(n[z] > 0, 0, v) if z in n else v for z, v in c.items()})
+    shallow = stacks(t.slices(spark, d, 5))
+    found = by_slice(q["flow_objects"](spark, d))
+    numbers = 0
+    for s, v in shallow.items():
+        want = plain_objects(nuclei(v), 3.0) if nuclei(v) else {}
+        assert found.get(s, {}).keys() == want.keys() and all(np.array_equal(found[s][z], want[z]) for z in want)
+        numbers = max(numbers, *(w.max() for w in want.values())) if want else numbers
+    assert numbers > 1
+
+
 def test_density_by_bins_is_near_the_plain_one(spark):
     rng = random.Random(9)
     values = [rng.gauss(0, 1) for _ in range(400)] + [rng.gauss(5, 0.5) for _ in range(200)]
