@@ -1,6 +1,7 @@
 """Whole flows from images to masks and objects, each a chain of this library's operators on slice rows.
 
-A flow is one lazy plan but for the operators that keep links or paths in the shared folder (stitching, overlaps, paths).
+Labels are kept in the shared folder after a model has made them and where they are read more than once, as are the links and
+paths of the operators; what comes before a model is one lazy plan.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from slicewise.functions import imagemath
 from slicewise.operators import images, linking, masks, volume
+from slicewise.sources.shared import stored
 
 Segment = Callable[..., np.ndarray]
 
@@ -30,8 +32,8 @@ def nuclei(slices: DataFrame, width: int = 3, scale: float = 1.0, segment: Segme
     """
     model = images.MODELS["nuclei"]
     windows = images.sliding_max(images.equalised(slices, model["clip_limit"]), width)
-    labels = images.segmented(windows, model["diameter"] * scale, segment)
-    return _decoupled(images.stitched(labels, model["stitch"]), width)
+    labels = stored(images.segmented(windows, model["diameter"] * scale, segment))
+    return _decoupled(stored(images.stitched(labels, model["stitch"])), width)
 
 
 def cells(slices: DataFrame, second: str, width: int = 3, scale: float = 1.0, segment: Segment = imagemath.watershed_segment) -> DataFrame:
@@ -42,7 +44,7 @@ def cells(slices: DataFrame, second: str, width: int = 3, scale: float = 1.0, se
     blue = images.sliding_max(slices.withColumn("pixels", F.col(second)), width)
     both = flat.join(blue.select("stack", "z", F.col("pixels").alias("_blue")), ["stack", "z"])
     picture = volume.rgb_composite(both, "pixels", "_blue").select(*images.SHAPE, *(F.col(c).cast("array<double>").alias(n) for c, n in (("r", "pixels"), ("b", "blue"))))
-    return _decoupled(images.segmented(picture, model["diameter"] * scale, segment, "blue"), width)
+    return _decoupled(stored(images.segmented(picture, model["diameter"] * scale, segment, "blue")), width)
 
 
 def organoids(slices: DataFrame, width: int = 3, scale: float = 1.0, segment: Segment = imagemath.watershed_segment) -> DataFrame:
@@ -50,8 +52,8 @@ def organoids(slices: DataFrame, width: int = 3, scale: float = 1.0, segment: Se
     stitched, and for each slice the largest label of its windows."""
     model = images.MODELS["organoid"]
     smooth = images.low_pass(images.blurred_maximum(images.equalised(slices, model["clip_limit"]), width))
-    labels = images.stitched(images.segmented(smooth, model["diameter"] * scale, segment), model["stitch"])
-    return images.merged_windows(labels, width)
+    labels = stored(images.segmented(smooth, model["diameter"] * scale, segment))
+    return images.merged_windows(images.stitched(labels, model["stitch"]), width)
 
 
 def objects(labels: DataFrame, radius: float = 10.0, first_object: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -60,8 +62,8 @@ def objects(labels: DataFrame, radius: float = 10.0, first_object: int = 0) -> t
 
     Bytes leave labels of a stack apart if there are fewer than 256 of them.
     """
-    scaled = volume.rescaled_to_range(labels).withColumn("pixels", F.col("pixels").cast("array<double>"))
-    found = images.stored(linking.centroids(scaled))
+    scaled = stored(volume.rescaled_to_range(labels).withColumn("pixels", F.col("pixels").cast("array<double>")))
+    found = stored(linking.centroids(scaled))
     numbers = linking.numbered(linking.longest(linking.paths(linking.edges(found, radius))), first_object)
-    nodes = images.stored(linking.path_nodes(found, numbers))
+    nodes = stored(linking.path_nodes(found, numbers))
     return linking.relabelled(scaled, nodes), nodes

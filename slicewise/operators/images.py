@@ -152,9 +152,9 @@ def equalised(slices: DataFrame, clip_limit: float = 0.05) -> DataFrame:
     layer of tiles of each part of z; a slice meets the two layers beside it and makes their clipped maps. Its pixels move
     once. Slices of a stack follow each other in z.
     """
-    ranges = slices.groupBy("stack").agg(
-        F.min(F.array_min("pixels")).alias("_low"), F.max(F.array_max("pixels")).alias("_high"), F.min("z").alias("_first"), (F.max("z") - F.min("z") + 1).alias("_depth"))
-    known = slices.select(*SHAPE, "pixels").join(bounded(ranges), "stack")
+    ranges = bounded(slices.groupBy("stack").agg(
+        F.min(F.array_min("pixels")).alias("_low"), F.max(F.array_max("pixels")).alias("_high"), F.min("z").alias("_first"), (F.max("z") - F.min("z") + 1).alias("_depth")))
+    known = slices.select(*SHAPE, "pixels").join(ranges, "stack")
 
     def count(batches):
         for b in batches:
@@ -355,7 +355,7 @@ def compartment(slices: DataFrame, name: str, segment: Callable[..., np.ndarray]
     if nuclei:
         flat = flat.join(slices.select("stack", "z", F.col(nuclei).alias("nuclei")), ["stack", "z"])
     found = segmented(flat, model["diameter"] * scale, segment, "nuclei" if nuclei else None)
-    return found if model["stitch"] is None else stitched(found, model["stitch"])
+    return found if model["stitch"] is None else stitched(stored(found), model["stitch"])
 
 
 def power_slopes(slices: DataFrame) -> DataFrame:

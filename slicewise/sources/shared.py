@@ -19,6 +19,13 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.split("[")[0] == "local"
 
 
+def until_end(spark: SparkSession, shared: str) -> str:
+    """The folder in ``shared`` of this application's working tables, which is deleted when the driver ends."""
+    folder = f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}-tables"
+    Store(spark, folder).delete_at_end(folder)
+    return folder
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder name in the session's shared checkpoint folder; a local one only where Spark itself is local.
 
@@ -30,9 +37,7 @@ def scratch(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="slices"))
         shared = spark.sparkContext.getCheckpointDir()
-    folder = f"{shared}/{uuid4().hex}"
-    Store(spark, folder).delete_at_end(folder)
-    return folder
+    return f"{until_end(spark, shared)}/{uuid4().hex}"
 
 
 def stored(df: DataFrame) -> DataFrame:

@@ -105,9 +105,9 @@ class Store:
     def delete(self, path: str) -> None:
         self.fs.delete(self.path(path), True)
 
-    def delete_at_end(self, path: str) -> None:
-        """Delete a folder when Spark's driver ends."""
-        self.fs.deleteOnExit(self.path(path))
+    def delete_at_end(self, folder: str) -> bool:
+        """Make a folder, if it isn't there, that is deleted with all in it when Spark's driver ends."""
+        return self.fs.mkdirs(self.path(folder)) and self.fs.deleteOnExit(self.path(folder))
 
 
 def in_threads(work, items) -> None:

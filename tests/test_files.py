@@ -175,6 +175,30 @@ def test_of_two_writers_one_wins(spark, tmp_path):
     assert far.put_new("viewfs://other/in/y", b"1") and not far.put_new("viewfs://other/in/y", b"2") and far.text("viewfs://other/in/y") == "1"
 
 
+def test_working_tables_go_when_the_driver_ends(tmp_path):
+    import os
+    import subprocess
+    import sys
+    import time
+    from pathlib import Path
+
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from slicewise.sources.shared import stored\n"
+        f"spark = SparkSession.builder.master('local').config('spark.checkpoint.dir', 'file://{tmp_path}').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "print('ROWS', stored(spark.range(7)).count())\n"
+        f"import os; print('TABLES', sum(n.endswith('-tables') for n in os.listdir('{tmp_path}')))\n"
+        "spark.stop()\n")
+    root = str(Path(__file__).resolve().parents[1])
+    out = subprocess.run([sys.executable, "-c", code], env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True, timeout=200).stdout
+    assert "ROWS 7" in out and "TABLES 1" in out
+    for _ in range(100):  # the JVM ends a little later
+        if not list(tmp_path.glob("*-tables")):
+            break
+        time.sleep(0.2)
+    assert not list(tmp_path.glob("*-tables"))
+
+
 def test_platemap(spark, tmp_path):
     (tmp_path / "platemap.csv").write_text("well_position,treatment,dose,WellRow,WellCol\nC2,drug,1,C,2\n")
     assert [tuple(r) for r in files.read_platemap(spark, str(tmp_path / "platemap.csv")).collect()] == [("C2", "drug", "1")]
