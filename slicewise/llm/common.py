@@ -9,8 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicewise.sources.shared import is_local
-from slicewise.sources.store import Store
+from slicewise.sources.shared import is_local, until_end
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,9 +36,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again, for tables with texts."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid4().hex}"
-    Store(df.sparkSession, path).delete_at_end(path)
+    """``df`` written as Parquet in the shared folder and read again, for tables with texts; it goes when the driver ends."""
+    path = f"{until_end(df.sparkSession, shared_folder(df.sparkSession))}/{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
