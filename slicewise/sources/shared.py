@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,8 @@ from slicewise.sources.store import Store
 
 #: Rows of a table that is sent to every task; more are joined by a shuffle.
 FEW = 20_000
+#: Spark's setting for executions that free their shuffle files at their end.
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def is_local(spark: SparkSession) -> bool:
@@ -40,10 +44,25 @@ def scratch(spark: SparkSession) -> str:
     return f"{until_end(spark, shared)}/{uuid4().hex}"
 
 
+@contextmanager
+def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Executions inside free their shuffle files when they end, for those whose result is kept or collected.
+
+    Otherwise the files stay until the driver's garbage is collected. A plan that runs again shuffles again.
+    """
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREED) if before is None else spark.conf.set(FREED, before)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet in a new shared folder and read again: its lineage is cut where all executors see it."""
     path = scratch(df.sparkSession)
-    df.write.parquet(path)
+    with freeing_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
