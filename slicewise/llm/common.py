@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicewise.sources.shared import is_local, until_end
+from slicewise.sources.shared import freeing_shuffles, is_local, until_end
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,13 +32,15 @@ def shared_folder(spark: SparkSession) -> str:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with freeing_shuffles(df.sparkSession):
+        return df.checkpoint(eager=True)
 
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again, for tables with texts; it goes when the driver ends."""
     path = f"{until_end(df.sparkSession, shared_folder(df.sparkSession))}/{uuid4().hex}"
-    df.write.parquet(path)
+    with freeing_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from slicewise.llm import passages as P
 from slicewise.llm.common import checkpointed, stored
+from slicewise.sources.shared import freeing_shuffles
 
 #: Frequent words have 20-bit ids, with their totals on the driver. Every other word is rare: a word of the
 #: model like them, known by its hash, with its totals in hash buckets. Scores don't depend on which are.
@@ -336,7 +337,8 @@ def fitted(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple
     seen = Observation()
     counted = docs.mapInArrow(words, "bucket int, blob array<binary>, tokens long").groupBy("bucket").applyInArrow(tally, "h long, n long, tokens long")
     counted = counted.observe(seen, F.sum("tokens").alias("tokens"))
-    top = counted.where("h is not null").select("h", "n").orderBy(F.col("n").desc(), "h").limit(vocabulary).toArrow()
+    with freeing_shuffles(docs.sparkSession):
+        top = counted.where("h is not null").select("h", "n").orderBy(F.col("n").desc(), "h").limit(vocabulary).toArrow()
     tokens = seen.get["tokens"] or 0
     hashes = top["h"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
