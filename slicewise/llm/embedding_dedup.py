@@ -208,7 +208,9 @@ def near_vectors(
 
     kind = classes.schema["v"].dataType.simpleString()
     decoded = classes.select("node", "copies", "v").mapInArrow(decode, f"node long, copies long, v {kind}, filters array<long>")
-    cells = in_tiles(decoded.withColumn("filter", F.explode("filters")), "filter", tile, "node")
+    spread = decoded.select("node", "copies", "v", "filters", F.posexplode("filters").alias("_at", "filter"))
+    spread = spread.select("node", "copies", "v", "filter", F.slice("filters", F.lit(1), F.col("_at")).alias("filters"))  # those before: a pair counts in the first
+    cells = in_tiles(spread, "filter", tile, "node")
     parts = ["filter", "tile_a", "tile_b"]
 
     def verify(batches):
