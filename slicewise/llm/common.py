@@ -36,12 +36,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again, for tables with texts; it goes when the driver ends."""
+def kept(df: DataFrame, *by: str) -> str:
+    """The folder of ``df``, written as Parquet in the shared folder, with a folder inside for each value of ``by``; it goes when the driver ends."""
     path = f"{until_end(df.sparkSession, shared_folder(df.sparkSession))}/{uuid4().hex}"
     with freeing_shuffles(df.sparkSession):
-        df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+        df.write.partitionBy(*by).parquet(path)
+    return path
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` kept in the shared folder and read again, for tables with texts."""
+    return df.sparkSession.read.parquet(kept(df))
 
 
 def in_tiles(df: DataFrame, key: str, tile: int, by: str) -> DataFrame:

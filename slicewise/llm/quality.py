@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from slicewise.llm import passages as P
-from slicewise.llm.common import checkpointed, stored
+from slicewise.llm.common import checkpointed, kept
 from slicewise.sources.shared import freeing_shuffles
+from slicewise.sources.store import Store
 
 #: Frequent words have 20-bit ids, with their totals on the driver. Every other word is rare: a word of the
 #: model like them, known by its hash, with its totals in hash buckets. Scores don't depend on which are.
@@ -431,10 +432,13 @@ def fitted(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple
 
     schema = "kind int, fold int, part int, blob array<binary>"
     sent = docs.mapInArrow(pairs, "bucket int, fold int, blob array<binary>")
-    found = stored(sent.groupBy("bucket").applyInArrow(totals, schema))
-    whole = found.where("kind < 8").groupBy("kind", "fold", "part").applyInArrow(add, schema)
-    model.settle([(r.kind, r.fold, [bytes(x) for x in r.blob]) for r in whole.collect()])
-    return model, found.where("kind >= 8").select(F.col("part").alias("bucket"), "kind", "blob")
+    path = kept(sent.groupBy("bucket").applyInArrow(totals, schema).withColumn("side", F.col("kind") >= 8), "side")
+    read = docs.sparkSession.read.schema(f"{schema}, side boolean")
+    whole = read.parquet(path).where("not side").drop("side").groupBy("kind", "fold", "part").applyInArrow(add, schema)
+    with freeing_shuffles(docs.sparkSession):
+        model.settle([(r.kind, r.fold, [bytes(x) for x in r.blob]) for r in whole.collect()])
+    Store(docs.sparkSession, path).delete(f"{path}/side=false")  # they are in the model now
+    return model, read.parquet(path).where("side").select(F.col("part").alias("bucket"), "kind", "blob")
 
 
 def scored(docs: DataFrame, model: Model, side: DataFrame, buckets: int) -> DataFrame:
