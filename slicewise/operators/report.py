@@ -85,9 +85,9 @@ def flag_share(qc: DataFrame, columns: list[str]) -> DataFrame:
 
 def folder_inventory(folders: DataFrame) -> DataFrame:
     """(plate, well, site) from folder names: the text before a space, split at the hyphen; extra pieces
-    are dropped, and missing or non-numeric ones are null."""
+    are dropped, and missing or non-numeric ones are null. A site has any number of digits."""
     parts = F.split(F.split("folder", " ")[0], "-")
-    return folders.select("plate", parts[0].alias("well"), F.try_to_number(F.get(parts, F.lit(1)), F.lit("9")).cast("int").alias("site"))
+    return folders.select("plate", parts[0].alias("well"), F.get(parts, F.lit(1)).try_cast("int").alias("site"))
 
 
 def missing_organoids(inventory: DataFrame, qc: DataFrame) -> DataFrame:
