@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slicewise.operators import images
-from slicewise.sources.shared import stored
+from slicewise.sources.shared import joined, stored
 
 COMPARTMENTS = ("nuclei", "cell")
 
@@ -57,7 +57,7 @@ def edges(objects: DataFrame, radius: float = 10.0) -> DataFrame:
     b = objects.select("stack", (F.col("slice") - 1).alias("slice"), F.explode(F.sequence(square("centroid_0") - 1, square("centroid_0") + 1)).alias("_s0"), "centroid_0", "centroid_1", F.col("unique_id").alias("dst"))
     b = b.select("stack", "slice", "_s0", F.explode(F.sequence(square("centroid_1") - 1, square("centroid_1") + 1)).alias("_s1"), "dst", F.col("centroid_0").alias("_b0"), F.col("centroid_1").alias("_b1"))
     weight = F.sqrt((F.col("_a0") - F.col("_b0")) * (F.col("_a0") - F.col("_b0")) + (F.col("_a1") - F.col("_b1")) * (F.col("_a1") - F.col("_b1")))
-    return a.join(b, ["stack", "slice", "_s0", "_s1"]).select("stack", "slice", "src", "dst", weight.alias("weight")).where(F.col("weight") < radius)
+    return joined(a, b, ["stack", "slice", "_s0", "_s1"]).select("stack", "slice", "src", "dst", weight.alias("weight")).where(F.col("weight") < radius)
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from slicewise.functions import imagemath
 from slicewise.operators import images, linking, masks, paths, quality_control, report, volume
 from slicewise.sources import tiff
+from slicewise.sources.shared import stored
 
 VOXEL = "stack int, z int, y int, x int, v int, lab int"
 
@@ -257,6 +258,16 @@ def test_edges_are_those_of_all_pairs(spark):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_edges_are_joined_without_a_broadcast(spark):
+    rows = [(s, z, 1, float(s), float(z), z) for s in range(50) for z in range(4)]
+    objects = spark.createDataFrame(rows, "stack int, slice int, label int, centroid_0 double, centroid_1 double, unique_id long")
+    assert "Broadcast" not in plan(linking.edges(stored(objects), 10.0))
+
+
 def random_links(spark, seed, stacks=6):
     rng = random.Random(seed)
     rows = set()
