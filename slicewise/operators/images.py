@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from slicewise.functions import imagemath
 from slicewise.sources import gif, tiff
-from slicewise.sources.shared import bounded, stored
+from slicewise.sources.shared import bounded, joined, stored
 
 SHAPE = ["stack", "z", "height", "width"]
 SLICES = "stack int, z int, height int, width int, pixels array<double>"
@@ -296,7 +296,7 @@ def renamed(slices: DataFrame, names: DataFrame) -> DataFrame:
     Names fold to one list for each slice, which meets the slice; pixels stay arrays.
     """
     lists = names.groupBy("stack", "z").agg(F.sort_array(F.collect_list(F.struct(F.col("label").cast("double").alias("label"), F.col("object").cast("double").alias("object")))).alias("_names"))
-    found = slices.select(*SHAPE, "pixels").join(lists.select("stack", "z", F.col("_names.label").alias("_from"), F.col("_names.object").alias("_to")), ["stack", "z"], "left")
+    found = joined(slices.select(*SHAPE, "pixels"), lists.select("stack", "z", F.col("_names.label").alias("_from"), F.col("_names.object").alias("_to")), ["stack", "z"], "left")
 
     def work(batches):
         for b in batches:

@@ -69,10 +69,10 @@ def components(links: DataFrame) -> DataFrame:
     ends = stored(links.select("stack", F.explode(F.array(F.struct(F.col("src").alias("node"), F.col("dst").alias("other")), F.struct(F.col("dst").alias("node"), F.col("src").alias("other")))).alias("_e")).select("stack", "_e.node", "_e.other"))
     at = ends.groupBy("stack", "node").agg(F.least(F.col("node"), F.min("other")).alias("component"))
     while True:
-        beside = ends.join(at.select("stack", F.col("node").alias("other"), "component"), ["stack", "other"]).groupBy("stack", "node").agg(F.min("component").alias("near"))
-        least = at.join(beside, ["stack", "node"]).select("stack", "node", "component", F.least("component", "near").alias("near"))
+        beside = joined(ends, at.select("stack", F.col("node").alias("other"), "component"), ["stack", "other"]).groupBy("stack", "node").agg(F.min("component").alias("near"))
+        least = joined(at, beside, ["stack", "node"]).select("stack", "node", "component", F.least("component", "near").alias("near"))
         jump = at.select("stack", F.col("node").alias("near"), F.col("component").alias("beyond"))
-        on = stored(least.join(jump, ["stack", "near"]).select("stack", "node", F.col("beyond").alias("component"), (F.col("beyond") != F.col("component")).alias("moved")))
+        on = stored(joined(least, jump, ["stack", "near"]).select("stack", "node", F.col("beyond").alias("component"), (F.col("beyond") != F.col("component")).alias("moved")))
         moved = on.where("moved").limit(1).count()
         at = on.drop("moved")
         if not moved:
@@ -125,7 +125,7 @@ def paths(links: DataFrame, most_links: int = 20_000) -> DataFrame:
     if large.limit(1).count():
         own = links.join(large, "stack", "left_semi")
         rest = links.join(large, "stack", "left_anti").withColumn("component", F.lit(-1).cast("long"))
-        grouped = rest.unionByName(own.join(components(own).withColumnRenamed("node", "src"), ["stack", "src"]))
+        grouped = rest.unionByName(joined(own, components(own).withColumnRenamed("node", "src"), ["stack", "src"]))
     return stored(grouped.groupBy("stack", "component").applyInArrow(_walks, "stack int, node1 long, node2 long, path array<long>, distance double"))
 
 
@@ -137,9 +137,9 @@ def containers(found: DataFrame) -> DataFrame:
     """
     index = found.select("stack", "path", F.explode("path").alias("node"))
     often = index.groupBy("stack", "node").agg(F.count("*").alias("n"))
-    rarest = index.join(often, ["stack", "node"]).groupBy("stack", "path").agg(F.min(F.struct("n", "node"))["node"].alias("node"))
+    rarest = joined(index, often, ["stack", "node"]).groupBy("stack", "path").agg(F.min(F.struct("n", "node"))["node"].alias("node"))
     holders = index.select("stack", "node", F.col("path").alias("longer"))
-    return rarest.join(holders, ["stack", "node"]).where(F.size("longer") > F.size("path")).select("stack", "path", "longer")
+    return joined(rarest, holders, ["stack", "node"]).where(F.size("longer") > F.size("path")).select("stack", "path", "longer")
 
 
 def longest(found: DataFrame) -> DataFrame:
@@ -150,9 +150,9 @@ def longest(found: DataFrame) -> DataFrame:
     an inverted index (``containers``).
     """
     shorter = found.select("stack", F.explode(F.array(F.expr("slice(path, 1, size(path) - 1)"), F.expr("slice(path, 2, size(path) - 1)"))).alias("path"))
-    left = stored(found.join(shorter, ["stack", "path"], "left_anti"))
+    left = stored(joined(found, shorter, ["stack", "path"], "left_anti"))
     inside = containers(left).where(F.size(F.array_except("path", "longer")) == 0).select("stack", "path")
-    return left.join(inside, ["stack", "path"], "left_anti").select(*found.columns)
+    return joined(left, inside, ["stack", "path"], "left_anti").select(*found.columns)
 
 
 def numbered(found: DataFrame, first_object: int = 0) -> DataFrame:
@@ -164,7 +164,7 @@ def numbered(found: DataFrame, first_object: int = 0) -> DataFrame:
 def path_nodes(objects: DataFrame, numbers: DataFrame) -> DataFrame:
     """A row for each node of each object, with its place."""
     nodes = numbers.select("stack", "object_number", F.posexplode("path").alias("step", "unique_id"))
-    return nodes.join(objects, ["stack", "unique_id"]).select("stack", "object_number", "step", "unique_id", "slice", "label", "centroid_0", "centroid_1")
+    return joined(nodes, objects, ["stack", "unique_id"]).select("stack", "object_number", "step", "unique_id", "slice", "label", "centroid_0", "centroid_1")
 
 
 def relabelled(slices: DataFrame, nodes: DataFrame) -> DataFrame:

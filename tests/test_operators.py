@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from slicewise.functions import imagemath
 from slicewise.operators import images, linking, masks, paths, quality_control, report, volume
 from slicewise.sources import tiff
-from slicewise.sources.shared import stored
+from slicewise.sources.shared import bounded, stored
 
 VOXEL = "stack int, z int, y int, x int, v int, lab int"
 
@@ -268,6 +268,16 @@ def test_edges_are_joined_without_a_broadcast(spark):
     assert "Broadcast" not in plan(linking.edges(stored(objects), 10.0))
 
 
+def test_objects_and_paths_meet_without_a_broadcast(spark):
+    found = stored(spark.createDataFrame([(0, 1, 2, [1, 2], 1.0, 0)], "stack int, node1 long, node2 long, path array<long>, distance double, object_number int"))
+    objects = stored(spark.createDataFrame([(0, z, 1, 0.0, 0.0, z + 1) for z in range(2)], "stack int, slice int, label int, centroid_0 double, centroid_1 double, unique_id long"))
+    nodes = stored(linking.path_nodes(objects, found))
+    slices = stored(spark.createDataFrame([(0, z, 1, 1, [1.0]) for z in range(2)], images.SLICES))
+    for df in (linking.path_nodes(objects, found), linking.longest(found), linking.containers(found), linking.relabelled(slices, nodes)):
+        assert "Broadcast" not in plan(df)
+    assert "Broadcast" not in plan(slices.join(bounded(slices.groupBy("stack").count(), most=0), "stack"))
+
+
 def random_links(spark, seed, stacks=6):
     rng = random.Random(seed)
     rows = set()
