@@ -169,7 +169,7 @@ def equalised(slices: DataFrame, clip_limit: float = 0.05) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(stack, sizes)), pa.array(np.repeat(np.array(layers, np.int32), sizes)), pa.array(cell), pa.array(n)], names=["stack", "layer", "cell", "n"])
 
     counts = known.mapInArrow(count, "stack int, layer int, cell long, n long").groupBy("stack", "layer", "cell").agg(F.sum("n").alias("n"))
-    layers = counts.groupBy("stack", "layer").agg(F.collect_list(F.struct("cell", "n")).alias("layer_counts"))
+    layers = counts.groupBy("stack", "layer").agg(F.collect_list(F.struct(F.col("cell").cast("int").alias("cell"), "n")).alias("layer_counts"))
 
     def beside(batches):
         """Which layers a slice blends, and the share of the second: rows (stack, z, layer, second, share)."""
@@ -183,7 +183,7 @@ def equalised(slices: DataFrame, clip_limit: float = 0.05) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64()))], names=["stack", "z", "layer", "second", "share"])
 
     places = ranges.select("stack", "_first", "_depth").mapInArrow(beside, "stack int, z int, layer int, second int, share double")
-    pairs = places.join(layers, ["stack", "layer"]).groupBy("stack", "z").agg(
+    pairs = joined(places, layers, ["stack", "layer"]).groupBy("stack", "z").agg(
         *(F.max(F.when(F.col("second") == k, F.col("layer_counts"))).alias(f"_c{k}") for k in (0, 1)), F.max("share").alias("_share"))
     pairs = pairs.select("stack", "z", "_share", *(F.col(f"_c{k}.{c}").alias(f"_{c}{k}") for k in (0, 1) for c in ("cell", "n")))
 
@@ -203,7 +203,7 @@ def equalised(slices: DataFrame, clip_limit: float = 0.05) -> DataFrame:
                 made.append(imagemath.mapped(imagemath.levels(image, low[i], high[i], BINS), maps, share[i], TILES))
             yield pa.RecordBatch.from_arrays([*(b[c] for c in SHAPE), _lists(made)], schema=SLICE_TYPE)
 
-    return known.join(pairs, ["stack", "z"]).mapInArrow(blend, SLICES)
+    return joined(known, pairs, ["stack", "z"]).mapInArrow(blend, SLICES)
 
 
 def low_pass(slices: DataFrame, cutoff: float = 0.1, order: int = 5) -> DataFrame:
@@ -265,18 +265,18 @@ def overlaps(slices: DataFrame) -> DataFrame:
 
     def work(batches):
         for b in batches:
-            out = [np.zeros(0, np.int64)] * 7
+            made = [[np.zeros(0, np.int64)] * 7]
             for stack, z, now, old in zip(b["stack"].to_pylist(), b["z"].to_pylist(), arrays(b), arrays(b, "_before")):
                 now, old = now.astype(np.int64), old.astype(np.int64)
                 both = (now > 0) & (old > 0)
                 pairs, common = np.unique(np.stack([now[both], old[both]]), axis=1, return_counts=True)
                 area = [n[np.searchsorted(names, p)] for (names, n), p in zip((np.unique(a, return_counts=True) for a in (now, old)), pairs)]
-                made = (np.full(len(common), stack), np.full(len(common), z), *pairs, common, *area)
-                out = [np.concatenate([c, x]) for c, x in zip(out, made)]
+                made.append((np.full(len(common), stack), np.full(len(common), z), *pairs, common, *area))
+            out = [np.concatenate(c) for c in zip(*made)]
             yield pa.RecordBatch.from_arrays([pa.array(c.astype(k)) for c, k in zip(out, ("i4", "i4", "i8", "i8", "i8", "i8", "i8"))], names=names)
 
     names = ["stack", "z", "label", "before", "common", "area", "area_before"]
-    return slices.select(*SHAPE, "pixels").join(earlier, ["stack", "z"]).mapInArrow(work, "stack int, z int, label long, before long, common long, area long, area_before long")
+    return joined(slices.select(*SHAPE, "pixels"), earlier, ["stack", "z"]).mapInArrow(work, "stack int, z int, label long, before long, common long, area long, area_before long")
 
 
 def close_overlaps(slices: DataFrame, least_overlap: float = 0.8) -> DataFrame:
@@ -327,18 +327,18 @@ def stitched(slices: DataFrame, least_overlap: float = 0.8) -> DataFrame:
     most = close.withColumn("_most", F.max("iou").over(Window.partitionBy("stack", "z", "before"))).where("iou = _most")
     link = most.groupBy("stack", "z", "label").agg(F.min(F.struct(-F.col("iou"), "before"))["before"].alias("label0"))
     own = F.struct(F.col("z").alias("z0"), F.col("label").alias("label0"))
-    at = labels_of(slices).join(link, ["stack", "z", "label"], "left")
+    at = joined(labels_of(slices), link, ["stack", "z", "label"], "left")
     at = at.select("stack", "z", "label", F.when(F.col("label0").isNull(), own).otherwise(F.struct((F.col("z") - 1).alias("z0"), "label0")).alias("first"))
     at = stored(at.select("stack", "z", "label", "first.z0", "first.label0"))
     while True:
         to = at.select("stack", F.col("z").alias("z0"), F.col("label").alias("label0"), F.col("z0").alias("_z"), F.col("label0").alias("_label"))
-        on = stored(at.join(to, ["stack", "z0", "label0"]).select("stack", "z", "label", F.col("_z").alias("z0"), F.col("_label").alias("label0"), (F.col("_z") != F.col("z0")).alias("moved")))
+        on = stored(joined(at, to, ["stack", "z0", "label0"]).select("stack", "z", "label", F.col("_z").alias("z0"), F.col("_label").alias("label0"), (F.col("_z") != F.col("z0")).alias("moved")))
         moved = on.where("moved").limit(1).count()
         at = on.drop("moved")
         if not moved:
             break
     roots = at.where("z = z0").select("stack", "z0", "label0", F.row_number().over(Window.partitionBy("stack").orderBy("z0", "label0")).alias("object"))
-    return renamed(slices, at.join(roots, ["stack", "z0", "label0"]).select("stack", "z", "label", "object"))
+    return renamed(slices, joined(at, roots, ["stack", "z0", "label0"]).select("stack", "z", "label", "object"))
 
 
 def compartment(slices: DataFrame, name: str, segment: Callable[..., np.ndarray] = imagemath.watershed_segment, scale: float = 1.0, nuclei: str | None = None) -> DataFrame:

@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slicewise.operators import images
-from slicewise.sources.shared import stored
+from slicewise.sources.shared import joined, stored
 
 MASK = ["stack", "z", "label", "pseudo_slice"]
 WINDOW = ["stack", "z", "pseudo_slice", "height", "width"]
+#: Slices whose windows are painted in one group; a group costs milliseconds besides its pixels.
+SLICES_AT_ONCE = 8
 #: A mask's number in its slice, from 1.
 RANK = "cast(row_number() over (partition by stack, z order by label, pseudo_slice) as long) i"
 
@@ -55,7 +57,7 @@ def candidates(masks: DataFrame, above: float = 0.8) -> DataFrame:
     least = F.slice(F.array_sort("coords"), F.lit(1), (n - F.ceil(above * n - 1e-9) + 1).cast("int"))
     prefix = masks.select("stack", "z", "i", n.alias("n"), F.explode(least).alias("c"))
     other = prefix.select("stack", "z", "c", F.col("i").alias("j"), F.col("n").alias("_n"))
-    met = prefix.join(other, ["stack", "z", "c"]).where("i < j").where((F.col("_n") >= above * F.col("n")) & (F.col("n") >= above * F.col("_n")))
+    met = joined(prefix, other, ["stack", "z", "c"]).where("i < j").where((F.col("_n") >= above * F.col("n")) & (F.col("n") >= above * F.col("_n")))
     return met.select("stack", "z", "i", "j").distinct()
 
 
@@ -68,7 +70,7 @@ def overlaps(masks: DataFrame, above: float = 0.8) -> DataFrame:
     m = stored(masks.selectExpr(*MASK, "area", RANK, "array_distinct(concat(ys, xs)) coords"))
     side = lambda k: m.select("stack", "z", F.col("i").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in ("label", "pseudo_slice", "area", "coords")))
     common = F.size(F.array_intersect("coords_i", "coords_j"))
-    pairs = candidates(m, above).join(side("i"), ["stack", "z", "i"]).join(side("j"), ["stack", "z", "j"])
+    pairs = joined(joined(candidates(m, above), side("i"), ["stack", "z", "i"]), side("j"), ["stack", "z", "j"])
     return _both_ways(pairs.withColumn("iou", common / (F.size("coords_i") + F.size("coords_j") - common)), above)
 
 
@@ -106,32 +108,39 @@ def decoupled(rows: DataFrame, above: float = 0.8, iou: str = "coordinate_set")
     """Label slices (stack, z, height, width, pixels) with one label for each pixel that a winning mask covers, else -1.
 
     Winners are painted in the order of their pairs (i, j), the last paint stays. A mask's last paint is
-    all that counts of it, so pairs fold to one turn for each winner, and those to a list for each slice, before they
-    meet pixels, which move once. The windows of one slice are a Spark group. Slices without any winner don't come.
+    all that counts of it, so pairs fold to one turn for each winner before they meet pixels, which move once. The
+    windows of up to ``SLICES_AT_ONCE`` slices are a Spark group. Slices without any winner don't come.
     """
     if iou not in ("coordinate_set", "pixel"):
         raise ValueError(f"no such overlap: {iou}")
     pairs = overlaps(mask_index(rows), above) if iou == "coordinate_set" else pixel_overlaps(rows, above)
     last = pairs.groupBy(*MASK).agg(F.max(F.struct("i", "j")).alias("_turn"))
-    turns = last.groupBy("stack", "z").agg(F.sort_array(F.collect_list(F.struct("_turn", "label", "pseudo_slice"))).alias("_t"))
-    turns = turns.select("stack", "z", F.col("_t.label").alias("_labels"), F.col("_t.pseudo_slice").alias("_windows"))
-
-    def paint(t):
-        t = t.combine_chunks()
-        shape = t["height"][0].as_py(), t["width"][0].as_py()
-        best, label = np.zeros(shape, np.int64), np.full(shape, -1.0)
-        winners, windows = (t[c][0].values.to_numpy() for c in ("_labels", "_windows"))
-        for window, image in zip(t["pseudo_slice"].to_pylist(), images.arrays(t)):
-            turn = np.flatnonzero(windows == window) + 1
-            if not len(turn):
-                continue
-            order = np.argsort(winners[turn - 1])
-            labels, turn = winners[turn - 1][order], turn[order]
-            at = np.minimum(np.searchsorted(labels, image), len(labels) - 1)
-            mine = np.where(labels[at] == image, turn[at], 0)
-            label = np.where(mine > best, image, label)
-            best = np.maximum(mine, best)
-        return images.rows_of(t["stack"][0].as_py(), [(t["z"][0].as_py(), label)])
-
-    painted = rows.select(*WINDOW, "pixels").join(turns, ["stack", "z"])
-    return painted.groupBy("stack", "z").applyInArrow(paint, images.SLICES)
+    of_range = F.floor(F.col("z") / SLICES_AT_ONCE).cast("int").alias("_range")
+    turns = last.select("stack", of_range, "z", "_turn.i", "_turn.j", "label", "pseudo_slice")
+
+    def paint(t, turns):
+        t, made = t.combine_chunks(), []
+        if not t.num_rows:
+            return images.rows_of(0, made)
+        at_z, at_window, found = t["z"].to_numpy(), t["pseudo_slice"].to_numpy(), images.arrays(t)
+        turns = turns.combine_chunks().sort_by([("z", "ascending"), ("i", "ascending"), ("j", "ascending")])
+        turn_z, label_of, window_of = (turns[c].to_numpy() for c in ("z", "label", "pseudo_slice"))
+        for z in np.unique(turn_z).tolist():
+            winners, windows = label_of[turn_z == z], window_of[turn_z == z]
+            rows = np.flatnonzero(at_z == z).tolist()
+            best, label = np.zeros(found[rows[0]].shape, np.int64), np.full(found[rows[0]].shape, -1.0)
+            for window, image in ((at_window[row], found[row]) for row in rows):
+                turn = np.flatnonzero(windows == window) + 1
+                if not len(turn):
+                    continue
+                order = np.argsort(winners[turn - 1])
+                labels, turn = winners[turn - 1][order], turn[order]
+                at = np.minimum(np.searchsorted(labels, image), len(labels) - 1)
+                mine = np.where(labels[at] == image, turn[at], 0)
+                label = np.where(mine > best, image, label)
+                best = np.maximum(mine, best)
+            made.append((z, label))
+        return images.rows_of(t["stack"][0].as_py(), made)
+
+    ranges = rows.select(*WINDOW, "pixels", of_range).groupBy("stack", "_range")
+    return ranges.cogroup(turns.groupBy("stack", "_range")).applyInArrow(paint, images.SLICES)

@@ -227,6 +227,17 @@ def test_decoupling_is_the_brute_force_one(spark):
         masks.decoupled(df, iou="volume")
 
 
+def test_windows_are_painted_in_ranges_of_slices(spark):
+    rng = np.random.default_rng(3)
+    rows = [(7, z, p, 4, 4, rng.integers(0, 3, 16).astype(float).tolist()) for z in range(20) for p in range(z, z + 2)]
+    cells = spark.createDataFrame(rows, "stack int, z int, pseudo_slice int, height int, width int, pixels array<double>")
+    painted = masks.decoupled(cells)
+    assert "FlatMapCoGroupsInArrow" in plan(painted) and "_range" in plan(painted) and "Broadcast" not in plan(painted)
+    apart = cells.withColumn("stack", F.col("z")).withColumn("z", F.lit(0))  # a group for each slice
+    shown = lambda df, at: {r[at]: r.pixels for r in df.collect()}
+    assert shown(painted, "z") and shown(painted, "z") == shown(masks.decoupled(apart), "stack")
+
+
 def test_linking_rules(spark):
     at = [(0, 0, 1, 0.0, 0.0), (0, 0, 2, 0.0, 9.0), (0, 1, 1, 1.0, 0.0), (0, 1, 2, 0.0, 19.0), (0, 3, 1, 0.0, 0.0), (0, 3, 2, 5.0, 5.0)]
     objects = spark.createDataFrame([(*r, i) for i, r in enumerate(at)], "stack int, slice int, label int, centroid_0 double, centroid_1 double, unique_id long")
