@@ -14,13 +14,15 @@ from pyspark.sql import types as T
 
 from slicewise.llm.common import checkpointed, dealt, in_tiles, numbered, runs_of
 from slicewise.llm.components import connected_components
-from slicewise.llm.passages import expanded, squeezed
+from slicewise.llm.passages import Words, expanded, mixed, odd_numbers, squeezed
 
 SEED = 42
 #: Fingerprints that share a key on average, at most; a comparison is cheap beside a key that is shuffled.
 CROWD = 64
 #: Runs of up to so many rows that share a key are compared pair by pair, larger ones breadth first.
 SMALL = 32
+#: Bytes of text that are cut into shingles at a time.
+PIECE = 1 << 20
 #: Cells of the sketch of how frequent shingles are, of 2 ** CELL_BITS, and the ranges that they are added up in.
 CELL_BITS, RANGES = 18, 64
 
@@ -76,17 +78,67 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 4, lanes: i
     return docs.select(*kept, F.col(text).alias("_text")).mapInArrow(work, schema)
 
 
+def shingle_sets(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rising hashes of the distinct shingles of each text, one text after the other, and where each begins, with an end.
+
+    Shingles are as in ``shingle_hashes``; their hashes are rolled over the hashes of all words at once.
+    """
+    words = Words([(t or "").encode().lower() for t in texts])
+    n = np.diff(words.first)
+    count = np.where(n < size, np.minimum(n, 1), n - size + 1)
+    first = np.append(0, np.cumsum(count))
+    h = np.empty(first[-1], np.uint64)
+    rolled, inside = words.rolling(size, SEED)
+    h[np.repeat(n >= size, count)] = rolled[inside]
+    for k in range(1, size):
+        short = np.flatnonzero(n == k)
+        if len(short):
+            h[first[short]] = mixed(sum(words.hash[words.first[short] + i] * f for i, f in enumerate(odd_numbers(k, SEED + k))))
+    for s, e in zip(first[:-1].tolist(), first[1:].tolist()):
+        h[s:e].sort()
+    new = np.append(True, h[1:] != h[:-1])[: len(h)]
+    new[first[:-1][count > 0]] = True
+    return h[new], np.append(0, np.cumsum(new))[first]
+
+
+def pieces(batches, text: str):
+    """The record batches in slices of about PIECE bytes of text, so that what is made of a slice stays small."""
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b[text]), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // PIECE
+        cuts = np.flatnonzero(np.diff(ends, prepend=-1, append=-1)) if len(ends) else []
+        for s, e in zip(cuts[:-1], cuts[1:]):
+            yield b.slice(s, e - s)
+
+
+def majorities(h: np.ndarray, first: np.ndarray, lanes: int) -> np.ndarray:
+    """``fingerprint`` of each of the sets that begin at ``first`` in ``h``, a row each."""
+    n = np.diff(first)
+    out = np.zeros((len(n), lanes), np.int64)
+    if not len(h):
+        return out
+    runs = -(-n // 255)  # a byte counts one bit of up to 255 hashes
+    run = np.cumsum(runs) - runs
+    begin = np.repeat(first[:-1] - 255 * run, runs) + 255 * np.arange(runs.sum())
+    some = n > 0
+    for lane in range(lanes):
+        x, ones = _mixed(h, lane), np.zeros((len(n), 64), np.int64)
+        for bit in range(8):
+            eight = np.add.reduceat((x >> np.uint64(bit)) & np.uint64(0x0101010101010101), begin).astype("<u8").view(np.uint8).reshape(-1, 8)
+            ones[some, bit::8] = np.add.reduceat(eight, run[some], axis=0, dtype=np.int64)
+        out[:, lane] = np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").view("<i8")[:, 0]
+    return out
+
+
 def rarity(docs: DataFrame, text: str, shingle: int) -> np.ndarray:
-    """How many texts have a shingle, added up over the shingles of each cell of a fixed number of cells.
+    """Ranks of a fixed number of cells by how many texts have a shingle of the cell, added up over its shingles.
 
     It only orders shingles, rare ones first, so that the ones many texts share are seldom keys.
     """
 
     def count(batches):
         total = np.zeros(1 << CELL_BITS, np.int64)
-        for b in batches:
-            for x in b[text]:
-                total += np.bincount((np.unique(shingle_hashes(x.as_py(), shingle)) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(total))
+        for b in pieces(batches, text):
+            total += np.bincount(cells_of(shingle_sets(b[text].to_pylist(), shingle)[0]), minlength=len(total))
         blobs = [squeezed(x) for x in total.reshape(RANGES, -1)]
         yield pa.RecordBatch.from_arrays([pa.array(range(RANGES), pa.int32()), pa.array(blobs, pa.binary())], names=["part", "blob"])
 
@@ -97,17 +149,32 @@ def rarity(docs: DataFrame, text: str, shingle: int) -> np.ndarray:
     schema = "part int, blob binary"
     rows = docs.select(text).mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema).collect()
     found = {r["part"]: expanded(bytes(r["blob"]), np.int64) for r in rows}
-    return np.concatenate([found.get(i, np.zeros((1 << CELL_BITS) // RANGES, np.int64)) for i in range(RANGES)])
+    total = np.concatenate([found.get(i, np.zeros((1 << CELL_BITS) // RANGES, np.int64)) for i in range(RANGES)])
+    rank = np.empty(len(total), np.uint16)
+    rank[np.argsort(total, kind="stable")] = np.arange(len(total)) >> (CELL_BITS - 16)  # numbers of 16 bits are sorted fastest
+    return rank
+
+
+def cells_of(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
-def prefix(h: np.ndarray, frequency: np.ndarray, least: float) -> np.ndarray:
-    """The rarest of the distinct shingles ``h``, as many that sets alike by ``least`` or more share one of them.
+def prefixes(h: np.ndarray, first: np.ndarray, rank: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The rarest shingles of each of the sets that begin at ``first`` in ``h``, as many that sets alike by ``least`` or more share one of
+    them, and where each set's begin.
 
     Such sets have least * n of n shingles in common, so one is left among any n - ceil(least * n) + 1; with
-    one order for all sets, the first common shingle is among the first so many of both.
+    one order for all sets (by the rank of the cell, then by the hash), the first common shingle is among the first so many of both.
     """
-    order = np.lexsort((h, frequency[(h >> np.uint64(64 - CELL_BITS)).astype(np.int64)]))
-    return h[order[: len(h) - int(np.ceil(least * len(h) - 1e-9)) + 1]]
+    n, rank = np.diff(first), rank[cells_of(h)]
+    most = np.minimum(n, n - np.ceil(least * n - 1e-9).astype(np.int64) + 1)
+    at = [s + np.argsort(rank[s : s + k], kind="stable")[:m] for s, k, m in zip(first.tolist(), n.tolist(), most.tolist())]
+    return h[np.concatenate([np.zeros(0, np.int64), *at])], np.append(0, np.cumsum(most))
+
+
+def lists(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    """A list for each of the runs of ``values`` that begin at ``first``."""
+    return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values))
 
 
 def prefixed(docs: DataFrame, shingle: int, lanes: int, least: float) -> DataFrame:
@@ -115,15 +182,31 @@ def prefixed(docs: DataFrame, shingle: int, lanes: int, least: float) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(rarity(docs, "text", shingle))
 
     def work(batches):
-        for b in batches:
-            sets = [np.unique(shingle_hashes(x.as_py(), shingle)) for x in b["text"]]
-            keys = [prefix(h, shared.value, least).view(np.int64) for h in sets]
-            yield pa.RecordBatch.from_arrays(
-                [b["_id"], b["digest"], pa.array([fingerprint(h, lanes) for h in sets], pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))], names=["_id", "digest", "fingerprint", "prefix"])
+        for b in pieces(batches, "text"):
+            h, first = shingle_sets(b["text"].to_pylist(), shingle)
+            bits = lists(majorities(h, first, lanes).reshape(-1), np.arange(b.num_rows + 1) * lanes)
+            keys, begin = prefixes(h, first, shared.value, least)
+            yield pa.RecordBatch.from_arrays([b["_id"], b["digest"], bits, lists(keys.view(np.int64), begin)], names=["_id", "digest", "fingerprint", "prefix"])
 
     return docs.select("_id", "digest", "text").mapInArrow(work, "_id long, digest long, fingerprint array<long>, prefix array<long>")
 
 
+def shared_keys(batches):
+    """The rows of batches sorted by ``key`` whose key the row before or behind has too; one row is held at a time."""
+    held, again = None, False
+    for b in batches:
+        t = pa.Table.from_batches([b] if held is None else [held, b])
+        if not t.num_rows:
+            continue
+        key = t["key"].to_numpy()
+        same = np.concatenate([[again], key[1:] == key[:-1], [False]])
+        for x in t.slice(0, t.num_rows - 1).filter(pa.array((same[:-1] | same[1:])[:-1])).to_batches():
+            yield x
+        held, again = t.slice(t.num_rows - 1).combine_chunks().to_batches()[0], bool(same[-2])
+    if again:
+        yield held
+
+
 def block_keys(lanes: int, blocks: int, share: int) -> Column:
     """The keys of a fingerprint: its bits cut into ``blocks`` runs, each choice of ``share`` runs one key.
 
@@ -182,30 +265,34 @@ def near_edges(fp: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
 def alike_edges(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
     """Row pairs that span the components of sets with a Jaccard similarity of ``least`` or more.
 
-    Breadth first like ``near_edges``: a set is compared only with those not yet reached, all at once.
+    Breadth first like ``near_edges``: a set is compared only with those not yet reached, all at once, by counting along
+    the lists of sets that hold each of its shingles. The lists are made anew whenever half of their sets are reached.
     """
     size = np.fromiter(map(len, sets), np.int64, len(sets))
-    flat, first = np.concatenate(sets), np.cumsum(size) - size
-    a, b, left = [], [], np.arange(len(sets))
-    while len(left) > 1:
-        queue, left = [left[0]], left[1:]
-        while queue and len(left):
-            at = queue.pop()
-            own = sets[at]
-            fits = left[(size[left] >= least * size[at]) & (size[at] >= least * size[left])]
-            if not len(fits):
-                continue
-            n = size[fits]
-            begin = np.cumsum(n) - n
-            others = flat[np.repeat(first[fits] - begin, n) + np.arange(n.sum())]
-            shared = own[np.minimum(np.searchsorted(own, others), len(own) - 1)] == others
-            common = np.add.reduceat(shared, begin, dtype=np.int64)
-            found = fits[common / (n + size[at] - common) >= least]
-            if len(found):
-                a.append(found)
-                b.append(np.full(len(found), at))
-                queue.extend(found.tolist())
-                left = np.setdiff1d(left, found, assume_unique=True)
+    owner, first = np.repeat(np.arange(len(sets)), size), np.cumsum(size) - size
+    names, code = np.unique(np.concatenate(sets), return_inverse=True)
+    a, b, left, queue, listed = [], [], np.arange(len(sets)), [], None
+    while len(left) > (0 if queue else 1):
+        if not queue:
+            queue, left = [left[0]], left[1:]
+        if listed is None or 2 * len(left) <= listed:
+            listed, open_ = len(left), np.zeros(len(sets), bool)
+            open_[left] = True
+            held = open_[owner]
+            order = np.argsort(code[held], kind="stable")
+            lists, begin = owner[held][order], np.append(0, np.cumsum(np.bincount(code[held], minlength=len(names))))
+        at = queue.pop()
+        own = code[first[at] : first[at] + size[at]]
+        n = begin[own + 1] - begin[own]
+        where = np.repeat(begin[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        common = np.bincount(lists[where], minlength=len(sets))[left]
+        near = common / np.maximum(1, size[left] + size[at] - common) >= least
+        if near.any():
+            found = left[near]
+            a.append(found)
+            b.append(np.full(len(found), at))
+            queue.extend(found.tolist())
+            left = left[~near]
     empty = np.zeros(0, np.int64)
     return (np.concatenate(a), np.concatenate(b)) if a else (empty, empty)
 
@@ -223,9 +310,13 @@ def confirmed(docs: DataFrame, classes: DataFrame, groups: DataFrame, least: flo
     names = ["key", "node", "tiles", "tile"]
 
     def reduce(batches):
-        for b in batches:
-            sets = [np.unique(shingle_hashes(x.as_py(), shingle) >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in b["text"]]
-            yield pa.RecordBatch.from_arrays([*b.select(names).columns, pa.array(sets, pa.list_(pa.int32()))], names=[*names, "shingles"])
+        for b in pieces(batches, "text"):
+            h, first = shingle_sets(b["text"].to_pylist(), shingle)
+            h = (h >> np.uint64(32)).astype(np.uint32)
+            new = np.append(True, h[1:] != h[:-1])[: len(h)]
+            new[first[:-1][np.diff(first) > 0]] = True
+            sets = lists(h[new].view(np.int32), np.append(0, np.cumsum(new))[first])
+            yield pa.RecordBatch.from_arrays([*b.select(names).columns, sets], names=[*names, "shingles"])
 
     texts = docs.join(members, F.col("_id").eqNullSafe(F.col("_first_id")) & (F.col("digest") == F.col("_first_digest"))).select(*names, "text")
     cells = dealt(texts.mapInArrow(reduce, "key long, node long, tiles int, tile int, shingles array<int>"))
@@ -267,9 +358,8 @@ def grouped(
         blocks, share = (blocks, share) if blocks else blocks_for(classes.count(), 64 * lanes, max_bits)
         keyed = classes.select("node", "fingerprint", F.explode(block_keys(lanes, blocks, share)).alias("key"))
     else:
-        keyed = classes.select("node", F.explode("prefix").alias("key")).repartition("key")
-        several = keyed.groupBy("key").count().where("count > 1").select("key")
-        keyed = checkpointed(keyed.join(several, "key", "left_semi")).join(classes.select("node", "fingerprint"), "node")
+        keyed = classes.select("node", F.explode("prefix").alias("key")).repartition("key").sortWithinPartitions("key")
+        keyed = checkpointed(keyed.mapInArrow(shared_keys, "node long, key long")).join(classes.select("node", "fingerprint"), "node")
     cells = in_tiles(keyed, "key", tile, "node")
     parts = ["key", "tile_a", "tile_b"]
 

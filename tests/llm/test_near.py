@@ -229,3 +229,81 @@ def test_pairs_at_the_threshold_meet_in_a_filter_at_every_size(code):
     filters = embedding_dedup.CapFilters(64, code, 0.95, 0.97, 6)
     rng = np.random.default_rng(code)
     assert filters.met >= 0.97 and filters.meeting([filters.pairs(rng, 50, 0.95) for _ in range(8)], 6) >= 0.9
+
+
+def test_unlike_texts_are_seldom_proposed_at_the_pipelines_width(monkeypatch):
+    """Else the groups of proposed links grow together in a large table, and their verification with the square of its size."""
+    import corpus_pipeline
+
+    how = {}
+    monkeypatch.setattr(simhash, "keep_first", lambda docs, **given: how.update(given))
+    corpus_pipeline.near_dedup(None, None, "")
+    rng = np.random.default_rng(4)
+    h = rng.integers(0, 1 << 64, 600 * 150, np.uint64)
+    bits = simhash.majorities(h, np.arange(601) * 150, how["lanes"]).view(np.uint64)
+    a, b = np.triu_indices(600, 1)
+    assert (np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64) <= how["max_bits"]).sum() <= 2  # of 179,700
+    half = h.reshape(600, 150).copy()
+    half[:, :17] = rng.integers(0, 1 << 64, (600, 17), np.uint64)  # 133 of 167 in common: 0.796
+    other = simhash.majorities(half.reshape(-1), np.arange(601) * 150, how["lanes"]).view(np.uint64)
+    assert (np.bitwise_count(bits ^ other).sum(axis=1, dtype=np.int64) <= how["max_bits"]).all()
+
+
+def test_shingle_sets_of_a_batch_are_those_of_each_text():
+    rng = random.Random(6)
+    texts = [None, "", " \n", "one", "ONE", " one two\t", "a b c d", "a b c d e", "a b c d e f a b c d e", "x " * 3000, "é É ü"]
+    texts += [" ".join(f"W{rng.randrange(30)}" for _ in range(rng.randrange(900))) for _ in range(80)] + [None, "x"]
+    h, first = simhash.shingle_sets(texts, 5)
+    bits, named = simhash.majorities(h, first, 3), {}
+    for i, text in enumerate(texts):
+        words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").split()
+        shingles = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+        own = h[first[i] : first[i + 1]]
+        assert len(own) == len(shingles) and (own[1:] > own[:-1]).all() and bits[i].tolist() == simhash.fingerprint(own, 3)
+        assert named.setdefault(frozenset(shingles), own.tobytes()) == own.tobytes()
+    assert len(set(named.values())) == len(named)
+    assert [len(x) for x in simhash.shingle_sets([], 5)] == [0, 1]
+
+
+def test_prefixes_of_sets_at_the_threshold_meet():
+    rng = np.random.default_rng(9)
+    rank = rng.integers(0, 50, 1 << simhash.CELL_BITS).astype(np.uint16)
+    for n in [1, 2, 4, 5, 9, 10, 33, 400]:
+        common = int(np.ceil(0.8 * n - 1e-9))
+        h = rng.integers(0, 1 << 64, n, np.uint64)
+        other = h[:common] if n % 2 else np.append(h[:common], rng.integers(0, 1 << 64, max(0, int(common / 0.8) - n), np.uint64))
+        sets = [np.sort(h), np.sort(other)]
+        keys, begin = simhash.prefixes(np.concatenate(sets), np.cumsum([0, *map(len, sets)]), rank, 0.8)
+        assert np.intersect1d(keys[: begin[1]], keys[begin[1] :]).size
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 1000])
+def test_keys_of_one_row_go_wherever_batches_end(size):
+    import pyarrow as pa
+
+    rng = random.Random(size)
+    key = sorted(rng.randrange(120) for _ in range(100)) + [200, 201, 201]
+    table = pa.table({"node": range(len(key)), "key": key})
+    found = [x for b in simhash.shared_keys(table.to_batches(max_chunksize=size)) for x in b["node"].to_pylist()]
+    assert found == [i for i, k in enumerate(key) if key.count(k) > 1]
+    assert list(simhash.shared_keys([])) == []
+
+
+def test_edges_of_alike_sets_span_the_components_of_brute_force():
+    rng = np.random.default_rng(12)
+    for m in (1, 2, 3, 30, 150):
+        base = rng.choice(5000, 80, replace=False)
+        sets = [np.unique(np.r_[base[rng.random(80) < rng.choice([0.7, 0.9, 1])], rng.integers(0, 5000, rng.integers(0, 30))]).astype(np.uint32) for _ in range(m)]
+        a, b = simhash.alike_edges(sets, 0.8)
+        alike = lambda x, y: len(np.intersect1d(sets[x], sets[y])) >= 0.8 * len(np.union1d(sets[x], sets[y]))
+        assert labels(range(m), zip(a.tolist(), b.tolist())) == labels(range(m), [p for p in combinations(range(m), 2) if alike(*p)])
+        assert len(a) == m - len(set(labels(range(m), zip(a.tolist(), b.tolist())).values()))
+
+
+def test_words_are_hashed_alike_wherever_a_chunk_ends():
+    from slicewise.llm import passages
+
+    for spaces in range(passages.CHUNK - 24, passages.CHUNK + 3):
+        words = passages.Words([b"alpha beta " + b" " * spaces + b"gamma  ", b"\t gamma"])
+        assert len(words.hash) == 4 and words.hash[2] == words.hash[3] and words.doc.tolist() == [0, 0, 0, 1]
+    assert len(passages.Words([b"word" + b" " * (2 * passages.CHUNK)]).hash) == 1
