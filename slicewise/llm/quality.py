@@ -24,6 +24,8 @@ RARE, END, BEGIN = (1 << ID_BITS) - 3, (1 << ID_BITS) - 2, (1 << ID_BITS) - 1
 RANGE, RUN_BITS = 1 << 15, 12
 #: Bits of a hash that tell words apart, and anchors.
 WORD_BITS = 48
+#: First bits of a hash by which the frequent words are looked up.
+SLOT_BITS = 20
 #: A bigram with this share of all tokens is scored where it is read; so at most 2 ** 19 are.
 HOT = 1 << 19
 #: Log probabilities are added up as multiples of 1 / SCALE, so that sums don't depend on their order.
@@ -52,10 +54,12 @@ def base_statistics(texts: list[bytes], words: P.Words) -> np.ndarray:
     lines = [[x for x in t.split(b"\n") if x.strip()] for t in texts]
     h, inside = words.rolling(3, 6)
     at = np.flatnonzero(inside)
-    order, starts, run = P.runs(P.mixed(h[at] + P.mixed(words.doc[at].astype(np.uint64) + np.uint64(1))))
-    twice = np.diff(np.append(starts, len(order))) > 1
+    key = P.mixed(h[at] + P.mixed(words.doc[at].astype(np.uint64) + np.uint64(1)))
+    twice = np.sort(key)
+    twice = np.unique(twice[1:][twice[1:] == twice[:-1]])
     marks = np.zeros(len(words.hash) + 1, bool)
-    marks[at] = twice[run] if len(at) else False
+    if len(twice):
+        marks[at] = twice[np.minimum(np.searchsorted(twice, key), len(twice) - 1)] == key
     repeated = P.covered(marks, 3, len(words.hash))
     return np.stack([
         np.diff(words.first), chars, sums(SYMBOL[data], byte_first), np.array([len(x) - len(set(x)) for x in lines], np.int64).reshape(len(texts)),
@@ -142,12 +146,21 @@ class Model:
     hot: np.ndarray = None  # sorted bigram keys
     folds: tuple[Fold, Fold] = None
 
+    def __post_init__(self):
+        self.slots = np.searchsorted(self.vocabulary, np.arange((1 << SLOT_BITS) + 1, dtype=np.uint64) << np.uint64(WORD_BITS - SLOT_BITS)).astype(np.int32)
+
     def number(self, h: np.ndarray) -> np.ndarray:
-        """Ids of words by their hashes, RARE for rare ones."""
-        if not len(self.vocabulary):
-            return np.full(len(h), RARE)
-        at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[at] == h, self.ids[at], RARE)
+        """Ids of words by their hashes, RARE for rare ones; a slot of first bits says where a hash can be."""
+        slot = (h >> np.uint64(WORD_BITS - SLOT_BITS)).astype(np.int64)
+        at, end = self.slots[slot], self.slots[1:][slot]
+        found, left = np.full(len(h), RARE), np.flatnonzero(at < end)
+        while len(left):
+            place = at[left]
+            same = self.vocabulary[place] == h[left]
+            found[left[same]] = self.ids[place[same]]
+            at[left] += 1
+            left = left[~same & (at[left] < end[left])]
+        return found
 
     def bigrams(self, words: P.Words) -> tuple[np.ndarray, np.ndarray, Occurrences]:
         """A 40-bit key for each frequent word after a frequent one or a beginning, their texts, and the rare words."""
