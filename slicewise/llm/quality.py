@@ -25,7 +25,7 @@ RANGE, RUN_BITS = 1 << 15, 12
 #: Bits of a hash that tell words apart, and anchors.
 WORD_BITS = 48
 #: First bits of a hash by which the frequent words are looked up.
-SLOT_BITS = 20
+SLOT_BITS = 18
 #: A bigram with this share of all tokens is scored where it is read; so at most 2 ** 19 are.
 HOT = 1 << 19
 #: Log probabilities are added up as multiples of 1 / SCALE, so that sums don't depend on their order.
@@ -151,15 +151,18 @@ class Model:
 
     def number(self, h: np.ndarray) -> np.ndarray:
         """Ids of words by their hashes, RARE for rare ones; a slot of first bits says where a hash can be."""
-        slot = (h >> np.uint64(WORD_BITS - SLOT_BITS)).astype(np.int64)
-        at, end = self.slots[slot], self.slots[1:][slot]
-        found, left = np.full(len(h), RARE), np.flatnonzero(at < end)
-        while len(left):
-            place = at[left]
-            same = self.vocabulary[place] == h[left]
-            found[left[same]] = self.ids[place[same]]
-            at[left] += 1
-            left = left[~same & (at[left] < end[left])]
+        found = np.full(len(h), RARE)
+        for i in range(0, len(h), ROWS):  # some at a time bound the memory
+            own, out = h[i : i + ROWS], found[i : i + ROWS]
+            slot = (own >> np.uint64(WORD_BITS - SLOT_BITS)).astype(np.int64)
+            at, end = self.slots[slot], self.slots[1:][slot]
+            left = np.flatnonzero(at < end)
+            while len(left):
+                place = at[left]
+                same = self.vocabulary[place] == own[left]
+                out[left[same]] = self.ids[place[same]]
+                at[left] += 1
+                left = left[~same & (at[left] < end[left])]
         return found
 
     def bigrams(self, words: P.Words) -> tuple[np.ndarray, np.ndarray, Occurrences]:
@@ -269,6 +272,7 @@ def _slices(batches, size: int = 3 << 20):
     """(fold, record batch, whole texts as bytes) of about ``size`` bytes or ROWS rows; a null text is empty.
 
     A text's fold, 0 or 1, is by its digest: copies are in one."""
+    pa.default_memory_pool().release_unused()  # of earlier tasks of this worker
     for whole in batches:
         side = whole["digest"].to_numpy() & 1
         for fold in (0, 1):
@@ -325,10 +329,10 @@ def fitted(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple
     def words(batches):
         for _, _, texts in _slices(batches, 5 << 20):
             h = P.Words(texts).hash >> np.uint64(64 - WORD_BITS)
-            order, starts, _ = P.runs(h)
-            n = np.diff(np.append(starts, len(h)))
+            tokens = len(h)
+            h, n = np.unique(h, return_counts=True)
             some = n > 2  # a word that is never three times in a slice isn't frequent
-            h, n, tokens = h[order[starts]][some], n[some].astype(np.uint32), len(h)
+            h, n = h[some], n[some].astype(np.uint32)
             found = _dealt([(h, [(h, P.squeezed_sorted), (n, P.squeezed)])], buckets) or [(0, [P.squeezed_sorted(h), P.squeezed(n)])]
             own = [tokens, *[0] * (len(found) - 1)]
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int32()), pa.array([x for _, x in found], pa.list_(pa.binary())), pa.array(own, pa.int64())], names=["bucket", "blob", "tokens"])
@@ -361,8 +365,8 @@ def fitted(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple
     def pairs(batches):
         for fold, _, texts in _slices(batches, 5 << 20):
             key, _, rare = model.bigrams(P.Words(texts))
-            order, starts, _ = P.runs(key)
-            n, key = np.diff(np.append(starts, len(key))).astype(np.uint32), key[order[starts]]
+            key, n = np.unique(key, return_counts=True)
+            n = n.astype(np.uint32)
             found = _dealt([(key >> np.uint64(RUN_BITS), [(key, P.squeezed_sorted), (n, P.squeezed)]), _rare(rare, "before_word", False)], buckets)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b for b, _ in found], pa.int32()), pa.array([fold] * len(found), pa.int32()), pa.array([x for _, x in found], pa.list_(pa.binary()))], names=["bucket", "fold", "blob"])
@@ -466,9 +470,8 @@ def scored(docs: DataFrame, model: Model, side: DataFrame, buckets: int) -> Data
         for fold, b, texts in _slices(batches):
             words = P.Words(texts)
             key, of, rare = m.bigrams(words)
-            order, starts, _ = P.runs((of.astype(np.uint64) << np.uint64(2 * ID_BITS)) | key)
-            own = np.diff(np.append(starts, len(order))).astype(np.uint32)
-            key, doc = key[order[starts]], of[order[starts]]
+            key, own = np.unique((of.astype(np.uint64) << np.uint64(2 * ID_BITS)) | key, return_counts=True)
+            doc, key, own = (key >> np.uint64(2 * ID_BITS)).astype(np.int64), key & np.uint64((1 << 2 * ID_BITS) - 1), own.astype(np.uint32)
             at = np.minimum(np.searchsorted(m.hot, key), max(0, len(m.hot) - 1))
             hot = m.hot[at] == key if len(m.hot) else np.zeros(len(key), bool)
             local = np.zeros(len(texts), np.int64)
