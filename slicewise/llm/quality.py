@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import InitVar, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +20,8 @@ from slicewise.sources.store import Store
 #: model like them, known by its hash, with its totals in hash buckets. Scores don't depend on which are.
 VOCABULARY, ID_BITS = 1 << 18, 20
 RARE, END, BEGIN = (1 << ID_BITS) - 3, (1 << ID_BITS) - 2, (1 << ID_BITS) - 1
-#: Totals of so many ids are added up in one task; bigrams are dealt to buckets in runs of so many second words.
-RANGE, RUN_BITS = 1 << 15, 12
+#: Totals of so many ids are added up in one task; a bucket gets so many ranges of the keys.
+RANGE, RANGES = 1 << 15, 16
 #: Bits of a hash that tell words apart, and anchors.
 WORD_BITS = 48
 #: First bits of a hash by which the frequent words are looked up.
@@ -143,10 +143,13 @@ class Model:
 
     vocabulary: np.ndarray  # sorted hashes
     ids: np.ndarray
+    tokens: InitVar[np.ndarray]  # by id, falling
     hot: np.ndarray = None  # sorted bigram keys
     folds: tuple[Fold, Fold] = None
 
-    def __post_init__(self):
+    def __post_init__(self, tokens: np.ndarray):
+        self.share = np.cumsum(np.concatenate([[0], tokens, tokens[:1]]), dtype=float)  # beginnings count like the most frequent word
+        self.share /= max(1, self.share[-1])
         self.slots = np.searchsorted(self.vocabulary, np.arange((1 << SLOT_BITS) + 1, dtype=np.uint64) << np.uint64(WORD_BITS - SLOT_BITS)).astype(np.int32)
 
     def number(self, h: np.ndarray) -> np.ndarray:
@@ -165,6 +168,17 @@ class Model:
                 left = left[~same & (at[left] < end[left])]
         return found
 
+    def places(self, key: np.ndarray) -> np.ndarray:
+        """Rising 48-bit places of bigrams of frequent words, among which tokens are spread evenly."""
+        found = np.empty(len(key), np.uint64)
+        for i in range(0, len(key), ROWS):
+            own = key[i : i + ROWS]
+            first = np.minimum((own >> np.uint64(ID_BITS)).astype(np.int64), len(self.vocabulary))
+            second = (own & np.uint64((1 << ID_BITS) - 1)).astype(np.int64)
+            low = self.share[first]
+            found[i : i + ROWS] = (low + (self.share[first + 1] - low) * self.share[second]) * (1 << WORD_BITS)
+        return found
+
     def bigrams(self, words: P.Words) -> tuple[np.ndarray, np.ndarray, Occurrences]:
         """A 40-bit key for each frequent word after a frequent one or a beginning, their texts, and the rare words."""
         h = words.hash >> np.uint64(64 - WORD_BITS)
@@ -289,11 +303,13 @@ def _slices(batches, size: int = 3 << 20):
 
 
 def _dealt(groups: list[tuple[np.ndarray, list]], buckets: int) -> list[tuple[int, list[bytes]]]:
-    """For each bucket the packed columns of each group; ``groups`` are (key, [(column, pack)]), dealt by a hash of
-    the key. The order of a group's rows stays."""
+    """For each bucket the packed columns of each group; ``groups`` are (key, [(column, pack)]), dealt by ranges of
+    the key, 48 bits that are spread evenly: sorted columns then stay dense however many buckets there are. A bucket has
+    RANGES of them, from all over. The order of a group's rows stays."""
     places = []
     for key, _ in groups:
-        bucket = (P.mixed(key.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        ranges = (key >> np.uint64(WORD_BITS - 32)) * np.uint64(buckets * RANGES) >> np.uint64(32)
+        bucket = (ranges % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         places.append((order, np.searchsorted(bucket[order], np.arange(buckets + 1))))
     filled = [b for b in range(buckets) if any(cuts[b + 1] > cuts[b] for _, cuts in places)]
@@ -360,14 +376,14 @@ def fitted(docs: DataFrame, buckets: int, vocabulary: int = VOCABULARY) -> tuple
     tokens = seen.get["tokens"] or 0
     hashes = top["h"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
-    model = Model(hashes[order], order)
+    model = Model(hashes[order], order, top["n"].to_numpy())
 
     def pairs(batches):
         for fold, _, texts in _slices(batches, 5 << 20):
             key, _, rare = model.bigrams(P.Words(texts))
             key, n = np.unique(key, return_counts=True)
             n = n.astype(np.uint32)
-            found = _dealt([(key >> np.uint64(RUN_BITS), [(key, P.squeezed_sorted), (n, P.squeezed)]), _rare(rare, "before_word", False)], buckets)
+            found = _dealt([(model.places(key), [(key, P.squeezed_sorted), (n, P.squeezed)]), _rare(rare, "before_word", False)], buckets)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b for b, _ in found], pa.int32()), pa.array([fold] * len(found), pa.int32()), pa.array([x for _, x in found], pa.list_(pa.binary()))], names=["bucket", "fold", "blob"])
 
@@ -483,7 +499,7 @@ def scored(docs: DataFrame, model: Model, side: DataFrame, buckets: int) -> Data
             key, doc, own = key[order], doc[order], own[order]
             anchor, anchor_doc = anchors(words)
             found = _dealt([
-                (key >> np.uint64(RUN_BITS), [(key, P.squeezed_sorted), (doc.astype(np.uint16), P.squeezed), (own, P.squeezed)]), _rare(rare, "after_word", True),
+                (m.places(key), [(key, P.squeezed_sorted), (doc.astype(np.uint16), P.squeezed), (own, P.squeezed)]), _rare(rare, "after_word", True),
                 (anchor, [(anchor, P.squeezed_sorted), (anchor_doc.astype(np.uint16), P.squeezed)])], buckets) or [(0, [])]
             n, batch = len(found), part << 32 | n_batch
             n_anchors = np.bincount(anchor_doc, minlength=len(texts))

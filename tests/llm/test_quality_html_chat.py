@@ -140,6 +140,34 @@ def test_scores_are_the_other_halfs_kneser_ney_model(spark, documents, bucket_by
             assert r.perplexity is None
 
 
+def packed(groups, buckets):
+    return {b: sum(map(len, columns)) for b, columns in quality._dealt(groups, buckets)}
+
+
+def test_sorted_columns_stay_dense_in_many_buckets():
+    rng = np.random.default_rng(5)
+    h = np.unique(rng.integers(0, 1 << quality.WORD_BITS, 50_000, dtype=np.uint64))
+    group = [(h, [(h, quality.P.squeezed_sorted)])]
+    one, many = packed(group, 1), packed(group, 64)
+    assert len(many) == 64 and max(many.values()) < 1.3 * np.mean(list(many.values()))
+    assert sum(many.values()) < 1.12 * one[0]  # gaps that were 64 times as wide took 1.18
+
+
+def test_bigrams_of_one_hot_word_are_spread_over_the_buckets():
+    tokens = 1_000_000 // np.arange(1, 2001)  # the first word has an eighth of all tokens
+    model = quality.Model(np.arange(2000, dtype=np.uint64) << np.uint64(37), np.arange(2000), tokens)
+    rng = np.random.default_rng(6)
+    first, second = (rng.choice(2000, 200_000, p=tokens / tokens.sum()).astype(np.uint64) for _ in range(2))
+    first[::50] = quality.BEGIN
+    key = np.unique((first << np.uint64(quality.ID_BITS)) | second)
+    place = model.places(key)
+    assert (np.diff(place.astype(np.int64)) >= 0).all() and place.max() < 1 << quality.WORD_BITS
+    assert (model.places(key[::3]) == place[::3]).all()  # whatever else is in the batch
+    sizes = [len(x) for _, (x,) in quality._dealt([(place, [(key, lambda v: v)])], 32)]
+    assert sum(sizes) == len(key) and max(sizes) < 1.3 * np.mean(sizes)
+    assert len(quality.Model(key[:0], key[:0], key[:0]).places(key[:0])) == 0
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a="</p><p>x.";</script></head><body>
 <header class="top"><h1>Site name</h1></header><nav><ul><li><a href="/a">One</a></li><li><a href="/b">Two</a></li></ul></nav>
 <div class="cookie-notice">We use cookies, and more cookies, for you. Accept, please.</div><!-- <p>no</p> --><div class="ad">Buy now, it is cheap, so cheap!</div>
