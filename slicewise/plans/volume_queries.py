relabel_rescaled: relabelled slices are kept once, before their range is found and they are rescaled

Symptom: relabel_rescaled shuffled some 20 times what it read: 408 MB each way for 21 MB of embeddings.
Evidence: In the event log over the large input's embeddings every stage from the search for contained paths to the renaming of labels runs twice, 144 MB shuffled each time: once when the range of each stack is collected, once when the slices are rescaled.
Fix: The query keeps the relabelled slices in the shared folder, as it does objects and paths, and both steps read them there.
Effect, together with 2 more commits on this code: at 1 GB of input CPU 559 -> 454 s, shuffle 1.16 -> 0.60 GB, spill 0.00 -> 0.00 GB, read 0.22 -> 0.17 GB, longest task 6 -> 8 s, most memory of a task 154 -> 154 MB; at 6 GB of input CPU 1521 -> 1024 s, shuffle 6.97 -> 3.61 GB, spill 0.00 -> 0.00 GB, read 1.31 -> 0.98 GB, longest task 25 -> 22 s, most memory of a task 587 -> 587 MB; with hot keys, at 1 GB of input CPU 397 -> 329 s, shuffle 0.50 -> 0.26 GB, spill 0.00 -> 0.00 GB, read 0.12 -> 0.08 GB, longest task 4 -> 6 s, most memory of a task 144 -> 144 MB.

@@ -266,7 +266,7 @@ QUERIES = {
             "unique_id) group by all) select stack, z, y, x, coalesce(k, 0) as object from voxels left "
             "join last using (stack, z, lab)"),
     "relabel_rescaled": (
-        lambda s, d: images.as_voxels(volume.rescaled_to_max(linking.relabelled(labels(s, d, SHALLOW), nodes(s, d))), "object", "int"),
+        lambda s, d: images.as_voxels(volume.rescaled_to_max(stored(linking.relabelled(labels(s, d, SHALLOW), nodes(s, d)))), "object", "int"),  # read for the range, then to be rescaled
         L + ", last as (select stack, slice z, label lab, max(object_number) k from nodes join objects using (stack, unique_id) group by all), "
         "o as (select stack, z, y, x, coalesce(k, 0) as object from voxels left join last using (stack, z, lab)) "
         f"select stack, z, y, x, {BYTE.format('coalesce(object / nullif(max(object) over w, 0), 0) * 255')} as object from o window w as (partition by stack)"),

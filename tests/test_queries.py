@@ -43,6 +43,11 @@ def test_query_without_sql_runs(spark, name):
     assert registry.queries()[name](spark, D).count() > 0
 
 
+def test_objects_are_linked_once_before_they_are_rescaled(spark):
+    plan = registry.queries()["relabel_rescaled"](spark, D)._jdf.queryExecution().executedPlan().toString()
+    assert "Scan parquet" in plan and not any(x in plan for x in ("MapInArrow", "SortMergeJoin", "Window"))
+
+
 def test_entry_and_guard():
     import __spark_entry__ as entry
 
