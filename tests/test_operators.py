@@ -281,6 +281,18 @@ def test_edges_are_those_of_all_pairs(spark):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_an_object_meets_others_in_few_squares(spark, monkeypatch):
+    rng = random.Random(15)
+    at = [(0, 1, i, rng.uniform(-900, 900), rng.uniform(-900, 900), i) for i in range(200)]
+    objects = spark.createDataFrame([*at, (None, 1, 0, 1.0, 1.0, 300), (0, None, 0, 1.0, 1.0, 301), (0, 1, 0, None, 1.0, 302)], "stack int, slice int, label int, centroid_0 double, centroid_1 double, unique_id long")
+    sides, joined = [], linking.joined
+    monkeypatch.setattr(linking, "joined", lambda a, b, *more: sides.append((a.count(), b.count())) or joined(a, b, *more))
+    assert linking.edges(objects, 10.0).count() == 0
+    assert sides == [(203, 4 * 202)]  # one has no place
+    edge = [(0, 0, 0, 0.0, 0.0, 0), (0, 1, 0, 10.0, 0.0, 1), (0, 1, 1, -9.999999, 0.0, 2), (0, 1, 2, 0.0, 9.999999, 3), (0, 1, 3, 20.0, 0.0, 4)]
+    assert {(r.src, r.dst) for r in linking.edges(spark.createDataFrame(edge, objects.schema), 10.0).collect()} == {(0, 2), (0, 3)}
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
