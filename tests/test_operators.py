@@ -351,6 +351,13 @@ def test_longest_paths_compare_candidates_only(spark):
     assert 10 * linking.containers(linking.longest(found)).count() < sum(n * n for n in by_stack.values())
 
 
+def test_paths_and_holders_share_the_shuffle_of_their_index(spark):
+    rows = [(0, [1, 2, 3]), (0, [2, 3]), (0, [2, 3]), (0, [3, 4]), (1, [2, 3]), (None, [2, 3]), (0, None), (0, [])]
+    found = linking.containers(stored(spark.createDataFrame(rows, "stack int, path array<long>")))
+    assert [(r.stack, r.path, r.longer) for r in found.collect()] == [(0, [2, 3], [1, 2, 3])] and found.columns == ["stack", "path", "longer"]
+    assert "ReusedExchange" in plan(found)
+
+
 def test_masks_meet_on_few_coordinates_only(spark):
     rng = random.Random(13)
     rows = []
